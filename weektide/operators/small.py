@@ -1,0 +1,27 @@
+"""Small-side handling: what may travel to every executor is measured first."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+
+MAX_SMALL_ROWS = 100_000
+MAX_LITERALS = 1_000
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> list[Row] | None:
+    """Rows of a table that has at most ``max_rows``, else None. Runs a job; reads at most one row more."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
+def as_small_side(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
+    """Measured small table: within the bound it becomes a local table, which Spark can broadcast
+    knowing its size; beyond the bound it stays a distributed table and the join shuffles.
+
+    Runs one job over the given columns. The measured rows are reused, so nothing is read twice.
+    """
+    rows = bounded_rows(df, max_rows)
+    if rows is None:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
