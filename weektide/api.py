@@ -83,18 +83,19 @@ def read(
 ) -> DataFrame:
     """Raw reports -> long table.
 
-    ``source`` is a path of weekly CSV files, or a cell-grid table for the yearly workbooks. The
+    ``source`` is a path of weekly CSV files, a table of their rows (``file, rows, error``), or a
+    cell-grid table (``file, sheet, row_idx, cells``) for the yearly workbooks. The
     layout is taken from the file names unless ``type`` is given; a folder of CSV files with any
     sentinel report in it is read as sentinel.
     """
     if isinstance(source, DataFrame):
         if type is None:
-            raise ValueError("A grid table needs 'type'")
+            raise ValueError("A table needs 'type'")
         cells = source
     else:
         if type in ("sex", "place"):
             raise ValueError("Workbooks are read from a cell-grid table")
-        cells = reports.read_grid(spark, source, weeks)
+        cells = reports.read_reports(spark, source, weeks)
         if type is None:
             named = source.lower().endswith((".csv", ".xls", ".xlsx"))
             type = reports.detect_layout(source) if named else _folder_layout(spark, source)

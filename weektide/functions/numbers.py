@@ -5,23 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weektide.functions.text import strip
-
 # Plain decimal numbers only: a cast alone would also take '5d', 'nan' and 'Infinity'.
-_NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_NUMBER = r"[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?"
 
 
 def _col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _to_double(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+def _to_double(text: Column, blanks: str = "") -> Column:
+    return F.when(text.rlike(f"^{blanks}{_NUMBER}{blanks}$"), text.try_cast("double"))
 
 
 def parse_number(x: Column | str) -> Column:
     """Number cell -> double: thousands commas dropped; blank, dash or bad text -> null."""
-    return _to_double(F.replace(strip(x), F.lit(","), F.lit("")))
+    # Wide and fixed blanks become spaces, which the cast trims; commas go.
+    return _to_double(F.translate(_col(x), "\u3000\xa0,", "  "), r"\s*")
 
 
 def parse_count_strict(x: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ _WIDE, _PLAIN = "ＩｎＡＥＯ　", "InAEO "
 # Fixed patterns of the report format.
 JAPANESE_SCRIPT = r"[\u3040-\u309f\u30a0-\u30ff\u4e00-\u9fff]"
 BRACKETED = r"[（(]([^)）]+)[)）]"
+FILLED = r"(?sU)\S(?:.*\S)?"
 BROKEN_BRACKETS = r"^[^(]*\)\s*\((.+)$"
 TOTAL_ROW_JA = "総数|合計"
 
@@ -38,9 +39,14 @@ def collapse_blanks(x: Column | str) -> Column:
     return strip(F.regexp_replace(_col(x), r"(?U)\s+", " "))
 
 
-def blank_to_null(x: Column | str) -> Column:
-    c = _col(x)
-    return F.when(c != "", c)
+def strip_or_null(x: Column | str) -> Column:
+    """Trimmed text; null when nothing is left. The text is evaluated once."""
+    return F.try_element_at(F.regexp_extract_all(_col(x), F.lit(FILLED), F.lit(0)), F.lit(1))
+
+
+def let(x: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``x`` once and use it several times, also inside array functions."""
+    return F.transform(F.array(x), use)[0]
 
 
 def has_japanese(x: Column | str) -> Column:
@@ -67,7 +73,7 @@ def clean_cell(x: Column | str, bilingual_only: bool = False) -> Column:
     inner = F.try_element_at(F.regexp_extract_all(raw, F.lit(BRACKETED), F.lit(1)), F.lit(-1))
     if bilingual_only:
         inner = F.when(has_japanese(raw), inner)
-    return blank_to_null(strip(fold_fullwidth(F.coalesce(inner, raw))))
+    return strip_or_null(fold_fullwidth(F.coalesce(inner, raw)))
 
 
 def clean_header(x: Column | str) -> Column:
@@ -75,8 +81,8 @@ def clean_header(x: Column | str) -> Column:
     c = F.regexp_replace(_col(x), r"(?d)^.*[\r\n]+", "")
     c = F.regexp_replace(c, r"^\.\.\.[0-9]+$", "")
     c = collapse_blanks(F.translate(c, "Ｉ（）", "I()"))
-    wrapped = c.startswith("(") & c.endswith(")") & (_occurrences(c, "(") == 1)
-    return blank_to_null(F.when(wrapped, strip(F.substring(c, F.lit(2), F.length(c) - 2))).otherwise(c))
+    # Brackets around the whole text, and no other ones.
+    return strip_or_null(F.regexp_replace(c, r"^\(([^(]*)\)$", "$1"))
 
 
 def _occurrences(c: Column, char: str) -> Column:
@@ -85,10 +91,13 @@ def _occurrences(c: Column, char: str) -> Column:
 
 def normalize_name(x: Column | str, aliases: Mapping[str, str] | None = None) -> Column:
     """Condition name: blanks collapsed, broken brackets repaired, known spellings replaced."""
-    c = collapse_blanks(x)
-    c = strip(F.regexp_replace(c, BROKEN_BRACKETS, "$1"))
-    c = F.concat(c, F.repeat(F.lit(")"), F.greatest(_occurrences(c, "(") - _occurrences(c, ")"), F.lit(0))))
-    return alias_lookup(c, CONDITION_ALIASES if aliases is None else aliases)
+    known = CONDITION_ALIASES if aliases is None else aliases
+
+    def repaired(c: Column) -> Column:
+        missing = _occurrences(c, "(") - _occurrences(c, ")")
+        return alias_lookup(F.concat(c, F.repeat(F.lit(")"), F.greatest(missing, F.lit(0)))), known)
+
+    return let(strip(F.regexp_replace(collapse_blanks(x), BROKEN_BRACKETS, "$1")), repaired)
 
 
 def alias_lookup(x: Column | str, aliases: Mapping[str, str]) -> Column:

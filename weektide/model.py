@@ -71,15 +71,8 @@ def observation_schema(cols: Cols = COLS) -> T.StructType:
     )
 
 
-GRID_SCHEMA = T.StructType(
-    [
-        T.StructField("file", T.StringType()),
-        T.StructField("sheet", T.IntegerType()),
-        T.StructField("row_idx", T.IntegerType()),
-        T.StructField("cells", T.ArrayType(T.StringType())),
-        T.StructField("error", T.StringType()),
-    ]
-)
+# One row per report file: its rows as text cells, or the reason it could not be read.
+REPORT_SCHEMA = "file string, rows array<array<string>>, error string"
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values of the report format. Results depend on these literals.

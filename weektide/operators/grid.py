@@ -1,7 +1,8 @@
-"""Cell grids -> long observations, for the four report layouts.
+"""Report layouts -> long observations.
 
-Header work happens once per header row, inside arrays; data rows meet their header by a join on
-(file, sheet) or by a chunked carry-forward, and are exploded last.
+A weekly CSV is one row (file, rows): its header is resolved inside arrays and its data rows are
+exploded afterwards, so parsing needs one pass and no shuffle. A yearly workbook is a table of grid
+rows (file, sheet, row_idx, cells): header blocks are found by chunked windows.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from weektide.functions import calendar, numbers, text
 from weektide.model import COLS, CONFIRMED, SENTINEL, Cols
-from weektide.operators.ordered import CHUNK_ROWS, carry_forward, cell, with_next_row
+from weektide.operators import combine
+from weektide.operators.ordered import CHUNK_ROWS, carry_forward, cell, with_computed, with_next_row
 from weektide.sources import reports
 
 Aliases = Mapping[str, str] | None
@@ -38,30 +40,28 @@ def _tail(cells: Column | str) -> Column:
     return F.slice(c, F.lit(2), F.greatest(F.size(c) - 1, F.lit(0)))
 
 
-def sheet_sizes(grid: DataFrame) -> DataFrame:
-    """Rows per sheet; aggregated before the shuffle, so a long sheet costs one row per task."""
-    return grid.groupBy(*SHEET).agg((F.max("row_idx") + 1).alias("n_rows"))
-
-
 # -- workbook blocks ----------------------------------------------------------------------------
 
 
 def _is_category_row(cells: Column | str) -> Column:
-    low = F.transform(_tail(cells), lambda c: F.lower(text.clean_cell(c)))
-    has_total = F.exists(low, lambda c: c.contains("total"))
-    has_mark = F.exists(low, lambda c: c.rlike("|".join(CATEGORY_MARKS)))
-    return F.coalesce(has_total, F.lit(False)) & F.coalesce(has_mark, F.lit(False))
+    """A total and a category stand in the row. The cheap test on plain text rules out most rows."""
+    tail = _tail(cells)
+    plain = F.exists(tail, lambda c: F.lower(text.fold_fullwidth(c)).contains("total"))
+    has_total = F.exists(tail, lambda c: F.lower(text.clean_cell(c)).contains("total"))
+    has_mark = F.exists(tail, lambda c: F.lower(text.clean_cell(c)).rlike("|".join(CATEGORY_MARKS)))
+    no = F.lit(False)
+    return F.coalesce(plain, no) & F.coalesce(has_total, no) & F.coalesce(has_mark, no)
 
 
 def _has_names(cells: Column | str) -> Column:
     return F.exists(_tail(cells), lambda c: text.clean_cell(c).isNotNull())
 
 
-def fill_header(names: Column, categories: Column) -> Column:
+def fill_header(names: Column, categories: Column, aliases: Aliases = None) -> Column:
     """Merged two-row header -> one struct(name, category) per column.
 
     The last name is carried to the right; a repeated (name, category) keeps its first column only,
-    the others become null.
+    the others become null. Names are normalised last.
     """
     empty = F.array().cast("array<struct<name:string,category:string>>")
     pairs = F.zip_with(names, categories, lambda n, c: F.struct(n.alias("name"), c.alias("category")))
@@ -72,56 +72,61 @@ def fill_header(names: Column, categories: Column) -> Column:
             done,
             F.struct(
                 F.coalesce(text.clean_cell(pair["name"]), carried, F.lit("Unknown")).alias("name"),
-                text.classify_category(text.clean_cell(pair["category"])).alias("category"),
+                text.let(text.clean_cell(pair["category"]), text.classify_category).alias("category"),
             ),
         )
 
-    filled = F.aggregate(pairs, empty, step)
-    return F.transform(filled, lambda h, i: F.when(F.array_position(filled, h) == i + 1, h))
+    def first_only(filled: Column) -> Column:
+        def named(h: Column, i: Column) -> Column:
+            head = F.struct(text.normalize_name(h["name"], aliases).alias("name"), h["category"].alias("category"))
+            return F.when(F.array_position(filled, h) == i + 1, head)
+
+        return F.transform(filled, named)
+
+    return text.let(F.aggregate(pairs, empty, step), first_only)
 
 
-def find_blocks(grid: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Data rows of every header block, each with its header.
+def find_blocks(
+    grid: DataFrame,
+    aliases: Aliases = None,
+    min_rows: int = MIN_ROWS_WORKBOOK,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Data rows of every header block, each with its header; sheets under ``min_rows`` are skipped.
 
     A header row has a name after the area column and is followed by a category row. Rows before
     the first header, the category rows and the headers themselves are left out.
     Result: file, sheet, block (row number of the header), row_idx, cells, header.
+
+    One shuffle, by sheet and chunk: no operation here groups a whole sheet.
     """
-    g = with_next_row(_readable(grid), SHEET, "row_idx", "cells", "_next", chunk_rows)
-    is_header = _has_names("cells") & _is_category_row("_next")
+    marked = _readable(grid).withColumn("_cat", F.when(_is_category_row("cells"), _tail("cells")))
+    g = with_next_row(marked, SHEET, "row_idx", "_cat", "_next", chunk_rows).drop("_cat")
     head = F.when(
-        is_header,
+        F.col("_next").isNotNull() & _has_names("cells"),
         F.struct(
-            F.col("row_idx").alias("row"),
-            fill_header(_tail("cells"), _tail("_next")).alias("header"),
+            F.col("row_idx").alias("row"), fill_header(_tail("cells"), F.col("_next"), aliases).alias("header")
         ),
     )
     rows = carry_forward(g.withColumn("_head", head).drop("_next"), SHEET, "row_idx", "_head", "_block")
-    return rows.where(F.col("row_idx") >= F.col("_block.row") + 2).select(
+    # Only the first rows can belong to a short sheet, and their chunk tells how long it is.
+    long_enough = (F.col("row_idx") >= min_rows - 1) | (F.col("_last_in_chunk") >= min_rows - 1)
+    return rows.where((F.col("row_idx") >= F.col("_block.row") + 2) & long_enough).select(
         *SHEET, F.col("_block.row").alias("block"), "row_idx", "cells", F.col("_block.header").alias("header")
     )
 
 
-def block_cells(blocks: DataFrame, cols: Cols = COLS, aliases: Aliases = None) -> DataFrame:
+def block_cells(blocks: DataFrame, cols: Cols = COLS) -> DataFrame:
     """One row per data cell of the blocks: area, condition, category, raw text. Totals are dropped."""
-    heads = F.transform(
-        "header",
-        lambda h: F.struct(
-            text.normalize_name(h["name"], aliases).alias(cols.condition),
-            h["category"].alias(cols.category),
-        ),
-    )
-    area = text.clean_cell(cell("cells", 0))
     zipped = F.zip_with(
         "header",
         _tail("cells"),
         lambda h, v: F.struct(
-            h[cols.condition].alias(cols.condition), h[cols.category].alias(cols.category), v.alias("raw")
+            h["name"].alias(cols.condition), h["category"].alias(cols.category), v.alias("raw")
         ),
     )
     return (
-        blocks.withColumn("header", heads)
-        .withColumn(cols.area, area)
+        with_computed(blocks, {cols.area: text.clean_cell(cell("cells", 0))})
         .where(F.col(cols.area).isNotNull() & ~text.is_total_row(cols.area, "contains"))
         .select(*SHEET, "block", cols.area, F.inline(zipped))
         .where(F.col(cols.category).isNotNull())
@@ -136,16 +141,10 @@ def workbook_to_long(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Yearly workbook (one sheet per week) -> long confirmed cases."""
-    g = (
-        _readable(grid)
-        .withColumn(cols.year, reports.year_from_name("file"))
-        .withColumn(cols.week, reports.sheet_week(cols.year, "sheet"))
-        .where(F.col(cols.week).isNotNull())
-    )
-    big_enough = sheet_sizes(g).where(F.col("n_rows") >= MIN_ROWS_WORKBOOK).select(*SHEET)
-    blocks = find_blocks(g.select(*SHEET, "row_idx", "cells").join(big_enough, SHEET, "left_semi"), chunk_rows)
-    cells = block_cells(blocks, cols, aliases)
     year = reports.year_from_name("file")
+    week = reports.sheet_week(year, "sheet")
+    weeks = _readable(grid).where(week.isNotNull()).select(*SHEET, "row_idx", "cells")
+    cells = block_cells(find_blocks(weeks, aliases, chunk_rows=chunk_rows), cols)
     return (
         cells.withColumn(cols.year, year)
         .withColumn(cols.week, reports.sheet_week(cols.year, "sheet"))
@@ -165,50 +164,74 @@ def workbook_to_long(
 # -- weekly CSV -------------------------------------------------------------------------------
 
 
-def bullet_to_long(
-    grid: DataFrame,
-    cols: Cols = COLS,
-    aliases: Aliases = None,
-    year: int | None = None,
-    anchor: str = "monday",
-) -> DataFrame:
-    """Weekly CSV of one value column per condition -> long confirmed cases.
+def _report_row(index: int) -> Column:
+    return F.try_element_at("rows", F.lit(index + 1))
+
 
-    Columns without a header are the cumulative ones and are left out, as are total rows.
+def _data_rows(first: Column) -> Column:
+    """Rows from a 0-based position on."""
+    return F.slice("rows", (first + 1).cast("int"), F.greatest(F.size("rows") - first, F.lit(0)).cast("int"))
+
+
+def bullet_headers(reports_df: DataFrame, aliases: Aliases = None, year: int | None = None) -> DataFrame:
+    """Add period, value columns and ``reason`` (why the report is unusable) to weekly CSV reports.
+
+    Columns without a header are the cumulative ones and are left out.
     """
-    g = _readable(grid)
     positions = F.transform(
-        _tail("cells"), lambda c, i: F.struct((i + 1).alias("pos"), text.clean_header(c).alias("label"))
+        _tail(_report_row(BULLET_HEADER_ROW)),
+        lambda c, i: F.struct((i + 1).alias("pos"), text.clean_header(c).alias("label")),
     )
     named = F.filter(positions, lambda h: h["label"].isNotNull())
     heads = F.transform(
-        named,
-        lambda h: F.struct(h["pos"].alias("pos"), text.normalize_name(h["label"], aliases).alias(cols.condition)),
-    )
-    header = g.where(F.col("row_idx") == BULLET_HEADER_ROW).select(*SHEET, heads.alias("heads"))
-    rows = (
-        g.where(F.col("row_idx") >= BULLET_FIRST_ROW)
-        .withColumn(cols.area, text.strip(cell("cells", 0)))
-        .where((F.col(cols.area) != "") & ~text.is_total_row(cols.area, "prefix"))
-        .select(*SHEET, cols.area, "cells")
+        named, lambda h: F.struct(h["pos"].alias("pos"), text.normalize_name(h["label"], aliases).alias("label"))
     )
     file_year = F.lit(year).cast("int") if year is not None else reports.year_from_name("file")
-    picked = F.transform(
-        "heads",
-        lambda h: F.struct(h[cols.condition].alias(cols.condition), cell("cells", h["pos"]).alias("raw")),
+    no_heads = F.array().cast("array<struct<pos:int,label:string>>")
+    return (
+        with_computed(
+            reports_df,
+            {
+                "year": file_year,
+                "week": reports.week_from_name("file"),
+                "heads": F.coalesce(heads, no_heads),
+            },
+        )
+        .withColumn("first_row", F.lit(BULLET_FIRST_ROW))
+        .withColumn(
+            "reason",
+            F.when(F.col("error").isNotNull(), F.col("error"))
+            .when(F.size("rows") <= BULLET_FIRST_ROW, "too few rows")
+            .when(F.col("year").isNull() | F.col("week").isNull(), "unknown period")
+            .when(F.size("heads") == 0, "no condition columns"),
+        )
+    )
+
+
+def bullet_to_long(
+    reports_df: DataFrame,
+    cols: Cols = COLS,
+    aliases: Aliases = None,
+    year: int | None = None,
+    anchor: str = "monday",
+) -> DataFrame:
+    """Weekly CSV of one value column per condition -> long confirmed cases, without total rows."""
+    usable = bullet_headers(reports_df, aliases, year).where(F.col("reason").isNull())
+    rows = usable.select("year", "week", "heads", F.explode(_data_rows(F.col("first_row"))).alias("cells"))
+    values = F.transform(
+        "heads", lambda h: F.struct(h["label"].alias("label"), cell("cells", h["pos"]).alias("raw"))
     )
     return (
-        rows.join(header, SHEET)
-        .select("file", cols.area, F.inline(picked))
-        .withColumn(cols.year, file_year)
-        .withColumn(cols.week, reports.week_from_name("file"))
+        rows.withColumn("_area", text.strip(cell("cells", 0)))
+        .where((F.col("_area") != "") & ~text.is_total_row("_area", "prefix"))
+        .select("_area", "year", "week", F.inline(values))
         .select(
-            cols.area,
-            cols.condition,
+            F.col("_area").alias(cols.area),
+            F.col("label").alias(cols.condition),
             numbers.parse_count("raw").alias(cols.count),
-            cols.year,
-            cols.week,
-            calendar.week_date(cols.year, cols.week, anchor).alias(cols.date),
+            F.col("year").alias(cols.year),
+            F.col("week").alias(cols.week),
+            calendar.week_date("year", "week", anchor).alias(cols.date),
             F.lit(CONFIRMED).alias(cols.source),
         )
     )
@@ -223,7 +246,7 @@ def _english_heads(names: Column | str, aliases: Aliases) -> Column:
         lambda i: F.struct(
             i.alias("count_pos"),
             F.when(i + 1 < n, i + 1).alias("rate_pos"),
-            text.blank_to_null(text.normalize_name(cell(names, i), aliases)).alias("label"),
+            text.normalize_name(text.strip_or_null(cell(names, i)), aliases).alias("label"),
         ),
     )
     return F.filter(heads, lambda h: h["label"].isNotNull())
@@ -245,52 +268,60 @@ def _japanese_heads(names: Column | str, kinds: Column | str, aliases: Aliases)
     return F.filter(heads, lambda h: h["label"].isNotNull())
 
 
-def sentinel_headers(grid: DataFrame, aliases: Aliases = None, year: int | None = None) -> DataFrame:
-    """One row per file: layout, first data row, period, value columns, and why it is unusable.
+def sentinel_headers(reports_df: DataFrame, aliases: Aliases = None, year: int | None = None) -> DataFrame:
+    """Add layout, period, value columns and ``reason`` (why the report is unusable).
 
     A file with a metric row is English, any other Japanese. The header line wins over the file
     name for the period of English files.
     """
-    g = _readable(grid)
-    is_metric = F.exists("cells", lambda c: F.lower(text.strip(c)).contains(METRIC_MARK))
-    info = g.groupBy(*SHEET).agg(
-        (F.max("row_idx") + 1).alias("n_rows"),
-        F.min(F.when(is_metric, F.col("row_idx"))).alias("metric_row"),
-        F.max(F.when(F.col("row_idx") == 1, reports.header_text("cells"))).alias("headline"),
-        F.max(F.when(F.col("row_idx") == JA_NAME_ROW, F.col("cells"))).alias("ja_names"),
-        F.max(F.when(F.col("row_idx") == JA_KIND_ROW, F.col("cells"))).alias("ja_kinds"),
+    is_metric = F.transform(
+        "rows",
+        lambda row: F.coalesce(F.exists(row, lambda c: F.lower(c).contains(METRIC_MARK)), F.lit(False)),
     )
-    metric = info.select(*SHEET, (F.col("metric_row") - 1).alias("row_idx"))
-    en_names = g.join(metric, [*SHEET, "row_idx"]).select(*SHEET, F.col("cells").alias("en_names"))
-
-    english = F.col("metric_row").isNotNull()
-    name_year, name_week = reports.year_from_name("file"), reports.week_from_name("file")
+    english = F.col("metric") > 0
     given = F.lit(year).cast("int")
-    en_year = F.coalesce(given, reports.year_from_header("headline"), name_year)
-    en_week = F.coalesce(reports.week_from_header("headline"), name_week)
-    heads = F.when(english, _english_heads("en_names", aliases)).otherwise(
-        _japanese_heads("ja_names", "ja_kinds", aliases)
+    name_year, name_week = reports.year_from_name("file"), reports.week_from_name("file")
+    en_year = F.coalesce(given, reports.year_from_header("_headline"), name_year)
+    en_week = F.coalesce(reports.week_from_header("_headline"), name_week)
+    above = F.try_element_at("rows", F.when(F.col("metric") > 1, (F.col("metric") - 1).cast("int")))
+    heads = F.when(english, _english_heads("_names", aliases)).otherwise(
+        _japanese_heads("_names", "_kinds", aliases)
     )
-    out = info.join(en_names, SHEET, "left").select(
-        *SHEET,
-        "n_rows",
-        F.when(english, "english").otherwise("japanese").alias("layout"),
-        F.when(english, F.col("metric_row") + 1).otherwise(F.lit(JA_FIRST_ROW)).alias("first_row"),
-        F.when(english, en_year).otherwise(F.coalesce(given, name_year)).alias("year"),
-        F.when(english, en_week).otherwise(name_week).alias("week"),
-        F.coalesce(heads, F.array().cast("array<struct<count_pos:int,rate_pos:int,label:string>>")).alias("heads"),
+    no_heads = F.array().cast("array<struct<count_pos:int,rate_pos:int,label:string>>")
+    smallest = F.when(english, MIN_ROWS_EN).otherwise(MIN_ROWS_JA)
+    found = with_computed(reports_df, {"metric": F.array_position(is_metric, F.lit(True))})
+    parts = with_computed(
+        found,
+        {
+            "layout": F.when(english, "english").otherwise("japanese"),
+            "first_row": F.when(english, F.col("metric")).otherwise(F.lit(JA_FIRST_ROW)),
+            "_headline": reports.header_text(_report_row(1)),
+            "_names": F.when(english, above).otherwise(_report_row(JA_NAME_ROW)),
+            "_kinds": _report_row(JA_KIND_ROW),
+        },
     )
-    smallest = F.when(F.col("layout") == "english", MIN_ROWS_EN).otherwise(MIN_ROWS_JA)
-    return out.withColumn(
-        "reason",
-        F.when(F.col("n_rows") < smallest, "too few rows")
-        .when(F.col("year").isNull() | F.col("week").isNull(), "unknown period")
-        .when(F.size("heads") == 0, "no condition columns"),
+    return (
+        with_computed(
+            parts,
+            {
+                "year": F.when(english, en_year).otherwise(F.coalesce(given, name_year)),
+                "week": F.when(english, en_week).otherwise(name_week),
+                "heads": F.coalesce(heads, no_heads),
+            },
+        )
+        .withColumn(
+            "reason",
+            F.when(F.col("error").isNotNull(), F.col("error"))
+            .when(F.size("rows") < smallest, "too few rows")
+            .when(F.col("year").isNull() | F.col("week").isNull(), "unknown period")
+            .when(F.size("heads") == 0, "no condition columns"),
+        )
+        .drop("metric", "_headline", "_names", "_kinds")
     )
 
 
 def sentinel_to_long(
-    grid: DataFrame,
+    reports_df: DataFrame,
     cols: Cols = COLS,
     aliases: Aliases = None,
     year: int | None = None,
@@ -299,11 +330,14 @@ def sentinel_to_long(
     anchor: str = "sunday",
 ) -> DataFrame:
     """Weekly CSV of (count, rate) column pairs -> long sentinel reports, English or Japanese per file."""
-    header = sentinel_headers(grid, aliases, year).where(F.col("reason").isNull())
+    usable = sentinel_headers(reports_df, aliases, year).where(F.col("reason").isNull())
     if layout is not None:
-        header = header.where(F.col("layout") == layout)
+        usable = usable.where(F.col("layout") == layout)
     if weeks is not None:
-        header = header.where(F.col("week").isin([int(w) for w in weeks]))
+        usable = usable.where(F.col("week").isin([int(w) for w in weeks]))
+    rows = usable.select(
+        "layout", "year", "week", "heads", F.explode(_data_rows(F.col("first_row"))).alias("cells")
+    )
     english = F.col("layout") == "english"
     area = F.when(english, text.strip(cell("cells", 0))).otherwise(text.clean_cell(cell("cells", 0)))
     is_total = F.when(english, text.is_total_row("_area", "prefix")).otherwise(
@@ -319,10 +353,7 @@ def sentinel_to_long(
     )
     ja_count = F.coalesce(numbers.parse_dashed("count_raw").try_cast("bigint").cast("double"), F.lit(0.0))
     return (
-        _readable(grid)
-        .join(header.drop("n_rows", "reason"), SHEET)
-        .where(F.col("row_idx") >= F.col("first_row"))
-        .withColumn("_area", area)
+        rows.withColumn("_area", area)
         .where((F.col("_area") != "") & ~is_total)
         .select("_area", "layout", "year", "week", F.inline(pairs))
         .select(
@@ -340,19 +371,12 @@ def sentinel_to_long(
     )
 
 
-def quarantine(grid: DataFrame) -> DataFrame:
-    """Files that give no observation, with the reason; nothing is skipped silently."""
-    broken = grid.where(F.col("error").isNotNull()).select("file", F.col("error").alias("reason"))
-    good = _readable(grid).withColumn("_layout", reports.layout_of("file"))
-    sentinel = sentinel_headers(good.where("_layout = 'sentinel'")).select("file", "reason")
-    bullet = (
-        sheet_sizes(good.where("_layout = 'bullet'"))
-        .select(
-            "file",
-            F.when(F.col("n_rows") <= BULLET_FIRST_ROW, "too few rows")
-            .when(reports.year_from_name("file").isNull() | reports.week_from_name("file").isNull(), "unknown period")
-            .alias("reason"),
-        )
-    )
-    unknown = good.where("_layout IS NULL").select("file", F.lit("unknown layout").alias("reason")).distinct()
-    return broken.unionByName(sentinel).unionByName(bullet).unionByName(unknown).where("reason IS NOT NULL")
+def quarantine(reports_df: DataFrame) -> DataFrame:
+    """(file, reason) of reports that give no observation; nothing is skipped silently."""
+    layout = reports.layout_of("file")
+    parts = [
+        sentinel_headers(reports_df.where(layout == "sentinel")).select("file", "reason"),
+        bullet_headers(reports_df.where(layout == "bullet")).select("file", "reason"),
+        reports_df.where(layout.isNull()).select("file", F.lit("unknown layout").alias("reason")),
+    ]
+    return combine.union_strict(*parts).where(F.col("reason").isNotNull())

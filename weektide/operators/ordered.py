@@ -20,7 +20,8 @@ def with_next_row(
     """Add the value ``column`` has in row ``order + 1`` of the group; null when there is no such row.
 
     The first row of a chunk also goes to the chunk before it, so one shuffle answers all rows.
-    Adds the column ``_chunk``; the result is partitioned by group and chunk.
+    Adds ``_chunk`` and ``_last_in_chunk`` (the highest row number of the chunk); the result is
+    partitioned by group and chunk.
     """
     own = F.floor(F.col(order) / chunk_rows).cast("int")
     is_border = (F.col(order) % chunk_rows == 0) & (F.col(order) > 0)
@@ -28,7 +29,11 @@ def with_next_row(
     spread = df.select("*", F.explode(chunks).alias(_CHUNK))
     w = Window.partitionBy(*group, _CHUNK).orderBy(order)
     follows = F.lead(order).over(w) == F.col(order) + 1
-    return spread.withColumn(out, F.when(follows, F.lead(column).over(w))).where(F.col(_CHUNK) == own)
+    return (
+        spread.withColumn(out, F.when(follows, F.lead(column).over(w)))
+        .withColumn("_last_in_chunk", F.max(order).over(Window.partitionBy(*group, _CHUNK)))
+        .where(F.col(_CHUNK) == own)
+    )
 
 
 def carry_forward(df: DataFrame, group: list[str], order: str, column: str, out: str) -> DataFrame:
@@ -56,6 +61,16 @@ def carry_forward(df: DataFrame, group: list[str], order: str, column: str, out:
     )
 
 
+def with_computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated exactly once per row.
+
+    A plain projection is merged into every filter and projection that uses it; the one-element
+    ``inline`` keeps costly array work in one place.
+    """
+    fields = [column.alias(name) for name, column in columns.items()]
+    return df.select("*", F.inline(F.array(F.struct(*fields))))
+
+
 def cell(cells: Column | str, position: Column | int) -> Column:
     """Cell at a 0-based position; null when the row is shorter."""
     at = F.lit(position) if isinstance(position, int) else position

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -73,21 +74,23 @@ def split_headers(df: DataFrame, value: str | None = None, cols: Cols = COLS) ->
 
     A table without such columns is returned as it is.
     """
-    import re
-
     value = value or cols.count
     headers = [c for c in df.columns if SEPARATOR in c and not re.search(r"_[0-9]+$", c)]
     if not headers:
         return df
     ids = [c for c in df.columns if c in cols.period]
-    flat = unpivot_wide(df, value, headers, ids, "_header", cols)
-    parts = F.split("_header", r"\|\|")
-    return flat.select(
-        *ids,
-        value,
-        text.normalize_name(parts[0]).alias(cols.condition),
-        parts[1].alias(cols.category),
-    )
+    cells = []
+    for header in headers:
+        name, category = header.split(SEPARATOR)[:2]
+        cells.append(
+            F.struct(
+                F.col(f"`{header}`").alias(value),
+                # A literal: folded while planning, not computed per row.
+                text.normalize_name(F.lit(name)).alias(cols.condition),
+                F.lit(category).alias(cols.category),
+            )
+        )
+    return df.select(*ids, F.inline(F.array(*cells)))
 
 
 def unpivot_pairs(

@@ -1,7 +1,8 @@
-"""Report-shaped cell grids derived from the order tables, to run the parsers at any scale.
+"""Reports derived from the order tables, to run the parsers at any scale.
 
 Orders stand for cases: area = nation of the customer, period = ISO week of the order date,
-condition = priority, category = status. One report per week (or one sheet per week).
+condition = priority, category = status. One weekly report, or one workbook sheet, per week; a
+weekly report has one data row per nation.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 SECOND_BLOCK_ROW = 60
 
 
-def _row(index: int, cells: Sequence[str | Column | None]) -> Column:
-    values = [c if isinstance(c, Column) else F.lit(c) for c in cells]
-    return F.struct(
-        F.lit(index).alias("row_idx"), F.array(*[v.cast("string") for v in values]).alias("cells")
-    )
+def _cells(values: Sequence[str | Column | None]) -> Column:
+    return F.array(*[(v if isinstance(v, Column) else F.lit(v)).cast("string") for v in values])
+
+
+def _row(index: int, values: Sequence[str | Column | None]) -> Column:
+    return F.struct(F.lit(index).alias("row_idx"), _cells(values).alias("cells"))
 
 
 def _grid(headers: DataFrame, data: DataFrame) -> DataFrame:
@@ -29,91 +31,74 @@ def _grid(headers: DataFrame, data: DataFrame) -> DataFrame:
 
 
 def _week_file(head: str, tail: str) -> Column:
-    return F.concat(F.lit(head), F.col("year"), F.lit(tail), F.lpad(F.col("week").cast("string"), 2, "0"))
+    week = F.lpad(F.col("week").cast("string"), 2, "0")
+    return F.concat(F.lit(head), F.col("year"), F.lit(tail), week)
 
 
-def _cells_by_priority(obs: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _reports(obs: DataFrame, file: Column, header: Sequence[Column], data: Column) -> DataFrame:
+    """One row per week: header rows, then the rows of the nations in the order of their numbers."""
     sums = [F.sum(F.when(F.col("cond") == p, F.col("cnt"))).alias(p) for p in PRIORITIES]
-    return obs.groupBy(*keys).agg(*sums)
-
-
-def bullet_grid(obs: DataFrame) -> DataFrame:
-    """One file per week: a value and an unnamed cumulative column per priority."""
-    file = F.concat(_week_file("reports/", "/zensu"), F.lit(".csv")).alias("file")
-    names = [c for p in PRIORITIES for c in (p, "")]
-    kinds = [c for _ in PRIORITIES for c in ("Current week", "Cum")]
-    head = F.inline(
-        F.array(
-            _row(0, ["Table 1"]),
-            _row(1, ["weekly report"]),
-            _row(2, [""]),
-            _row(3, ["Prefecture", *names]),
-            _row(4, ["", *kinds]),
-            _row(5, ["Total No.", *["9"] * len(names)]),
+    wide = obs.groupBy("year", "week", "area", "nationkey").agg(*sums)
+    rows = F.sort_array(F.collect_list(F.struct(F.col("nationkey"), data.alias("cells"))))
+    return (
+        wide.groupBy("year", "week")
+        .agg(rows.alias("data"))
+        .select(
+            file.alias("file"),
+            F.concat(F.array(*header), F.col("data.cells")).alias("rows"),
+            F.lit(None).cast("string").alias("error"),
         )
     )
-    periods = obs.select("year", "week").distinct()
-    wide = _cells_by_priority(obs, ["year", "week", "area", "nationkey"])
-    cells = F.array(
-        F.col("area"),
-        *[c for p in PRIORITIES for c in (F.col(f"`{p}`").cast("string"), F.lit("99"))],
-    )
-    return _grid(
-        periods.select(file, F.lit(0).alias("sheet"), head),
-        wide.select(file, F.lit(0).alias("sheet"), (F.col("nationkey") + 6).alias("row_idx"), cells.alias("cells")),
-    )
 
 
-def english_grid(obs: DataFrame) -> DataFrame:
-    """One file per week with (count, rate) pairs; counts carry thousands commas, gaps are dashes."""
-    file = F.concat(_week_file("reports/", "/teitenrui"), F.lit(".csv")).alias("file")
-    week_line = F.format_string("%dth week, %d", "week", "year")
-    head = F.inline(
-        F.array(
-            _row(0, ["No. of cases, cases per sentinel"]),
-            _row(1, [week_line, "", "Created on time"]),
-            _row(2, ["", *[c for p in PRIORITIES for c in (p, "")]]),
-            _row(3, ["", *[c for _ in PRIORITIES for c in ("Current week", "per sentinel")]]),
-            _row(4, ["Total No.", *["9"] * (2 * len(PRIORITIES))]),
-        )
-    )
-    wide = _cells_by_priority(obs, ["year", "week", "area", "nationkey"])
+def bullet_reports(obs: DataFrame) -> DataFrame:
+    """A value and an unnamed cumulative column per priority."""
+    header = [
+        _cells(["Table 1"]),
+        _cells(["weekly report"]),
+        _cells([""]),
+        _cells(["Prefecture", *[c for p in PRIORITIES for c in (p, "")]]),
+        _cells(["", *[c for _ in PRIORITIES for c in ("Current week", "Cum")]]),
+        _cells(["Total No.", *["9"] * (2 * len(PRIORITIES))]),
+    ]
+    data = _cells([F.col("area"), *[c for p in PRIORITIES for c in (F.col(f"`{p}`"), "99")]])
+    return _reports(obs, F.concat(_week_file("reports/", "/zensu"), F.lit(".csv")), header, data)
+
+
+def english_reports(obs: DataFrame) -> DataFrame:
+    """(count, rate) pairs; counts carry thousands commas, missing ones are dashes."""
+    header = [
+        _cells(["No. of cases, cases per sentinel"]),
+        _cells([F.format_string("%dth week, %d", "week", "year"), "", "Created on time"]),
+        _cells(["", *[c for p in PRIORITIES for c in (p, "")]]),
+        _cells(["", *[c for _ in PRIORITIES for c in ("Current week", "per sentinel")]]),
+        _cells(["Total No.", *["9"] * (2 * len(PRIORITIES))]),
+    ]
 
     def pair(p: str) -> list[Column]:
         c = F.col(f"`{p}`")
-        count = F.coalesce(F.format_number(c * 1000, 0), F.lit("-"))
-        return [count, F.coalesce((c * 2).cast("string"), F.lit(""))]
-
-    cells = F.array(F.col("area"), *[c for p in PRIORITIES for c in pair(p)])
-    return _grid(
-        obs.select("year", "week").distinct().select(file, F.lit(0).alias("sheet"), head),
-        wide.select(file, F.lit(0).alias("sheet"), (F.col("nationkey") + 5).alias("row_idx"), cells.alias("cells")),
-    )
-
-
-def japanese_grid(obs: DataFrame) -> DataFrame:
-    """One file per week in the Japanese layout: bilingual names, dashes for no value."""
-    file = F.concat(_week_file("reports/", "-"), F.lit("-teiten.csv")).alias("file")
-    head = F.inline(
-        F.array(
-            _row(0, ["報告数・定点当り報告数"]),
-            _row(1, ["週報"]),
-            _row(2, ["", *[c for p in PRIORITIES for c in (f"区分（{p}）", "")]]),
-            _row(3, ["", *[c for _ in PRIORITIES for c in ("報告", "定当")]]),
-            _row(4, ["総数", *["9"] * (2 * len(PRIORITIES))]),
-        )
-    )
-    wide = _cells_by_priority(obs, ["year", "week", "area", "nationkey"])
-
-    def pair(p: str) -> list[Column]:
-        c = F.col(f"`{p}`").cast("string")
-        return [F.coalesce(c, F.lit("-")), F.coalesce(c, F.lit("-"))]
+        return [
+            F.coalesce(F.format_number(c * 1000, 0), F.lit("-")),
+            F.coalesce((c * 2).cast("string"), F.lit("")),
+        ]
 
-    cells = F.array(F.concat(F.lit("県 ("), F.col("area"), F.lit(")")), *[c for p in PRIORITIES for c in pair(p)])
-    return _grid(
-        obs.select("year", "week").distinct().select(file, F.lit(0).alias("sheet"), head),
-        wide.select(file, F.lit(0).alias("sheet"), (F.col("nationkey") + 5).alias("row_idx"), cells.alias("cells")),
-    )
+    data = _cells([F.col("area"), *[c for p in PRIORITIES for c in pair(p)]])
+    return _reports(obs, F.concat(_week_file("reports/", "/teitenrui"), F.lit(".csv")), header, data)
+
+
+def japanese_reports(obs: DataFrame) -> DataFrame:
+    """The Japanese layout: bilingual names, dashes for no value."""
+    header = [
+        _cells(["報告数・定点当り報告数"]),
+        _cells(["週報"]),
+        _cells(["", *[c for p in PRIORITIES for c in (f"区分（{p}）", "")]]),
+        _cells(["", *[c for _ in PRIORITIES for c in ("報告", "定当")]]),
+        _cells(["総数", *["9"] * (2 * len(PRIORITIES))]),
+    ]
+    counts = [F.coalesce(F.col(f"`{p}`").cast("string"), F.lit("-")) for p in PRIORITIES]
+    area = F.concat(F.lit("県 ("), F.col("area"), F.lit(")"))
+    data = _cells([area, *[c for count in counts for c in (count, count)]])
+    return _reports(obs, F.concat(_week_file("reports/", "-"), F.lit("-teiten.csv")), header, data)
 
 
 def workbook_grid(obs: DataFrame) -> DataFrame:

@@ -1116,31 +1116,31 @@ _JA_ROWS = f"""SELECT area, cond, year, week, CAST({_monday("year", "week")} + 6
   'Confirmed cases' AS source FROM g""",
 )
 def _(spark, folder):
-    return grid.bullet_to_long(report_grids.bullet_grid(grid_obs(spark, folder)), COLS)
+    return grid.bullet_to_long(report_grids.bullet_reports(grid_obs(spark, folder)), COLS)
 
 
 @query("sentinel_english", f"{_GRID_ROWS} {_EN_ROWS}")
 def _(spark, folder):
-    return grid.sentinel_to_long(report_grids.english_grid(grid_obs(spark, folder)), COLS)
+    return grid.sentinel_to_long(report_grids.english_reports(grid_obs(spark, folder)), COLS)
 
 
 @query("sentinel_japanese", f"{_GRID_ROWS} {_JA_ROWS}")
 def _(spark, folder):
-    return grid.sentinel_to_long(report_grids.japanese_grid(grid_obs(spark, folder)), COLS)
+    return grid.sentinel_to_long(report_grids.japanese_reports(grid_obs(spark, folder)), COLS)
 
 
 @query("sentinel_auto", f"{_GRID_ROWS} {_EN_ROWS} WHERE week % 2 = 0 UNION ALL {_JA_ROWS} WHERE week % 2 = 1")
 def _(spark, folder):
     obs = grid_obs(spark, folder)
-    mixed = report_grids.english_grid(obs.where("week % 2 = 0")).unionByName(
-        report_grids.japanese_grid(obs.where("week % 2 = 1"))
+    mixed = report_grids.english_reports(obs.where("week % 2 = 0")).unionByName(
+        report_grids.japanese_reports(obs.where("week % 2 = 1"))
     )
     return grid.sentinel_to_long(mixed, COLS)
 
 
 @query("week_subset", f"{_GRID_ROWS} {_EN_ROWS} WHERE week IN (1, 7, 52)")
 def _(spark, folder):
-    return grid.sentinel_to_long(report_grids.english_grid(grid_obs(spark, folder)), COLS, weeks=[1, 7, 52])
+    return grid.sentinel_to_long(report_grids.english_reports(grid_obs(spark, folder)), COLS, weeks=[1, 7, 52])
 
 
 _BOOK_ROWS = f"""WITH {_CASES}, o AS (SELECT * FROM cases WHERE (year <> 1999 AND week <= 52) OR (year = 1999 AND week BETWEEN 14 AND 52)),
@@ -1206,20 +1206,21 @@ UNION ALL SELECT 'reports/' || year || '/teitenrui' || lpad(CAST(week AS STRING)
 FROM f WHERE week % 10 = 2""",
 )
 def _(spark, folder):
-    g = report_grids.english_grid(grid_obs(spark, folder))
-    week = reports.week_from_name("file")
-    short = (week % 10 != 0) | (F.col("row_idx") < 5)
-    broken = g.where(week % 10 == 1)
-    unreadable = broken.select(
-        "file",
-        "sheet",
-        F.lit(None).cast("int").alias("row_idx"),
-        F.lit(None).cast("array<string>").alias("cells"),
-        F.lit("undecodable text").alias("error"),
-    ).distinct()
-    unnamed = F.when((week % 10 == 2) & (F.col("row_idx") == 2), F.transform("cells", lambda c: F.lit("")))
-    usual = g.where((week % 10 != 1) & short).withColumn("cells", F.coalesce(unnamed, "cells"))
-    return grid.quarantine(usual.unionByName(unreadable))
+    sent = report_grids.english_reports(grid_obs(spark, folder))
+    week = reports.week_from_name("file") % 10
+    unnamed = F.concat(
+        F.slice("rows", 1, 2),
+        F.array(F.array(F.lit(""))),
+        F.slice("rows", F.lit(4), F.size("rows") - 3),
+    )
+    rows = (
+        F.when(week == 0, F.slice("rows", 1, 5))
+        .when(week == 2, unnamed)
+        .when(week != 1, F.col("rows"))
+    )
+    return grid.quarantine(
+        sent.select("file", rows.alias("rows"), F.when(week == 1, "undecodable text").alias("error"))
+    )
 
 
 # -- quality ------------------------------------------------------------------------------------
@@ -1285,7 +1286,7 @@ def _(spark, folder):
     for flag in flags:
         part = base.where(F.col("l_returnflag") == flag)
         edited = part.withColumn("l_tax", F.when(F.col("l_linenumber") == 1, F.col("l_tax") + 1).otherwise(F.col("l_tax")))
-        plain = snapshot.fingerprint(part).scalar_pair() if False else snapshot.fingerprint(part)
+        plain = snapshot.fingerprint(part)
         again = snapshot.fingerprint(part.select(*reversed(part.columns))).select(F.col("digest").alias("d2"))
         other = snapshot.fingerprint(edited).select(F.col("digest").alias("d3"))
         row = plain.select(

@@ -1,4 +1,4 @@
-"""Raw report files -> cell grid, and what their names and headers say about layout and period.
+"""Raw report files -> rows of cells, and what their names and headers say about layout and period.
 
 The only Python that runs on executors is here: decoding a file and splitting it into cells.
 """
@@ -15,8 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weektide.functions.text import blank_to_null, strip
-from weektide.model import FIRST_WORKBOOK_YEAR, GRID_SCHEMA, LONG_WORKBOOK_YEARS
+from weektide.functions.text import strip
+from weektide.model import FIRST_WORKBOOK_YEAR, LONG_WORKBOOK_YEARS, REPORT_SCHEMA
 
 # Fixed patterns of file names and of the header line.
 YEAR_IN_NAME = r"((?:19|20)\d{2})"
@@ -32,67 +32,51 @@ WORKBOOK_NAMES = {
 }
 ENCODINGS = ("utf-8", "cp932")
 
-_ROWS_PER_BATCH = 5000
+_FILES_PER_BATCH = 64
 
 
-def _decode(content: bytes, encodings: Iterable[str]) -> tuple[str | None, str | None]:
+def _parse(content: bytes, encodings: Iterable[str]) -> tuple[list[list[str]] | None, str | None]:
+    """Rows of one file, or the reason there are none."""
     for encoding in encodings:
         try:
-            return content.decode(encoding), None
+            decoded = content.decode(encoding)
         except UnicodeDecodeError:
             continue
+        try:
+            rows = list(csv.reader(io.StringIO(decoded, newline="")))
+        except csv.Error as problem:
+            return None, f"bad csv: {problem}"
+        return (rows, None) if rows else (None, "empty file")
     return None, "undecodable text"
 
 
-def _file_rows(path: str, content: bytes, encodings: Iterable[str]) -> Iterator[tuple]:
-    text, error = _decode(content, encodings)
-    if text is None:
-        yield (path, 0, None, None, error)
-        return
-    empty = True
-    try:
-        for i, cells in enumerate(csv.reader(io.StringIO(text, newline=""))):
-            empty = False
-            yield (path, 0, i, cells, None)
-    except csv.Error as problem:
-        yield (path, 0, None, None, f"bad csv: {problem}")
-        return
-    if empty:
-        yield (path, 0, None, None, "empty file")
-
-
-def _to_grid(encodings: tuple[str, ...]):
-    names = GRID_SCHEMA.names
+def split_files(encodings: Iterable[str] = ENCODINGS):
+    """Batch function for ``mapInPandas``: (path, content) -> (file, rows, error)."""
+    encodings = tuple(encodings)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                for row in _file_rows(path, content, encodings):
-                    rows.append(row)
-                    if len(rows) >= _ROWS_PER_BATCH:
-                        yield _frame(rows, names)
-                        rows = []
-        if rows:
-            yield _frame(rows, names)
+            for start in range(0, len(batch), _FILES_PER_BATCH):
+                part = batch.iloc[start : start + _FILES_PER_BATCH]
+                parsed = [_parse(content, encodings) for content in part["content"]]
+                yield pd.DataFrame(
+                    {
+                        "file": part["path"].to_numpy(),
+                        "rows": [rows for rows, _ in parsed],
+                        "error": [error for _, error in parsed],
+                    }
+                )
 
     return split
 
 
-def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=names)
-    frame["row_idx"] = frame["row_idx"].astype("Int32")
-    frame["sheet"] = frame["sheet"].astype("int32")
-    return frame
-
-
-def read_grid(
+def read_reports(
     spark: SparkSession,
     path: str | list[str],
     weeks: Iterable[int] | None = None,
-    encodings: tuple[str, ...] = ENCODINGS,
+    encodings: Iterable[str] = ENCODINGS,
 ) -> DataFrame:
-    """CSV reports -> ``grid(file, sheet, row_idx, cells, error)``, one file per unit of work.
+    """CSV reports -> ``(file, rows, error)``, one row per file; files are the unit of parallel work.
 
     A file that cannot be read gives one row with ``error`` set instead of failing the job.
     ``weeks`` prunes the listing by file name first, then exactly.
@@ -106,11 +90,19 @@ def read_grid(
     files = reader.load(path).select("path", "content")
     if weeks is not None:
         files = files.where(week_from_name("path").isin(weeks))
-    return files.mapInPandas(_to_grid(tuple(encodings)), GRID_SCHEMA)
+    return files.mapInPandas(split_files(encodings), REPORT_SCHEMA)
+
+
+def as_grid(reports: DataFrame) -> DataFrame:
+    """Reports -> ``grid(file, sheet, row_idx, cells)``, one row per report row."""
+    return reports.where("error IS NULL").select(
+        "file", F.lit(0).alias("sheet"), F.posexplode("rows").alias("row_idx", "cells")
+    )
 
 
 def _found(text: Column, pattern: str, group: int = 1) -> Column:
-    return blank_to_null(F.regexp_extract(text, pattern, group))
+    """First match of the pattern; null when there is none."""
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(1))
 
 
 def file_name(path: Column | str) -> Column:

@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from weektide.model import COLS, GRID_SCHEMA, Cols
+from weektide.model import COLS, REPORT_SCHEMA, Cols
 from weektide.operators import combine, grid, quality, series, snapshot
 from weektide.operators.small import MAX_LITERALS, bounded_rows
 from weektide.sources import reports
 
 
-def stream_grid(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """New CSV files of the landing folder as a streaming cell grid."""
+def stream_reports(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """New CSV files of the landing folder as a stream of reports."""
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
@@ -30,7 +30,7 @@ def stream_grid(spark: SparkSession, folder: str, files_per_batch: int = 1000) -
         .load(folder)
         .select("path", "content")
     )
-    return files.mapInPandas(reports._to_grid(reports.ENCODINGS), GRID_SCHEMA)
+    return files.mapInPandas(reports.split_files(), REPORT_SCHEMA)
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
@@ -42,13 +42,13 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def apply_batch(cells: DataFrame, raw_path: str, table_path: str, cols: Cols = COLS) -> None:
+def apply_batch(arrived: DataFrame, raw_path: str, table_path: str, cols: Cols = COLS) -> None:
     """Fold one batch of sentinel reports into the raw table and rebuild the years it touches.
 
     A report that arrives again replaces the earlier one of the same key.
     """
-    spark = cells.sparkSession
-    new = grid.sentinel_to_long(cells, cols, anchor="monday").withColumn("arrival", F.lit(1))
+    spark = arrived.sparkSession
+    new = grid.sentinel_to_long(arrived, cols, anchor="monday").withColumn("arrival", F.lit(1))
     years = bounded_rows(new.select(cols.year).distinct(), MAX_LITERALS)
     if years is None:
         raise ValueError(f"One batch touches more than {MAX_LITERALS} years")
@@ -84,7 +84,7 @@ def start_refresh(
             on_batch(batch_id)
 
     return (
-        stream_grid(spark, folder)
+        stream_reports(spark, folder)
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
