@@ -46,7 +46,7 @@ def _parse(content: bytes, encodings: Iterable[str]) -> tuple[list[list[str]] |
             rows = list(csv.reader(io.StringIO(decoded, newline="")))
         except csv.Error as problem:
             return None, f"bad csv: {problem}"
-        return (rows, None) if rows else (None, "empty file")
+        return rows, None
     return None, "undecodable text"
 
 
@@ -78,8 +78,8 @@ def read_reports(
 ) -> DataFrame:
     """CSV reports -> ``(file, rows, error)``, one row per file; files are the unit of parallel work.
 
-    A file that cannot be read gives one row with ``error`` set instead of failing the job.
-    ``weeks`` prunes the listing by file name first, then exactly.
+    A file that cannot be read gives one row with ``error`` set instead of failing the job; files of
+    no bytes are left out by the file source itself. ``weeks`` prunes the listing by file name first, then exactly.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if weeks is None:
