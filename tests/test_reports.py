@@ -186,7 +186,7 @@ def test_periods_of_names(spark):
         "2026x/zensu11.csv": (None, 11),
         "a/teitenrui04.csv": (None, 4),
         "a/2025-04-teiten.csv": (2025, 4),
-        "a/Syu_01_1_1999.xlsx": (1999, None),
+        "a/Syu_01_1_1999.xlsx": (1999, 1),
     }
     df = spark.createDataFrame([(n,) for n in names], "path string")
     got = df.select("path", reports.year_from_name("path"), reports.week_from_name("path")).collect()
