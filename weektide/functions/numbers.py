@@ -20,7 +20,8 @@ def _to_double(text: Column, blanks: str = "") -> Column:
 def parse_number(x: Column | str) -> Column:
     """Number cell -> double: thousands commas dropped; blank, dash or bad text -> null."""
     # Wide and fixed blanks become spaces, which the cast trims; commas go.
-    return _to_double(F.translate(_col(x), "\u3000\xa0,", "  "), r"\s*")
+    text = F.replace(_col(x), F.lit(","), F.lit(""))
+    return _to_double(F.regexp_replace(text, "[\u3000\xa0]", " "), r"\s*")
 
 
 def parse_count_strict(x: Column | str) -> Column:

@@ -19,7 +19,8 @@ _WIDE, _PLAIN = "ＩｎＡＥＯ　", "InAEO "
 
 # Fixed patterns of the report format.
 JAPANESE_SCRIPT = r"[\u3040-\u309f\u30a0-\u30ff\u4e00-\u9fff]"
-BRACKETED = r"[（(]([^)）]+)[)）]"
+BRACKETED = r"[（(](\x00*[^)）\x00][^)）]*)[)）]"
+UNUSUAL = r"[^\x01-\u2fff]"
 FILLED = r"(?sU)\S(?:.*\S)?"
 BROKEN_BRACKETS = r"^[^(]*\)\s*\((.+)$"
 TOTAL_ROW_JA = "総数|合計"
@@ -57,7 +58,7 @@ def has_japanese(x: Column | str) -> Column:
 def fold_fullwidth(x: Column | str, all_ascii: bool = False) -> Column:
     """Full-width characters -> plain ones: the six of the reports, or the whole ASCII block."""
     if all_ascii:
-        wide = "".join(chr(0xFF01 + i) for i in range(94)) + "　"
+        wide = "".join(chr(0xFF01 + i) for i in range(94)) + "\u3000"
         plain = "".join(chr(0x21 + i) for i in range(94)) + " "
         return F.translate(_col(x), wide, plain)
     return F.translate(_col(x), _WIDE, _PLAIN)
@@ -69,11 +70,17 @@ def clean_cell(x: Column | str, bilingual_only: bool = False) -> Column:
     ``bilingual_only`` looks for brackets only in cells with Japanese script, so that a plain
     English ``Name (detail)`` stays whole. Empty text becomes null.
     """
-    raw = F.translate(F.replace(_col(x), F.lit("\x00"), F.lit("")), "\r\n\t", "   ")
-    inner = F.try_element_at(F.regexp_extract_all(raw, F.lit(BRACKETED), F.lit(1)), F.lit(-1))
+    c = _col(x)
+    inner = F.try_element_at(F.regexp_extract_all(c, F.lit(BRACKETED), F.lit(1)), F.lit(-1))
     if bilingual_only:
-        inner = F.when(has_japanese(raw), inner)
-    return strip_or_null(fold_fullwidth(F.coalesce(inner, raw)))
+        inner = F.when(has_japanese(c), inner)
+
+    def plain(kept: Column) -> Column:
+        # The lookup per character is slow: text of usual characters only does not take that way.
+        folded = F.when(kept.rlike(UNUSUAL), F.translate(kept, _WIDE + "\x00", _PLAIN)).otherwise(kept)
+        return strip_or_null(F.regexp_replace(folded, r"[\r\n\t]", " "))
+
+    return let(F.coalesce(inner, c), plain)
 
 
 def clean_header(x: Column | str) -> Column:
@@ -105,10 +112,15 @@ def alias_lookup(x: Column | str, aliases: Mapping[str, str]) -> Column:
     c = _col(x)
     if not aliases:
         return c
-    pairs = F.create_map(*[F.lit(v) for kv in aliases.items() for v in kv])
+    literals = ", ".join(f"{_quoted(raw)}, {_quoted(name)}" for raw, name in aliases.items())
+    pairs = F.expr(f"map({literals})")
     return F.coalesce(F.try_element_at(pairs, c), c)
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def normalize_names(df: DataFrame, column: str, aliases: Mapping[str, str] | None = None) -> DataFrame:
     """Normalise one name column; a table without it is returned as it is."""
     return df.withColumn(column, normalize_name(F.col(f"`{column}`"), aliases)) if column in df.columns else df

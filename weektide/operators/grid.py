@@ -27,6 +27,8 @@ BULLET_HEADER_ROW, BULLET_FIRST_ROW = 3, 5
 JA_NAME_ROW, JA_KIND_ROW, JA_FIRST_ROW = 2, 3, 4
 MIN_ROWS_WORKBOOK, MIN_ROWS_EN, MIN_ROWS_JA = 5, 6, 5
 METRIC_MARK = "current week"
+# "total", also with full-width letters, which the cleaning folds.
+MAYBE_TOTAL = "(?i)t[oＯ]t[aＡ]l"
 CATEGORY_MARKS = ("male", "female", "japan", "others", "unknown")
 
 
@@ -44,13 +46,13 @@ def _tail(cells: Column | str) -> Column:
 
 
 def _is_category_row(cells: Column | str) -> Column:
-    """A total and a category stand in the row. The cheap test on plain text rules out most rows."""
+    """A total and a category stand in the row. One pattern over the whole row rules out most rows."""
     tail = _tail(cells)
-    plain = F.exists(tail, lambda c: F.lower(text.fold_fullwidth(c)).contains("total"))
+    maybe = F.array_join(tail, "\n").rlike(MAYBE_TOTAL)
     has_total = F.exists(tail, lambda c: F.lower(text.clean_cell(c)).contains("total"))
     has_mark = F.exists(tail, lambda c: F.lower(text.clean_cell(c)).rlike("|".join(CATEGORY_MARKS)))
     no = F.lit(False)
-    return F.coalesce(plain, no) & F.coalesce(has_total, no) & F.coalesce(has_mark, no)
+    return F.coalesce(maybe, no) & F.coalesce(has_total, no) & F.coalesce(has_mark, no)
 
 
 def _has_names(cells: Column | str) -> Column:
@@ -116,7 +118,7 @@ def find_blocks(
     )
 
 
-def block_cells(blocks: DataFrame, cols: Cols = COLS) -> DataFrame:
+def block_cells(blocks: DataFrame, cols: Cols = COLS, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per data cell of the blocks: area, condition, category, raw text. Totals are dropped."""
     zipped = F.zip_with(
         "header",
@@ -128,7 +130,7 @@ def block_cells(blocks: DataFrame, cols: Cols = COLS) -> DataFrame:
     return (
         with_computed(blocks, {cols.area: text.clean_cell(cell("cells", 0))})
         .where(F.col(cols.area).isNotNull() & ~text.is_total_row(cols.area, "contains"))
-        .select(*SHEET, "block", cols.area, F.inline(zipped))
+        .select(*SHEET, "block", *keep, cols.area, F.inline(zipped))
         .where(F.col(cols.category).isNotNull())
     )
 
@@ -142,22 +144,22 @@ def workbook_to_long(
 ) -> DataFrame:
     """Yearly workbook (one sheet per week) -> long confirmed cases."""
     year = reports.year_from_name("file")
-    week = reports.sheet_week(year, "sheet")
-    weeks = _readable(grid).where(week.isNotNull()).select(*SHEET, "row_idx", "cells")
-    cells = block_cells(find_blocks(weeks, aliases, chunk_rows=chunk_rows), cols)
-    return (
-        cells.withColumn(cols.year, year)
-        .withColumn(cols.week, reports.sheet_week(cols.year, "sheet"))
-        .select(
-            cols.area,
-            cols.year,
-            cols.week,
-            calendar.week_date(cols.year, cols.week, anchor).alias(cols.date),
-            numbers.parse_count("raw").alias(cols.count),
-            cols.condition,
-            cols.category,
-            F.lit(CONFIRMED).alias(cols.source),
-        )
+    week = reports.sheet_week(cols.year, "sheet")
+    weeks = _readable(grid).where(reports.sheet_week(year, "sheet").isNotNull())
+    blocks = find_blocks(weeks.select(*SHEET, "row_idx", "cells"), aliases, chunk_rows=chunk_rows)
+    dated = with_computed(blocks, {cols.year: year})
+    dated = with_computed(
+        dated, {cols.week: week, cols.date: calendar.week_date(cols.year, week, anchor)}
+    )
+    return block_cells(dated, cols, (cols.year, cols.week, cols.date)).select(
+        cols.area,
+        cols.year,
+        cols.week,
+        cols.date,
+        numbers.parse_count("raw").alias(cols.count),
+        cols.condition,
+        cols.category,
+        F.lit(CONFIRMED).alias(cols.source),
     )
 
 
@@ -217,21 +219,23 @@ def bullet_to_long(
 ) -> DataFrame:
     """Weekly CSV of one value column per condition -> long confirmed cases, without total rows."""
     usable = bullet_headers(reports_df, aliases, year).where(F.col("reason").isNull())
-    rows = usable.select("year", "week", "heads", F.explode(_data_rows(F.col("first_row"))).alias("cells"))
+    rows = with_computed(usable, {"date": calendar.week_date("year", "week", anchor)}).select(
+        "year", "week", "date", "heads", F.explode(_data_rows(F.col("first_row"))).alias("cells")
+    )
     values = F.transform(
         "heads", lambda h: F.struct(h["label"].alias("label"), cell("cells", h["pos"]).alias("raw"))
     )
     return (
         rows.withColumn("_area", text.strip(cell("cells", 0)))
         .where((F.col("_area") != "") & ~text.is_total_row("_area", "prefix"))
-        .select("_area", "year", "week", F.inline(values))
+        .select("_area", "year", "week", "date", F.inline(values))
         .select(
             F.col("_area").alias(cols.area),
             F.col("label").alias(cols.condition),
             numbers.parse_count("raw").alias(cols.count),
             F.col("year").alias(cols.year),
             F.col("week").alias(cols.week),
-            calendar.week_date("year", "week", anchor).alias(cols.date),
+            F.col("date").alias(cols.date),
             F.lit(CONFIRMED).alias(cols.source),
         )
     )
@@ -274,10 +278,7 @@ def sentinel_headers(reports_df: DataFrame, aliases: Aliases = None, year: int |
     A file with a metric row is English, any other Japanese. The header line wins over the file
     name for the period of English files.
     """
-    is_metric = F.transform(
-        "rows",
-        lambda row: F.coalesce(F.exists(row, lambda c: F.lower(c).contains(METRIC_MARK)), F.lit(False)),
-    )
+    is_metric = F.transform("rows", lambda row: F.lower(F.array_join(row, "\n")).contains(METRIC_MARK))
     english = F.col("metric") > 0
     given = F.lit(year).cast("int")
     name_year, name_week = reports.year_from_name("file"), reports.week_from_name("file")
@@ -335,8 +336,8 @@ def sentinel_to_long(
         usable = usable.where(F.col("layout") == layout)
     if weeks is not None:
         usable = usable.where(F.col("week").isin([int(w) for w in weeks]))
-    rows = usable.select(
-        "layout", "year", "week", "heads", F.explode(_data_rows(F.col("first_row"))).alias("cells")
+    rows = with_computed(usable, {"date": calendar.week_date("year", "week", anchor)}).select(
+        "layout", "year", "week", "date", "heads", F.explode(_data_rows(F.col("first_row"))).alias("cells")
     )
     english = F.col("layout") == "english"
     area = F.when(english, text.strip(cell("cells", 0))).otherwise(text.clean_cell(cell("cells", 0)))
@@ -355,13 +356,13 @@ def sentinel_to_long(
     return (
         rows.withColumn("_area", area)
         .where((F.col("_area") != "") & ~is_total)
-        .select("_area", "layout", "year", "week", F.inline(pairs))
+        .select("_area", "layout", "year", "week", "date", F.inline(pairs))
         .select(
             F.col("_area").alias(cols.area),
             F.col("label").alias(cols.condition),
             F.col("year").alias(cols.year),
             F.col("week").alias(cols.week),
-            calendar.week_date("year", "week", anchor).alias(cols.date),
+            F.col("date").alias(cols.date),
             F.when(english, numbers.parse_number("count_raw")).otherwise(ja_count).alias(cols.count),
             F.when(english, numbers.parse_number("rate_raw"))
             .otherwise(numbers.parse_dashed("rate_raw"))
