@@ -31,37 +31,52 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
+def _year_of(period: Column) -> Column:
+    return F.floor(period / 100).cast("int")
+
+
+def _week_of(period: Column) -> Column:
+    return (period % 100).cast("int")
+
+
 def latest_period(df: DataFrame, cols: Cols = COLS) -> DataFrame:
     """Last (year, week) of the table: one row, nulls when the table is empty."""
-    last = F.max(F.when(F.col(cols.week).isNotNull(), F.struct(cols.year, cols.week)))
-    return df.where(F.col(cols.year).isNotNull()).agg(last.alias("_last")).select("_last.*")
+    last = df.agg(F.max(calendar.period_number(cols.year, cols.week)).alias("_last"))
+    return last.select(_year_of(F.col("_last")).alias(cols.year), _week_of(F.col("_last")).alias(cols.week))
 
 
 def coverage(df: DataFrame, cols: Cols = COLS) -> DataFrame:
     """Per condition: first and last period, reporting sources, total and number of rows.
 
-    The source list is built from distinct values within each task, so it stays as short as the
-    number of reporting streams.
+    The table is folded to one row per (condition, source) by a hash aggregation; the source lists
+    are built from those rows only.
     """
-    period = F.struct(F.col(cols.year), F.col(cols.week))
-    timed = F.when(F.col(cols.week).isNotNull(), period)
+    number = calendar.period_number(cols.year, cols.week)
+    per_source = df.groupBy(cols.condition, cols.source).agg(
+        F.min(cols.year).alias("first_year"),
+        F.max(cols.year).alias("last_year"),
+        F.min(number).alias("_first"),
+        F.max(number).alias("_last"),
+        null_safe_sum(cols.count).alias("total_cases"),
+        F.count("*").alias("rows"),
+    )
+    folded = per_source.groupBy(cols.condition).agg(
+        F.min("first_year").alias("first_year"),
+        F.max("last_year").alias("last_year"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        F.array_join(F.sort_array(F.collect_set(cols.source)), ", ").alias("sources"),
+        F.sum("total_cases").alias("total_cases"),
+        F.sum("rows").alias("rows"),
+    )
+    first, last = F.col("_first"), F.col("_last")
     return (
-        df.groupBy(cols.condition)
-        .agg(
-            F.min(cols.year).alias("first_year"),
-            F.max(cols.year).alias("last_year"),
-            F.min(timed).alias("_first"),
-            F.max(timed).alias("_last"),
-            F.array_join(F.sort_array(F.collect_set(cols.source)), ", ").alias("sources"),
-            null_safe_sum(cols.count).alias("total_cases"),
-            F.count("*").alias("rows"),
-        )
-        .select(
+        folded.select(
             cols.condition,
             "first_year",
-            F.when(F.col("_first")[cols.year] == F.col("first_year"), F.col("_first")[cols.week]).alias("first_week"),
+            F.when(_year_of(first) == F.col("first_year"), _week_of(first)).alias("first_week"),
             "last_year",
-            F.when(F.col("_last")[cols.year] == F.col("last_year"), F.col("_last")[cols.week]).alias("last_week"),
+            F.when(_year_of(last) == F.col("last_year"), _week_of(last)).alias("last_week"),
             "sources",
             "total_cases",
             "rows",
@@ -73,14 +88,28 @@ def coverage(df: DataFrame, cols: Cols = COLS) -> DataFrame:
 
 
 def table_totals(df: DataFrame, cols: Cols = COLS, approximate: bool = False) -> DataFrame:
-    """Rows, year range and number of conditions and areas, one row."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(
-        F.count("*").alias("rows"),
-        F.min(cols.year).alias("min_year"),
-        F.max(cols.year).alias("max_year"),
-        distinct(cols.condition).alias("conditions"),
-        distinct(cols.area).alias("areas"),
+    """Rows, year range and number of conditions and areas, one row.
+
+    Exact counts fold the table to (condition, area) first: several distinct counts on the rows
+    themselves would multiply them.
+    """
+    if approximate:
+        return df.agg(
+            F.count("*").alias("rows"),
+            F.min(cols.year).alias("min_year"),
+            F.max(cols.year).alias("max_year"),
+            F.approx_count_distinct(cols.condition).alias("conditions"),
+            F.approx_count_distinct(cols.area).alias("areas"),
+        )
+    folded = df.groupBy(cols.condition, cols.area).agg(
+        F.count("*").alias("_rows"), F.min(cols.year).alias("_min"), F.max(cols.year).alias("_max")
+    )
+    return folded.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+        F.min("_min").alias("min_year"),
+        F.max("_max").alias("max_year"),
+        F.count_distinct(cols.condition).alias("conditions"),
+        F.count_distinct(cols.area).alias("areas"),
     )
 
 
@@ -90,7 +119,7 @@ def period_bounds(df: DataFrame, cols: Cols = COLS) -> DataFrame:
     bounds = df.agg(F.min(number).alias("min_period"), F.max(number).alias("max_period"))
 
     def monday(c: str) -> Column:
-        return calendar.iso_monday(F.floor(F.col(c) / 100), F.col(c) % 100)
+        return calendar.iso_monday(_year_of(F.col(c)), _week_of(F.col(c)))
 
     return bounds.select(
         "min_period", "max_period", monday("min_period").alias("date_min"), monday("max_period").alias("date_max")

@@ -53,23 +53,19 @@ def violations(
     weeks: tuple[int, int] = VALID_WEEKS,
     cols: Cols = COLS,
 ) -> DataFrame:
-    """(check, violations): all row checks in one pass over the table, duplicates in a second."""
+    """(check, violations) of all checks from one scan: rows are folded per key, which the duplicate
+    check needs anyway, and the row checks travel along as counters."""
     checks = _row_checks(df, years, weeks, cols)
-    counts = df.agg(*[_count_where(c).alias(name) for name, c in checks.items()])
-    rows = counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("check"), F.col(f"`{name}`").alias("violations"))
-                    for name in checks
-                ]
-            )
-        )
+    names = [*checks, "duplicate records"]
+    folded = df.groupBy(*_keys(df, keys, cols)).agg(
+        F.count("*").alias("_rows"), *[_count_where(c).alias(name) for name, c in checks.items()]
     )
-    copies = duplicate_keys(df, keys, cols).agg(
-        F.lit("duplicate records").alias("check"), F.count("*").alias("violations")
+    sums = folded.agg(
+        *[F.coalesce(F.sum(f"`{name}`"), F.lit(0)).alias(name) for name in checks],
+        F.count_if(F.col("_rows") > 1).alias("duplicate records"),
     )
-    return rows.unionByName(copies.select("check", "violations"))
+    rows = [F.struct(F.lit(n).alias("check"), F.col(f"`{n}`").alias("violations")) for n in names]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 def unknown_areas(df: DataFrame, dimension: DataFrame, cols: Cols = COLS) -> DataFrame:

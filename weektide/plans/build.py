@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weektide.functions import calendar, text
 from weektide.model import ALL_CASE, COLS, SENTINEL, Cols
 from weektide.operators import combine, filters, quality, reshape, series, snapshot
+from weektide.session import remove_folder, shared_folder
 
 ALL_TABLES = ("sex_prefecture", "place_prefecture", "bullet", "sentinel", "unified")
 
@@ -86,9 +87,20 @@ def build_unified(
 
 
 def publish(df: DataFrame, path: str, cols: Cols = COLS, refresh: bool = False) -> None:
-    """Check, then write: nothing is written when a check fails."""
-    quality.validate(df, cols=cols)
-    if refresh:
-        snapshot.refresh_years(df, path, cols)
-    else:
-        snapshot.write_table(df, path, cols)
+    """Check, then write: the published table is not touched when a check fails.
+
+    The table is computed once, into a staging folder of the shared file system; the checks and the
+    sorted write read it from there. A lost executor costs a re-read, not a rebuild.
+    """
+    quality.require_columns(df, cols=cols)
+    spark = df.sparkSession
+    staging = shared_folder(spark, "staging")
+    try:
+        df.write.parquet(staging)
+        staged = quality.validate(spark.read.schema(df.schema).parquet(staging), cols=cols)
+        if refresh:
+            snapshot.refresh_years(staged, path, cols)
+        else:
+            snapshot.write_table(staged, path, cols)
+    finally:
+        remove_folder(spark, staging)

@@ -39,3 +39,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="run-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of an earlier :func:`shared_folder` call, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

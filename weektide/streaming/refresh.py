@@ -48,7 +48,14 @@ def apply_batch(arrived: DataFrame, raw_path: str, table_path: str, cols: Cols =
     A report that arrives again replaces the earlier one of the same key.
     """
     spark = arrived.sparkSession
-    new = grid.sentinel_to_long(arrived, cols, anchor="monday").withColumn("arrival", F.lit(1))
+    new = grid.sentinel_to_long(arrived, cols, anchor="monday").withColumn("arrival", F.lit(1)).persist()
+    try:
+        _fold(spark, new, raw_path, table_path, cols)
+    finally:
+        new.unpersist()
+
+
+def _fold(spark: SparkSession, new: DataFrame, raw_path: str, table_path: str, cols: Cols) -> None:
     years = bounded_rows(new.select(cols.year).distinct(), MAX_LITERALS)
     if years is None:
         raise ValueError(f"One batch touches more than {MAX_LITERALS} years")
