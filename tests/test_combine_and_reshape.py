@@ -41,7 +41,7 @@ def test_small_side_beyond_the_bound_is_joined_by_shuffle(spark):
 
 
 def test_merge_needs_two_tables(spark):
-    with pytest.raises(ValueError, match="at least two"):
+    with pytest.raises(ValueError, match="at least two tables"):
         wt.merge(spark.range(1))
 
 
@@ -156,7 +156,7 @@ def test_pivot_round_trip(spark):
 
 
 def test_pivot_of_an_unknown_shape(spark):
-    with pytest.raises(ValueError, match="Missing: prefecture, year, week, date"):
+    with pytest.raises(ValueError, match="missing: prefecture, year, week, date"):
         wt.pivot(spark.range(1))
 
 

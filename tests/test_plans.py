@@ -63,12 +63,17 @@ def test_weekly_reports_are_parsed_without_a_shuffle(spark):
 def test_grid_blocks_never_partition_by_a_whole_sheet(spark):
     from weektide.operators import grid
 
-    cells = spark.createDataFrame([], "file string, sheet int, row_idx int, cells array<string>")
-    plan = plan_of(grid.find_blocks(cells))
-    by_sheet = re.findall(r"Exchange hashpartitioning\(file#\d+, sheet#\d+, (\w+)", plan)
-    assert by_sheet.count("_chunk") >= 2
-    # Only the border table, one row per chunk, is brought together by sheet.
-    assert len([c for c in by_sheet if c != "_chunk"]) <= 1
+    rows = [("f", 2, i, ["x", "y"]) for i in range(10)]
+    cells = spark.createDataFrame(rows, "file string, sheet int, row_idx int, cells array<string>")
+
+    def shuffles(chunk_rows):
+        plan = plan_of(grid.find_blocks(cells, chunk_rows=chunk_rows))
+        return re.findall(r"Exchange hashpartitioning\(file#\d+, sheet#\d+, (\w+)", plan)
+
+    assert shuffles(4096) == ["_chunk"]
+    # Longer sheets: only the border table, one row per chunk, is brought together by sheet.
+    long = shuffles(4)
+    assert long.count("_chunk") >= 2 and len([c for c in long if c != "_chunk"]) == 1
 
 
 def test_checks_and_coverage_scan_the_table_once(spark):

@@ -120,5 +120,5 @@ def _folder_layout(spark: SparkSession, path: str) -> str:
     )
     found = {r["layout"] for r in names.collect()}
     if not found:
-        raise ValueError("Could not infer dataset type from filename. Please specify 'type'.")
+        raise ValueError(f"File names do not tell the report layout, give 'type': {path}")
     return "sentinel" if "sentinel" in found else "bullet"

@@ -90,7 +90,7 @@ def validate(
     tests = _row_checks(df, years, weeks, cols)
     sample = df.where(tests[name]) if name in tests else duplicate_keys(df, keys, cols)
     preview = "\n".join(str(r.asDict()) for r in sample.limit(PREVIEW_ROWS).collect())
-    raise ValueError(f"Found {n} {name}. All violations: {bad}. First few rows:\n{preview}")
+    raise ValueError(f"Found {n} {name}. All violations: {bad}. For example:\n{preview}")
 
 
 def validate_no_duplicates(df: DataFrame, keys: Sequence[str] | None = None, cols: Cols = COLS) -> None:
@@ -98,7 +98,7 @@ def validate_no_duplicates(df: DataFrame, keys: Sequence[str] | None = None, col
     preview = copies.limit(PREVIEW_ROWS).collect()
     if preview:
         shown = "\n".join(str(r.asDict()) for r in preview)
-        raise ValueError(f"Found {copies.count()} duplicate records. First few duplicates:\n{shown}")
+        raise ValueError(f"Found {copies.count()} duplicate records. For example:\n{shown}")
 
 
 def validate_date_ranges(
@@ -111,9 +111,11 @@ def validate_date_ranges(
     if not have:
         return
     row = df.agg(*[f(c).alias(f"{n}_{c}") for c in have for n, f in (("min", F.min), ("max", F.max))]).first()
-    for c, (low, high), label in ((cols.year, years, "expected"), (cols.week, weeks, "valid")):
-        if c in have and row[f"min_{c}"] is not None and (row[f"min_{c}"] < low or row[f"max_{c}"] > high):
-            raise ValueError(f"{c.capitalize()} values out of {label} range: {row[f'min_{c}']}-{row[f'max_{c}']}")
+    for c, (low, high) in ((cols.year, years), (cols.week, weeks)):
+        if c in have and row[f"min_{c}"] is not None:
+            first, last = row[f"min_{c}"], row[f"max_{c}"]
+            if first < low or last > high:
+                raise ValueError(f"{c} out of range {low}-{high}: found {first}-{last}")
 
 
 def validate_non_negative(df: DataFrame, cols: Cols = COLS) -> None:
@@ -123,4 +125,4 @@ def validate_non_negative(df: DataFrame, cols: Cols = COLS) -> None:
             preview = bad.limit(PREVIEW_ROWS).collect()
             if preview:
                 shown = "\n".join(str(r.asDict()) for r in preview)
-                raise ValueError(f"Found {bad.count()} rows with negative {metric}. First few rows:\n{shown}")
+                raise ValueError(f"Found {bad.count()} rows with negative {metric}. For example:\n{shown}")

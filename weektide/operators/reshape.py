@@ -63,8 +63,8 @@ def pivot(
     missing = [c for c in cols.period if c not in df.columns]
     if missing:
         raise ValueError(
-            f"pivot expects either long-form data with '{cols.condition}' and '{value}' "
-            f"or wide-form data with key columns. Missing: {', '.join(missing)}"
+            f"Nothing to pivot: no '{cols.condition}' and '{value}' columns, and key columns are missing: "
+            + ", ".join(missing)
         )
     return unpivot_wide(df, value, cols=cols)
 

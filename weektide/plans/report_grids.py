@@ -17,7 +17,10 @@ SECOND_BLOCK_ROW = 60
 
 
 def _cells(values: Sequence[str | Column | None]) -> Column:
-    return F.array(*[(v if isinstance(v, Column) else F.lit(v)).cast("string") for v in values])
+    if any(isinstance(v, Column) for v in values):
+        return F.array(*[(v if isinstance(v, Column) else F.lit(v)).cast("string") for v in values])
+    texts = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    return F.expr(f"CAST(array({texts}) AS array<string>)")
 
 
 def _row(index: int, values: Sequence[str | Column | None]) -> Column:

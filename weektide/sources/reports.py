@@ -171,7 +171,7 @@ def detect_layout(path: str) -> str:
         return "sex"
     if "Syu_02" in name or "place" in name:
         return "place"
-    raise ValueError("Could not infer dataset type from filename. Please specify 'type'.")
+    raise ValueError(f"File names do not tell the report layout, give 'type': {path}")
 
 
 def workbook_files(grid: DataFrame, kind: str | None = None) -> DataFrame:
