@@ -6,15 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weektide.llm.contamination import contained_items
 from weektide.llm.jaccard import jaccard_groups
+from weektide.llm.licenses import license_scan
+
+
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return contained_items(spark.read.parquet(f"{folder}/documents.parquet"), items, words=5, percent=80)
 
 
 def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(spark.read.parquet(f"{folder}/documents.parquet"), words=3, percent=90)
 
 
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op10_license_scan": op10_license_scan,
 }
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LETTERS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_LOWER)
+
+SQL: dict[str, str] = {
+    "op5_benchmark_decontamination": f"""
+        WITH i AS (SELECT item_id, {_LETTERS} AS w FROM benchmark),
+        ni AS (SELECT item_id, w, least(5, len(w)) AS k FROM i WHERE len(w) > 0),
+        items AS (
+            SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS s
+            FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM ni)
+        ),
+        d AS (SELECT doc_id, {_LETTERS} AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, k, array_to_string(w[p:p + k - 1], ' ') AS s
+            FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p
+                  FROM d, (SELECT DISTINCT k FROM items) WHERE len(w) >= k)
+        ),
+        sizes AS (SELECT item_id, count(*) AS n_item FROM items GROUP BY 1),
+        shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM shingles JOIN items USING (k, s) GROUP BY 1, 2)
+        SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+        FROM shared JOIN sizes USING (item_id) WHERE 100 * n_shared >= 80 * n_item""",
+}
