@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from weektide.llm.contamination import contained_items
 from weektide.llm.jaccard import jaccard_groups
 from weektide.llm.licenses import license_scan
+from weektide.llm.substrings import remove_repeats
+
+
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(spark.read.parquet(f"{folder}/documents.parquet"), words=35).drop("kept")
 
 
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,6 +30,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op10_license_scan": op10_license_scan,
