@@ -4,14 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from weektide.llm.bpe import decode_tokens, encode_texts
 from weektide.llm.contamination import contained_items
 from weektide.llm.jaccard import jaccard_groups
 from weektide.llm.licenses import license_scan
 from weektide.llm.substrings import remove_repeats
 
 
+def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    tokens = encode_texts(spark.read.parquet(f"{folder}/documents.parquet"), *vocabulary)
+    return decode_tokens(tokens, *vocabulary).select(
+        "doc_id",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("tokens").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{folder}/documents.parquet"), words=35).drop("kept")
 
@@ -30,6 +44,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
