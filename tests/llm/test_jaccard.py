@@ -65,9 +65,9 @@ def test_equals_all_pairs(spark, rows, monkeypatch, n, percent, sets):
 
 def test_odd_rows(spark):
     docs = spark.createDataFrame(
-        [(9, "A b c d", 1), (9, "a b c d", 1), (3, "a B c d", 1), (None, "a b c d", 1), (5, None, 1)],
+        [(9, "A b c d", 1), (9, "a b c d", 1), (3, "a B c d", 1), (3, "a B c d", 1), (3, "x y z a b c d e f g h", 1), (3, "x y z a b c d e f g h", 1), (4, "x y z a b c d e f g h i", 1), (None, "a b c d", 1), (5, None, 1)],
         "doc_id long, text string, component_id int",
     )
     got = sorted(map(tuple, jaccard.jaccard_groups(docs, 3, 90).collect()), key=str)
-    assert got == sorted([(9, 2, 3), (9, 2, 3), (3, 2, 3), (None, 2, None), (5, 0, 5)], key=str)
+    assert got == sorted([(9, 2, 3), (9, 2, 3), (3, 2, 3), (3, 2, 3), (3, 9, 3), (3, 9, 3), (4, 10, 3), (None, 2, None), (5, 0, 5)], key=str)
     assert jaccard.jaccard_groups(docs.where("doc_id = 0"), 3, 90).collect() == []

@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -63,22 +63,28 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     the joins read written tables on both sides, so that the adaptive plan can split the rows of a
     node with very many neighbours. Nothing passes through the driver but counts and a checksum.
     """
-    folded = lambda df: staged(df.mapInArrow(_forest, "a long, b long").distinct(), name)
-    sums = (F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
-    now = folded(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b"))
-    while True:
+    sums = (F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
+
+    def kept(df: DataFrame, *measures) -> tuple[DataFrame, dict]:
+        seen = Observation()
+        return staged(df.observe(seen, *measures), name), seen.get
+
+    def folded(df: DataFrame) -> tuple[DataFrame, dict]:
+        return kept(df.mapInArrow(_forest, "a long, b long").distinct(), *sums)
+
+    now, before = folded(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b"))
+    while before["n"]:
         # Large star: every larger neighbour of a node points to the node's smallest neighbour.
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = staged(large.where("a <> b").distinct(), name)
-        state = large.agg(*sums, F.count_distinct("a")).first()
-        if state[0] == state[2] and tuple(state[:2]) == tuple(now.agg(*sums).first()):
-            break
+        large, after = kept(large.where("a <> b").distinct(), *sums)
         # Small star: a node and its smaller neighbours point to the smallest of them.
-        least = staged(large.groupBy("a").agg(F.min("b").alias("m")), name)
+        least, nodes = kept(large.groupBy("a").agg(F.min("b").alias("m")), F.count("*").alias("n"))
+        if after == before and nodes["n"] == after["n"]:
+            break
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        now = folded(small.unionByName(least.select("a", F.col("m").alias("b"))))
+        now, before = folded(small.unionByName(least.select("a", F.col("m").alias("b"))))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

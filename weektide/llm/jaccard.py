@@ -30,7 +30,7 @@ from weektide.llm._shared import components, shuffle_parts, staged
 from weektide.llm._words import LOWER, NOT_SPACE, mix, shingle_sets, slices, split, utf8
 
 #: Sets in a block, and shingles in a block: what bounds a tile's memory and time.
-BLOCK_SETS, BLOCK_SHINGLES = 2_000, 400_000
+BLOCK_SETS, BLOCK_SHINGLES = 4_000, 1_000_000
 #: More rounds of dealing for families larger than one block.
 ROUNDS = 3
 FLUSH_KEYS = 1_000_000
@@ -265,34 +265,49 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
                 )
 
     # A repeated doc_id with several texts: all its texts are read, each is its own set of the family.
-    texts = docs.join(chosen.select(F.col("rep").alias("doc_id"), "family").distinct(), "doc_id")
+    # The same join at every size: the texts are dealt once, the chosen ids are the side that is looked up.
+    ids = chosen.select(F.col("rep").alias("doc_id"), "family").distinct()
+    texts = docs.join(ids.hint("shuffle_hash"), "doc_id")
     texts = texts.select(F.col("doc_id").alias("rep"), "family", "text")
     held = staged(texts.mapInArrow(arrays, "rep long, family long, n long, shingles binary").where("n > 0"), "arrays")
-    done, total = None, lambda df: df.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("sum_n"))
-    for seed in range(1, ROUNDS + 1):
-        sizes = staged(total(held), "sizes")
-        large = f"sets > {BLOCK_SETS} or sum_n > {BLOCK_SHINGLES}"
-        if sizes.where(large).isEmpty():
-            break
-        some = held.join(sizes.where(large).select("family"), "family")
+    big = f"sets > {BLOCK_SETS} or sum_n > {BLOCK_SHINGLES}"
+
+    def sized(rows: DataFrame) -> DataFrame:
+        return staged(rows.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("sum_n")), "sizes")
+
+    def of(rows: DataFrame, sizes: DataFrame, kind: str) -> DataFrame:
+        return rows.join(sizes.where(kind).select("family"), "family")
 
-        def again(batches: Iterator[pa.RecordBatch], seed: int = seed) -> Iterator[pa.RecordBatch]:
+    def again(seed: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def sets():
                 for batch in batches:
-                    n = np.asarray(batch["n"])
-                    owner = np.asarray(batch["rep"]).astype(np.int64).view(np.uint64)
-                    values = np.concatenate([np.frombuffer(x, np.uint64) for x in batch["shingles"].to_pylist()] or [np.zeros(0, np.uint64)])
+                    n, owner = np.asarray(batch["n"]), np.asarray(batch["rep"]).astype(np.int64).view(np.uint64)
+                    values = np.frombuffer(b"".join(batch["shingles"].to_pylist()), np.uint64)
                     yield owner, np.repeat(np.arange(len(n)), n), values, len(n)
 
             return show(sets(), seed)
 
-        new = _families(some.select("rep", "n", "shingles").mapInArrow(again, _BLOBS))
-        done = some.drop("family").join(new.select(F.col("node").alias("rep"), F.col("component").alias("family")), "rep")
-        rest = held.join(sizes.where(f"not ({large})").select("family"), "family")
-        held = staged(rest.unionByName(done.withColumn("family", F.xxhash64("family", F.lit(seed)))), "arrays")
+        return run
 
-    links = _tiles(held, total, percent)
-    found = components(links, "links").select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
+    sizes, before, found = sized(held), None, None
+    for seed in range(1, ROUNDS + 2):
+        whole = of(held, sizes, f"not ({big})").groupBy("family").applyInArrow(_one_tile(percent), "rep long, component_id long")
+        found = whole if found is None else found.unionByName(whole)
+        large = sizes.where(big).agg(F.sum("sets")).first()[0]
+        if not large:
+            break
+        rest = of(held, sizes, big)
+        if seed > ROUNDS or before and large > 0.9 * before:  # these are close to each other indeed
+            links = components(_tiles(rest, percent), "links")
+            found = found.unionByName(links.toDF("rep", "component_id"))
+            break
+        before = large
+        dealt = _families(rest.select("rep", "n", "shingles").mapInArrow(again(seed), _BLOBS)).toDF("rep", "new")
+        rest = rest.join(dealt, "rep").withColumn("family", F.xxhash64("new", F.lit(seed))).drop("new")
+        held = staged(rest, "arrays")
+        sizes = sized(held)
+    found = found.groupBy("rep").agg(F.min("component_id").alias("component_id"))  # repeated rows of the input
     named = members.join(found, "rep", "left").select(
         "node", "check", "n", F.coalesce("component_id", "rep").alias("component_id")
     )
@@ -305,45 +320,47 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     )
 
 
-def _tiles(held: DataFrame, total, percent: int) -> DataFrame:
-    """Links (a, b) that connect the sets of each family as its exact links do."""
+def _one_tile(percent: int):
+    def run(table):
+        table = table.sort_by([("rep", "ascending")])
+        sizes, rep = np.asarray(table["n"]).astype(np.int64), np.asarray(table["rep"])
+        arrays = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+        every = np.ones(len(sizes), bool)
+        root = _join_tile(sizes, arrays, percent, every, every)
+        return pa.table({"rep": pa.array(rep), "component_id": pa.array(rep[root])})
+
+    return run
+
+
+def _tiles(held: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect the sets of each family, block by block, as its exact links do."""
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent + 1e-9))).cast("int")
     held = held.withColumn("band", band if percent < 100 else F.col("n").cast("int"))
-    blocks = lambda sets, n: F.ceil(F.greatest(sets / BLOCK_SETS, n / BLOCK_SHINGLES)).cast("int")
-    families = total(held).select("family", (blocks(F.col("sets"), F.col("sum_n")) == 1).alias("small"))
-    per_band = held.groupBy("family", "band").agg(F.count("*").alias("s"), F.sum("n").alias("m"))
-    per_band = per_band.select("family", "band", blocks(F.col("s"), F.col("m")).alias("blocks"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    per_band = staged(held.groupBy("family", "band").agg(blocks.alias("blocks")), "bands")
     lower = per_band.select("family", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
     upper = per_band.select("family", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
     plan = per_band.join(lower, ["family", "band"], "left").join(upper, ["family", "band"], "left")
-    plan = staged(plan.join(families, "family").fillna(0, ["below", "above"]), "tiles")
-    rows = held.join(plan, ["family", "band"])
+    rows = held.join(staged(plan.fillna(0, ["below", "above"]), "bands"), ["family", "band"])
     # Block i of band b meets block j of its own band, j >= i, and every block of the bands beside it.
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     tile = lambda low, i, j: F.struct(low.alias("low"), i.alias("i"), j.alias("j"))
     ints = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     here, up = F.col("band") * 2, F.col("band") * 2 + 1
-    goes = F.when(F.col("small"), F.array(tile(F.lit(-1), F.lit(0), F.lit(0)))).otherwise(
-        F.concat(
-            F.transform(ints(F.col("blocks")), lambda j: tile(here, F.least(j, F.col("own")), F.greatest(j, F.col("own")))),
-            F.transform(ints(F.col("above")), lambda j: tile(up, F.col("own"), j)),
-            F.transform(ints(F.col("below")), lambda j: tile(up - 2, j, F.col("own"))),
-        )
+    goes = F.concat(
+        F.transform(ints(F.col("blocks")), lambda j: tile(here, F.least(j, F.col("own")), F.greatest(j, F.col("own")))),
+        F.transform(ints(F.col("above")), lambda j: tile(up, F.col("own"), j)),
+        F.transform(ints(F.col("below")), lambda j: tile(up - 2, j, F.col("own"))),
     )
-    rows = rows.withColumn("own", own).select("family", F.explode(goes).alias("tile"), "band", "own", "rep", "n", "shingles")
+    rows = rows.withColumn("own", own).withColumn("tile", F.explode(goes))
 
     def join(key, table):
         low, i, j = (x.as_py() for x in key[1:])
-        table = table.sort_by([("n", "ascending"), ("rep", "ascending")])
+        rep, bands, own = (np.asarray(table[c]) for c in ("rep", "band", "own"))
         sizes = np.asarray(table["n"]).astype(np.int64)
         arrays = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
-        left = right = np.ones(len(sizes), bool)
-        if low >= 0:
-            bands, own = np.asarray(table["band"]), np.asarray(table["own"])
-            left = (bands == low // 2) & (own == i)
-            right = (bands == (low + 1) // 2) & (own == j)
+        left, right = (bands == low // 2) & (own == i), (bands == (low + 1) // 2) & (own == j)
         root = _join_tile(sizes, arrays, percent, left, right)
-        rep = np.asarray(table["rep"])
         linked = np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"a": pa.array(rep[linked], pa.int64()), "b": pa.array(rep[root[linked]], pa.int64())})
 
