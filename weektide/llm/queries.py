@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weektide.llm.bpe import decode_tokens, encode_texts
 from weektide.llm.contamination import contained_items
 from weektide.llm.jaccard import jaccard_groups
 from weektide.llm.licenses import license_scan
+from weektide.llm.secrets import KINDS, secret_spans
 from weektide.llm.substrings import remove_repeats
 
 
@@ -26,6 +27,23 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _joined(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_spans(spark.read.parquet(f"{folder}/documents.parquet"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in KINDS),
+        F.sha2(_joined("base"), 256).alias("base_sha256"),
+        _joined("spans").alias("spans"),
+        "n_layers",
+        "n_unread",
+    )
+
+
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{folder}/documents.parquet"), words=35).drop("kept")
 
@@ -45,6 +63,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_secret_scan": op2_secret_scan,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
