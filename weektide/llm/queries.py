@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from weektide.llm.bpe import decode_tokens, encode_texts
 from weektide.llm.contamination import contained_items
 from weektide.llm.jaccard import jaccard_groups
+from weektide.llm.langid import languages, learn
 from weektide.llm.licenses import license_scan
+from weektide.llm.quality import quality_scores, train
 from weektide.llm.secrets import KINDS, secret_spans
 from weektide.llm.substrings import remove_repeats
 
@@ -57,6 +59,26 @@ def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(spark.read.parquet(f"{folder}/documents.parquet"), words=3, percent=90)
 
 
+def _remainder(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    tables = learn(docs.where(_remainder(4) != 2))
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(True)).alias("held_out")
+    return languages(docs, tables).select("doc_id", held_out, "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = train(docs, labels.where(_remainder(5) != 0).select("doc_id", F.col("quality").alias("label")))
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(True)).alias("held_out")
+    return quality_scores(docs, model).select(
+        "doc_id", held_out, "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    )
+
+
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(spark.read.parquet(f"{folder}/documents.parquet"))
 
@@ -67,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_language_id": op8_language_id,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_license_scan": op10_license_scan,
 }
 
