@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from weektide.llm.bpe import decode_tokens, encode_texts
 from weektide.llm.contamination import contained_items
 from weektide.llm.jaccard import jaccard_groups
+from weektide.llm.knn import top_k
 from weektide.llm.langid import languages, learn
 from weektide.llm.licenses import license_scan
 from weektide.llm.quality import quality_scores, train
+from weektide.llm.quotes import reply_order
 from weektide.llm.secrets import KINDS, secret_spans
 from weektide.llm.substrings import remove_repeats
 
@@ -50,11 +52,19 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{folder}/documents.parquet"), words=35).drop("kept")
 
 
+def op4_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(spark.read.parquet(f"{folder}/embeddings.parquet"), "vec_id % 50 = 0", k=5, scale=256.0)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return contained_items(spark.read.parquet(f"{folder}/documents.parquet"), items, words=5, percent=80)
 
 
+def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return reply_order(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(spark.read.parquet(f"{folder}/documents.parquet"), words=3, percent=90)
 
@@ -87,7 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_secret_scan": op2_secret_scan,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_exact_topk": op4_exact_topk,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
@@ -115,4 +127,16 @@ SQL: dict[str, str] = {
         shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM shingles JOIN items USING (k, s) GROUP BY 1, 2)
         SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
         FROM shared JOIN sizes USING (item_id) WHERE 100 * n_shared >= 80 * n_item""",
+    "op4_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.e, d.e) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.e) = len(d.e) WHERE q.vec_id % 50 = 0
+        ),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
 }
