@@ -38,4 +38,5 @@ def test_table(spark):
     codec = bpe._codec(bpe._read(FILE), PATTERN)
     want = [(d, codec._plain.encode_ordinary(t or ""), (t or "").encode()) for d, t, _ in rows]
     assert sorted(((r.doc_id, r.tokens, bytes(r.decoded)) for r in got), key=str) == sorted(want, key=str)
+    assert bpe.encode_texts(docs, FILE, PATTERN).columns == ["doc_id", "text", "tokens"]
     assert bpe.encode_texts(docs.where("false"), FILE, PATTERN).collect() == []

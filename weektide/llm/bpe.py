@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
 #: Characters in a leaf of a text, bytes in a leaf of a long match.
 LEAF, PIECE_LEAF = 2048, 128
@@ -123,40 +123,47 @@ def _read(path: str) -> bytes:
         return file.read()
 
 
+def _with(df: DataFrame, source: str, target: str, kind: pa.DataType, value, spark_kind: DataType) -> DataFrame:
+    """``df`` with ``target`` = ``value``() of ``source``, a few hundred rows at a time; an older ``target`` goes."""
+    df = df.drop(target)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        convert = value()
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                new = pa.array([convert(x) for x in part[source].to_pylist()], kind)
+                yield pa.record_batch([*part.columns, new], [*part.schema.names, target])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(target, spark_kind)]))
+
+
 def encode_texts(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """doc_id and tokens (array of int) of every row of ``docs`` (doc_id, text; other columns are ignored).
+    """``docs`` with tokens (array of int), the encoding of its column text; other columns stay.
 
     ``ranks``: path of a ``.tiktoken`` file on the driver; its bytes (under a megabyte for 50,000 tokens)
     go with the tasks. Each match of ``pattern`` is encoded by itself, without special tokens. Null and
-    empty texts have no tokens; null ids and repeated rows keep their rows; an empty table gives an empty
-    result. Texts are encoded whole; a task holds a few hundred at a time.
+    empty texts have no tokens; null ids and repeated rows keep their rows; an older column tokens is
+    replaced; an empty table gives an empty result. Texts are encoded whole.
     """
     file = _read(ranks)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def value():
         codec = _codec(file, pattern)
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                tokens = [codec.encode(x) if x else [] for x in part["text"].to_pylist()]
-                yield pa.record_batch([part["doc_id"], pa.array(tokens, pa.list_(pa.int32()))], ["doc_id", "tokens"])
+        return lambda text: codec.encode(text) if text else []
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, tokens array<int>")
+    return _with(docs, "text", "tokens", pa.list_(pa.int32()), value, ArrayType(IntegerType()))
 
 
 def decode_tokens(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """``encoded`` (doc_id, tokens) with the bytes that the tokens stand for, as decoded (binary).
+    """``encoded`` with decoded (binary), the bytes that its column tokens stands for; other columns stay.
 
     No tokens, or null, decode to no bytes. A token that is not in the file fails the query.
     """
     file = _read(ranks)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def value():
         codec = _codec(file, pattern)
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                data = [codec.decode(x or []) for x in part["tokens"].to_pylist()]
-                yield pa.record_batch([*(part[c] for c in ("doc_id", "tokens")), pa.array(data, pa.binary())], ["doc_id", "tokens", "decoded"])
+        return lambda tokens: codec.decode(tokens or [])
 
-    return encoded.select("doc_id", "tokens").mapInArrow(run, "doc_id long, tokens array<int>, decoded binary")
+    return _with(encoded, "tokens", "decoded", pa.binary(), value, BinaryType())

@@ -77,6 +77,30 @@ class _Items:
             out.append(np.stack([np.repeat(rows[some], n), items[each]], 1))
         return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
 
+    def contained(self, text: Words) -> Iterator[tuple[int, int, int, int]]:
+        """(row, item_id, shared shingles, shingles of the item) of what is contained."""
+        last, sets, own = -1, {}, []
+        for row, item in self.candidates(text).tolist():
+            if row != last:
+                last, sets, own = row, {}, _listed(text, row)
+            name, length, shingles, need = self.exact[item]
+            if length not in sets:
+                sets[length] = _shingles(own, length)
+            shared = len(shingles & sets[length])
+            if shared >= need:
+                yield row, name, shared, len(shingles)
+
+
+def _blocks(items: DataFrame, words: int, percent: int) -> Iterator[_Items]:
+    """The items in blocks of about BLOCK_WORDS words, each small enough to go with the tasks."""
+    items = items.select(F.col("item_id").cast("long"), "text").where("text is not null")
+    # A word has at least two bytes with what separates it.
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0]
+    count = max(1, -(-(total or 0) // (2 * BLOCK_WORDS)))
+    for k in range(count):
+        block = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
+        yield _Items([(r[0], r[1]) for r in block.collect()], words, percent)
+
 
 def contained_items(docs: DataFrame, items: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Rows (doc_id, item_id, n_shared, n_item, containment): items of which a document holds at least ``percent`` %.
@@ -88,30 +112,14 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = 5, percent:
     item_id is returned as it is; repeated rows of ``docs`` are returned once each, of ``items`` likewise.
     Items go to the tasks in blocks of about BLOCK_WORDS words, each block one pass over the documents.
     """
-    items = items.select(F.col("item_id").cast("long"), "text").where("text is not null")
-    # A word has at least two bytes with what separates it.
-    total = items.agg(F.sum(F.octet_length("text")), F.max(F.octet_length("text"))).first()
-    count = max(1, -(-(total[0] or 0) // (2 * BLOCK_WORDS)))
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     out = None
-    for k in range(count):
-        block = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
-        found = _Items([(r[0], r[1]) for r in block.collect()], words, percent)
+    for found in _blocks(items, words, percent):
 
         def search(batches: Iterator[pa.RecordBatch], found: _Items = found) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for piece in slices(batch):
-                    text = _words_of(piece, "text")
-                    rows, last, sets, own = [], -1, {}, []
-                    for row, item in found.candidates(text).tolist():
-                        if row != last:
-                            last, sets, own = row, {}, _listed(text, row)
-                        name, length, shingles, need = found.exact[item]
-                        if length not in sets:
-                            sets[length] = _shingles(own, length)
-                        shared = len(shingles & sets[length])
-                        if shared >= need:
-                            rows.append((row, name, shared, len(shingles)))
+                    rows = list(found.contained(_words_of(piece, "text")))
                     at, name, shared, size = zip(*rows, strict=True) if rows else ((), (), (), ())
                     yield pa.record_batch(
                         [
@@ -126,3 +134,18 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = 5, percent:
         part = docs.mapInArrow(search, "doc_id long, item_id long, n_shared long, n_item long")
         out = part if out is None else out.unionByName(part)
     return out.withColumn("containment", F.col("n_shared") / F.col("n_item"))
+
+
+def without_items(docs: DataFrame, items: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` (text and any other columns) that contain no item, as they are; no shuffle."""
+    for found in _blocks(items, words, percent):
+
+        def clean(batches: Iterator[pa.RecordBatch], found: _Items = found) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for piece in slices(batch):
+                    keep = np.ones(len(piece), bool)
+                    keep[[row for row, *_ in found.contained(_words_of(piece, "text"))]] = False
+                    yield piece.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs

@@ -213,3 +213,14 @@ def quality_scores(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.record_batch([piece["doc_id"], pa.array(model.score(features(piece)))], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any others) that score ``least`` or more, as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch):
+                yield piece.filter(pa.array(model.score(features(piece)) >= least))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -22,7 +22,8 @@ from weektide.llm.substrings import remove_repeats
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    tokens = encode_texts(spark.read.parquet(f"{folder}/documents.parquet"), *vocabulary)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    tokens = encode_texts(docs, *vocabulary).select("doc_id", "tokens")
     return decode_tokens(tokens, *vocabulary).select(
         "doc_id",
         F.size("tokens").cast("long").alias("n_tokens"),
