@@ -128,31 +128,81 @@ Tokyo,{n},{r}
 """
 
 
-def test_arriving_reports_refresh_the_table(spark, tmp_path):
-    landing, raw_path, table, state = (str(tmp_path / n) for n in ("in", "raw", "table", "state"))
+def landing(spark, tmp_path, kind="sentinel"):
+    """Functions that let a file arrive, and read the table, and the paths of state and quarantine."""
+    folder, raw, table, bad, state = (str(tmp_path / n) for n in ("in", "raw", "table", "bad", "state"))
     (tmp_path / "in").mkdir()
 
-    def arrive(name, week, n):
-        (tmp_path / "in" / name).write_text(REPORT.format(w=week, n=n, r=n / 10))
-        query = refresh.start_refresh(spark, landing, raw_path, table, state)
+    def arrive(name, text):
+        (tmp_path / "in" / name).write_text(text)
+        query = refresh.start_refresh(spark, folder, raw, table, bad, state, kind)
         query.awaitTermination(120)
         assert query.exception() is None
         return {r["week"]: r["count"] for r in spark.read.parquet(table).collect()}
 
-    (tmp_path / "in" / "teitenrui01.csv").write_text(REPORT.format(w=1, n=10, r=1.0))
-    assert arrive("teitenrui02.csv", 2, 25) == {1: 10.0, 2: 15.0}
-    assert arrive("teitenrui03.csv", 3, 40) == {1: 10.0, 2: 15.0, 3: 15.0}
-    assert arrive("again-teitenrui02.csv", 2, 30) == {1: 10.0, 2: 20.0, 3: 10.0}
+    return arrive, raw, table, bad
+
+
+def report(week, n, rate=None):
+    return REPORT.format(w=week, n=n, r=n / 10 if rate is None else rate)
+
+
+def test_arriving_reports_refresh_the_table(spark, tmp_path):
+    arrive, raw, table, _ = landing(spark, tmp_path)
+    assert arrive("teitenrui01.csv", report(1, 10)) == {1: 10.0}
+    assert arrive("teitenrui02.csv", report(2, 25)) == {1: 10.0, 2: 15.0}
+    assert arrive("teitenrui03.csv", report(3, 40)) == {1: 10.0, 2: 15.0, 3: 15.0}
+    assert arrive("again-teitenrui02.csv", report(2, 30)) == {1: 10.0, 2: 20.0, 3: 10.0}
     one = spark.read.parquet(table).where("week = 1").select(calendar.period_label("year", "week")).first()
     assert one[0] == "2025-W01"
+    assert {r["week"]: r["count"] for r in refresh.current_rows(spark, raw).collect()} == {1: 10.0, 2: 30.0, 3: 40.0}
 
 
-def test_a_batch_that_runs_twice_changes_nothing(spark, tmp_path):
-    rows = [r.split(",") for r in REPORT.format(w=5, n=3, r=1.0).splitlines()]
-    rows[1] = ["5th week, 2025"]
-    batch = spark.createDataFrame(
-        [("x/teitenrui05.csv", rows, None)], "file string, rows array<array<string>>, error string"
-    )
+def test_a_bad_report_does_not_poison_the_state(spark, tmp_path):
+    arrive, raw, _, bad = landing(spark, tmp_path)
+    assert arrive("teitenrui01.csv", report(1, 10)) == {1: 10.0}
+    assert arrive("teitenrui02.csv", report(2, -5, 1)) == {1: 10.0}
+    assert arrive("zensu02.csv", report(2, 70)) == {1: 10.0}  # another layout is not taken for this one
+    assert arrive("teitenrui03.csv", "x,current week\n") == {1: 10.0}
+    assert arrive("teitenrui02b.csv", report(2, 25)) == {1: 10.0, 2: 15.0}
+    reasons = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in spark.read.parquet(bad).collect()}
+    assert reasons == {"teitenrui02.csv": "impossible values", "teitenrui03.csv": "too few rows"}
+    assert spark.read.parquet(raw).where("count < 0").isEmpty()
+
+
+def batch_of(spark, week, n):
+    rows = [r.split(",") for r in report(week, n).splitlines()]
+    rows[1] = [f"{week}th week, 2025"]
+    schema = "file string, rows array<array<string>>, error string"
+    return spark.createDataFrame([(f"x/teitenrui{week:02d}.csv", rows, None)], schema)
+
+
+def test_batches_run_again_after_a_crash(spark, tmp_path, monkeypatch):
+    paths = [str(tmp_path / n) for n in ("raw", "table", "bad")]
     for _ in range(2):
-        refresh.apply_batch(batch, str(tmp_path / "raw"), str(tmp_path / "table"))
-        assert spark.read.parquet(str(tmp_path / "table")).count() == 1
+        refresh.apply_batch(batch_of(spark, 1, 3), *paths, batch_id=0)
+        assert spark.read.parquet(paths[1]).count() == 1
+    with monkeypatch.context() as broken:
+        broken.setattr(refresh.snapshot, "refresh_years", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh.apply_batch(batch_of(spark, 2, 8), *paths, batch_id=1)
+    refresh.apply_batch(batch_of(spark, 2, 8), *paths, batch_id=1)
+    assert {r["week"]: r["count"] for r in spark.read.parquet(paths[1]).collect()} == {1: 3.0, 2: 5.0}
+    assert spark.read.parquet(paths[0]).count() == 2
+
+
+BULLET = """a
+b
+c
+Area,Mumps,
+,Current week,Cum
+Total No.,9,9
+Mie,{n},90
+"""
+
+
+def test_bullet_reports_arrive(spark, tmp_path):
+    arrive, *_ = landing(spark, tmp_path, "bullet")
+    assert arrive("2021-05-zensu.csv", BULLET.format(n=4)) == {5: 4}
+    assert arrive("2021-06-zensu.csv", BULLET.format(n=7)) == {5: 4, 6: 7}
+    assert arrive("new-2021-05-zensu.csv", BULLET.format(n=1)) == {5: 1, 6: 7}

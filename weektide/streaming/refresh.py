@@ -1,7 +1,9 @@
-"""Weekly files arrive -> the touched years of the sentinel table are recomputed and replaced.
+"""Weekly files arrive -> the touched years of a table are recomputed and replaced.
 
-The raw table is the state: every micro-batch adds its reports to it and rebuilds only the years it
-touched, so a batch that runs twice leaves the same tables.
+The state is append-only: every micro-batch writes its good reports to a folder of its own, named by the
+batch, so a batch that runs twice leaves the same state, and nothing that was stored is ever written
+over. What a report says now is decided when the state is read: the latest batch wins. Reports that cannot
+be used, or hold impossible values, go to a quarantine table and do not touch the state.
 """
 
 from __future__ import annotations
@@ -9,18 +11,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from weektide.model import COLS, REPORT_SCHEMA, Cols
+from weektide.model import COLS, REPORT_SCHEMA, VALID_YEARS, Cols
 from weektide.operators import combine, grid, quality, series, snapshot
-from weektide.operators.small import MAX_LITERALS, bounded_rows
 from weektide.sources import reports
 
+PARSERS = {"sentinel": grid.sentinel_to_long, "bullet": grid.bullet_to_long}
 
-def stream_reports(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """New CSV files of the landing folder as a stream of reports."""
+
+def stream_reports(spark: SparkSession, folder: str, kind: str | None = None, files_per_batch: int = 1000) -> DataFrame:
+    """New CSV files of the landing folder as a stream of reports; with ``kind`` those of one layout only."""
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
@@ -30,6 +33,8 @@ def stream_reports(spark: SparkSession, folder: str, files_per_batch: int = 1000
         .load(folder)
         .select("path", "content")
     )
+    if kind is not None:
+        files = files.where(reports.layout_of("path") == kind)
     return files.mapInPandas(reports.split_files(), REPORT_SCHEMA)
 
 
@@ -42,36 +47,81 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def apply_batch(arrived: DataFrame, raw_path: str, table_path: str, cols: Cols = COLS) -> None:
-    """Fold one batch of sentinel reports into the raw table and rebuild the years it touches.
+def _impossible(cols: Cols, columns: list[str]) -> Column:
+    """Values that no report can hold, row by row."""
+    bad = F.col(cols.date).isNull() | ~F.col(cols.year).between(*VALID_YEARS)
+    for value in (cols.count, cols.rate):
+        if value in columns:
+            bad |= F.coalesce(F.col(value) < 0, F.lit(False))
+    return bad
+
+
+def apply_batch(
+    arrived: DataFrame,
+    raw_path: str,
+    table_path: str,
+    quarantine_path: str,
+    batch_id: int = 0,
+    kind: str = "sentinel",
+    cols: Cols = COLS,
+) -> None:
+    """Add one batch of reports of one kind to the state and rebuild the years of the table that it touches.
 
-    A report that arrives again replaces the earlier one of the same key.
+    A report that arrives again replaces the earlier one of the same key. The rebuilt years are checked
+    before anything is written; a violation raises and leaves state and table as they are.
     """
-    spark = arrived.sparkSession
-    new = grid.sentinel_to_long(arrived, cols, anchor="monday").withColumn("arrival", F.lit(1)).persist()
+    arrived = arrived.where(reports.layout_of("file") == kind).persist()
     try:
-        _fold(spark, new, raw_path, table_path, cols)
+        parsed = PARSERS[kind](arrived, cols, anchor="monday", keep=("file",))
+        refused = parsed.where(_impossible(cols, parsed.columns)).select("file").distinct()
+        refused = refused.withColumn("reason", F.lit("impossible values")).persist()
+        new = parsed.join(refused, "file", "left_anti").drop("file").persist()
+        try:
+            _fold(new, grid.quarantine(arrived).unionByName(refused), raw_path, table_path, quarantine_path, batch_id, kind, cols)
+        finally:
+            new.unpersist()
+            refused.unpersist()
     finally:
-        new.unpersist()
-
-
-def _fold(spark: SparkSession, new: DataFrame, raw_path: str, table_path: str, cols: Cols) -> None:
-    years = bounded_rows(new.select(cols.year).distinct(), MAX_LITERALS)
-    if years is None:
-        raise ValueError(f"One batch touches more than {MAX_LITERALS} years")
-    if not years:
-        return
-    touched = [r[0] for r in years]
-    raw = _existing(spark, raw_path)
-    if raw is not None:
-        old = raw.where(F.col(cols.year).isin(touched)).withColumn("arrival", F.lit(0))
-        new = new.unionByName(old, allowMissingColumns=True)
+        arrived.unpersist()
+
+
+def current_rows(spark: SparkSession, raw_path: str, cols: Cols = COLS) -> DataFrame | None:
+    """The state as it stands: for each key the row of the latest batch."""
+    stored = _existing(spark, raw_path)
+    return None if stored is None else _latest(stored, cols)
+
+
+def _latest(rows: DataFrame, cols: Cols) -> DataFrame:
     keys = [cols.area, cols.year, cols.week, cols.condition]
-    current = combine.dedup_first(new, -F.col("arrival"), keys, cols).drop("arrival")
-    snapshot.refresh_years(current, raw_path, cols)
-    stored = spark.read.parquet(raw_path).where(F.col(cols.year).isin(touched))
-    weekly = series.cumulative_to_weekly(stored, cols, unique=True)
-    snapshot.refresh_years(quality.validate(weekly, cols=cols), table_path, cols)
+    return combine.dedup_first(rows, -F.col("batch"), keys, cols).drop("batch")
+
+
+def _fold(
+    new: DataFrame,
+    bad: DataFrame,
+    raw_path: str,
+    table_path: str,
+    quarantine_path: str,
+    batch_id: int,
+    kind: str,
+    cols: Cols,
+) -> None:
+    spark = new.sparkSession
+    rows, stored = new.withColumn("batch", F.lit(batch_id)), _existing(spark, raw_path)
+    if stored is not None:
+        others = stored.where(F.col("batch") != batch_id).join(new.select(cols.year).distinct(), cols.year, "left_semi")
+        rows = rows.unionByName(others.withColumn("batch", F.col("batch").cast("int")), allowMissingColumns=True)
+    now = _latest(rows, cols)
+    table = series.cumulative_to_weekly(now, cols, unique=True) if kind == "sentinel" else now
+    table = table.persist()
+    try:
+        quality.validate(table, cols=cols)
+        bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+        new.write.mode("overwrite").parquet(f"{raw_path}/batch={batch_id}")
+        if not table.isEmpty():
+            snapshot.refresh_years(table, table_path, cols)
+    finally:
+        table.unpersist()
 
 
 def start_refresh(
@@ -79,19 +129,21 @@ def start_refresh(
     folder: str,
     raw_path: str,
     table_path: str,
+    quarantine_path: str,
     checkpoint: str,
+    kind: str = "sentinel",
     cols: Cols = COLS,
     on_batch: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """Run :func:`apply_batch` on everything that has arrived, then stop."""
+    """Run :func:`apply_batch` on the reports of one kind that have arrived, then stop."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, raw_path, table_path, cols)
+        apply_batch(batch, raw_path, table_path, quarantine_path, batch_id, kind, cols)
         if on_batch:
             on_batch(batch_id)
 
     return (
-        stream_reports(spark, folder)
+        stream_reports(spark, folder, kind)
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
