@@ -31,15 +31,6 @@ def test_prefer_primary_with_null_conditions_in_primary(spark):
     assert [tuple(r) for r in got] == [("A", 1), ("B", 4), (None, 2)]
 
 
-def test_small_side_beyond_the_bound_is_joined_by_shuffle(spark):
-    from weektide.operators.small import as_small_side, bounded_rows
-
-    df = spark.range(100)
-    assert bounded_rows(df, 99) is None and len(bounded_rows(df, 100)) == 100
-    assert as_small_side(df, 10) is df
-    assert as_small_side(df, 100).count() == 100
-
-
 def test_merge_needs_two_tables(spark):
     with pytest.raises(ValueError, match="at least two tables"):
         wt.merge(spark.range(1))
@@ -74,15 +65,19 @@ def test_merge_appends_further_tables(spark):
 def test_table_kinds():
     keys = ["prefecture", "year", "week", "date"]
     assert combine.table_kind(["disease", "cases"]) == "long"
-    assert combine.table_kind([*keys, "Measles weekly"]) == "bullet"
-    assert combine.table_kind([*keys, "a", "b", "c"]) == "sex"
-    assert combine.table_kind([*keys, "a", "b", "c", "d"]) == "place"
-    assert combine.table_kind([*keys, "a"]) == "unknown"
+    assert combine.table_kind([*keys, "Rubella weekly"]) == "bullet"
+    assert combine.table_kind([*keys, "Rubella total", "Rubella Male weekly"]) == "sex"
+    assert combine.table_kind([*keys, *(f"{d} {c}" for d in "abc" for c in ("Japan", "Others", "Unknown", "x"))]) == "place"
+    assert combine.table_kind([*keys, "a", "b", "c"]) is None
+    assert combine.table_kind([*keys, "a male", "a unknown"]) is None
 
 
-def test_bullet_names_are_aligned(spark):
-    df = wide(spark, [("Tokyo", 2024, 1, DAY, 1.0)], ["Measles weekly"])
-    assert combine.align_names(df).columns[-1] == "Measles total"
+def test_names_are_aligned(spark):
+    df = wide(spark, [("Nara", 2024, 1, DAY, 1.0, 2.0)], ["Mumps weekly", "biweekly x"])
+    assert combine.align_names(df).columns[-2:] == ["Mumps total", "biweekly x"]
+    place = wide(spark, [("Nara", 2024, 1, DAY, 1.0, 2.0)], ["Mumps Unknown", "Mumps Others"])
+    assert combine.align_names(place).columns[-2:] == ["Mumps Unknown place", "Mumps Other places"]
+    assert combine.align_names(place, kind="sex").columns == place.columns
 
 
 def test_area_codes(spark):
@@ -98,9 +93,8 @@ def test_area_codes(spark):
 def test_alias_join(spark):
     df = spark.createDataFrame([("a", 1), ("z", 2), (None, 3)], "disease string, n int")
     aliases = spark.createDataFrame([("a", "A")], "raw string, canonical string")
-    for bound in (None, 10):
-        got = {tuple(r) for r in combine.alias_join(df, aliases, "disease", bound).collect()}
-        assert got == {("A", 1), ("z", 2), (None, 3)}
+    got = {tuple(r) for r in combine.alias_join(df, aliases, "disease").collect()}
+    assert got == {("A", 1), ("z", 2), (None, 3)}
 
 
 def test_relaxed_union(spark):
@@ -160,12 +154,12 @@ def test_pivot_of_an_unknown_shape(spark):
         wt.pivot(spark.range(1))
 
 
-def test_pivot_refuses_too_many_columns(spark, monkeypatch):
-    monkeypatch.setattr(reshape, "MAX_PIVOT_COLUMNS", 3)
-    df = spark.range(5).select(F.lit("a").alias("prefecture"), F.lit(1).alias("year"), F.lit(1).alias("week"),
-                               F.lit(DAY).alias("date"), F.col("id").cast("string").alias("disease"), F.lit(1).alias("cases"))
-    with pytest.raises(ValueError, match="More than 3"):
-        wt.pivot(df)
+def test_pivot_refuses_two_values_for_one_cell(spark):
+    df = spark.range(2).select(F.lit("a").alias("prefecture"), F.lit(1).alias("year"), F.lit(1).alias("week"),
+                               F.lit(DAY).alias("date"), F.lit("Mumps").alias("disease"), F.col("id").alias("cases"))
+    assert wt.pivot(df.where("id = 1")).first()["Mumps"] == 1
+    with pytest.raises(Exception, match="More than one value of Mumps"):
+        wt.pivot(df).collect()
 
 
 def test_unpivot_of_mixed_types(spark):

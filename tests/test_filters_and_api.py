@@ -39,10 +39,20 @@ def test_dimension_gives_the_same_rows(spark):
     assert sorted(plain.collect()) == sorted(fast.collect())
 
 
-def test_dimension_lets_the_scan_prune(mini):
+def test_dimension_is_a_lazy_semi_join(mini):
     table = mini.load("unified")
-    plan = filters.match_conditions(table, ["^m", "^t"], dimension=table)._jdf.queryExecution().toString()
-    assert "PushedFilters: [In(disease" in plan
+    plan = filters.match_conditions(table, ["^m", "^t"], dimension=table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan
+
+
+def test_null_is_missing_and_nan_is_not(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 1.0)], "a int, b double")
+    assert {r["a"] for r in filters.with_value(df, "b").collect()} == {1, 3}
+
+
+def test_made_up_headers(spark):
+    df = spark.range(1).selectExpr("1 AS _c0", "2 AS _count", "3 AS field_1", "4 AS x")
+    assert filters.named_columns(df).columns == ["_count", "x"]
 
 
 def test_areas_are_exact(mini):

@@ -11,8 +11,6 @@ from weektide.operators import aggregate, filters, grid
 from weektide.sources import reports
 from weektide.sources.catalog import Catalog
 
-MAX_LISTED = 100_000
-
 
 def load(catalog: Catalog, name: str) -> DataFrame:
     """Table by name or alias."""
@@ -35,10 +33,8 @@ def get_data(
 
 
 def _listed(df: DataFrame) -> list:
-    rows = df.limit(MAX_LISTED + 1).collect()
-    if len(rows) > MAX_LISTED:
-        raise ValueError(f"More than {MAX_LISTED} values; use the table form instead")
-    return [r[0] for r in rows]
+    """All values, fetched partition by partition; for very many the table form is the better one."""
+    return [r[0] for r in df.toLocalIterator()]
 
 
 def diseases(catalog: Catalog, source: str = "all") -> DataFrame:
@@ -85,40 +81,31 @@ def read(
 
     ``source`` is a path of weekly CSV files, a table of their rows (``file, rows, error``), or a
     cell-grid table (``file, sheet, row_idx, cells``) for the yearly workbooks. The
-    layout is taken from the file names unless ``type`` is given; a folder of CSV files with any
-    sentinel report in it is read as sentinel.
+    layout of each CSV file is taken from its own name, so that a folder may hold both. With ``type``, only
+    the files of that layout in a folder are read, and a single file is read as told. What is left out,
+    and why, is told by :func:`weektide.operators.grid.quarantine`.
     """
+    weeks = None if weeks is None else sorted({int(w) for w in weeks})
     if isinstance(source, DataFrame):
         if type is None:
             raise ValueError("A table needs 'type'")
         cells = source
     else:
-        if type is None:
-            named = source.lower().endswith((".csv", ".xls", ".xlsx"))
-            type = reports.detect_layout(source) if named else _folder_layout(spark, source)
+        single = source.lower().endswith((".csv", ".xls", ".xlsx"))
+        if single and type is None:
+            type = reports.detect_layout(source)
         if type in ("sex", "place"):
             raise ValueError("Workbooks are read from a cell-grid table")
         cells = reports.read_reports(spark, source, weeks)
+        if type is None:
+            return grid.reports_to_long(cells, cols, year=year, weeks=weeks)
+        if not single:
+            cells = cells.where(reports.layout_of("file") == type)
     if type == "bullet":
-        return grid.bullet_to_long(cells, cols, year=year)
+        return grid.bullet_to_long(cells, cols, year=year, weeks=weeks)
     if type == "sentinel":
-        return grid.sentinel_to_long(cells, cols, year=year)
+        return grid.sentinel_to_long(cells, cols, year=year, weeks=weeks)
     if type in ("sex", "place"):
         return grid.workbook_to_long(cells, cols)
     raise ValueError(f"Unknown dataset type: {type}")
 
-
-def _folder_layout(spark: SparkSession, path: str) -> str:
-    """Layout of a folder from its file names; the files are listed, not read."""
-    names = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(reports.layout_of("path").alias("layout"))
-        .distinct()
-    )
-    found = {r["layout"] for r in names.collect()}
-    if not found:
-        raise ValueError(f"File names do not tell the report layout, give 'type': {path}")
-    return "sentinel" if "sentinel" in found else "bullet"

@@ -87,8 +87,6 @@ SOURCE_GROUPS = {
     "sentinel": (SENTINEL,),
 }
 
-CATEGORIES = ("total", "female", "male", "japan", "others", "unknown")
-
 VALID_YEARS = (1999, 2030)
 VALID_WEEKS = (1, 53)
 
@@ -134,9 +132,9 @@ CONDITION_ALIASES = {
     "West Nile fever(including West Nile encephalitis)": "West Nile fever",
 }
 
-# Workbook years: sheet number -> week offset, and the last sheet that holds a week.
+# The first yearly workbook and the week it begins with.
 FIRST_WORKBOOK_YEAR = 1999
-LONG_WORKBOOK_YEARS = (2004, 2009, 2015)
+FIRST_WORKBOOK_WEEK = 14
 
 
 def area_codes() -> dict[str, str]:

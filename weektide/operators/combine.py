@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -9,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weektide.model import COLS, Cols, area_codes, observation_schema
-from weektide.operators.small import as_small_side
 
 
 def _quoted(name: str) -> Column:
@@ -19,43 +19,45 @@ def _quoted(name: str) -> Column:
 # -- wide-table merge -------------------------------------------------------------------------
 
 
-# Marks of a weekly table, value columns per condition of the historical tables, and
-# the words each kind uses for what the other kinds call differently.
-WEEKLY_MARKS = ("weekly", "cumulative", "total")
-COLUMNS_PER_CONDITION = {"sex": 3, "place": 4}
-KIND_WORDS = {
+# What the headers of a table of each kind speak of, and the words that it shares with another kind.
+CATEGORIES_OF_KIND = {"sex": {"male", "female"}, "place": {"japan", "imported", "others", "unknown"}}
+SHARED_WORDS = {
     "place": {"Unknown": "Unknown place", "Others": "Other places"},
     "bullet": {"weekly": "total"},
 }
 
 
-def table_kind(columns: Sequence[str], cols: Cols = COLS, value: str = "cases") -> str:
-    """Kind of a table by its column names alone: long, bullet, sex, place or unknown."""
-    if {cols.condition, value} <= set(columns):
+def table_kind(columns: Sequence[str], cols: Cols = COLS, value: str = "cases") -> str | None:
+    """Kind of a table by the categories that its headers name; None if they name none, or those of two kinds."""
+    if cols.condition in columns and value in columns:
         return "long"
-    if any(mark in column.lower() for column in columns for mark in WEEKLY_MARKS):
+    words = {w for c in columns if c not in cols.period for w in re.findall("[a-z]+", c.lower())}
+    kinds = [kind for kind, categories in CATEGORIES_OF_KIND.items() if words & categories]
+    if not kinds and words & {"weekly", "cumulative"}:
         return "bullet"
-    values = len(columns) - len(cols.period)
-    fitting = [kind for kind, width in COLUMNS_PER_CONDITION.items() if values > 0 and values % width == 0]
-    return fitting[0] if fitting else "unknown"
+    return kinds[0] if len(kinds) == 1 else None
 
 
-def align_names(df: DataFrame, cols: Cols = COLS) -> DataFrame:
-    """Rename value columns so that tables of different kinds do not clash."""
-    words = KIND_WORDS.get(table_kind(df.columns, cols), {})
-    renamed = {c: reduce(lambda name, w: name.replace(w, words[w]), words, c) for c in df.columns}
-    return df.withColumnsRenamed({old: new for old, new in renamed.items() if old != new})
+def align_names(df: DataFrame, cols: Cols = COLS, kind: str | None = None) -> DataFrame:
+    """Rename value columns whose words mean something else in a table of another kind."""
+    words = SHARED_WORDS.get(kind or table_kind(df.columns, cols) or "", {})
+    if not words:
+        return df
+    pattern = re.compile("|".join(rf"\b{w}\b" for w in words))
+    return df.toDF(*(c if c in cols.period else pattern.sub(lambda m: words[m[0]], c) for c in df.columns))
 
 
-def merge(*dfs: DataFrame, cols: Cols = COLS, suffix: str = "_right") -> DataFrame:
+def merge(*dfs: DataFrame, cols: Cols = COLS, suffix: str = "_right", kinds: Sequence[str | None] = ()) -> DataFrame:
     """Full outer join of the first two tables on (area, year, week, date); further ones are appended.
 
+    ``kinds`` of the tables (sex, place, bullet, long) may be given; else their headers tell.
     A value column that both tables have gets ``suffix`` on the second one. Rows with a null key
     match nothing, so they bypass the join instead of meeting in one shuffle partition.
     """
     if len(dfs) < 2:
         raise ValueError("merge needs at least two tables")
-    left, right, *rest = [align_names(df, cols) for df in dfs]
+    told = [*kinds, *[None] * len(dfs)]
+    left, right, *rest = [align_names(df, cols, kind) for df, kind in zip(dfs, told, strict=False)]
     keys = list(cols.period)
     clash = {c: c + suffix for c in right.columns if c in left.columns and c not in keys}
     right = right.withColumnsRenamed(clash)
@@ -69,16 +71,12 @@ def merge(*dfs: DataFrame, cols: Cols = COLS, suffix: str = "_right") -> DataFra
 # -- dimensions -------------------------------------------------------------------------------
 
 
-def attach_dimension(
-    df: DataFrame, dimension: DataFrame, on: str, max_rows: int | None = None
-) -> DataFrame:
+def attach_dimension(df: DataFrame, dimension: DataFrame, on: str) -> DataFrame:
     """Left join to a dimension with one row per key; unmatched rows get nulls.
 
-    With ``max_rows`` the dimension is measured first and broadcast when it is within the bound;
-    without it Spark decides by table statistics.
+    Spark decides by the size that it measures whether the dimension is broadcast.
     """
-    side = as_small_side(dimension, max_rows) if max_rows is not None else dimension
-    return df.join(side, on, "left")
+    return df.join(dimension, on, "left")
 
 
 def attach_prefecture_id(
@@ -93,10 +91,10 @@ def attach_prefecture_id(
     return df.withColumn(id_col, F.try_element_at(pairs, _quoted(prefecture_col)))
 
 
-def alias_join(df: DataFrame, aliases: DataFrame, column: str, max_rows: int | None = None) -> DataFrame:
+def alias_join(df: DataFrame, aliases: DataFrame, column: str) -> DataFrame:
     """Replace names by a lookup table ``(raw, canonical)``; unknown names stay."""
     side = aliases.select(F.col("raw").alias(column), "canonical")
-    out = attach_dimension(df, side, column, max_rows)
+    out = attach_dimension(df, side, column)
     return out.withColumn(column, F.coalesce("canonical", column)).drop("canonical").select(*df.columns)
 
 
@@ -148,12 +146,11 @@ def default_category(df: DataFrame, cols: Cols = COLS, value: str = "total") ->
 def absent_from(secondary: DataFrame, primary: DataFrame, cols: Cols = COLS) -> DataFrame:
     """Secondary rows of conditions the primary table never reports; rows without one are dropped.
 
-    The primary conditions are measured first (one job on one column): a short list travels as a
-    local table, a long one is joined by shuffle.
+    An anti-join with the distinct conditions, folded before the shuffle.
     """
     known = primary.select(cols.condition).where(F.col(cols.condition).isNotNull()).distinct()
     named = secondary.where(F.col(cols.condition).isNotNull())
-    return named.join(as_small_side(known), cols.condition, "left_anti").select(*secondary.columns)
+    return named.join(known, cols.condition, "left_anti").select(*secondary.columns)
 
 
 def prefer_primary(primary: DataFrame, secondary: DataFrame, cols: Cols = COLS) -> DataFrame:

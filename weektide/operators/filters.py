@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 
 from weektide.functions import text
 from weektide.model import COLS, SOURCE_GROUPS, Cols
-from weektide.operators.small import MAX_LITERALS, as_small_side, bounded_rows
 
 Range = int | tuple[int, int] | None
 
@@ -47,15 +47,12 @@ def match_conditions(
     """Rows whose condition matches any pattern, ignoring case; no pattern, or a null name, gives no row.
 
     Patterns are regular expressions unless ``literal``. A regular expression cannot be pushed into
-    a Parquet scan; with a ``dimension`` of condition names the patterns are resolved on the names
-    (one small job) and the table is filtered by value, which prunes row groups.
+    a Parquet scan; with a ``dimension`` of condition names the patterns run on the names only, and the
+    rows are kept by a semi-join, which the adaptive plan broadcasts where the names are few.
     """
     if dimension is None:
         return df.where(_matches(F.col(cols.condition), patterns, literal))
     names = dimension.select(cols.condition).where(_matches(F.col(cols.condition), patterns, literal)).distinct()
-    found = bounded_rows(names, MAX_LITERALS)
-    if found is not None:
-        return df.where(F.col(cols.condition).isin([r[0] for r in found]))
     return df.join(names, cols.condition, "left_semi")
 
 
@@ -117,21 +114,16 @@ def in_categories(df: DataFrame, categories: str | Iterable[str], cols: Cols = C
 
 def with_value(df: DataFrame, *columns: str) -> DataFrame:
     """Rows where all the columns are set."""
-    return df.dropna(subset=list(columns))
+    return df.where(reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in columns], F.lit(True)))
 
 
 def exclude_years(df: DataFrame, other: DataFrame, cols: Cols = COLS) -> DataFrame:
     """Rows of years that ``other`` does not cover; rows without a year are dropped.
 
-    The years of ``other`` are read first (one job on one column), so that the filter is a literal
-    list and a table partitioned by year skips the folders.
+    An anti-join with the distinct years, folded before the shuffle; nothing runs while the plan is built.
     """
     years = other.select(F.col(cols.year).alias("_year")).where("_year IS NOT NULL").distinct()
-    known = bounded_rows(years, MAX_LITERALS)
-    kept = df.where(F.col(cols.year).isNotNull())
-    if known is not None:
-        return kept.where(~F.col(cols.year).isin([r[0] for r in known])) if known else kept
-    return kept.join(as_small_side(years), F.col(cols.year) == F.col("_year"), "left_anti")
+    return df.where(F.col(cols.year).isNotNull()).join(years, F.col(cols.year) == F.col("_year"), "left_anti")
 
 
 def project(
@@ -147,7 +139,11 @@ def project(
     return out.withColumns({name: F.lit(v) for name, v in literals.items()}) if literals else out
 
 
-def named_columns(df: DataFrame, generated: Sequence[str] = ("_duplicated_", "field_", "_c")) -> DataFrame:
-    """Drop columns whose header was made up by a CSV reader (unnamed, cumulative ones)."""
-    keep = [c for c in df.columns if c.strip() and not c.startswith(tuple(generated))]
+def named_columns(df: DataFrame, generated: Sequence[str] = ("_duplicated_", "field_", r"_c\d+$")) -> DataFrame:
+    """Drop columns whose header was made up by a CSV reader (unnamed, cumulative ones).
+
+    ``generated``: expressions for the beginning of such a header.
+    """
+    made_up = re.compile("|".join(f"(?:{g})" for g in generated) or r"(?!)")
+    keep = [c for c in df.columns if c.strip() and not made_up.match(c)]
     return df.select(*[F.col(f"`{c}`") for c in keep])

@@ -27,8 +27,6 @@ BULLET_HEADER_ROW, BULLET_FIRST_ROW = 3, 5
 JA_NAME_ROW, JA_KIND_ROW, JA_FIRST_ROW = 2, 3, 4
 MIN_ROWS_WORKBOOK, MIN_ROWS_EN, MIN_ROWS_JA = 5, 6, 5
 METRIC_MARK = "current week"
-# "total", also with full-width letters, which the cleaning folds.
-MAYBE_TOTAL = "(?i)t[oＯ]t[aＡ]l"
 CATEGORY_MARKS = ("male", "female", "japan", "others", "unknown")
 
 
@@ -45,14 +43,11 @@ def _tail(cells: Column | str) -> Column:
 # -- workbook blocks ----------------------------------------------------------------------------
 
 
-def _is_category_row(cells: Column | str) -> Column:
-    """A total and a category stand in the row. One pattern over the whole row rules out most rows."""
-    tail = _tail(cells)
-    maybe = F.array_join(tail, "\n").rlike(MAYBE_TOTAL)
-    has_total = F.exists(tail, lambda c: F.lower(text.clean_cell(c)).contains("total"))
-    has_mark = F.exists(tail, lambda c: F.lower(text.clean_cell(c)).rlike("|".join(CATEGORY_MARKS)))
-    no = F.lit(False)
-    return F.coalesce(maybe, no) & F.coalesce(has_total, no) & F.coalesce(has_mark, no)
+def _is_category_row(cleaned: str) -> Column:
+    """A total and a category stand in the row of cleaned cells."""
+    has_total = F.exists(cleaned, lambda c: F.lower(c).contains("total"))
+    has_mark = F.exists(cleaned, lambda c: F.lower(c).rlike("|".join(CATEGORY_MARKS)))
+    return F.coalesce(has_total, F.lit(False)) & F.coalesce(has_mark, F.lit(False))
 
 
 def _has_names(cells: Column | str) -> Column:
@@ -62,7 +57,7 @@ def _has_names(cells: Column | str) -> Column:
 def fill_header(names: Column, categories: Column, aliases: Aliases = None) -> Column:
     """Merged two-row header -> one struct(name, category) per column.
 
-    The last name is carried to the right; a repeated (name, category) keeps its first column only,
+    ``categories`` are cleaned cells, ``names`` raw ones. The last name is carried to the right; a repeated (name, category) keeps its first column only,
     the others become null. Names are normalised last.
     """
     empty = F.array().cast("array<struct<name:string,category:string>>")
@@ -74,7 +69,7 @@ def fill_header(names: Column, categories: Column, aliases: Aliases = None) -> C
             done,
             F.struct(
                 F.coalesce(text.clean_cell(pair["name"]), carried, F.lit("Unknown")).alias("name"),
-                text.let(text.clean_cell(pair["category"]), text.classify_category).alias("category"),
+                text.classify_category(pair["category"]).alias("category"),
             ),
         )
 
@@ -100,11 +95,11 @@ def find_blocks(
     the first header, the category rows and the headers themselves are left out.
     Result: file, sheet, block (row number of the header), row_idx, cells, header.
 
-    One shuffle, by sheet and chunk: no operation here groups a whole sheet. Whether any sheet is
-    longer than a chunk is looked up first (one job, a pushed-down filter on the row number).
+    Rows are shuffled by sheet and chunk: no operation here groups a whole sheet; one row per chunk carries
+    a header over the borders. The cells of a row are cleaned once, before anything is looked for in them.
     """
-    longer = not _readable(grid).where(F.col("row_idx") >= chunk_rows).isEmpty()
-    marked = _readable(grid).withColumn("_cat", F.when(_is_category_row("cells"), _tail("cells")))
+    cleaned = with_computed(_readable(grid), {"_clean": F.transform(_tail("cells"), lambda c: text.clean_cell(c))})
+    marked = cleaned.withColumn("_cat", F.when(_is_category_row("_clean"), F.col("_clean"))).drop("_clean")
     g = with_next_row(marked, SHEET, "row_idx", "_cat", "_next", chunk_rows).drop("_cat")
     head = F.when(
         F.col("_next").isNotNull() & _has_names("cells"),
@@ -112,7 +107,7 @@ def find_blocks(
             F.col("row_idx").alias("row"), fill_header(_tail("cells"), F.col("_next"), aliases).alias("header")
         ),
     )
-    rows = carry_forward(g.withColumn("_head", head).drop("_next"), SHEET, "row_idx", "_head", "_block", longer)
+    rows = carry_forward(g.withColumn("_head", head).drop("_next"), SHEET, "row_idx", "_head", "_block")
     # Only the first rows can belong to a short sheet, and their chunk tells how long it is.
     long_enough = (F.col("row_idx") >= min_rows - 1) | (F.col("_last_in_chunk") >= min_rows - 1)
     return rows.where((F.col("row_idx") >= F.col("_block.row") + 2) & long_enough).select(
@@ -218,11 +213,18 @@ def bullet_to_long(
     aliases: Aliases = None,
     year: int | None = None,
     anchor: str = "monday",
+    weeks: list[int] | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Weekly CSV of one value column per condition -> long confirmed cases, without total rows."""
+    """Weekly CSV of one value column per condition -> long confirmed cases, without total rows.
+
+    ``keep``: columns of the reports, such as ``file``, that go with every row.
+    """
     usable = bullet_headers(reports_df, aliases, year).where(F.col("reason").isNull())
+    if weeks is not None:
+        usable = usable.where(F.col("week").isin([int(w) for w in weeks]))
     rows = with_computed(usable, {"date": calendar.week_date("year", "week", anchor)}).select(
-        "year", "week", "date", "heads", F.explode(_data_rows(F.col("first_row"))).alias("cells")
+        *keep, "year", "week", "date", "heads", F.explode(_data_rows(F.col("first_row"))).alias("cells")
     )
     values = F.transform(
         "heads", lambda h: F.struct(h["label"].alias("label"), cell("cells", h["pos"]).alias("raw"))
@@ -230,8 +232,9 @@ def bullet_to_long(
     return (
         rows.withColumn("_area", text.strip(cell("cells", 0)))
         .where((F.col("_area") != "") & ~text.is_total_row("_area", "prefix"))
-        .select("_area", "year", "week", "date", F.inline(values))
+        .select(*keep, "_area", "year", "week", "date", F.inline(values))
         .select(
+            *keep,
             F.col("_area").alias(cols.area),
             F.col("label").alias(cols.condition),
             numbers.parse_count("raw").alias(cols.count),
@@ -331,6 +334,7 @@ def sentinel_to_long(
     weeks: list[int] | None = None,
     layout: str | None = None,
     anchor: str = "sunday",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Weekly CSV of (count, rate) column pairs -> long sentinel reports, English or Japanese per file."""
     usable = sentinel_headers(reports_df, aliases, year).where(F.col("reason").isNull())
@@ -339,7 +343,7 @@ def sentinel_to_long(
     if weeks is not None:
         usable = usable.where(F.col("week").isin([int(w) for w in weeks]))
     rows = with_computed(usable, {"date": calendar.week_date("year", "week", anchor)}).select(
-        "layout", "year", "week", "date", "heads", F.explode(_data_rows(F.col("first_row"))).alias("cells")
+        *keep, "layout", "year", "week", "date", "heads", F.explode(_data_rows(F.col("first_row"))).alias("cells")
     )
     english = F.col("layout") == "english"
     area = F.when(english, text.strip(cell("cells", 0))).otherwise(text.clean_cell(cell("cells", 0)))
@@ -358,8 +362,9 @@ def sentinel_to_long(
     return (
         rows.withColumn("_area", area)
         .where((F.col("_area") != "") & ~is_total)
-        .select("_area", "layout", "year", "week", "date", F.inline(pairs))
+        .select(*keep, "_area", "layout", "year", "week", "date", F.inline(pairs))
         .select(
+            *keep,
             F.col("_area").alias(cols.area),
             F.col("label").alias(cols.condition),
             F.col("year").alias(cols.year),
@@ -383,3 +388,37 @@ def quarantine(reports_df: DataFrame) -> DataFrame:
         reports_df.where(layout.isNull()).select("file", F.lit("unknown layout").alias("reason")),
     ]
     return combine.union_strict(*parts).where(F.col("reason").isNotNull())
+
+
+def reports_to_long(
+    reports_df: DataFrame,
+    cols: Cols = COLS,
+    aliases: Aliases = None,
+    year: int | None = None,
+    weeks: list[int] | None = None,
+) -> DataFrame:
+    """Weekly CSV of both layouts, each file parsed by the layout of its own name; other files give nothing."""
+    layout = reports.layout_of("file")
+    return combine.union_relaxed(
+        bullet_to_long(reports_df.where(layout == "bullet"), cols, aliases, year, weeks=weeks),
+        sentinel_to_long(reports_df.where(layout == "sentinel"), cols, aliases, year, weeks),
+    )
+
+
+def quarantine_sheets(grid: DataFrame, min_rows: int = MIN_ROWS_WORKBOOK) -> DataFrame:
+    """(file, sheet, reason) of workbook sheets that give no observation."""
+    cleaned = with_computed(_readable(grid), {"_clean": F.transform(_tail("cells"), lambda c: text.clean_cell(c))})
+    sheets = cleaned.groupBy(*SHEET).agg(
+        F.max("row_idx").alias("last"), F.max(_is_category_row("_clean")).alias("has_header")
+    )
+    year = reports.year_from_name("file")
+    reason = (
+        F.when(year.isNull(), "unknown period")
+        .when(reports.sheet_week(year, "sheet").isNull(), "no week")
+        .when(F.col("last") < min_rows - 1, "too few rows")
+        .when(~F.col("has_header"), "no header")
+    )
+    out = sheets.select(*SHEET, reason.alias("reason")).where("reason IS NOT NULL")
+    if "error" in grid.columns:
+        out = out.unionByName(grid.where("error IS NOT NULL").select(*SHEET, F.col("error").alias("reason")).distinct())
+    return out

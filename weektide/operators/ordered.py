@@ -36,20 +36,14 @@ def with_next_row(
     )
 
 
-def carry_forward(
-    df: DataFrame, group: list[str], order: str, column: str, out: str, over_borders: bool = True
-) -> DataFrame:
+def carry_forward(df: DataFrame, group: list[str], order: str, column: str, out: str) -> DataFrame:
     """Add the last non-null value of ``column`` up to and including the row.
 
-    Expects the ``_chunk`` column of :func:`with_next_row` and reuses its partitioning. With
-    ``over_borders=False`` every group is known to fit into one chunk; else a table of one row per
-    chunk carries values from chunk to chunk.
+    Expects the ``_chunk`` column of :func:`with_next_row` and reuses its partitioning. A table
+    of one row per chunk carries values from chunk to chunk.
     """
     inside = Window.partitionBy(*group, _CHUNK).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     here = df.withColumn(out, F.last(column, ignorenulls=True).over(inside))
-    if not over_borders:
-        return here.drop(_CHUNK)
-
     before = Window.partitionBy(*group).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     last_in_chunk = F.max_by(column, F.when(F.col(column).isNotNull(), F.col(order)))
     border = (

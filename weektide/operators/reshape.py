@@ -11,17 +11,13 @@ from pyspark.sql import types as T
 
 from weektide.functions import text
 from weektide.model import COLS, Cols
-from weektide.operators.small import bounded_rows
 
-MAX_PIVOT_COLUMNS = 10_000
 SEPARATOR = "||"
 
 
 def _values(df: DataFrame, column: str) -> list:
-    """Distinct values that become columns; too many are an error, never a silent cut."""
-    rows = bounded_rows(df.select(column).where(F.col(column).isNotNull()).distinct(), MAX_PIVOT_COLUMNS)
-    if rows is None:
-        raise ValueError(f"More than {MAX_PIVOT_COLUMNS} values of {column} cannot become columns")
+    """Distinct values that become columns: a job, as the columns of a table must be known to name them."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in rows)
 
 
@@ -31,9 +27,19 @@ def pivot_long(
     conditions: Sequence[str] | None = None,
     cols: Cols = COLS,
 ) -> DataFrame:
-    """One column per condition. Without a list of conditions their names are read first (one job)."""
+    """One column per condition; two values for one cell are an error.
+
+    Without a list of conditions their names are read first (one job).
+    """
     names = list(conditions) if conditions is not None else _values(df, cols.condition)
-    return df.groupBy(*cols.period).pivot(cols.condition, names).agg(F.max(value))
+    wide = df.groupBy(*cols.period).pivot(cols.condition, names).agg(F.max(value).alias("v"), F.count(F.lit(1)).alias("n"))
+    kind = df.schema[value].dataType
+
+    def single(name: str):
+        twice = F.raise_error(F.lit(f"More than one value of {name} for one key")).cast(kind)
+        return F.when(F.col(f"`{name}_n`") > 1, twice).otherwise(F.col(f"`{name}_v`")).alias(name)
+
+    return wide.select(*cols.period, *map(single, names))
 
 
 def unpivot_wide(

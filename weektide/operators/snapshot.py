@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +13,6 @@ from weektide.model import COLS, Cols
 from weektide.operators.combine import union_relaxed
 from weektide.operators.filters import exclude_years
 
-_CHUNK_BYTES = 8 * 1024 * 1024
 
 
 # -- writes -----------------------------------------------------------------------------------
@@ -160,35 +157,27 @@ def profile(df: DataFrame, cols: Cols = COLS) -> DataFrame:
 # -- file checks ------------------------------------------------------------------------------
 
 
-def _digest_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(path)
-            digest = hashlib.sha256()
-            with system.open_input_stream(inner) as stream:
-                while block := stream.read(_CHUNK_BYTES):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)
+def content_inventory(contents: DataFrame, name: str = "file", content: str = "content") -> DataFrame:
+    """(file, size_bytes, sha256) of a table of names and contents, text or binary; a null content has neither."""
+    data = F.col(content).cast("binary")
+    return contents.select(
+        F.col(name).cast("string").alias("file"), F.octet_length(data).cast("long").alias("size_bytes"), F.sha2(data, 256).alias("sha256")
+    )
 
 
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """(file, size_bytes, sha256) of the files below a folder.
+    """(file, size_bytes, sha256) of the files below a folder, on every file system that Spark reads.
 
-    Files are listed by Spark and hashed in blocks by the tasks, so no file has to fit in memory.
+    A file has to fit in memory: Spark's source hands it over whole.
     """
-    listed = (
+    files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select("path", F.col("length").alias("size_bytes"))
+        .select(F.regexp_extract("path", r"[^/]+$", 0).alias("file"), "content")
     )
-    hashed = listed.repartition("path").mapInPandas(_digest_files, "path string, size_bytes long, sha256 string")
-    return hashed.select(F.regexp_extract("path", r"[^/]+$", 0).alias("file"), "size_bytes", "sha256")
+    return content_inventory(files)
 
 
 def verify_files(inventory: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -197,12 +186,12 @@ def verify_files(inventory: DataFrame, manifest: DataFrame) -> DataFrame:
     want = manifest.select(
         "file", F.col("size_bytes").alias("_size"), F.col("sha256").alias("_sha"), F.lit(True).alias("_listed")
     )
-    both = inventory.join(want, "file", "full")
+    both = inventory.withColumn("_here", F.lit(True)).join(want, "file", "full")
     status = (
         F.when(F.col("_listed").isNull(), "unlisted")
-        .when(F.col("sha256").isNull(), "missing")
-        .when(F.col("sha256") != F.col("_sha"), "checksum mismatch")
-        .when(F.col("size_bytes") != F.col("_size"), "size mismatch")
+        .when(F.col("_here").isNull(), "missing")
+        .when(~F.col("size_bytes").eqNullSafe(F.col("_size")), "size mismatch")
+        .when(~F.col("sha256").eqNullSafe(F.col("_sha")), "checksum mismatch")
         .otherwise("ok")
     )
     return both.select("file", status.alias("status"))
@@ -213,7 +202,11 @@ def manifest_files(manifest: DataFrame) -> DataFrame:
     return manifest.select(F.inline("tables")).select("file", "size_bytes", "sha256")
 
 
+def missing_contents(inventory: DataFrame, required: DataFrame) -> DataFrame:
+    """Required names (file) that are not there."""
+    return required.select("file").join(inventory.select("file"), "file", "left_anti")
+
+
 def missing_tables(inventory: DataFrame, required: Iterable[str]) -> DataFrame:
     """Required file names that are not there."""
-    names = inventory.sparkSession.createDataFrame([(f,) for f in required], "file string")
-    return names.join(inventory.select("file"), "file", "left_anti")
+    return missing_contents(inventory, inventory.sparkSession.createDataFrame([(f,) for f in required], "file string"))

@@ -7,8 +7,11 @@ weekly report has one data row per nation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import io
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +57,21 @@ def _reports(obs: DataFrame, file: Column, header: Sequence[Column], data: Colum
     )
 
 
+def as_files(reports: DataFrame, encoding: str = "utf-8") -> DataFrame:
+    """Reports (file, rows) -> (path, content), written as CSV."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            contents = []
+            for rows in batch["rows"]:
+                out = io.StringIO()
+                csv.writer(out, lineterminator="\r\n").writerows(rows)
+                contents.append(out.getvalue().encode(encoding))
+            yield pd.DataFrame({"path": batch["file"], "content": contents})
+
+    return reports.select("file", "rows").mapInPandas(write, "path string, content binary")
+
+
 def bullet_reports(obs: DataFrame) -> DataFrame:
     """A value and an unnamed cumulative column per priority."""
     header = [
@@ -116,8 +134,9 @@ def workbook_grid(obs: DataFrame) -> DataFrame:
     def header(base: int, names: Sequence[str]) -> list[Column]:
         width = 3 * len(names)
         return [
-            _row(base + 1, [None, *[c for p in names for c in (f"区分 ({p})", None, None)]]),
-            _row(base + 2, [None, *["total", "Male", "Female"] * len(names)]),
+            # Old workbooks hold null bytes.
+            _row(base + 1, [None, *[c for p in names for c in (F.lit(f"区分\0 ({p})"), None, None)]]),
+            _row(base + 2, [None, *[F.lit("To\0tal"), "Male", F.lit("Fe\0male")] * len(names)]),
             _row(base + 3, ["Total No.", *["9"] * width]),
         ]
 

@@ -93,6 +93,10 @@ def grid_obs(spark: SparkSession, folder: str) -> DataFrame:
     return cases(spark, folder).groupBy(*keys).agg(F.count("*").alias("cnt"))
 
 
+def _book_obs(spark: SparkSession, folder: str) -> DataFrame:
+    return grid_obs(spark, folder).withColumn("year", F.col("year") + 28)
+
+
 _CASES = """cases AS (
   SELECT n_name AS area, n_nationkey AS nationkey, CAST(isoyear(o_orderdate) AS INTEGER) AS year,
          CAST(weekofyear(o_orderdate) AS INTEGER) AS week, CAST(o_orderdate AS DATE) AS date,
@@ -430,6 +434,25 @@ def _(spark, folder):
     return combine.merge(*parts, cols=COLS)
 
 
+@query(
+    "merge_place_bullet",
+    f"""WITH {_CASES}, d AS (SELECT area, year, week, {_monday("year", "week")} AS date, source FROM cases),
+a AS (SELECT area, year, week, date, count(*) FILTER (source = 'F') AS "Flu Japan", count(*) FILTER (source = 'O') AS "Flu Other places",
+  count(*) FILTER (source = 'P') AS "Flu Unknown place" FROM d WHERE week % 3 > 0 GROUP BY ALL),
+b AS (SELECT area, year, week, date, count(*) AS "Flu total" FROM d WHERE week % 3 < 2 GROUP BY ALL)
+SELECT area, year, week, date, "Flu Japan", "Flu Other places", "Flu Unknown place", "Flu total" FROM a FULL JOIN b USING (area, year, week, date)""",
+)
+def _(spark, folder):
+    rows = cases(spark, folder).withColumn("date", calendar.iso_monday("year", "week"))
+    keys = ["area", "year", "week", "date"]
+    count = lambda s: F.count(F.when(F.col("source") == s, 1))
+    place = rows.where("week % 3 > 0").groupBy(keys).agg(
+        count("F").alias("Flu Japan"), count("O").alias("Flu Others"), count("P").alias("Flu Unknown")
+    )
+    bullet = rows.where("week % 3 < 2").groupBy(keys).agg(F.count("*").alias("Flu weekly"))
+    return combine.merge(place, bullet, cols=COLS)
+
+
 @query(
     "attach_dim",
     f"""{_OBS} SELECT obs.*, r_name AS region FROM obs LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region
@@ -442,7 +465,7 @@ def _(spark, folder):
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.col("n_name").alias("area"), F.col("r_name").alias("region"))
     )
-    return combine.attach_dimension(observations(spark, folder), dim, "area", max_rows=1000)
+    return combine.attach_dimension(observations(spark, folder), dim, "area")
 
 
 @query(
@@ -467,7 +490,7 @@ SELECT area, year, week, coalesce(canonical, cond) AS cond, source, cnt FROM obs
 def _(spark, folder):
     names = table(spark, folder, "orders").select(F.col("o_orderpriority").alias("raw")).distinct()
     aliases = names.where("raw <> '5-LOW'").withColumn("canonical", F.expr("'prio ' || substr(raw, 1, 1)"))
-    return combine.alias_join(observations(spark, folder), aliases, "cond", max_rows=1000)
+    return combine.alias_join(observations(spark, folder), aliases, "cond")
 
 
 @query(
@@ -1085,9 +1108,8 @@ def _(spark, folder):
 
 @query(
     "sheet_week",
-    """SELECT o_orderkey, year, sheet, CASE WHEN year = 1999 THEN CASE WHEN sheet BETWEEN 2 AND 40 THEN sheet + 12 END
-  WHEN year IN (2004, 2009, 2015) THEN CASE WHEN sheet BETWEEN 2 AND 54 THEN sheet - 1 END
-  WHEN sheet BETWEEN 2 AND 53 THEN sheet - 1 END AS week
+    """SELECT o_orderkey, year, sheet, CASE WHEN sheet >= 2 AND sheet + CASE WHEN year = 1999 THEN 12 ELSE -1 END
+  <= weekofyear(make_date(year, 12, 28)) THEN sheet + CASE WHEN year = 1999 THEN 12 ELSE -1 END END AS week
 FROM (SELECT o_orderkey, CAST(1999 + o_custkey % 20 AS INTEGER) AS year, CAST(o_orderkey % 57 AS INTEGER) AS sheet FROM orders)""",
 )
 def _(spark, folder):
@@ -1138,12 +1160,95 @@ def _(spark, folder):
     return grid.sentinel_to_long(mixed, COLS)
 
 
+def _parsed(reports_df: DataFrame, encoding: str = "utf-8") -> DataFrame:
+    """The reports written as CSV bytes and read again."""
+    return reports.parse_contents(report_grids.as_files(reports_df, encoding))
+
+
+_BULLET_ROWS = f"""SELECT area, cond, coalesce(cnt, 0) AS cnt, year, week, {_monday("year", "week")} AS date,
+  'Confirmed cases' AS source FROM g"""
+
+
+@query("csv_bullet", f"{_GRID_ROWS} {_BULLET_ROWS}")
+def _(spark, folder):
+    return grid.bullet_to_long(_parsed(report_grids.bullet_reports(grid_obs(spark, folder))), COLS)
+
+
+@query("csv_sentinel_english", f"{_GRID_ROWS} {_EN_ROWS}")
+def _(spark, folder):
+    return grid.sentinel_to_long(_parsed(report_grids.english_reports(grid_obs(spark, folder))), COLS)
+
+
+@query("csv_sentinel_cp932", f"{_GRID_ROWS} {_JA_ROWS}")
+def _(spark, folder):
+    return grid.sentinel_to_long(_parsed(report_grids.japanese_reports(grid_obs(spark, folder)), "cp932"), COLS)
+
+
+@query(
+    "csv_mixed_folder",
+    f"""{_GRID_ROWS} SELECT area, cond, CAST(cnt AS DOUBLE) AS cnt, year, week, date, source, CAST(NULL AS DOUBLE) AS rate FROM ({_BULLET_ROWS})
+UNION ALL SELECT area, cond, cnt, year, week, date, source, rate FROM ({_EN_ROWS} WHERE week % 2 = 0)
+UNION ALL SELECT area, cond, cnt, year, week, date, source, rate FROM ({_JA_ROWS} WHERE week % 2 = 1)""",
+)
+def _(spark, folder):
+    obs = grid_obs(spark, folder)
+    files = [
+        report_grids.as_files(report_grids.bullet_reports(obs)),
+        report_grids.as_files(report_grids.english_reports(obs.where("week % 2 = 0"))),
+        report_grids.as_files(report_grids.japanese_reports(obs.where("week % 2 = 1")), "cp932"),
+    ]
+    return grid.reports_to_long(reports.parse_contents(combine.union_strict(*files)), COLS)
+
+
+@query(
+    "csv_header_week",
+    f"{_GRID_ROWS} {_EN_ROWS} WHERE week IN (7, 53)",
+)
+def _(spark, folder):
+    # Names without a week, or with that of another one: the header tells.
+    named = report_grids.english_reports(grid_obs(spark, folder)).withColumn(
+        "file", F.regexp_replace("file", r"teitenrui(\d)(\d)", "teitenrui-$2$1-")
+    )
+    files = reports.of_weeks(report_grids.as_files(named), [7, 53])
+    return grid.sentinel_to_long(reports.parse_contents(files), COLS, weeks=[7, 53])
+
+
+@query(
+    "csv_quarantine",
+    f"""WITH {_CASES}, f AS (SELECT DISTINCT year, week FROM cases)
+SELECT 'reports/' || year || '/zensu' || lpad(CAST(week AS STRING), 2, '0') || '.csv' AS file,
+  CASE week % 4 WHEN 0 THEN 'empty file' WHEN 1 THEN 'undecodable text' ELSE 'too few rows' END AS reason FROM f WHERE week % 4 < 3""",
+)
+def _(spark, folder):
+    files = report_grids.as_files(report_grids.bullet_reports(grid_obs(spark, folder)))
+    kind = reports.week_from_name("path") % 4
+    broken = (
+        F.when(kind == 0, F.lit(b""))
+        .when(kind == 1, F.concat("content", F.unhex(F.lit("81FFFEFD"))))
+        .when(kind == 2, F.substring("content", 1, 40))
+        .otherwise(F.col("content"))
+    )
+    return grid.quarantine(reports.parse_contents(files.withColumn("content", broken)))
+
+
+@query(
+    "quarantine_sheets",
+    f"""WITH {_CASES}, s AS (SELECT DISTINCT year + 28 AS year, week + 1 AS sheet FROM cases)
+SELECT 'books/Syu_01_1_' || year || '.xlsx' AS file, CAST(CASE WHEN sheet % 5 = 0 THEN sheet + 60 ELSE sheet END AS INTEGER) AS sheet,
+  CASE WHEN sheet % 5 = 0 THEN 'no week' ELSE 'too few rows' END AS reason FROM s WHERE sheet % 5 = 0 OR sheet % 7 = 0""",
+)
+def _(spark, folder):
+    book = report_grids.workbook_grid(_book_obs(spark, folder)).where("sheet % 5 = 0 OR sheet % 7 <> 0 OR row_idx < 4")
+    return grid.quarantine_sheets(book.withColumn("sheet", F.expr("CASE WHEN sheet % 5 = 0 THEN sheet + 60 ELSE sheet END")))
+
+
 @query("week_subset", f"{_GRID_ROWS} {_EN_ROWS} WHERE week IN (1, 7, 52)")
 def _(spark, folder):
     return grid.sentinel_to_long(report_grids.english_reports(grid_obs(spark, folder)), COLS, weeks=[1, 7, 52])
 
 
-_BOOK_ROWS = f"""WITH {_CASES}, o AS (SELECT * FROM cases WHERE (year <> 1999 AND week <= 52) OR (year = 1999 AND week BETWEEN 14 AND 52)),
+# The calendar repeats after 28 years; the first workbook year, which lacks weeks, is so left out.
+_BOOK_ROWS = f"""WITH {_CASES}, o AS (SELECT * REPLACE (CAST(year + 28 AS INTEGER) AS year) FROM cases),
 k AS (SELECT DISTINCT area, nationkey, year, week FROM o),
 h AS (SELECT p.cond, c.category, c.source FROM {_PRIORITY_ROWS} CROSS JOIN (VALUES ('total', NULL), ('male', 'F'), ('female', 'O')) c(category, source)),
 g AS (SELECT k.area, k.nationkey, k.year, k.week, h.cond, h.category, (SELECT count(*) FROM o WHERE o.area = k.area AND o.year = k.year
@@ -1156,7 +1261,7 @@ g AS (SELECT k.area, k.nationkey, k.year, k.week, h.cond, h.category, (SELECT co
   'Confirmed cases' AS source FROM g""",
 )
 def _(spark, folder):
-    return grid.workbook_to_long(report_grids.workbook_grid(grid_obs(spark, folder)), COLS)
+    return grid.workbook_to_long(report_grids.workbook_grid(_book_obs(spark, folder)), COLS)
 
 
 @query(
@@ -1167,7 +1272,7 @@ def _(spark, folder):
   UNION SELECT DISTINCT year, week, 1, 3 FROM g UNION SELECT DISTINCT year, week, 61, 63 FROM g) GROUP BY ALL""",
 )
 def _(spark, folder):
-    blocks = grid.find_blocks(report_grids.workbook_grid(grid_obs(spark, folder)))
+    blocks = grid.find_blocks(report_grids.workbook_grid(_book_obs(spark, folder)))
     return (
         blocks.withColumn("year", reports.year_from_name("file"))
         .withColumn("week", reports.sheet_week("year", "sheet"))
@@ -1184,7 +1289,7 @@ def _(spark, folder):
   ELSE '4-NOT SPECIFIED total|4-NOT SPECIFIED male|4-NOT SPECIFIED female|5-LOW total|5-LOW male|5-LOW female' END AS header FROM g""",
 )
 def _(spark, folder):
-    blocks = grid.find_blocks(report_grids.workbook_grid(grid_obs(spark, folder)))
+    blocks = grid.find_blocks(report_grids.workbook_grid(_book_obs(spark, folder)))
     labels = F.transform("header", lambda h: F.concat_ws(" ", h["name"], h["category"]))
     return (
         blocks.withColumn("year", reports.year_from_name("file"))
@@ -1361,10 +1466,35 @@ def _(spark, folder):
     return snapshot.profile(observations(spark, folder).drop("week"), COLS)
 
 
-@query("file_inventory")
+@query(
+    "content_check",
+    """WITH have AS (SELECT CAST(doc_id AS STRING) AS file, strlen(text) AS size, sha256(text) AS sha FROM documents WHERE doc_id % 17 <> 0),
+want AS (SELECT CAST(doc_id AS STRING) AS file, strlen(text) + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS size,
+  CASE WHEN doc_id % 5 = 0 THEN reverse(sha256(text)) ELSE sha256(text) END AS sha FROM documents WHERE doc_id % 11 <> 0)
+SELECT file, CASE WHEN want.size IS NULL THEN 'unlisted' WHEN have.size IS NULL THEN 'missing' WHEN have.size <> want.size
+  THEN 'size mismatch' WHEN have.sha <> want.sha THEN 'checksum mismatch' ELSE 'ok' END AS status
+FROM have FULL JOIN want USING (file)""",
+)
+def _(spark, folder):
+    whole = snapshot.content_inventory(table(spark, folder, "documents"), "doc_id", "text")
+    key = F.col("file").cast("long")
+    listed = whole.where(key % 11 != 0).select(
+        "file",
+        (F.col("size_bytes") + F.when(key % 7 == 0, 1).otherwise(0)).alias("size_bytes"),
+        F.when(key % 5 == 0, F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"),
+    )
+    return snapshot.verify_files(whole.where(key % 17 != 0), listed)
+
+
+@query(
+    "missing_contents",
+    "SELECT CAST(doc_id AS STRING) AS file FROM documents WHERE doc_id % 3 = 0 AND doc_id % 17 = 0",
+)
 def _(spark, folder):
-    files = snapshot.file_inventory(spark, folder)
-    return snapshot.verify_files(files, files)
+    documents = table(spark, folder, "documents")
+    have = snapshot.content_inventory(documents.where("doc_id % 17 <> 0"), "doc_id", "text")
+    required = documents.where("doc_id % 3 = 0").select(F.col("doc_id").cast("string").alias("file"))
+    return snapshot.missing_contents(have, required)
 
 
 @query(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,15 +28,10 @@ def build_session(app: str = "weektide", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path for one run, below the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a folder of its own machine.
-    """
+    """A new path for one run, below the shared folder the cluster names in ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="run-")
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
 

@@ -15,8 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weektide.functions.calendar import weeks_in_year
 from weektide.functions.text import strip
-from weektide.model import FIRST_WORKBOOK_YEAR, LONG_WORKBOOK_YEARS, REPORT_SCHEMA
+from weektide.model import FIRST_WORKBOOK_WEEK, FIRST_WORKBOOK_YEAR, REPORT_SCHEMA
 
 # Fixed patterns of file names and of the header line.
 YEAR_IN_NAME = r"((?:19|20)\d{2})"
@@ -37,6 +38,8 @@ _FILES_PER_BATCH = 64
 
 def _parse(content: bytes, encodings: Iterable[str]) -> tuple[list[list[str]] | None, str | None]:
     """Rows of one file, or the reason there are none."""
+    if not content:
+        return None, "empty file"
     for encoding in encodings:
         try:
             decoded = content.decode(encoding)
@@ -78,19 +81,31 @@ def read_reports(
 ) -> DataFrame:
     """CSV reports -> ``(file, rows, error)``, one row per file; files are the unit of parallel work.
 
-    A file that cannot be read gives one row with ``error`` set instead of failing the job; files of
-    no bytes are left out by the file source itself. ``weeks`` prunes the listing by file name first, then exactly.
+    A file that cannot be read gives one row with ``error`` set instead of failing the job; so does a file
+    of no bytes. ``weeks`` leaves out the files whose layout takes the week from the name and whose name
+    carries another week, before they are read; for all others the parsers filter on the week they resolve.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    found = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.csv")
+        .load(path)
+    )
+    return parse_contents(of_weeks(found.select("path", "content"), weeks), encodings)
+
+
+def of_weeks(files: DataFrame, weeks: Iterable[int] | None) -> DataFrame:
+    """Files (path, ...) that may hold one of the weeks. The header of a sentinel report wins over its name."""
     if weeks is None:
-        reader = reader.option("pathGlobFilter", "*.csv")
-    else:
-        weeks = sorted({int(w) for w in weeks})
-        reader = reader.option("pathGlobFilter", "*{%s}*.csv" % ",".join(f"{w:02d}" for w in weeks))
-    files = reader.load(path).select("path", "content")
-    if weeks is not None:
-        files = files.where(week_from_name("path").isin(weeks))
-    return files.mapInPandas(split_files(encodings), REPORT_SCHEMA)
+        return files
+    named = week_from_name("path")
+    other = (layout_of("path") == "bullet") & ~named.isin(sorted({int(w) for w in weeks}))
+    return files.where(~F.coalesce(other, F.lit(False)))
+
+
+def parse_contents(files: DataFrame, encodings: Iterable[str] = ENCODINGS) -> DataFrame:
+    """Files (path, content) -> ``(file, rows, error)``."""
+    return files.select("path", "content").mapInPandas(split_files(encodings), REPORT_SCHEMA)
 
 
 def as_grid(reports: DataFrame) -> DataFrame:
@@ -141,13 +156,14 @@ def year_from_header(text: Column | str) -> Column:
 
 
 def sheet_week(year: Column | str, sheet: Column | str) -> Column:
-    """Week of a workbook sheet; null for sheets that hold no week."""
+    """Week of a workbook sheet: the second sheet holds the first week of the year, or of the first workbook.
+
+    Null for sheets that hold no week: the first one, and those beyond the last week of the calendar year.
+    """
     y = F.col(year) if isinstance(year, str) else year
     s = F.col(sheet) if isinstance(sheet, str) else sheet
-    first = (y == FIRST_WORKBOOK_YEAR) & s.between(2, 40)
-    long_year = y.isin(*LONG_WORKBOOK_YEARS) & s.between(2, 54)
-    usual = (y != FIRST_WORKBOOK_YEAR) & s.between(2, 53)
-    return F.when(first, s + 12).when(long_year | usual, s - 1)
+    week = s - 2 + F.when(y == FIRST_WORKBOOK_YEAR, FIRST_WORKBOOK_WEEK).otherwise(1)
+    return F.when((s >= 2) & (week <= weeks_in_year(y)), week)
 
 
 def layout_of(path: Column | str) -> Column:
