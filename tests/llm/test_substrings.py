@@ -29,7 +29,7 @@ def test_equals_all_windows(spark, size, group, hot):
     pick = random.Random(2)
     prose = lambda n: [f"{pick.choice('abcdé')}{pick.randrange(400)}" for _ in range(n)]
     passages = [prose(n) for n in (size - 1, size, size + 1, 60, 90)]
-    texts = [None, "", " \n", "one", " ".join("ab" * 50), " ".join(["x"] * 100), " ".join(["p", "q"] * 80)]
+    texts = [None, "", " \n", "one", " ".join("ab" * 50), " ".join(["x"] * 100), " ".join(["p", "q"] * 80), " ".join(["x"] * 60)]
     for _ in range(60):
         own = prose(pick.choice([0, 5, 40, 300]))
         for _ in range(pick.choice([0, 1, 2])):

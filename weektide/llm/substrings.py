@@ -7,7 +7,7 @@ where sorting counts the windows exactly.
 Equal windows have equal minimisers at equal places, so a minimiser that stands once in all texts rules
 out its windows. Minimisers are counted first, and only super-k-mers whose minimiser is repeated travel.
 Texts that several rows have in common take part once, and lose all their windows anyway. Where very many
-texts share a minimiser, its windows travel one by one, dealt by their content and folded before the
+super-k-mers share a minimiser, its windows travel one by one, dealt by their content and folded before the
 shuffle, so that no bucket gathers a hot group.
 """
 
@@ -26,7 +26,7 @@ from weektide.llm._words import NOT_SPACE, Words, folded, runs, slices, split, u
 
 #: Words of the groups among which the minimiser is chosen.
 GROUP = 8
-#: Texts that share a minimiser, beyond which its windows are dealt by content.
+#: Super-k-mers of one minimiser, beyond which its windows are dealt by content.
 HOT = 2_000
 
 
@@ -138,17 +138,17 @@ def remove_repeats(docs: DataFrame, words: int = 35, group: int = GROUP, hot: in
                     [
                         piece["k1"].take(pa.array(rows[first])),
                         pa.array(value[first].view(np.int64)),
-                        pa.array(count > 1),
+                        pa.array(count),
                     ],
-                    ["k1", "mini", "twice"],
+                    ["k1", "mini", "times"],
                 )
 
     base = staged(docs.mapInArrow(measure, "doc_id long, k1 long, k2 long, n_words long, all_sha256 string"), "measured")
-    minis = staged(docs.select("k1", "text").mapInArrow(minimisers, "k1 long, mini long, twice boolean"), "minimisers")
+    minis = staged(docs.select("k1", "text").mapInArrow(minimisers, "k1 long, mini long, times long"), "minimisers")
     shared = minis.groupBy("mini").agg(
-        F.count("*").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"), F.max("twice").alias("twice")
+        F.sum("times").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"), F.max("times").alias("times")
     )
-    shared = staged(shared.where("low <> high or twice").select("mini", (F.col("n") > hot).alias("hot")), "shared")
+    shared = staged(shared.where("low <> high or times > 1").select("mini", (F.col("n") > hot).alias("hot")), "shared")
     wanted = minis.select("k1", "mini").join(shared, "mini").groupBy("k1")
     wanted = staged(wanted.agg(F.collect_set(F.struct("mini", "hot")).alias("minis")), "wanted")
     # One row stands for all copies of a text.
