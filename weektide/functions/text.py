@@ -21,7 +21,6 @@ _WIDE, _PLAIN = "ＩｎＡＥＯ　", "InAEO "
 JAPANESE_SCRIPT = r"[\u3040-\u309f\u30a0-\u30ff\u4e00-\u9fff]"
 BRACKETED = r"[（(](\x00*[^)）\x00][^)）]*)[)）]"
 UNUSUAL = r"[^\x01-\u2fff]"
-FILLED = r"(?sU)\S(?:.*\S)?"
 BROKEN_BRACKETS = r"^[^(]*\)\s*\((.+)$"
 TOTAL_ROW_JA = "総数|合計"
 
@@ -41,8 +40,8 @@ def collapse_blanks(x: Column | str) -> Column:
 
 
 def strip_or_null(x: Column | str) -> Column:
-    """Trimmed text; null when nothing is left. The text is evaluated once."""
-    return F.try_element_at(F.regexp_extract_all(_col(x), F.lit(FILLED), F.lit(0)), F.lit(1))
+    """Trimmed text; null when nothing is left."""
+    return F.nullif(strip(x), F.lit(""))
 
 
 def let(x: Column, use: Callable[[Column], Column]) -> Column:

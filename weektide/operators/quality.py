@@ -46,6 +46,18 @@ def _row_checks(df: DataFrame, years: tuple[int, int], weeks: tuple[int, int], c
     return checks
 
 
+def valid_rows(
+    df: DataFrame,
+    years: tuple[int, int] = VALID_YEARS,
+    weeks: tuple[int, int] = VALID_WEEKS,
+    cols: Cols = COLS,
+) -> DataFrame:
+    """Rows that break none of the row checks; what a check cannot tell, as for a null value, passes."""
+    for broken in _row_checks(df, years, weeks, cols).values():
+        df = df.where(~F.coalesce(broken, F.lit(False)))
+    return df
+
+
 def violations(
     df: DataFrame,
     keys: Sequence[str] | None = None,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,12 +54,42 @@ def merge_refresh(existing: DataFrame, rebuilt: DataFrame, current_year: int, co
 # -- change detection -------------------------------------------------------------------------
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """(rows, digest): independent of row and partition order, one pass without a shuffle of rows."""
+def _row_hash(df: DataFrame) -> Column:
     columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
     nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
-    row_hash = F.xxhash64(*columns, nulls).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row_hash), F.lit(0)).alias("digest"))
+    return F.xxhash64(*columns, nulls).cast("decimal(38,0)")
+
+
+def fingerprint(df: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
+    """(keys..., rows, digest): independent of row and partition order, one pass without a shuffle of rows."""
+    digest = F.coalesce(F.sum(_row_hash(df)), F.lit(0)).alias("digest")
+    return df.groupBy(*keys).agg(F.count("*").alias("rows"), digest)
+
+
+def change_report(tables: Mapping[str, tuple[DataFrame, DataFrame]], cols: Cols = COLS) -> DataFrame:
+    """(table, changed, year, week), one row for each table given as (before, after).
+
+    ``changed``: any row differs; year and week: the latest of the table after. One pass over either side.
+    """
+    out = None
+    for name, (before, after) in tables.items():
+        # The same columns in another order are no change; other columns are.
+        same = sorted(before.columns) == sorted(after.columns)
+        sides = [
+            df.select(_row_hash(df).alias("h"), F.lit(new).alias("new"), *(F.col(c) for c in (cols.year, cols.week)))
+            for df, new in ((before, False), (after, True))
+        ]
+        new = F.col("new")
+        delta = F.coalesce(F.sum(F.when(new, F.col("h")).otherwise(-F.col("h"))), F.lit(0)) != 0
+        counts = F.count_if(new) != F.count_if(~new)
+        row = sides[0].unionByName(sides[1]).agg(
+            (delta | counts | F.lit(not same)).alias("changed"), F.max(F.when(new, F.struct(cols.year, cols.week))).alias("last")
+        )
+        row = row.select(F.lit(name).alias("table"), "changed", F.col(f"last.{cols.year}"), F.col(f"last.{cols.week}"))
+        out = row if out is None else out.unionByName(row)
+    if out is None:
+        raise ValueError("No tables to compare")
+    return out
 
 
 def has_changed(before: DataFrame, after: DataFrame) -> bool:

@@ -10,8 +10,6 @@ from weektide.model import ALL_CASE, COLS, SENTINEL, Cols
 from weektide.operators import combine, filters, quality, reshape, series, snapshot
 from weektide.session import remove_folder, shared_folder
 
-ALL_TABLES = ("sex_prefecture", "place_prefecture", "bullet", "sentinel", "unified")
-
 
 def build_sex(*years: DataFrame, cols: Cols = COLS) -> DataFrame:
     """Historical cases by sex; ``female`` is derived when no year reports it."""

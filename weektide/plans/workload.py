@@ -1385,23 +1385,16 @@ def _(spark, folder):
     """SELECT l_returnflag, count(*) AS rows, false AS reload_changed, true AS edit_changed FROM lineitem GROUP BY l_returnflag""",
 )
 def _(spark, folder):
-    base = table(spark, folder, "lineitem")
-    flags = ("A", "N", "R")
-    out = None
-    for flag in flags:
-        part = base.where(F.col("l_returnflag") == flag)
-        edited = part.withColumn("l_tax", F.when(F.col("l_linenumber") == 1, F.col("l_tax") + 1).otherwise(F.col("l_tax")))
-        plain = snapshot.fingerprint(part)
-        again = snapshot.fingerprint(part.select(*reversed(part.columns))).select(F.col("digest").alias("d2"))
-        other = snapshot.fingerprint(edited).select(F.col("digest").alias("d3"))
-        row = plain.select(
-            F.lit(flag).alias("l_returnflag"),
-            "rows",
-            (F.col("digest") != again.scalar()).alias("reload_changed"),
-            (F.col("digest") != other.scalar()).alias("edit_changed"),
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    base, key = table(spark, folder, "lineitem"), ["l_returnflag"]
+    edited = base.withColumn("l_tax", F.when(F.col("l_linenumber") == 1, F.col("l_tax") + 1).otherwise(F.col("l_tax")))
+    again = snapshot.fingerprint(base.select(*reversed(base.columns)), key).select(*key, F.col("digest").alias("d2"))
+    other = snapshot.fingerprint(edited, key).select(*key, F.col("digest").alias("d3"))
+    return snapshot.fingerprint(base, key).join(again, key).join(other, key).select(
+        *key,
+        "rows",
+        (F.col("digest") != F.col("d2")).alias("reload_changed"),
+        (F.col("digest") != F.col("d3")).alias("edit_changed"),
+    )
 
 
 @query(
@@ -1601,3 +1594,61 @@ FROM t a JOIN t b USING (area, year, week, cond) WHERE a.category = 'total' AND
 def _(spark, folder):
     rows = _sexes(spark, folder)
     return build.build_sex(rows.where("year < 1998"), rows.where("year >= 1998"), cols=COLS)
+
+
+@query(
+    "build_place",
+    f"""{_OBS} SELECT area, year, week, cond, source AS category, CAST(cnt AS DOUBLE) AS cnt, CAST(NULL AS VARCHAR) AS note FROM obs WHERE year < 1995
+UNION ALL SELECT area, year, week, cond, source, CAST(cnt AS DOUBLE), 'late' FROM obs WHERE year >= 1995""",
+)
+def _(spark, folder):
+    rows = observations(spark, folder).withColumnRenamed("source", "category")
+    late = rows.where("year >= 1995").withColumn("cnt", F.col("cnt").cast("double")).withColumn("note", F.lit("late"))
+    return build.build_place(rows.where("year < 1995"), late, cols=COLS)
+
+
+@query("area_dimension", "SELECT n_name AS area FROM nation")
+def _(spark, folder):
+    path = shared_folder(spark, "areas")
+    names = table(spark, folder, "nation").select(F.col("n_name").alias("area"))
+    names.write.parquet(f"{path}/prefecture_en.parquet")
+    return Catalog(spark, path, cols=COLS).areas()
+
+
+@query(
+    "typed_empty_union",
+    f"""{_OBS} SELECT area, year, week, CAST(NULL AS DATE) AS date, cond, CAST(NULL AS VARCHAR) AS category, source,
+  CAST(cnt AS DOUBLE) AS cnt, CAST(NULL AS DOUBLE) AS rate FROM obs""",
+)
+def _(spark, folder):
+    nothing = Catalog(spark, f"{folder}/no-such-folder", cols=COLS).observations()
+    return combine.union_strict(nothing, combine.to_observations(observations(spark, folder), COLS))
+
+
+@query(
+    "publish_gate",
+    f"""{_OBS} SELECT area, year, week, cond, source, CASE WHEN year = 1994 THEN -cnt ELSE cnt END AS cnt FROM obs
+WHERE year <> 1994 AND year BETWEEN 1990 AND 2000 AND week BETWEEN 1 AND 50 AND source = 'F'""",
+)
+def _(spark, folder):
+    rows = observations(spark, folder).where("source = 'F'")
+    rows = rows.withColumn("cnt", F.when(F.col("year") == 1994, -F.col("cnt")).otherwise(F.col("cnt")))
+    path = shared_folder(spark, "gated")
+    good = quality.valid_rows(rows, (1990, 2000), (1, 50), COLS)
+    snapshot.write_table(quality.validate(good, years=(1990, 2000), weeks=(1, 50), cols=COLS), path, COLS)
+    return spark.read.parquet(path)
+
+
+@query(
+    "refresh_report",
+    f"""{_OBS}, l AS (SELECT max(year * 100 + week) AS p FROM obs), k AS (SELECT max(year * 100 + week) AS p FROM obs WHERE year < 1998)
+SELECT 'same' AS "table", false AS changed, CAST(p // 100 AS INTEGER) AS year, CAST(p % 100 AS INTEGER) AS week FROM l
+UNION ALL SELECT 'edited', true, CAST(p // 100 AS INTEGER), CAST(p % 100 AS INTEGER) FROM l
+UNION ALL SELECT 'cut', true, CAST(p // 100 AS INTEGER), CAST(p % 100 AS INTEGER) FROM k""",
+)
+def _(spark, folder):
+    rows = observations(spark, folder)
+    edited = rows.withColumn("cnt", F.when((F.col("year") == 1996) & (F.col("week") == 9), F.col("cnt") + 1).otherwise(F.col("cnt")))
+    return snapshot.change_report(
+        {"same": (rows, rows.select(*reversed(rows.columns))), "edited": (rows, edited), "cut": (rows, rows.where("year < 1998"))}, COLS
+    )
