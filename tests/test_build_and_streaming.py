@@ -206,3 +206,31 @@ def test_bullet_reports_arrive(spark, tmp_path):
     assert arrive("2021-05-zensu.csv", BULLET.format(n=4)) == {5: 4}
     assert arrive("2021-06-zensu.csv", BULLET.format(n=7)) == {5: 4, 6: 7}
     assert arrive("new-2021-05-zensu.csv", BULLET.format(n=1)) == {5: 1, 6: 7}
+
+
+def test_reports_to_published_tables(spark, tmp_path):
+    landing, root = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
+
+    def arrive(name, text):
+        (landing / name).write_text(text)
+
+    def values(name):
+        return {(r["year"], r["week"], r["disease"]): r["count"] for r in spark.read.parquet(f"{root}/{name}.parquet").collect()}
+
+    arrive("2021-05-zensu.csv", BULLET.format(n=4))
+    arrive("2025-01-teitenrui.csv", report(1, 10))
+    arrive("2025-02-teitenrui.csv", report(2, 25))
+    arrive("2025-03-teitenrui.csv", "x,current week\n")
+    bad = build.build_tables(spark, str(landing), root, 2025)
+    assert [r["reason"] for r in bad.collect()] == ["too few rows"]
+    assert values("bullet") == {(2021, 5, "Mumps"): 4}
+    assert values("unified") == {(2021, 5, "Mumps"): 4, (2025, 1, "RSV"): 10, (2025, 2, "RSV"): 15}
+    # A closed year stays, the current one is rebuilt, and only what is asked for is written.
+    arrive("2021-05-zensu.csv", BULLET.format(n=9))
+    arrive("2025-02-teitenrui.csv", report(2, 30))
+    build.build_tables(spark, str(landing), root, 2025, ["bullet", "sentinel"])
+    assert values("bullet") == {(2021, 5, "Mumps"): 4} and values("sentinel")[2025, 2, "RSV"] == 20
+    assert values("unified")[2025, 2, "RSV"] == 15
+    with pytest.raises(ValueError, match="Unknown tables"):
+        build.build_tables(spark, str(landing), root, 2025, ["other"])

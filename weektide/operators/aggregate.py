@@ -159,10 +159,15 @@ def yearly_peak(df: DataFrame, cols: Cols = COLS) -> DataFrame:
 def recent_change(df: DataFrame, days: int = 28, cols: Cols = COLS) -> DataFrame:
     """Per area: cases of the last ``days`` days, of the ``days`` before, and the change.
 
-    The last date of the table is a scalar subquery: one value, no join.
+    The input is summed once per area and date; the last date is a scalar subquery over those sums, which
+    reuses their shuffle. An area without recent cases keeps its row.
     """
     dated = df.where(F.col(cols.date).isNotNull()).select(cols.area, cols.date, cols.count)
-    latest = dated.agg(F.max(cols.date)).scalar()
+    dated = dated.groupBy(cols.area, cols.date).agg(F.sum(cols.count).alias(cols.count), F.count("*").alias("_n"))
+    dated = dated.where("_n > 0")
+    # Both plans need the sums, so that both have the same shuffle.
+    known = F.coalesce(F.col(cols.count), F.col("_n")).isNotNull()
+    latest = dated.agg(F.max(F.when(known, F.col(cols.date)))).scalar()
     date = F.col(cols.date)
     recent = date >= F.date_sub(latest, days - 1)
     previous = date.between(F.date_sub(latest, 2 * days - 1), F.date_sub(latest, days))

@@ -145,20 +145,19 @@ def derive_complement(
     keys = [c for c in (*cols.period, cols.condition, cols.source) if c in df.columns]
     category = F.col(cols.category)
 
-    def seen(name: str):
-        return F.coalesce(F.bool_or(category == name), F.lit(False))
-
-    wanted = df.agg((~seen(derived) & seen(whole) & seen(part)).alias("wanted")).scalar()
-
     def total(name: str):
         return F.sum(F.when(category == name, F.coalesce(F.col(cols.count), F.lit(0))))
 
     sums = (
-        df.where(category.isin(whole, part))
+        df.where(category.isin(whole, part, derived))
         .groupBy(*keys)
-        .agg(total(whole).alias("_whole"), total(part).alias("_part"))
+        .agg(total(whole).alias("_whole"), total(part).alias("_part"), total(derived).alias("_derived"))
     )
-    extra = sums.where(F.col("_whole").isNotNull() & F.col("_part").isNotNull() & wanted).select(
+    # From the sums of a key it is known what it reports; this reads the same shuffle as the rows below.
+    some = lambda name: F.coalesce(F.bool_or(F.col(name).isNotNull()), F.lit(False))
+    wanted = sums.agg((~some("_derived") & some("_whole") & some("_part")).alias("wanted")).scalar()
+    both = F.col("_whole").isNotNull() & F.col("_part").isNotNull() & F.col("_derived").isNull()
+    extra = sums.where(both & wanted).select(
         *keys,
         F.lit(derived).alias(cols.category),
         (F.col("_whole") - F.col("_part")).cast(df.schema[cols.count].dataType).alias(cols.count),

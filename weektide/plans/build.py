@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weektide.functions import calendar, text
 from weektide.model import ALL_CASE, COLS, SENTINEL, Cols
-from weektide.operators import combine, filters, quality, reshape, series, snapshot
+from weektide.operators import combine, filters, grid, quality, reshape, series, snapshot
 from weektide.session import remove_folder, shared_folder
+from weektide.sources import reports
+from weektide.sources.catalog import Catalog
 
 
 def build_sex(*years: DataFrame, cols: Cols = COLS) -> DataFrame:
@@ -102,3 +107,51 @@ def publish(df: DataFrame, path: str, cols: Cols = COLS, refresh: bool = False)
             snapshot.write_table(staged, path, cols)
     finally:
         remove_folder(spark, staging)
+
+
+BUILDABLE = ("bullet", "sentinel", "unified")
+
+
+def build_tables(
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    current_year: int,
+    tables: Iterable[str] = BUILDABLE,
+    cols: Cols = COLS,
+) -> DataFrame:
+    """Weekly report files -> published tables below ``root``; returns (file, reason) of unusable reports.
+
+    ``tables`` selects what is built. Of a table that exists, closed years are kept and only the current
+    year and the years that it lacks are written. The combined table is built from what is published,
+    historical tables included. A table whose check fails is not touched, and ends the run.
+    """
+    wanted = list(tables)
+    if unknown := set(wanted) - set(BUILDABLE):
+        raise ValueError(f"Unknown tables: {sorted(unknown)}")
+    catalog = Catalog(spark, root, cols=cols)
+
+    def stored(name: str) -> DataFrame | None:
+        try:
+            return catalog.load(name)
+        except AnalysisException as problem:
+            if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return None
+
+    found = reports.read_reports(spark, landing)
+    layout = reports.layout_of("file")
+    builds = {
+        "bullet": lambda: build_bullet(grid.bullet_to_long(found.where(layout == "bullet"), cols), None, current_year, cols),
+        "sentinel": lambda: build_sentinel(grid.sentinel_to_long(found.where(layout == "sentinel"), cols), None, current_year, cols),
+    }
+    for name in [n for n in ("bullet", "sentinel") if n in wanted]:
+        fresh, before = combine.default_category(combine.to_observations(builds[name](), cols), cols), stored(name)
+        if before is not None:
+            fresh = snapshot.open_years(fresh, before, current_year, cols)
+        publish(fresh, catalog.path(name), cols, refresh=before is not None)
+    if "unified" in wanted:
+        old = [t for t in (stored("sex_prefecture"), stored("place_prefecture")) if t is not None]
+        historical = combine.union_relaxed(*old) if old else None
+        publish(build_unified(historical, stored("bullet"), stored("sentinel"), cols), catalog.path("unified"), cols)
+    return grid.quarantine(found)

@@ -28,10 +28,11 @@ def build_session(app: str = "weektide", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path for one run, below the shared folder the cluster names in ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    """A new path for one run, below the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, the warehouse is taken, which executors share too.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_steps")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
 
 
