@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -12,11 +11,10 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where it is unset (tests, one machine), one of our own."""
+    """The folder named in spark.checkpoint.dir; where it is unset, one in the warehouse, which is shared too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="weektide-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_steps"
     return folder.rstrip("/")
 
 
