@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from weektide.llm import _shared
 from weektide.llm._shared import components
 
 
@@ -21,8 +22,10 @@ def brute(edges):
     return {n: top(n) for n in root if any(n in e and e[0] != e[1] for e in edges)}
 
 
+@pytest.mark.parametrize("edges_of_a_task", [250_000, 20])
 @pytest.mark.parametrize("kind", ["chain", "star", "random", "none"])
-def test_components(spark, kind):
+def test_components(spark, monkeypatch, kind, edges_of_a_task):
+    monkeypatch.setattr(_shared, "EDGES", edges_of_a_task)
     pick = random.Random(1)
     edges = {
         "chain": [(k, k + 1) for k in range(60)],

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Edges that one task folds at a time, about: sixteen bytes each.
+EDGES = 250_000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; where it is unset, one in the warehouse, which is shared too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -56,7 +60,8 @@ def _forest(batches):
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of ``edges`` (a, b: long): rows (node, component), component the smallest node.
 
-    Each partition first folds its edges into stars. Large-star and small-star steps then alternate
+    Each task folds its edges into stars, at most about EDGES of them at a time; once they all fit one
+    task, that is the answer. Until then large-star and small-star steps join what the tasks have found,
     until every node points to a node that points nowhere. Minima are folded before the shuffle, and
     the joins read written tables on both sides, so that the adaptive plan can split the rows of a
     node with very many neighbours. Nothing passes through the driver but counts and a checksum.
@@ -72,6 +77,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     now, before = folded(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b"))
     while before["n"]:
+        tasks = -(-before["n"] // EDGES)
+        if tasks == 1:
+            now = staged(now.coalesce(1).mapInArrow(_forest, "a long, b long"), name)
+            break
+        now, before = folded(now.coalesce(tasks))
         # Large star: every larger neighbour of a node points to the node's smallest neighbour.
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
