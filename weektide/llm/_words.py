@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: White space is what separates words: blank and \t \n \v \f \r.
 NOT_SPACE = np.array([b not in (32, *range(9, 14)) for b in range(256)])

@@ -24,6 +24,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
+from weektide.llm._shared import small_batches
+
 #: Characters in a leaf of a text, bytes in a leaf of a long match.
 LEAF, PIECE_LEAF = 2048, 128
 #: White space as Unicode has it, which is the pattern's \s.
@@ -125,6 +127,7 @@ def _read(path: str) -> bytes:
 
 def _with(df: DataFrame, source: str, target: str, kind: pa.DataType, value, spark_kind: DataType) -> DataFrame:
     """``df`` with ``target`` = ``value``() of ``source``, a few hundred rows at a time; an older ``target`` goes."""
+    small_batches(df.sparkSession)
     df = df.drop(target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

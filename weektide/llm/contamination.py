@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weektide.llm._shared import small_batches
 from weektide.llm._words import LETTERS, LOWER, Words, folded, runs, slices, split, utf8
 
 #: Words of items that are sent to the tasks at once; more items are searched for in several blocks.
@@ -93,6 +94,7 @@ class _Items:
 
 def _blocks(items: DataFrame, words: int, percent: int) -> Iterator[_Items]:
     """The items in blocks of about BLOCK_WORDS words, each small enough to go with the tasks."""
+    small_batches(items.sparkSession)
     items = items.select(F.col("item_id").cast("long"), "text").where("text is not null")
     # A word has at least two bytes with what separates it.
     total = items.agg(F.sum(F.octet_length("text"))).first()[0]

@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weektide.llm._shared import components, shuffle_parts, staged
+from weektide.llm._shared import components, shuffle_parts, small_batches, staged
 from weektide.llm._words import LOWER, NOT_SPACE, mix, shingle_sets, slices, split, utf8
 
 #: Sets in a block, and shingles in a block: what bounds a tile's memory and time.
 BLOCK_SETS, BLOCK_SHINGLES = 4_000, 1_000_000
 #: More rounds of dealing for families larger than one block.
 ROUNDS = 3
-FLUSH_KEYS = 1_000_000
+FLUSH_KEYS = 500_000
 _SPREAD = 1.25  # parts per guaranteed part
 
 
@@ -201,6 +201,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     """
     if not 75 <= percent <= 100:
         raise ValueError("percent must be from 75 to 100")
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     spark, parts = docs.sparkSession, 4 * shuffle_parts(docs.sparkSession)
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weektide.llm._shared import small_batches
 from weektide.llm._words import LOWER, NOT_SPACE, folded, runs, slices, split, utf8
 
 #: Labelled rows that the model is fitted on, at most about.
@@ -180,6 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     Rows without a doc_id, a label or a document are left out; a document counts once for each doc_id.
     """
+    small_batches(docs.sparkSession)
     labels = labels.select("doc_id", F.col("label").cast("double")).where("doc_id is not null and label in (0, 1)")
     labels = labels.groupBy("doc_id").agg(F.max("label").alias("label"))
     total = labels.count()

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weektide.llm._shared import small_batches
+
 KINDS = ("assign", "access", "hex")
 #: Fixed patterns: kind, expression, the group whose length counts, and its least length.
 _ASSIGN = re.compile(
@@ -177,6 +179,7 @@ def secret_spans(docs: DataFrame, limit: int = LAYER_BYTES) -> DataFrame:
 
 def redacted(docs: DataFrame, mark: str = "[secret]", limit: int = LAYER_BYTES) -> DataFrame:
     """``docs`` with every span of its text replaced by ``mark``; overlapping spans are one. Other columns stay."""
+    small_batches(docs.sparkSession)
     names = docs.columns
     at = names.index("text")
 
