@@ -56,3 +56,43 @@ def test_equals_plain_search(spark):
     for r in got:
         assert tuple(r)[1:] == brute(texts[3 if r.doc_id is None else r.doc_id]), r
     assert license_scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def every_run(text, templates, reach, percent=80):
+    """Labels and score by all runs of ``reach`` times a template's words; no lines, no units."""
+    words, labels, score = words_of(text), set(), 0.0
+    for label, template in templates:
+        want, span = set(template.split()), reach * len(template.split())
+        for k in range(max(1, len(words) - span + 1)):
+            share = len(want & set(words[k : k + span])) / len(want)
+            if 100 * share >= percent - 1e-9:
+                labels.add(label)
+                score = max(score, share)
+    return ",".join(sorted(labels)), pytest.approx(score)
+
+
+def test_notices_go_over_line_ends(spark):
+    pick = random.Random(12)
+    long = ("long", " ".join(f"term{k}" for k in range(150)))
+    templates = [*TEMPLATES, long]
+    texts = [
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted",
+        "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0.",
+        long[1],
+        "words " * 40 + long[1].replace(" ", "\n"),
+    ]
+    for _ in range(200):
+        own = pick.choice(templates)[1].split()
+        for _ in range(pick.choice([0, 1, 2, 4])):
+            own[pick.randrange(len(own))] = pick.choice(["other", "gap gap gap gap gap gap", "the"])
+        words = ["filler"] * pick.choice([0, 3, 40, 70]) + " ".join(own).split() + ["the", "filler"] * pick.choice([0, 2, 30])
+        width = pick.choice([1, 2, 4, 5])  # no line is longer than the shortest run
+        texts.append("\n".join(" ".join(words[k : k + width]) for k in range(0, len(words), width)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    none = (("no such phrase", "none"),)
+    for reach in (1, 2):
+        found = license_scan(docs, phrases=none, templates=templates, reach=reach).collect()
+        got = {r.doc_id: (r.labels, r.score) for r in found}
+        assert [got[k] for k in range(4)] == [("bsd", 1.0), ("mpl-2.0", 1.0), ("long", 1.0), ("long", 1.0)]
+        for k, text in enumerate(texts):
+            assert got[k] == every_run(text, templates, reach), text

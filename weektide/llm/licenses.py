@@ -5,6 +5,11 @@ documents, rarest first. A block that holds ``need`` = ceil(percent * n / 100) o
 holds one of its n - need + 1 rarest (prefix filter), has at least ``need`` words (length filter), and
 from the position of the first token that it holds, enough tokens must follow (positional filter). What
 passes is counted exactly.
+
+Lines do not bound a notice: besides, every run of ``reach`` times as many words as a template has is a block of that
+template, wherever it begins. A word of the template is in the runs that begin at it or less than their length
+before it; as each one counts from behind its last occurrence only, sums over the places where that begins and
+ends give the number of distinct words of every run in one pass.
 """
 
 from __future__ import annotations
@@ -51,6 +56,7 @@ class _Scan:
 
     def __init__(self, phrases, templates) -> None:
         self.phrases = [(_tokens(p), label) for p, label in phrases]
+        self.lengths = [len(_tokens(t)) for _, t in templates]
         self.templates = [(label, list(dict.fromkeys(_tokens(t)))) for label, t in templates]
         self.words = sorted({w for p, _ in self.phrases for w in p} | {w for _, t in self.templates for w in t})
         number = {w: k for k, w in enumerate(self.words)}
@@ -119,14 +125,15 @@ def template_frequencies(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES)
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, percent: int = 80) -> DataFrame:
+def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, percent: int = 80, reach: int = 1) -> DataFrame:
     """Licenses named in each document: one row for each row of ``docs``.
 
     ``docs`` needs doc_id and text; other columns are ignored. A-Z are lower-cased; words are runs of
     letters, digits and characters beyond ASCII. Columns: doc_id, n_words, n_base (places of the phrases),
     first_word and last_word (smallest and largest start of such a place, null without any), base_labels,
     labels (those of the phrases, and of the templates of which a block of the text holds at least
-    ``percent`` % of the distinct words; distinct, sorted, comma-joined), score (the largest share of a
+    ``percent`` % of the distinct words, where a block is a line, a part of a long one, or any run of
+    ``reach`` times as many words as the template has, over line ends too; distinct, sorted, comma-joined), score (the largest share of a
     template found by these, 1 for a phrase, 0 without a label). Null and empty texts have no words and
     empty labels; repeated rows and null ids keep their rows; an empty table gives an empty result.
     The word frequencies are one row for each template word.
@@ -136,12 +143,12 @@ def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, percent:
     seen = {r["word"].encode(): r["n"] for r in template_frequencies(docs, phrases, templates).collect()}
     often = np.array([seen.get(w, 0) for w in scan.words])
     plans = []
-    for label, numbers in scan.templates:
+    for (label, numbers), size in zip(scan.templates, scan.lengths, strict=True):
         ordered = sorted(numbers, key=lambda k: (often[k], scan.words[k]))
         need = -(-percent * len(ordered) // 100)
         position = np.full(len(scan.words), -1)
         position[ordered] = np.arange(len(ordered))
-        plans.append((label, position, len(ordered), need))
+        plans.append((label, position, len(ordered), need, reach * size))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,8 +184,11 @@ def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, percent:
         unit, size, goes_on = _blocks(text)
         back = np.append(False, goes_on)[:-1] if len(goes_on) else goes_on  # the unit before is of the same line
         words = size + np.where(goes_on, np.append(size[1:], 0), 0) if len(size) else size
-        for label, position, length, need in plans:
+        for label, position, length, need, span in plans:
             hit = position[number] >= 0
+            for r, s in _runs(text, at[hit], position[number[hit]], need, span):
+                every[r].add(label)
+                score[r] = max(score[r], s / length)
             where, place = unit[at[hit]], position[number[hit]]
             # A hit lies in the block that its unit begins and in the one that the unit before begins.
             block = np.concatenate([where, where[back[where]] - 1])
@@ -217,6 +227,27 @@ def license_scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, percent:
     )
 
 
+def _runs(text: Words, at: np.ndarray, place: np.ndarray, need: int, span: int) -> list[tuple[int, int]]:
+    """Rows with ``need`` or more distinct places in some ``span`` neighbouring words, and the most of each row."""
+    row = np.searchsorted(text.first, at, "right") - 1
+    enough = np.bincount(row, minlength=len(text.counts)) >= need
+    at, place, row = (x[enough[row]] for x in (at, place, row))
+    if not len(at):
+        return []
+    order = np.lexsort((at, place))
+    at, place, row = at[order], place[order], row[order]
+    begin = np.maximum(at - span + 1, text.first[row])
+    again = np.flatnonzero((place[1:] == place[:-1]) & (row[1:] == row[:-1])) + 1
+    begin[again] = np.maximum(begin[again], at[again - 1] + 1)
+    size = len(text.start) + 1
+    count = np.cumsum(np.bincount(begin, minlength=size) - np.bincount(at + 1, minlength=size))
+    found = np.flatnonzero(count >= need)
+    most = np.zeros(len(text.counts), np.int64)
+    np.maximum.at(most, np.searchsorted(text.first, found, "right") - 1, count[found])
+    rows = np.flatnonzero(most)
+    return list(zip(rows.tolist(), most[rows].tolist(), strict=True))
+
+
 def _least(block: np.ndarray, place: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Smallest position of a token in each of the ``wanted`` (sorted) blocks."""
     out = np.full(len(wanted), np.iinfo(np.int64).max)

@@ -91,7 +91,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return license_scan(spark.read.parquet(f"{folder}/documents.parquet"))
+    return license_scan(spark.read.parquet(f"{folder}/documents.parquet"), reach=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
