@@ -74,6 +74,35 @@ def test_ends_and_limits():
     assert scan_text("%" * 50 + "\\u{110000} &#0; \\ud800 %ff%fe")[1] == []
 
 
+def test_large_layers_are_read(monkeypatch):
+    for name, value in (("LAYER_BYTES", 20000), ("PIECE", 700), ("WINDOW", 5000), ("OVERLAP", 1000)):
+        monkeypatch.setattr(f"weektide.llm.secrets.{name}", value)
+    pick = random.Random(4)
+    letters = lambda n: "".join(pick.choice("ghijkl mnop\n") for _ in range(n))
+    packed = gzip.compress((letters(30000) + SECRET).encode())
+    deep = b64(packed)
+    assert len(deep) > 9000
+    for inside in (SECRET, b64(SECRET), quote(b64(SECRET), safe="") + "%20", b64(gzip.compress(SECRET.encode())), deep, f"password{' ' * 9000}= abcdefg"):
+        for before in (0, 4990, 31234):
+            data = f"{letters(before)} {inside} {letters(30000)}".encode()
+            packed = b64(zlib.compress(gzip.compress(data)) if before else gzip.compress(data))
+            _, spans, _, unread = scan_text(f"see {packed} end")
+            assert unread == 0 and (4, 0, 4 + len(packed)) in spans, (inside[:40], before)
+    plain = f"see {b64(gzip.compress(letters(60000).encode()))} end"
+    assert scan_text(plain)[1] == [] and scan_text(plain)[3] == 0
+
+
+def test_a_layer_beyond_the_old_bound():
+    hidden = b64(gzip.compress(b"." * (66 << 20) + b" " + SECRET.encode()))
+    assert scan_text(hidden)[1] == [(0, 0, len(hidden))] and scan_text(hidden)[3] == 0
+
+
+def test_unread_runs_are_replaced(spark):
+    hidden = b64(zlib.compress(b"z " * 2500 + SECRET.encode()))
+    docs = spark.createDataFrame([(f"see {hidden} end",)], "text string")
+    assert redacted(docs, limit=1000).first().text == redacted(docs).first().text == "see [secret] end"
+
+
 def test_table(spark):
     rows = [(1, None, 5), (2, "", 5), (None, f"a {SECRET}", 5), (4, f"{b64(SECRET)} x", 5), (4, f"{b64(SECRET)} x", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans int")
