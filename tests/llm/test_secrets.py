@@ -74,15 +74,53 @@ def test_ends_and_limits():
     assert scan_text("%" * 50 + "\\u{110000} &#0; \\ud800 %ff%fe")[1] == []
 
 
+def covered(text, hidden):
+    at = text.index(hidden)
+    return [s for s in scan_text(text)[1] if s[1] == 0 and at <= s[0] and s[2] <= at + len(hidden)]
+
+
+def wrapped(data, width, end="\n"):
+    text = b64(data)
+    return end.join(text[k : k + width] for k in range(0, len(text), width))
+
+
+NOISE = "".join(random.Random(3).choices("ghijkl mnop", k=3000))
+
+
+@pytest.mark.parametrize("width", [20, 64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+def test_runs_go_over_line_ends(width, end):
+    for data in (NOISE[:41] + SECRET, gzip.compress((NOISE + SECRET).encode()), zlib.compress((NOISE + SECRET).encode())):
+        hidden = wrapped(data, width, end)
+        assert covered(f"key:\n{hidden}\n\nend of it", hidden)
+        assert covered(f"word {hidden} word", hidden)
+
+
+def test_runs_behind_separators():
+    for before in ("https://example/cb/", "x/", "ab_", "abc-", "a/bc/d_"):
+        for data in (SECRET, gzip.compress(SECRET.encode()), zlib.compress(SECRET.encode())):
+            at, text = len(before), before + b64(data)
+            assert any(k == 0 and a <= at and b == len(text) for a, k, b in scan_text(text)[1]), before
+
+
+def test_other_bytes_and_members():
+    assert covered(b64(b"\xff" * 50 + SECRET.encode() + b"\xfe"), b64(b"\xff" * 50 + SECRET.encode() + b"\xfe"))
+    assert scan_text("%FF" + "".join(f"%{ord(c):02X}" for c in SECRET))[1]
+    members = b64(gzip.compress(b"nothing") + gzip.compress(NOISE.encode()) + b"\0\0" + gzip.compress(SECRET.encode()))
+    assert covered(members, members)
+    broken = b64(gzip.compress((SECRET + NOISE).encode())[:-9])
+    assert covered(broken, broken)
+
+
 def test_large_layers_are_read(monkeypatch):
     for name, value in (("LAYER_BYTES", 20000), ("PIECE", 700), ("WINDOW", 5000), ("OVERLAP", 1000)):
         monkeypatch.setattr(f"weektide.llm.secrets.{name}", value)
     pick = random.Random(4)
     letters = lambda n: "".join(pick.choice("ghijkl mnop\n") for _ in range(n))
     packed = gzip.compress((letters(30000) + SECRET).encode())
-    deep = b64(packed)
+    deep, in_lines = b64(packed), wrapped(packed, 76)
     assert len(deep) > 9000
-    for inside in (SECRET, b64(SECRET), quote(b64(SECRET), safe="") + "%20", b64(gzip.compress(SECRET.encode())), deep, f"password{' ' * 9000}= abcdefg"):
+    for inside in (SECRET, b64(SECRET), quote(b64(SECRET), safe="") + "%20", b64(gzip.compress(SECRET.encode())), deep, in_lines, f"password{' ' * 9000}= abcdefg"):
         for before in (0, 4990, 31234):
             data = f"{letters(before)} {inside} {letters(30000)}".encode()
             packed = b64(zlib.compress(gzip.compress(data)) if before else gzip.compress(data))

@@ -2,8 +2,9 @@
 
 Method: recursive decoding worklist. Each layer (first the text itself) is scanned, then what is
 encoded in it is unwrapped into new layers: percent escapes and backslash escapes of the whole layer,
-base64 runs, and compressed data in what base64 holds; what is too large for memory is read in overlapping
-windows. Each new layer is scanned and unwrapped again,
+base64 runs (over line ends, and from each of four characters, so that what stands before the data does not
+shift them), and compressed data in what base64 holds, with all their members; what is too large for memory is
+read in overlapping windows. Each new layer is scanned and unwrapped again,
 until nothing new appears; a layer that was seen before at the same place is not followed again, which
 also ends data that unpack to themselves. Findings are mapped back to code points of the text: through
 escapes character by character, through base64 to the run that holds them.
@@ -37,10 +38,11 @@ _ASSIGN_LEAST, _ACCESS_LEAST = 6, 20
 _MAYBE = re.compile(r"[dtny][\"']?\x20*[:=]", re.IGNORECASE | re.ASCII)
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+#: A base64 run of 16 characters, or a shorter one at a line end; runs that are the start of the next lines belong to it.
 _B = "A-Za-z0-9+/_-"
 _BREAK = r"[ \t]*+\r?\n[ \t]*+"
 _BASE64 = re.compile(
-    rf"(?<![{_B}])[{_B}]{{16,}}={{0,2}}"
+    rf"(?<![{_B}])(?:[{_B}]{{16,}}+|(?=[{_B}]++{_BREAK}[{_B}])[{_B}]++)(?:{_BREAK}[{_B}]++)*+={{0,2}}"
 )
 _CHARACTERS = re.compile(rf"[{_B}]+")
 _GOES_ON = re.compile(rf"[{_B}]*+(?:{_BREAK}[{_B}]++)*+")
@@ -91,7 +93,7 @@ def _percent(m: re.Match) -> str:
     try:
         return data.decode()
     except UnicodeDecodeError:
-        return None
+        return data.decode("latin-1")
 
 
 def _escape(m: re.Match) -> str | None:
@@ -183,8 +185,10 @@ class _Run:
         return self.begin[line] + a - self.first[line]
 
     def starts(self) -> list[int]:
-        """Where compressed data may begin."""
-        return [0] if _packed(_decoded(self.plain[:4])) else []
+        """Where compressed data may begin: gzip's first bytes anywhere, zlib's at a line or behind a separator."""
+        out = {m.start() for m in re.finditer("H4sI", self.plain)} | {m.start() for m in _ZLIB.finditer(self.plain)}
+        out |= {x for x in self.first if _ZLIB_HERE.match(self.plain, x)}
+        return sorted(x for x in out if _packed(_decoded(self.plain[x : x + 4])))
 
 
 Source = Callable[[], Iterable[bytes]]
@@ -268,7 +272,7 @@ class _Scan:
         plain, past = run.plain, 0
         if len(plain) < 16:
             return
-        for shift in range(1):
+        for shift in range(4):
             data = _decoded(plain, shift)
 
             def where(a: int, b: int, shift=shift):
