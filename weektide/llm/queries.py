@@ -14,10 +14,12 @@ from weektide.llm.jaccard import jaccard_groups
 from weektide.llm.knn import top_k
 from weektide.llm.langid import languages, learn
 from weektide.llm.licenses import license_scan
+from weektide.llm.pieces import decode_pieces, encode_pieces
 from weektide.llm.quality import quality_scores, train
 from weektide.llm.quotes import reply_order
 from weektide.llm.secrets import KINDS, secret_spans
 from weektide.llm.substrings import remove_repeats
+from weektide.llm.trie import conversation_trie
 
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,6 +96,23 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(spark.read.parquet(f"{folder}/documents.parquet"), reach=2)
 
 
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    nodes = conversation_trie(spark.read.parquet(f"{folder}/conversations.parquet"), block=20, heads=4)
+    return nodes.drop("k1", "k2", "p1", "p2")
+
+
+def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    ids = encode_pieces(docs, model).select("doc_id", "pieces")
+    return decode_pieces(ids, model).select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("pieces").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_secret_scan": op2_secret_scan,
@@ -105,6 +124,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_license_scan": op10_license_scan,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -140,4 +161,45 @@ SQL: dict[str, str] = {
         ),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_conversation_trie": r"""
+        WITH turns AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        ids AS (
+            SELECT c, n, c - c % 20 AS base, xor(4294967295, list_reduce(list_concat([4294967295], flatten(
+                list_transform(range(1, len(s) + 1), lambda k: [ascii(s[k]), 0, 0, 0, 0, 0, 0, 0]))),
+                lambda crc, b: xor(xor(crc, b) >> 1, 3988292384 * (xor(crc, b) & 1)))) % 4 AS h
+            FROM (SELECT c, CAST(c AS VARCHAR) AS s, count(*) AS n FROM turns GROUP BY ALL)
+        ),
+        placed AS (
+            SELECT i.c, t.p AS d, role, text FROM ids i JOIN turns t ON t.c = i.base WHERE t.p <= h
+            UNION ALL
+            SELECT i.c, p - i.h + least(i.h, coalesce(b.n, 0)), role, text
+            FROM ids i JOIN turns t ON t.c = i.c LEFT JOIN ids b ON b.c = i.base WHERE t.p > i.h
+        ),
+        paths AS (
+            SELECT ids.c, coalesce(list({'role': role, 'text': text} ORDER BY d) FILTER (d IS NOT NULL), []) AS path
+            FROM ids LEFT JOIN placed ON placed.c = ids.c GROUP BY 1
+        ),
+        steps AS (SELECT c, path, unnest(range(0, len(path) + 1)) AS depth FROM paths),
+        nodes AS (
+            SELECT path[1:depth] AS node, depth, min(c) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(path) = depth), '')) AS ends_sha256
+            FROM steps GROUP BY 1, 2
+        ),
+        children AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+        weighed AS (
+            SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE
+                   (n_convs - 1) * len(regexp_extract_all(node[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+            FROM nodes LEFT JOIN children USING (node)
+        ),
+        sums AS (
+            SELECT node, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+            FROM (SELECT node[1:d] AS node, n_children, saved FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM weighed))
+            GROUP BY 1
+        )
+        SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+        FROM weighed w JOIN sums USING (node) LEFT JOIN nodes p ON p.node = w.node[1:w.depth - 1] AND p.depth = w.depth - 1""",
 }
