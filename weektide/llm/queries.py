@@ -13,6 +13,7 @@ from weektide.llm.contamination import contained_items
 from weektide.llm.jaccard import jaccard_groups
 from weektide.llm.knn import top_k
 from weektide.llm.langid import languages, learn
+from weektide.llm.lexical import ranked_search
 from weektide.llm.licenses import license_scan
 from weektide.llm.pieces import decode_pieces, encode_pieces
 from weektide.llm.quality import quality_scores, train
@@ -96,6 +97,11 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(spark.read.parquet(f"{folder}/documents.parquet"), reach=2)
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "benchmark"))
+    return ranked_search(docs, items, k=10)
+
+
 def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     nodes = conversation_trie(spark.read.parquet(f"{folder}/conversations.parquet"), block=20, heads=4)
     return nodes.drop("k1", "k2", "p1", "p2")
@@ -124,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_license_scan": op10_license_scan,
+    "op11_lexical_search": op11_lexical_search,
     "op12_conversation_trie": op12_conversation_trie,
     "op13_sentencepiece": op13_sentencepiece,
 }
@@ -161,6 +168,28 @@ SQL: dict[str, str] = {
         ),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_lexical_search": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_LETTERS} AS w FROM documents),
+        s AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_all FROM d WHERE len(w) > 0),
+        tf AS (
+            SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM d) GROUP BY ALL
+        ),
+        q AS (
+            SELECT item_id, t, count(*) AS q
+            FROM (SELECT item_id, unnest({_LETTERS}) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL
+        ),
+        df AS (SELECT t, count(*) AS df FROM tf GROUP BY 1),
+        w AS (SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w FROM df, s),
+        scored AS (
+            SELECT item_id, r, doc_id, CAST(sum(
+                q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_all)))) AS BIGINT) AS score
+            FROM q JOIN w USING (t) JOIN tf USING (t), s GROUP BY ALL
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
     "op12_conversation_trie": r"""
         WITH turns AS (
             SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
