@@ -24,8 +24,8 @@ def brute(texts, size):
     return out
 
 
-@pytest.mark.parametrize(("size", "group", "hot"), [(35, 8, None), (12, 4, 3), (12, 4, None)])
-def test_equals_all_windows(spark, size, group, hot):
+@pytest.mark.parametrize(("size", "group", "bucket"), [(35, 8, None), (12, 4, 3), (12, 4, None)])
+def test_equals_all_windows(spark, size, group, bucket):
     pick = random.Random(2)
     prose = lambda n: [f"{pick.choice('abcdé')}{pick.randrange(400)}" for _ in range(n)]
     passages = [prose(n) for n in (size - 1, size, size + 1, 60, 90)]
@@ -38,7 +38,7 @@ def test_equals_all_windows(spark, size, group, hot):
         texts.append(pick.choice([" ", "\n", " \t"]).join(own))
     texts += [texts[-1], texts[-1], texts[-3]]
     rows = [(k, t, 1) for k, t in enumerate(texts)]
-    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, k1 int"), size, group, hot).collect()
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string, k1 int"), size, group, bucket).collect()
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got}
     assert got == dict(enumerate(brute(texts, size)))
 
@@ -49,3 +49,18 @@ def test_odd_rows(spark):
     got = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in remove_repeats(docs).collect())
     assert got == [("3", 50, 50), ("3", 50, 50), ("4", 0, 0), ("None", 50, 50)]
     assert remove_repeats(docs.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("bucket", [None, 50])
+def test_common_passages(spark, bucket):
+    """A passage in 1,500 texts, a line shorter than a window in as many others, and a very long text with both."""
+    pick = random.Random(6)
+    prose = lambda n: [f"{pick.choice('abcdé')}{pick.randrange(10**6)}" for _ in range(n)]
+    passage, line, long = prose(50), prose(34), prose(30_000)
+    long[900:900] = passage
+    long[20_000:20_000] = line
+    texts = [" ".join(prose(3) + passage + prose(4)) for _ in range(1500)]
+    texts += [" ".join(prose(20) + line + prose(20)) for _ in range(1500)] + [" ".join(long)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeats(docs, bucket=bucket).collect()}
+    assert got == dict(enumerate(brute(texts, 35)))

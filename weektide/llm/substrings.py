@@ -6,14 +6,17 @@ where sorting counts the windows exactly.
 
 Equal windows have equal minimisers at equal places, so a minimiser that stands once in all texts rules
 out its windows. Minimisers are counted first, and only super-k-mers whose minimiser is repeated travel.
-Texts that several rows have in common take part once, and lose all their windows anyway. Where very many
-super-k-mers share a minimiser, its windows travel one by one, dealt by their content and folded before the
-shuffle, so that no bucket gathers a hot group.
+Texts that several rows have in common take part once, and lose all their windows anyway. Equal super-k-mers
+are folded before the shuffle: one that stands twice is repeated as a whole, and a bucket sorts different ones
+only. What a bucket finds goes back by the super-k-mer's key, one row for each super-k-mer of a text. A bucket
+that may hold more different super-k-mers than a task should sort is split by the content of its windows:
+they are counted by 128-bit hashes, folded before the shuffle.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weektide.llm._shared import shuffle_parts, staged
-from weektide.llm._words import NOT_SPACE, Words, folded, runs, slices, split, utf8
+from weektide.llm._shared import shuffle_parts, small_batches, staged
+from weektide.llm._words import NOT_SPACE, Words, folded, mix, runs, slices, split, utf8
 
 #: Words of the groups among which the minimiser is chosen.
 GROUP = 8
-#: Super-k-mers of one minimiser, beyond which its windows are dealt by content.
-HOT = 2_000
+#: Super-k-mers that one task sorts at a time; a minimiser of more is split by content.
+BUCKET = 20_000
 
 
 def _words(batch: pa.RecordBatch, column: str = "text") -> Words:
@@ -95,12 +98,16 @@ def _repeated(strings: list[bytes], size: int) -> list[np.ndarray]:
     return np.split(twice, cuts)
 
 
+def _key(data: bytes) -> tuple[int, int]:
+    return struct.unpack("<qq", hashlib.blake2b(data, digest_size=16).digest())
+
+
 def _spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def remove_repeats(docs: DataFrame, words: int = 35, group: int = GROUP, hot: int | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, words: int = 35, group: int = GROUP, bucket: int | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept: each document without the words of repeated passages.
 
     ``docs`` needs doc_id and text; other columns are ignored. Words are what white space separates,
@@ -109,10 +116,12 @@ def remove_repeats(docs: DataFrame, words: int = 35, group: int = GROUP, hot: in
     the input. ``kept`` holds the other words joined by one space, null where nothing was removed (it is
     then the text's words), and kept_sha256 the SHA-256 of the kept words so joined. Null and empty texts
     have no words; repeated rows are copies of each other; null ids keep their rows; an empty table gives
-    an empty result. A text has one line of rows per row of ``docs``, whatever its id. Texts are told apart
-    by 128 bits; windows are compared word by word.
+    an empty result. A text has one line of rows per row of ``docs``, whatever its id. Texts
+    and super-k-mers are told apart by 128 bits; windows are compared word by word in a bucket, and by 128
+    bits where a bucket of more than ``bucket`` super-k-mers is split.
     """
-    hot = HOT if hot is None else hot
+    bucket = BUCKET if bucket is None else bucket
+    small_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     keys = [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("again"), text).alias("k2")]
     docs = docs.select(F.col("doc_id").cast("long"), text.alias("text"), *keys)
@@ -120,10 +129,14 @@ def remove_repeats(docs: DataFrame, words: int = 35, group: int = GROUP, hot: in
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [x.encode().split() for x in batch["text"].to_pylist()]
-            sums = [hashlib.sha256(b" ".join(x)).hexdigest() for x in lists]
-            columns = [batch["doc_id"], batch["k1"], batch["k2"], pa.array(map(len, lists), pa.int64()), pa.array(sums, pa.string())]
-            yield pa.record_batch(columns, ["doc_id", "k1", "k2", "n_words", "all_sha256"])
+            for piece in slices(batch):
+                counts, sums = [], []
+                for text in piece["text"].to_pylist():
+                    own = text.encode().split()
+                    counts.append(len(own))
+                    sums.append(hashlib.sha256(b" ".join(own)).hexdigest())
+                columns = [piece["doc_id"], piece["k1"], piece["k2"], pa.array(counts, pa.int64()), pa.array(sums, pa.string())]
+                yield pa.record_batch(columns, ["doc_id", "k1", "k2", "n_words", "all_sha256"])
 
     def minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,7 +161,7 @@ def remove_repeats(docs: DataFrame, words: int = 35, group: int = GROUP, hot: in
     shared = minis.groupBy("mini").agg(
         F.sum("times").alias("n"), F.min("k1").alias("low"), F.max("k1").alias("high"), F.max("times").alias("times")
     )
-    shared = staged(shared.where("low <> high or times > 1").select("mini", (F.col("n") > hot).alias("hot")), "shared")
+    shared = staged(shared.where("low <> high or times > 1").select("mini", (F.col("n") > bucket).alias("hot")), "shared")
     wanted = minis.select("k1", "mini").join(shared, "mini").groupBy("k1")
     wanted = staged(wanted.agg(F.collect_set(F.struct("mini", "hot")).alias("minis")), "wanted")
     # One row stands for all copies of a text.
@@ -161,66 +174,101 @@ def remove_repeats(docs: DataFrame, words: int = 35, group: int = GROUP, hot: in
         "held",
     )
 
-    def travel(is_hot: bool):
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for piece in slices(batch):
-                    text = _words(piece)
-                    data = memoryview(text.bytes)
-                    row, first, n, value = _super(text, words, group)
-                    out = []
-                    cut = np.searchsorted(row, np.arange(len(piece) + 1))
-                    for r, (listed, hots) in enumerate(
-                        zip(piece["mini"].to_pylist(), piece["hot"].to_pylist(), strict=True)
-                    ):
-                        use = np.array([m for m, h in zip(listed, hots, strict=True) if h == is_hot], np.int64)
-                        mine = slice(cut[r], cut[r + 1])
-                        for k in (np.flatnonzero(np.isin(value[mine].view(np.int64), use)) + cut[r]).tolist():
-                            begin = int(first[k] - text.first[r])
-                            if not is_hot:
-                                whole = _packed(text, first[k], first[k] + n[k] + words - 1, data)
-                                out.append((int(value[k].view(np.int64)), r, begin, whole))
-                                continue
-                            for w in range(int(n[k])):
-                                window = _packed(text, first[k] + w, first[k] + w + words, data)
-                                out.append((0, r, begin + w, window))
-                    at = pa.array([x[1] for x in out], pa.int64())
-                    columns = [pa.array([x[0] for x in out], pa.int64()), piece["k1"].take(at), piece["k2"].take(at)]
-                    columns += [pa.array([x[2] for x in out], pa.int64()), pa.array([x[3] for x in out], pa.binary())]
-                    yield pa.record_batch(columns, ["mini", "k1", "k2", "first", "packed"])
-
-        return held.mapInArrow(pack, "mini long, k1 long, k2 long, first long, packed binary")
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # what the task has sent already
+        for batch in batches:
+            for piece in slices(batch):
+                text = _words(piece)
+                data = memoryview(text.bytes)
+                row, first, n, value = _super(text, words, group)
+                out = []
+                cut = np.searchsorted(row, np.arange(len(piece) + 1))
+                for r, (listed, hots) in enumerate(zip(piece["mini"].to_pylist(), piece["hot"].to_pylist(), strict=True)):
+                    hot = dict(zip(listed, hots, strict=True))
+                    mine = slice(cut[r], cut[r + 1])
+                    for k in (np.flatnonzero(np.isin(value[mine].view(np.int64), listed)) + cut[r]).tolist():
+                        whole = _packed(text, first[k], first[k] + n[k] + words - 1, data)
+                        key, mini = _key(whole), int(value[k].view(np.int64))
+                        new = key not in seen
+                        seen.add(key)
+                        out.append((r, int(first[k] - text.first[r]), int(n[k]), *key, mini, hot[mini], whole if new else None))
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                at = pa.array([x[0] for x in out], pa.int64())
+                kinds = [*[pa.int64()] * 5, pa.bool_(), pa.binary()]
+                columns = [pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds, 1)]
+                yield pa.record_batch(
+                    [piece["k1"].take(at), piece["k2"].take(at), *columns],
+                    ["k1", "k2", "first", "windows", "s1", "s2", "mini", "hot", "packed"],
+                )
+
+    packed = "k1 long, k2 long, first long, windows long, s1 long, s2 long, mini long, hot boolean, packed binary"
+    supers = staged(held.mapInArrow(pack, packed), "supers")
+    often = supers.groupBy("s1", "s2").agg(F.count("*").alias("n"), F.max("windows").alias("high")).where("n > 1")
+    often = often.select("s1", "s2", F.lit(0).cast("long").alias("low"), "high")
+    once = supers.where("packed is not null").select("mini", "hot", "s1", "s2", "packed")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if len(b)]) else None
-        if table is None:
-            return
-        table = table.combine_chunks()
-        low, high, owner = [], [], []
-        first = np.asarray(table["first"])
-        for k, flags in enumerate(_repeated(table["packed"].to_pylist(), words)):
-            a, b = _spans(flags)
-            low.append(a + first[k])
-            high.append(b + first[k])
-            owner.append(np.full(len(a), k))
-        at = pa.array(np.concatenate(owner))
-        columns = [table["k1"].combine_chunks().take(at), table["k2"].combine_chunks().take(at)]
-        yield pa.record_batch([*columns, pa.array(np.concatenate(low)), pa.array(np.concatenate(high))], ["k1", "k2", "low", "high"])
-
-    spans = "k1 long, k2 long, low long, high long"
-    cold = travel(False).repartition(shuffle_parts(spark), "mini").mapInArrow(count, spans)
-    windows = staged(travel(True).select("k1", "k2", "first", F.xxhash64("packed").alias("w"), "packed"), "windows")
-    often = windows.groupBy("w", "packed").count().where("count > 1").drop("count")
-    often = staged(often.withColumnRenamed("packed", "same"), "often")
-    # A window is equal to one of the repeated windows with its hash.
-    warm = windows.join(often, "w").where("packed = same").select("k1", "k2", F.col("first").alias("low"))
-    repeated = cold.unionByName(warm.withColumn("high", F.col("low") + 1)).groupBy("k1", "k2")
-    repeated = staged(repeated.agg(F.collect_list(F.struct("low", "high")).alias("spans")), "repeated")
+        """Buckets, in the order of their minimisers, some at a time."""
+        held: dict[tuple[int, int], bytes] = {}
+        last = None
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told() -> pa.RecordBatch:
+            rows = [
+                (*key, a, b)
+                for key, flags in zip(held, _repeated(list(held.values()), words), strict=True)
+                for a, b in zip(*(x.tolist() for x in _spans(flags)), strict=True)
+            ]
+            return pa.record_batch([pa.array([x[k] for x in rows], pa.int64()) for k in range(4)], ["s1", "s2", "low", "high"])
+
+        for batch in batches:
+            for mini, s1, s2, whole in zip(*(batch[c].to_pylist() for c in ("mini", "s1", "s2", "packed")), strict=True):
+                if mini != last and len(held) >= 4096:
+                    yield told()
+                    held = {}
+                last = mini
+                held[s1, s2] = whole
+        if held:
+            yield told()
+
+    def split_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows of super-k-mers by 128-bit hashes."""
         for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.slice(at, 1024)
+                strings = part["packed"].to_pylist()
+                text = split(np.frombuffer(b"".join(strings), np.uint8), np.cumsum([0, *map(len, strings)]), NOT_SPACE)
+                rows, begin = runs(text, words)
+                if not len(begin):
+                    continue
+                h = text.hashes()
+                values = [folded(x, words)[begin].view(np.int64) for x in (h, mix(h))]
+                owner = pa.array(rows)
+                columns = [part["s1"].take(owner), part["s2"].take(owner), pa.array(begin - text.first[rows]), *map(pa.array, values)]
+                yield pa.record_batch(columns, ["s1", "s2", "low", "w1", "w2"])
+
+    spans = "s1 long, s2 long, low long, high long"
+    cold = once.where("not hot").repartition(shuffle_parts(spark), "mini").sortWithinPartitions("mini")
+    cold = cold.select("mini", "s1", "s2", "packed").mapInArrow(count, spans)
+    windows = once.where("hot").select("s1", "s2", "packed").mapInArrow(split_up, "s1 long, s2 long, low long, w1 long, w2 long")
+    windows = staged(windows, "windows")
+    again = windows.groupBy("w1", "w2").agg(
+        F.min("s1").alias("least"), F.max("s1").alias("most"), F.min("low").alias("from"), F.max("low").alias("to")
+    )
+    again = again.where("least <> most or from <> to").select("w1", "w2")
+    warm = windows.join(again, ["w1", "w2"]).select("s1", "s2", "low", (F.col("low") + 1).alias("high"))
+    flags = often.unionByName(cold).unionByName(warm).groupBy("s1", "s2")
+    flags = staged(flags.agg(F.collect_set(F.struct("low", "high")).alias("spans")), "flags")
+    # One row for each super-k-mer of a text that holds a repeated window.
+    owned = supers.select("k1", "k2", "first", "s1", "s2").join(flags, ["s1", "s2"])
+    moved = F.transform("spans", lambda x: F.struct((x["low"] + F.col("first")).alias("low"), (x["high"] + F.col("first")).alias("high")))
+    repeated = owned.select("k1", "k2", moved.alias("spans")).groupBy("k1", "k2")
+    repeated = staged(repeated.agg(F.flatten(F.collect_list("spans")).alias("spans")), "repeated")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in (x for batch in batches for x in slices(batch)):
             removed, kept, sums = [], [], []
-            for t, lows, highs in zip(*(batch[c].to_pylist() for c in ("text", "low", "high")), strict=True):
+            for t, lows, highs in zip(*(piece[c].to_pylist() for c in ("text", "low", "high")), strict=True):
                 own = t.encode().split()
                 edge = np.zeros(len(own) + 1, np.int64)
                 np.add.at(edge, lows, 1)
@@ -231,7 +279,7 @@ def remove_repeats(docs: DataFrame, words: int = 35, group: int = GROUP, hot: in
                 kept.append(left.decode())
                 sums.append(hashlib.sha256(left).hexdigest())
             yield pa.record_batch(
-                [batch["k1"], batch["k2"], pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(sums, pa.string())],
+                [piece["k1"], piece["k2"], pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(sums, pa.string())],
                 ["k1", "k2", "n_gone", "left", "left_sha256"],
             )
 
