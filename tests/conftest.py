@@ -25,52 +25,44 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def day(text):
-    return dt.date.fromisoformat(text)
+def _observation(area, year, week, count, category, condition, source, rate=None):
+    """A row of the observation schema, dated on the Monday of its week."""
+    return (area, year, week, dt.date.fromisocalendar(year, week, 1), float(count), category, condition, source, rate)
 
 
 @pytest.fixture(scope="session")
 def mini(spark, tmp_path_factory):
-    """Small tables of every kind, as a catalog."""
+    """Small tables of every kind, as a catalog: weeks around the turn of the years 2016 and 2017."""
     root = tmp_path_factory.mktemp("mini")
-    obs = observation_schema()
-    names = obs.names
-
-    def row(**values):
-        return tuple(values.get(n) for n in names)
-
     confirmed, all_case, sites = "Confirmed cases", "All-case reporting", "Sentinel surveillance"
+    areas = ["Aichi", "Gifu", "Kagawa", "Nara"]
+    split = {"total": 1.0, "male": 0.25, "female": 0.75}
     tables = {
         "sex_prefecture": [
-            row(prefecture="Total No.", year=2023, week=1, date=day("2023-01-02"), count=n, category=c,
-                disease="Tuberculosis", source=confirmed)
-            for c, n in (("total", 100.0), ("male", 60.0), ("female", 40.0))
+            _observation(area, 2016, week, 8 * week * share, category, "Pertussis", confirmed)
+            for area in areas[:2] for week in (50, 51) for category, share in split.items()
         ],
         "place_prefecture": [
-            row(prefecture="Tokyo", year=2023, week=1, date=day("2023-01-02"), count=2.0, category="total",
-                disease="Measles", source=confirmed)
+            _observation("Nara", 2016, week, n, "japan", "Rubella", confirmed) for week, n in ((49, 3), (50, 0), (52, 11))
         ],
         "bullet": [
-            row(prefecture="Hokkaido", year=2023, week=1, date=day("2023-01-02"), count=10.0, category="total",
-                disease="Tuberculosis", source=all_case),
-            row(prefecture="Tokyo", year=2023, week=2, date=day("2023-01-09"), count=1.0, category="total",
-                disease="Measles", source=all_case),
+            _observation(area, 2017, week, week + 2 * k, "total", condition, all_case)
+            for k, area in enumerate(areas) for week in (1, 2, 3) for condition in ("Pertussis", "Rubella")
         ],
         "sentinel": [
-            row(prefecture="Tokyo", year=2023, week=2, date=day("2023-01-09"), count=5.0,
-                disease="RSV infection", source=sites, per_sentinel=1.2)
+            _observation("Kagawa", 2017, week, 6 * week, None, "Herpangina", sites, 0.75 * week) for week in (1, 2, 4)
         ],
         "unified": [
-            row(prefecture="Hokkaido", year=2023, week=1, date=day("2023-01-02"), count=10.0, category="total",
-                disease="Tuberculosis", source=confirmed),
-            row(prefecture="Osaka", year=2020, week=12, date=day("2020-03-16"), count=5.0, category="total",
-                disease="Tuberculosis", source=confirmed),
-            row(prefecture="Tokyo", year=2023, week=2, date=day("2023-01-09"), count=5.0, category="total",
-                disease="Measles", source=sites, per_sentinel=1.2),
+            _observation("Aichi", 2016, 51, 408, "total", "Pertussis", confirmed),
+            _observation("Gifu", 2016, 51, 17, "total", "Pertussis", confirmed),
+            _observation("Nara", 2016, 52, 11, "total", "Rubella", confirmed),
+            _observation("Aichi", 2017, 1, 1, "total", "Rubella", all_case),
+            _observation("Aichi", 2017, 2, 2, "total", "Pertussis", all_case),
+            _observation("Kagawa", 2017, 2, 6, "total", "Pertussis", all_case),
+            _observation("Kagawa", 2017, 4, 24, "total", "Herpangina", sites, 3.0),
         ],
     }
     for name, rows in tables.items():
-        spark.createDataFrame(rows, obs).coalesce(1).write.parquet(str(root / f"{name}.parquet"))
-    areas = spark.createDataFrame([("Hokkaido",), ("Osaka",), ("Tokyo",)], "prefecture string")
-    areas.coalesce(1).write.parquet(str(root / "prefecture_en.parquet"))
+        spark.createDataFrame(rows, observation_schema()).coalesce(1).write.parquet(str(root / f"{name}.parquet"))
+    spark.createDataFrame([(a,) for a in areas], "prefecture string").coalesce(1).write.parquet(str(root / "prefecture_en.parquet"))
     return Catalog(spark, str(root))

@@ -1,11 +1,13 @@
 import datetime as dt
+import glob
 
 import pytest
 from pyspark.sql import functions as F
 
 from weektide.functions import calendar
-from weektide.operators import quality
+from weektide.operators import quality, snapshot
 from weektide.plans import build
+from weektide.sources.versions import Versions
 from weektide.streaming import refresh
 
 OLD = "prefecture string, year int, week int, date date, disease string, category string, count long, source string"
@@ -115,7 +117,7 @@ def test_nothing_is_written_when_a_check_fails(spark, tmp_path):
     good = build.build_unified(None, None, sites(spark))
     build.publish(good, str(path))
     build.publish(good.where("year = 2024"), str(path), refresh=True)
-    assert spark.read.parquet(str(path)).count() == 2
+    assert snapshot.read_table(spark, str(path)).count() == 2
 
 
 REPORT = """Sentinel weekly report,,
@@ -138,7 +140,7 @@ def landing(spark, tmp_path, kind="sentinel"):
         query = refresh.start_refresh(spark, folder, raw, table, bad, state, kind)
         query.awaitTermination(120)
         assert query.exception() is None
-        return {r["week"]: r["count"] for r in spark.read.parquet(table).collect()}
+        return {r["week"]: r["count"] for r in snapshot.read_table(spark, table).collect()}
 
     return arrive, raw, table, bad
 
@@ -153,7 +155,7 @@ def test_arriving_reports_refresh_the_table(spark, tmp_path):
     assert arrive("teitenrui02.csv", report(2, 25)) == {1: 10.0, 2: 15.0}
     assert arrive("teitenrui03.csv", report(3, 40)) == {1: 10.0, 2: 15.0, 3: 15.0}
     assert arrive("again-teitenrui02.csv", report(2, 30)) == {1: 10.0, 2: 20.0, 3: 10.0}
-    one = spark.read.parquet(table).where("week = 1").select(calendar.period_label("year", "week")).first()
+    one = snapshot.read_table(spark, table).where("week = 1").select(calendar.period_label("year", "week")).first()
     assert one[0] == "2025-W01"
     assert {r["week"]: r["count"] for r in refresh.current_rows(spark, raw).collect()} == {1: 10.0, 2: 30.0, 3: 40.0}
 
@@ -167,7 +169,7 @@ def test_a_bad_report_does_not_poison_the_state(spark, tmp_path):
     assert arrive("teitenrui02b.csv", report(2, 25)) == {1: 10.0, 2: 15.0}
     reasons = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in spark.read.parquet(bad).collect()}
     assert reasons == {"teitenrui02.csv": "impossible values", "teitenrui03.csv": "too few rows"}
-    assert spark.read.parquet(raw).where("count < 0").isEmpty()
+    assert snapshot.read_table(spark, raw).where("count < 0").isEmpty()
 
 
 def batch_of(spark, week, n):
@@ -181,14 +183,42 @@ def test_batches_run_again_after_a_crash(spark, tmp_path, monkeypatch):
     paths = [str(tmp_path / n) for n in ("raw", "table", "bad")]
     for _ in range(2):
         refresh.apply_batch(batch_of(spark, 1, 3), *paths, batch_id=0)
-        assert spark.read.parquet(paths[1]).count() == 1
+        assert snapshot.read_table(spark, paths[1]).count() == 1
     with monkeypatch.context() as broken:
         broken.setattr(refresh.snapshot, "refresh_years", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             refresh.apply_batch(batch_of(spark, 2, 8), *paths, batch_id=1)
     refresh.apply_batch(batch_of(spark, 2, 8), *paths, batch_id=1)
-    assert {r["week"]: r["count"] for r in spark.read.parquet(paths[1]).collect()} == {1: 3.0, 2: 5.0}
-    assert spark.read.parquet(paths[0]).count() == 2
+    assert {r["week"]: r["count"] for r in snapshot.read_table(spark, paths[1]).collect()} == {1: 3.0, 2: 5.0}
+    assert refresh.current_rows(spark, paths[0]).count() == 2
+
+
+def test_a_batch_opens_its_own_years_and_folders_stay_few(spark, tmp_path, monkeypatch):
+    paths = [str(tmp_path / n) for n in ("raw", "table", "bad")]
+    state = Versions(spark, paths[0])
+
+    def arrived(year, week, n):
+        rows = [r.split(",") for r in report(week, n).splitlines()]
+        rows[1] = [f"{week}th week, {year}"]
+        return spark.createDataFrame([(f"x/teitenrui{week:02d}.csv", rows, None)], "file string, rows array<array<string>>, error string")
+
+    refresh.apply_batch(arrived(2024, 1, 5), *paths, batch_id=0)
+    opened = []
+    read = Versions.read
+    monkeypatch.setattr(Versions, "read", lambda self, *a, **k: opened.append(read(self, *a, **k)) or opened[-1])
+    for batch in range(1, 22):
+        refresh.apply_batch(arrived(2025, 1 + batch % 3, 10 * batch), *paths, batch_id=batch)
+        assert len(state.current().commits[2025]) <= refresh.MAX_FOLDERS
+    files = {f for df in opened if "batch" in df.columns for f in df.inputFiles()}
+    assert files and not any("year=2024" in f for f in files)
+    monkeypatch.undo()
+    folders = glob.glob(f"{paths[0]}/year=2025/commit=*")
+    assert len(folders) <= refresh.MAX_FOLDERS + 1 and len(glob.glob(f"{paths[0]}/_versions/*.json")) == 2
+    assert {r["week"]: r["count"] for r in refresh.current_rows(spark, paths[0]).where("year = 2025").collect()} == {1: 210.0, 2: 190.0, 3: 200.0}
+    assert snapshot.read_table(spark, paths[1]).count() == 4
+    # The same batch again, with other contents: its last run counts.
+    refresh.apply_batch(arrived(2025, 1, 100), *paths, batch_id=21)
+    assert {r["week"]: r["count"] for r in refresh.current_rows(spark, paths[0]).where("year = 2025").collect()}[1] == 100.0
 
 
 BULLET = """a
@@ -216,7 +246,7 @@ def test_reports_to_published_tables(spark, tmp_path):
         (landing / name).write_text(text)
 
     def values(name):
-        return {(r["year"], r["week"], r["disease"]): r["count"] for r in spark.read.parquet(f"{root}/{name}.parquet").collect()}
+        return {(r["year"], r["week"], r["disease"]): r["count"] for r in snapshot.read_table(spark, f"{root}/{name}.parquet").collect()}
 
     arrive("2021-05-zensu.csv", BULLET.format(n=4))
     arrive("2025-01-teitenrui.csv", report(1, 10))

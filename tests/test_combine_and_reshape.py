@@ -51,6 +51,30 @@ def test_merge_keeps_rows_with_null_keys_and_suffixes_clashes(spark):
     assert got == {("Tokyo", 1.0, 3.0), (None, 2.0, None), (None, None, 4.0)}
 
 
+def test_merge_of_unique_tables_needs_no_join(spark):
+    a = wide(spark, [("Nara", 2024, 1, DAY, 1.0), ("Mie", 2024, 1, DAY, None), (None, 2024, 1, DAY, 2.0)], ["n"])
+    b = wide(spark, [("Nara", 2024, 1, DAY, 3.0), ("Oita", 2024, 2, DAY, 5.0), (None, 2024, 1, DAY, 4.0)], ["n"])
+    out = wt.merge(a, b, unique=True)
+    assert "Join" not in out._jdf.queryExecution().toString()
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, wt.merge(a, b).select(out.columns).collect()), key=str)
+    assert wt.merge(a.where("false"), b.where("false"), unique=True).collect() == []
+
+
+def test_a_hot_key_is_folded_before_the_shuffle_and_refused(spark):
+    """A third of all rows under one key: a task sends one row of it, and the key is named."""
+    rows = spark.range(0, 60_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "Nara").otherwise(F.concat(F.lit("a"), "id")).alias("prefecture"),
+        F.lit(2024).alias("year"), F.lit(1).alias("week"), F.lit(DAY).alias("date"), F.col("id").alias("n"),
+    )
+    other = wide(spark, [("Nara", 2024, 1, DAY, 3.0)], ["m"])
+    with pytest.raises(Exception, match="More than one row for a key: Nara, 2024, 1"):
+        wt.merge(rows, other, unique=True).collect()
+    out = wt.merge(rows.where("id % 3 > 0 OR id = 0"), other, unique=True)
+    assert out.count() == 40_001
+    with pytest.raises(ValueError, match="share value columns"):
+        combine.fold_per_key(other, other, keys=["prefecture", "year", "week", "date"])
+
+
 def test_merge_appends_further_tables(spark):
     a = wide(spark, [("Tokyo", 2024, 1, DAY, 1.0)], ["p"])
     b = wide(spark, [("Osaka", 2024, 1, DAY, 2.0)], ["q"])

@@ -11,15 +11,15 @@ def diseases(df):
 
 
 def test_no_filter_returns_everything(mini):
-    assert wt.get_data(mini).count() == 3
+    assert wt.get_data(mini).count() == 7
 
 
 def test_condition_is_matched_ignoring_case(mini):
-    assert diseases(wt.get_data(mini, disease="tuberc")) == ["Tuberculosis", "Tuberculosis"]
+    assert diseases(wt.get_data(mini, disease="PERT")) == ["Pertussis"] * 4
 
 
 def test_several_conditions(mini):
-    assert wt.get_data(mini, disease=["measles", "TUBER"]).count() == 3
+    assert wt.get_data(mini, disease=["rubella", "HERP"]).count() == 3
 
 
 def test_empty_list_of_conditions_gives_nothing(mini):
@@ -41,7 +41,7 @@ def test_dimension_gives_the_same_rows(spark):
 
 def test_dimension_is_a_lazy_semi_join(mini):
     table = mini.load("unified")
-    plan = filters.match_conditions(table, ["^m", "^t"], dimension=table)._jdf.queryExecution().optimizedPlan().toString()
+    plan = filters.match_conditions(table, ["^p", "^r"], dimension=table)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftSemi" in plan
 
 
@@ -56,34 +56,34 @@ def test_made_up_headers(spark):
 
 
 def test_areas_are_exact(mini):
-    assert wt.get_data(mini, prefecture="Tokyo").count() == 1
-    assert wt.get_data(mini, prefecture=["Tokyo", "Osaka"]).count() == 2
-    assert wt.get_data(mini, prefecture="tokyo").count() == 0
+    assert wt.get_data(mini, prefecture="Aichi").count() == 3
+    assert wt.get_data(mini, prefecture=["Aichi", "Nara"]).count() == 4
+    assert wt.get_data(mini, prefecture="aichi").count() == 0
 
 
 def test_years_and_weeks(mini):
-    assert wt.get_data(mini, year=2023).count() == 2
-    assert wt.get_data(mini, year=(2020, 2022)).count() == 1
-    assert wt.get_data(mini, week=12).count() == 1
-    assert wt.get_data(mini, week=(1, 2)).count() == 2
-    assert wt.get_data(mini, year=2023, week=(1, 1), prefecture="Hokkaido", disease="tub").count() == 1
+    assert wt.get_data(mini, year=2017).count() == 4
+    assert wt.get_data(mini, year=(2010, 2016)).count() == 3
+    assert wt.get_data(mini, week=51).count() == 2
+    assert wt.get_data(mini, week=(2, 51)).count() == 5
+    assert wt.get_data(mini, year=2017, week=(2, 3), prefecture="Kagawa", disease="tussis").count() == 1
 
 
 def test_sources(mini):
-    assert wt.get_data(mini, source="confirmed").count() == 2
+    assert wt.get_data(mini, source="confirmed").count() == 6
     assert wt.get_data(mini, source="sentinel").count() == 1
-    assert wt.get_data(mini, source="all").count() == 3
-    assert wt.get_data(mini, source="other").count() == 3
+    assert wt.get_data(mini, source="all").count() == 7
+    assert wt.get_data(mini, source="other").count() == 7
 
 
 def test_lists_are_sorted(mini):
-    assert wt.list_diseases(mini) == ["Measles", "Tuberculosis"]
-    assert wt.list_diseases(mini, source="sentinel") == ["Measles"]
-    assert wt.list_prefectures(mini) == ["Hokkaido", "Osaka", "Tokyo"]
+    assert wt.list_diseases(mini) == ["Herpangina", "Pertussis", "Rubella"]
+    assert wt.list_diseases(mini, source="sentinel") == ["Herpangina"]
+    assert wt.list_prefectures(mini) == ["Aichi", "Gifu", "Kagawa", "Nara"]
 
 
 def test_latest_week(mini, spark, tmp_path):
-    assert wt.get_latest_week(mini) == (2023, 2)
+    assert wt.get_latest_week(mini) == (2017, 4)
     assert wt.get_latest_week(wt.Catalog(spark, str(tmp_path))) is None
 
 
@@ -93,15 +93,15 @@ def test_fallback_only_for_missing_tables(spark, mini, tmp_path):
     with pytest.raises(Exception, match="(?i)parquet|footer|magic"):
         wt.get_data(wt.Catalog(spark, str(tmp_path))).count()
     files = {**mini.files, "unified": "gone.parquet"}
-    assert wt.Catalog(spark, mini.root, files).observations().count() == 2
+    assert wt.Catalog(spark, mini.root, files).observations().count() == 24
     assert wt.Catalog(spark, str(tmp_path / "none")).observations().columns == wt.observation_schema().names
 
 
 def test_names_and_aliases(mini):
-    assert wt.load(mini, "sex").count() == 3
-    assert wt.load(mini, "place").count() == 1
-    assert mini.scan("sentinel").first()["per_sentinel"] == 1.2
-    assert [r[0] for r in mini.areas().collect()] == ["Hokkaido", "Osaka", "Tokyo"]
+    assert wt.load(mini, "sex").count() == 12
+    assert wt.load(mini, "place").count() == 3
+    assert sorted(r["per_sentinel"] for r in mini.scan("sentinel").collect()) == [0.75, 1.5, 3.0]
+    assert [r[0] for r in mini.areas().collect()] == ["Aichi", "Gifu", "Kagawa", "Nara"]
     with pytest.raises(ValueError, match="Unknown dataset: nope"):
         wt.load(mini, "nope")
 
@@ -110,7 +110,7 @@ def test_views_and_metadata(spark, mini):
     views = mini.register_views("weekly", "v2026.6.27", "2026-06-27T00:00:00Z")
     assert {"sex", "sex_prefecture", "unified", "metadata"} <= set(views)
     got = spark.sql("SELECT year, week, count(*) AS rows FROM unified GROUP BY 1, 2 ORDER BY 1 DESC, 2 DESC LIMIT 1")
-    assert tuple(got.first()) == (2023, 2, 1)
+    assert tuple(got.first()) == (2017, 4, 1)
     meta = {r["key"]: r["value"] for r in spark.table("metadata").collect()}
     assert meta == {"dataset_id": "weekly", "data_version": "2026.6.27", "built_at": "2026-06-27T00:00:00Z"}
 
@@ -118,12 +118,12 @@ def test_views_and_metadata(spark, mini):
 def test_year_filter_prunes_partitions(spark, mini, tmp_path):
     path = str(tmp_path / "t")
     mini.load("unified").write.partitionBy("year").parquet(path)
-    plan = filters.in_period(spark.read.parquet(path), 2023)._jdf.queryExecution().toString()
+    plan = filters.in_period(spark.read.parquet(path), 2017)._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
 
 
 def test_area_filter_is_pushed_to_the_scan(mini):
-    plan = wt.get_data(mini, prefecture=["Tokyo", "Osaka"])._jdf.queryExecution().toString()
+    plan = wt.get_data(mini, prefecture=["Gifu", "Nara"])._jdf.queryExecution().toString()
     assert "PushedFilters: [In(prefecture" in plan
 
 
@@ -192,9 +192,9 @@ def test_top_burden_keeps_ties(spark):
 
 def test_coverage(mini):
     rows = {r["disease"]: r for r in aggregate.coverage(mini.load("unified")).collect()}
-    tb = rows["Tuberculosis"]
-    assert (tb["first_period"], tb["last_period"], tb["sources"], tb["total_cases"], tb["rows"]) == (
-        "2020-W12", "2023-W01", "Confirmed cases", 15.0, 2,
+    one = rows["Pertussis"]
+    assert (one["first_period"], one["last_period"], one["sources"], one["total_cases"], one["rows"]) == (
+        "2016-W51", "2017-W02", "All-case reporting, Confirmed cases", 433.0, 4,
     )
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import hashlib
 import os
 
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 
 from weektide.model import Cols
 from weektide.operators import quality, snapshot
+from weektide.sources.versions import ConcurrentWrite, Versions
 
 SCHEMA = "prefecture string, year int, week int, disease string, category string, count double, per_sentinel double"
 
@@ -89,13 +91,18 @@ def test_unknown_areas(spark):
 # -- snapshots ----------------------------------------------------------------------------------
 
 
+def files_of(path, year=None):
+    return [f for f in glob.glob(f"{path}/year={year or '*'}/commit=*/*.parquet")]
+
+
 def test_written_table_is_split_by_year_and_sorted(spark, tmp_path):
     path = str(tmp_path / "t")
     df = table(spark, *[one(year=y, week=w) for y in (2022, 2023, 2024) for w in (3, 1, 2)])
     snapshot.write_table(df, path)
     assert sorted(d for d in os.listdir(path) if d.startswith("year=")) == ["year=2022", "year=2023", "year=2024"]
-    assert [r["week"] for r in spark.read.parquet(path + "/year=2023").collect()] == [1, 2, 3]
-    assert spark.read.parquet(path).count() == 9
+    assert [r["week"] for r in spark.read.parquet(*files_of(path, 2023)).collect()] == [1, 2, 3]
+    assert snapshot.read_table(spark, path).count() == 9
+    assert snapshot.read_table(spark, path).schema == df.schema
 
 
 def test_a_hot_year_is_spread_over_files(spark, tmp_path):
@@ -110,7 +117,7 @@ def test_a_hot_year_is_spread_over_files(spark, tmp_path):
         snapshot.write_table(rows, path)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
-    assert len([f for f in os.listdir(path + "/year=2024") if f.endswith(".parquet")]) > 1
+    assert len(files_of(path, 2024)) > 1
 
 
 def test_refresh_replaces_only_the_given_years_and_can_run_twice(spark, tmp_path):
@@ -119,9 +126,89 @@ def test_refresh_replaces_only_the_given_years_and_can_run_twice(spark, tmp_path
     new = table(spark, one(year=2024, count=9.0), one(year=2025))
     for _ in range(2):
         snapshot.refresh_years(new, path)
-        got = {(r["year"], r["count"]) for r in spark.read.parquet(path).collect()}
+        got = {(r["year"], r["count"]) for r in snapshot.read_table(spark, path).collect()}
         assert got == {(2023, 1.0), (2024, 9.0), (2025, 1.0)}
-        assert spark.read.parquet(path).count() == 3
+        assert snapshot.read_table(spark, path).count() == 3
+
+
+def test_a_broken_overwrite_leaves_the_old_table(spark, tmp_path):
+    """The job dies while it writes; what was published stays readable, and its leavings can be cleared away."""
+    path = str(tmp_path / "t")
+    versions = Versions(spark, path)
+    snapshot.write_table(table(spark, one(year=2023), one(year=2024)), path)
+    old = set(files_of(path))
+    dies = F.udf(lambda week: 1 // (week - 2), "int")
+    many = table(spark, *[one(year=y, week=w) for y in (2023, 2025) for w in (1, 2, 3)])
+    with pytest.raises(Exception, match="(?i)zero"):
+        snapshot.write_table(many.withColumn("week", dies("week")), path)
+    assert versions.current().number == 1
+    assert {(r["year"], r["count"]) for r in snapshot.read_table(spark, path).collect()} == {(2023, 1.0), (2024, 1.0)}
+    # The data of another one is complete, but its version is never published.
+    versions._add(table(spark, one(year=2026)), versions._next(versions.current())[1], True)
+    assert snapshot.read_table(spark, path).count() == 2 and files_of(path, 2026)
+    snapshot.refresh_years(table(spark, one(year=2025)), path)
+    snapshot.refresh_years(table(spark, one(year=2025, count=2.0)), path)
+    versions.vacuum(keep=1)
+    assert not files_of(path, 2026) and len(files_of(path, 2025)) == 1 and old <= set(files_of(path))
+    assert snapshot.read_table(spark, path).count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|no such file"):
+        versions.at(1)
+
+
+def test_one_of_two_writers_wins(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    snapshot.write_table(table(spark, one(year=2023)), path)
+    first, second = Versions(spark, path), Versions(spark, path)
+    seen = second.current()
+    first.refresh(table(spark, one(year=2024)))
+    monkeypatch.setattr(second, "current", lambda: seen)
+    with pytest.raises(ConcurrentWrite):
+        second.refresh(table(spark, one(year=2025)))
+    assert {r["year"] for r in snapshot.read_table(spark, path).collect()} == {2023, 2024}
+
+
+def test_versions_of_odd_tables(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path / "t"))
+    assert versions.current() is None and not versions.exists()
+    with pytest.raises(ValueError, match="No version"):
+        versions.read()
+    versions.overwrite(table(spark, one(year=None), one(year=2023, area=None)))
+    assert {(r["year"], r["prefecture"] is None) for r in versions.read().collect()} == {(None, False), (2023, True)}
+    assert [r["year"] for r in versions.read(years=[None]).collect()] == [None]
+    wide = table(spark, one(year=2024)).withColumn("note", F.lit("x"))
+    versions.refresh(wide)  # a new column: null in the years before
+    assert {(r["year"], r["note"]) for r in versions.read().collect()} == {(None, None), (2023, None), (2024, "x")}
+    with pytest.raises(ValueError, match="Column note"):
+        versions.refresh(wide.withColumn("note", F.lit(1)))
+    versions.overwrite(table(spark, one()).where("false"))
+    assert versions.read().count() == 0
+
+
+def test_equal_years_keep_their_folders(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path / "t"))
+    rows = [one(year=y, week=w, area=a) for y in (2022, 2023, 2024) for w in (1, 2) for a in ("Nara", "Gifu")]
+    first = versions.overwrite(table(spark, *rows))
+    second = versions.overwrite(table(spark, *reversed(rows)))
+    assert second.commits == first.commits and second.changed_years(first) == set()
+    third = versions.overwrite(table(spark, *rows[:-1], one(year=2024, week=2, area="Gifu", count=7.0)))
+    assert third.changed_years(second) == {2024}
+    parts = [tuple(r) for r in versions.changed_parts(second, third).collect()]
+    assert parts == [(2024, "Gifu")]
+
+
+def test_a_diff_reads_the_changed_year_only(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path / "t"))
+    rows = [one(year=y, week=w, area=a) for y in (2022, 2023, 2024) for w in (1, 2) for a in ("Nara", "Gifu")]
+    before = versions.overwrite(table(spark, *rows))
+    edited = [r for r in rows if r[:3] != ("Nara", 2023, 1)]
+    after = versions.refresh(table(spark, *[r for r in edited if r[1] >= 2023], one(year=2023, week=9, area="Nara")))
+    assert after.changed_years(before) == {2023, 2024}  # 2024 was written anew, with the same rows
+    diff = snapshot.version_diff(versions, before, after)
+    assert {p.split("year=")[1][:4] for p in diff.inputFiles() if "/_digests/" not in p} == {"2023"}
+    assert {(r["prefecture"], r["year"], r["week"], r["status"]) for r in diff.collect()} == {
+        ("Nara", 2023, 1, "removed"), ("Nara", 2023, 9, "added"),
+    }
+    assert snapshot.version_diff(versions, after, after).collect() == []
 
 
 def test_closed_years_are_kept(spark):

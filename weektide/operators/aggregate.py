@@ -204,8 +204,12 @@ def area_ranking(df: DataFrame, cols: Cols = COLS, out: str = "cases") -> DataFr
     return sum_by(df, [cols.area], out, cols).orderBy(F.col(out).desc(), cols.area)
 
 
-def area_week_profile(df: DataFrame, cols: Cols = COLS, out: str = "weekly_cases") -> DataFrame:
-    return sum_by(df, [cols.area, cols.week], out, cols).orderBy(cols.area, cols.week)
+def area_week_profile(
+    df: DataFrame, cols: Cols = COLS, out: str = "weekly_cases", by: Sequence[str] = ()
+) -> DataFrame:
+    """Cases per area and week, of all years together or for each value of ``by``."""
+    keys = [*by, cols.area, cols.week]
+    return sum_by(df, keys, out, cols).orderBy(*keys)
 
 
 def sum_numeric_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -47,12 +47,22 @@ def align_names(df: DataFrame, cols: Cols = COLS, kind: str | None = None) -> Da
     return df.toDF(*(c if c in cols.period else pattern.sub(lambda m: words[m[0]], c) for c in df.columns))
 
 
-def merge(*dfs: DataFrame, cols: Cols = COLS, suffix: str = "_right", kinds: Sequence[str | None] = ()) -> DataFrame:
-    """Full outer join of the first two tables on (area, year, week, date); further ones are appended.
+def merge(
+    *dfs: DataFrame,
+    cols: Cols = COLS,
+    suffix: str = "_right",
+    kinds: Sequence[str | None] = (),
+    unique: bool = False,
+) -> DataFrame:
+    """Full outer merge of the first two tables on (area, year, week, date); further ones are appended.
 
     ``kinds`` of the tables (sex, place, bullet, long) may be given; else their headers tell.
     A value column that both tables have gets ``suffix`` on the second one. Rows with a null key
-    match nothing, so they bypass the join instead of meeting in one shuffle partition.
+    match nothing; they bypass the merge instead of meeting in one shuffle partition.
+
+    With ``unique`` each table has one row per key at most, as wide report tables do: the two are then
+    folded per key without a join, and a key that a table has twice is an error. Otherwise equal keys
+    give all combinations of their rows.
     """
     if len(dfs) < 2:
         raise ValueError("merge needs at least two tables")
@@ -62,12 +72,38 @@ def merge(*dfs: DataFrame, cols: Cols = COLS, suffix: str = "_right", kinds: Seq
     clash = {c: c + suffix for c in right.columns if c in left.columns and c not in keys}
     right = right.withColumnsRenamed(clash)
     whole_key = reduce(lambda a, b: a & b, [_quoted(k).isNotNull() for k in keys])
-    out = left.where(whole_key).join(right.where(whole_key), keys, "full")
+    sides = left.where(whole_key), right.where(whole_key)
+    out = fold_per_key(*sides, keys=keys) if unique else sides[0].join(sides[1], keys, "full")
     for part in (left.where(~whole_key), right.where(~whole_key), *rest):
         out = out.unionByName(part, allowMissingColumns=True)
     return out
 
 
+def fold_per_key(*dfs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full outer merge of tables with one row per key each: a tagged union, folded per key.
+
+    The fold begins before the shuffle, so a task sends one row for each of its keys, however many
+    copies a faulty table holds. A key that one table has twice raises an error that names it. The tables
+    must not share value columns; null keys are equal.
+    """
+    keys = list(keys)
+    marks = [f"_rows_{n}" for n in range(len(dfs))]
+    tagged = [
+        df.withColumns({m: F.lit(1 if k == n else 0).cast("long") for k, m in enumerate(marks)}) for n, df in enumerate(dfs)
+    ]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    values = [c for c in both.columns if c not in keys and c not in marks]
+    if len(values) < sum(len(df.columns) - len(keys) for df in dfs):
+        raise ValueError("Tables share value columns")
+    folded = both.groupBy(*map(_quoted, keys)).agg(
+        *[F.first(_quoted(c), ignorenulls=True).alias(c) for c in values], *[F.sum(m).alias(m) for m in marks]
+    )
+    key = F.concat_ws(", ", *[_quoted(k).cast("string") for k in keys])
+    twice = reduce(lambda a, b: a | b, [F.col(m) > 1 for m in marks])
+    problem = F.raise_error(F.concat(F.lit("More than one row for a key: "), key)).cast("boolean")
+    return folded.where(F.when(twice, problem).otherwise(True)).select(*map(_quoted, [*keys, *values]))
+
+
 # -- dimensions -------------------------------------------------------------------------------
 
 

@@ -11,25 +11,21 @@ _COPIES_PER_STEP = 10_000
 
 
 def weekly_value(cumulative: Column, previous: Column, week: Column) -> Column:
-    """Week 1 keeps its value, a falling total gives null, a series start after week 1 gives null."""
-    step = cumulative - previous
-    return (
-        F.when(cumulative.isNull(), None).when(week == 1, cumulative).when(step < 0, None).otherwise(step)
-    )
+    """Cases of the week itself: the rise of the year's total, which stands at zero before week 1.
 
+    Null where no rise is known: a total is missing, or it falls.
+    """
+    rise = cumulative - F.when(week == 1, 0).otherwise(previous)
+    return F.when(F.coalesce(rise >= 0, F.lit(False)) | (week == 1), rise)
 
-def reporting_sites(cumulative: Column, rate: Column) -> Column:
-    """Number of sites a cumulative count and its rate imply."""
-    return F.when((cumulative > 0) & (rate > 0), cumulative / rate)
 
+def weekly_rate(weekly: Column, cumulative: Column, rate: Column) -> Column:
+    """Weekly cases per reporting site; the total and its rate tell the number of sites.
 
-def weekly_rate(weekly: Column, sites: Column) -> Column:
-    return (
-        F.when(weekly.isNull(), None)
-        .when(weekly == 0, 0.0)
-        .when(sites.isNull() | (sites <= 0), None)
-        .otherwise(weekly / sites)
-    )
+    No cases are a rate of 0 whatever the sites; otherwise positive totals and rates are needed.
+    """
+    sites = F.when(F.least(cumulative, rate) > 0, F.try_divide(cumulative, rate))
+    return F.coalesce(F.try_divide(weekly, sites), F.when(weekly == 0, 0.0))
 
 
 def cumulative_to_weekly(df: DataFrame, cols: Cols = COLS, unique: bool = False) -> DataFrame:
@@ -61,8 +57,7 @@ def cumulative_to_weekly(df: DataFrame, cols: Cols = COLS, unique: bool = False)
     cumulative = F.col(cols.count)
     out = out.withColumn("_weekly", weekly_value(cumulative, F.col("_prev"), F.col(cols.week)))
     if cols.rate in names:
-        sites = reporting_sites(cumulative, F.col(cols.rate))
-        out = out.withColumn(cols.rate, weekly_rate(F.col("_weekly"), sites))
+        out = out.withColumn(cols.rate, weekly_rate(F.col("_weekly"), cumulative, F.col(cols.rate)))
     return out.withColumn(cols.count, F.col("_weekly")).select(*[F.col(f"`{c}`") for c in names])
 
 

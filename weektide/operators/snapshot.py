@@ -12,32 +12,28 @@ from weektide.functions import calendar
 from weektide.model import COLS, Cols
 from weektide.operators.combine import union_relaxed
 from weektide.operators.filters import exclude_years
-
-
+from weektide.sources.versions import Version, Versions, row_hash
 
 # -- writes -----------------------------------------------------------------------------------
 
 
-def _clustered(df: DataFrame, cols: Cols) -> DataFrame:
-    """Range-partitioned and sorted by the output order. All sort keys take part in the ranges, so
-    a year that holds most rows is spread over many files."""
-    keys = [F.col(c).asc_nulls_last() for c in cols.output_order if c in df.columns]
-    by_year = [F.col(cols.year).asc_nulls_last(), *keys]
-    return df.repartitionByRange(*by_year).sortWithinPartitions(*by_year)
+def write_table(df: DataFrame, path: str, cols: Cols = COLS) -> None:
+    """The rows become the table at ``path``, sorted and partitioned by year; see :mod:`weektide.sources.versions`.
 
-
-def write_table(df: DataFrame, path: str, cols: Cols = COLS, mode: str = "overwrite") -> None:
-    """Parquet table partitioned by year, sorted for row-group pruning."""
-    _clustered(df, cols).write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(
-        cols.year
-    ).parquet(path)
+    Readers see the old table or the new one, never a part: what was published stays readable until the
+    new version stands, also when the write breaks off.
+    """
+    Versions(df.sparkSession, path, cols).overwrite(df)
 
 
 def refresh_years(df: DataFrame, path: str, cols: Cols = COLS) -> None:
     """Replace the years present in ``df``; folders of other years are not touched or read."""
-    _clustered(df, cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        cols.year
-    ).parquet(path)
+    Versions(df.sparkSession, path, cols).refresh(df)
+
+
+def read_table(spark: SparkSession, path: str, cols: Cols = COLS) -> DataFrame:
+    """The newest version of a published table."""
+    return Versions(spark, path, cols).read()
 
 
 def open_years(rebuilt: DataFrame, existing: DataFrame, current_year: int, cols: Cols = COLS) -> DataFrame:
@@ -54,15 +50,9 @@ def merge_refresh(existing: DataFrame, rebuilt: DataFrame, current_year: int, co
 # -- change detection -------------------------------------------------------------------------
 
 
-def _row_hash(df: DataFrame) -> Column:
-    columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
-    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
-    return F.xxhash64(*columns, nulls).cast("decimal(38,0)")
-
-
 def fingerprint(df: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
     """(keys..., rows, digest): independent of row and partition order, one pass without a shuffle of rows."""
-    digest = F.coalesce(F.sum(_row_hash(df)), F.lit(0)).alias("digest")
+    digest = F.coalesce(F.sum(row_hash(df, df.columns)), F.lit(0)).alias("digest")
     return df.groupBy(*keys).agg(F.count("*").alias("rows"), digest)
 
 
@@ -76,7 +66,7 @@ def change_report(tables: Mapping[str, tuple[DataFrame, DataFrame]], cols: Cols
         # The same columns in another order are no change; other columns are.
         same = sorted(before.columns) == sorted(after.columns)
         sides = [
-            df.select(_row_hash(df).alias("h"), F.lit(new).alias("new"), *(F.col(c) for c in (cols.year, cols.week)))
+            df.select(row_hash(df, df.columns).alias("h"), F.lit(new).alias("new"), *(F.col(c) for c in (cols.year, cols.week)))
             for df, new in ((before, False), (after, True))
         ]
         new = F.col("new")
@@ -132,6 +122,31 @@ def snapshot_diff(
     return folded.select(*keys, status.alias("status"))
 
 
+def version_diff(
+    table: Versions, before: Version, after: Version, keys: Iterable[str] | None = None
+) -> DataFrame:
+    """Status of the keys that two versions of a table tell apart: added, removed or changed.
+
+    A walk down a hash tree: years that both read from the same folders are not looked at; of the others
+    the stored digests per (year, area) are compared, and rows are read only where these differ. One small
+    job reads the digests when the plan is built.
+    """
+    cols = table.cols
+    keys = list(keys if keys is not None else [c for c in cols.key if c in after.schema.names])
+    parts = table.changed_parts(before, after).persist()
+    years = [r.year for r in parts.select("year").distinct().collect()]
+    year, area = F.col(f"rows.`{cols.year}`"), F.col(f"rows.`{cols.area}`") if cols.area in after.schema.names else None
+
+    def side(version: Version) -> DataFrame:
+        rows = table.read(version, [y for y in version.commits if y in years]).alias("rows")
+        on = year.cast("int").eqNullSafe(F.col("parts.year"))
+        if area is not None:
+            on &= area.eqNullSafe(F.col("parts.area"))
+        return rows.join(parts.alias("parts"), on, "left_semi")
+
+    return snapshot_diff(side(before), side(after), keys, cols).where("status <> 'same'")
+
+
 # -- profile ----------------------------------------------------------------------------------
 
 

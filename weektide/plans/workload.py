@@ -19,6 +19,7 @@ from weektide.plans import build, report_grids
 from weektide.session import shared_folder
 from weektide.sources import reports
 from weektide.sources.catalog import Catalog
+from weektide.sources.versions import Versions
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -250,16 +251,16 @@ def _(spark, folder):
 
 @query(
     "area_week_profile",
-    f"{_OBS} SELECT area, week, CAST(sum(cnt) AS BIGINT) AS weekly_cases FROM obs WHERE year = 1998 GROUP BY ALL",
+    f"{_OBS} SELECT year, area, week, CAST(sum(cnt) AS BIGINT) AS weekly_cases FROM obs GROUP BY ALL",
 )
 def _(spark, folder):
-    return aggregate.area_week_profile(filters.in_period(observations(spark, folder), 1998, cols=COLS), COLS)
+    return aggregate.area_week_profile(observations(spark, folder), COLS, by=("year",))
 
 
 @query(
     "sum_numeric_with_code",
-    f"""{_OBS}, t AS (SELECT area, CAST(sum(cnt) AS BIGINT) AS cnt FROM obs WHERE year = 1997 GROUP BY area)
-SELECT area, cnt, CASE WHEN n_nationkey % 5 <> 0 THEN 'X-' || n_nationkey END AS area_code
+    f"""{_OBS}, t AS (SELECT year, area, CAST(sum(cnt) AS BIGINT) AS cnt FROM obs GROUP BY ALL)
+SELECT year, area, cnt, CASE WHEN n_nationkey % 5 <> 0 THEN 'X-' || n_nationkey END AS area_code
 FROM t JOIN nation ON area = n_name""",
 )
 def _(spark, folder):
@@ -268,8 +269,8 @@ def _(spark, folder):
         .where("n_nationkey % 5 <> 0")
         .select(F.col("n_name").alias("area"), F.concat(F.lit("X-"), "n_nationkey").alias("area_code"))
     )
-    year = filters.in_period(observations(spark, folder), 1997, cols=COLS).select("area", "cnt")
-    return aggregate.sum_numeric_by(year, ["area"]).transform(combine.attach_dimension, dim, "area")
+    rows = observations(spark, folder).select("year", "area", "cnt")
+    return aggregate.sum_numeric_by(rows, ["year", "area"]).transform(combine.attach_dimension, dim, "area")
 
 
 @query(
@@ -282,12 +283,11 @@ def _(spark, folder):
 
 @query(
     "projection_limit",
-    f"""WITH {_CASES} SELECT date, area, cond, source FROM cases WHERE year = 1996 AND cond = '1-URGENT'
-ORDER BY date, area, source LIMIT 20""",
+    f"WITH {_CASES} SELECT date, area, cond, source FROM cases ORDER BY date, area, cond, source LIMIT 20",
 )
 def _(spark, folder):
-    some = cases(spark, folder).where("year = 1996 AND cond = '1-URGENT'")
-    return aggregate.first_rows(some, ["date", "area", "cond", "source"], ["date", "area", "source"])
+    columns = ["date", "area", "cond", "source"]
+    return aggregate.first_rows(cases(spark, folder), columns, columns)
 
 
 @query(
@@ -376,15 +376,15 @@ def _(spark, folder):
 
 @query(
     "prefer_primary",
-    f"""{_OBS}, a AS (SELECT * FROM obs WHERE source = 'F' AND cond < '4'),
+    f"""{_OBS}, a AS (SELECT * FROM obs WHERE source <> 'O' AND cond < '4'),
 b AS (SELECT area, year, week, CASE WHEN week % 10 = 0 THEN NULL ELSE cond END AS cond, source, cnt FROM obs
-  WHERE source = 'O')
+  WHERE source = 'O' OR cond >= '4')
 SELECT * FROM a UNION ALL SELECT * FROM b WHERE cond IS NOT NULL AND NOT EXISTS (SELECT 1 FROM a WHERE a.cond = b.cond)""",
 )
 def _(spark, folder):
     obs = observations(spark, folder)
-    primary = obs.where("source = 'F' AND cond < '4'")
-    secondary = obs.where("source = 'O'").withColumn("cond", F.when(F.col("week") % 10 != 0, F.col("cond")))
+    primary = obs.where("source <> 'O' AND cond < '4'")
+    secondary = obs.where("source = 'O' OR cond >= '4'").withColumn("cond", F.when(F.col("week") % 10 != 0, F.col("cond")))
     return combine.prefer_primary(primary, secondary, COLS)
 
 
@@ -402,13 +402,21 @@ def _(spark, folder):
 
 @query(
     "merge_full",
-    f"""WITH {_CASES}, d AS (SELECT area, year, week, CAST(NULL AS DATE) AS none, {_monday("year", "week")} AS date, source FROM cases),
+    f"""WITH {_CASES}, d AS (SELECT area, year, week, {_monday("year", "week")} AS date, source FROM cases),
 a AS (SELECT area, year, week, date, count(*) AS n_f FROM d WHERE source = 'F' GROUP BY ALL),
-b AS (SELECT area, year, week, date, count(*) AS n_o FROM d WHERE source = 'O' GROUP BY ALL)
-SELECT area, year, week, date, n_f, n_o FROM a FULL JOIN b USING (area, year, week, date)""",
+b AS (SELECT area, year, week, date, count(*) FILTER (source = 'O') AS n_o, count(*) FILTER (source = 'P') AS n_p
+  FROM d WHERE source <> 'F' GROUP BY ALL)
+SELECT area, year, week, date, n_f, n_o, n_p FROM a FULL JOIN b USING (area, year, week, date)""",
 )
 def _(spark, folder):
-    return combine.merge(_wide(spark, folder, "F", "n_f"), _wide(spark, folder, "O", "n_o"), cols=COLS)
+    open_or_partial = (
+        cases(spark, folder)
+        .where("source <> 'F'")
+        .withColumn("date", calendar.iso_monday("year", "week"))
+        .groupBy("area", "year", "week", "date")
+        .agg(F.count_if(F.col("source") == "O").alias("n_o"), F.count_if(F.col("source") == "P").alias("n_p"))
+    )
+    return combine.merge(_wide(spark, folder, "F", "n_f"), open_or_partial, cols=COLS, unique=True)
 
 
 def _wide(spark, folder, source, name, null_area_week=None):
@@ -431,7 +439,7 @@ UNION ALL SELECT area, year, week, date, NULL, NULL, n_p FROM c""",
 )
 def _(spark, folder):
     parts = [_wide(spark, folder, s, n, 5) for s, n in (("F", "n"), ("O", "n"), ("P", "n_p"))]
-    return combine.merge(*parts, cols=COLS)
+    return combine.merge(*parts, cols=COLS, unique=True)
 
 
 @query(
@@ -450,7 +458,7 @@ def _(spark, folder):
         count("F").alias("Flu Japan"), count("O").alias("Flu Others"), count("P").alias("Flu Unknown")
     )
     bullet = rows.where("week % 3 < 2").groupBy(keys).agg(F.count("*").alias("Flu weekly"))
-    return combine.merge(place, bullet, cols=COLS)
+    return combine.merge(place, bullet, cols=COLS, unique=True)
 
 
 @query(
@@ -504,24 +512,24 @@ def _(spark, folder):
 
 @query(
     "union_relaxed",
-    f"""{_OBS} SELECT area, year, week, CAST(cnt AS DOUBLE) AS cnt, source, CAST(NULL AS DOUBLE) AS rate FROM obs WHERE source = 'F'
+    f"""{_OBS} SELECT area, year, week, CAST(cnt AS DOUBLE) AS cnt, source, CAST(NULL AS DOUBLE) AS rate FROM obs WHERE source <> 'P'
 UNION ALL SELECT area, year, week, cnt * 0.5, NULL, cnt / 4.0 FROM obs WHERE source = 'P'""",
 )
 def _(spark, folder):
     obs = observations(spark, folder)
-    first = obs.where("source = 'F'").select("area", "year", "week", "cnt", "source")
+    first = obs.where("source <> 'P'").select("area", "year", "week", "cnt", "source")
     second = obs.where("source = 'P'").selectExpr("area", "year", "week", "cnt * 0.5D AS cnt", "cnt / 4D AS rate")
     return combine.union_relaxed(first, second)
 
 
 @query(
     "union_mixed_types",
-    f"""{_OBS} SELECT area, CAST(cnt AS STRING) AS value FROM obs WHERE source = 'F'
+    f"""{_OBS} SELECT area, CAST(cnt AS STRING) AS value FROM obs WHERE source <> 'P'
 UNION ALL SELECT area, cond FROM obs WHERE source = 'P'""",
 )
 def _(spark, folder):
     obs = observations(spark, folder)
-    first = obs.where("source = 'F'").select("area", F.col("cnt").alias("value"))
+    first = obs.where("source <> 'P'").select("area", F.col("cnt").alias("value"))
     return combine.union_relaxed(first, obs.where("source = 'P'").select("area", F.col("cond").alias("value")))
 
 
@@ -948,27 +956,30 @@ def _(spark, folder):
 @query(
     "has_japanese",
     """SELECT doc_id, regexp_matches(text, '[\\x{3040}-\\x{30ff}\\x{4e00}-\\x{9fff}]') AS plain,
-  true AS marked FROM documents""",
+  doc_id % 2 = 0 OR regexp_matches(text, '[\\x{3040}-\\x{30ff}\\x{4e00}-\\x{9fff}]') AS marked FROM documents""",
 )
 def _(spark, folder):
     docs = table(spark, folder, "documents")
     return docs.select(
         "doc_id",
         text.has_japanese("text").alias("plain"),
-        text.has_japanese(F.concat("text", F.lit("県"))).alias("marked"),
+        text.has_japanese(F.when(F.col("doc_id") % 2 == 0, F.concat("text", F.lit("県"))).otherwise(F.col("text"))).alias("marked"),
     )
 
 
 @query(
     "fold_fullwidth",
-    """SELECT p_partkey, p_name || 'ＩｎＡＥＯ' AS kept, p_name || 'InAEO' AS six, p_name || 'RS1' AS all_ascii FROM part""",
+    """SELECT p_partkey, translate(p_type, 'AEIOn', 'ＡＥＩＯｎ') AS wide, p_type AS six, p_brand AS all_ascii FROM part""",
 )
 def _(spark, folder):
+    # The texts of the table in full-width characters, and back.
+    digits = "0123456789#BDRabcdr"
+    wide = F.translate("p_type", "AEIOn", "ＡＥＩＯｎ")
     return table(spark, folder, "part").select(
         "p_partkey",
-        F.concat("p_name", F.lit("ＩｎＡＥＯ")).alias("kept"),
-        text.fold_fullwidth(F.concat("p_name", F.lit("ＩｎＡＥＯ"))).alias("six"),
-        text.fold_fullwidth(F.concat("p_name", F.lit("ＲＳ１")), all_ascii=True).alias("all_ascii"),
+        wide.alias("wide"),
+        text.fold_fullwidth(wide).alias("six"),
+        text.fold_fullwidth(F.translate("p_brand", digits, "".join(chr(ord(c) + 0xFEE0) for c in digits)), all_ascii=True).alias("all_ascii"),
     )
 
 
@@ -1418,7 +1429,7 @@ def _(spark, folder):
 def _(spark, folder):
     path = shared_folder(spark, "published")
     snapshot.write_table(observations(spark, folder), path, COLS)
-    return spark.read.parquet(path)
+    return snapshot.read_table(spark, path, COLS)
 
 
 @query(
@@ -1430,7 +1441,7 @@ def _(spark, folder):
     obs = observations(spark, folder)
     snapshot.write_table(obs, path, COLS)
     snapshot.refresh_years(obs.where("year >= 2000").withColumn("cnt", F.col("cnt") + 1), path, COLS)
-    return spark.read.parquet(path)
+    return snapshot.read_table(spark, path, COLS)
 
 
 @query(
@@ -1461,9 +1472,10 @@ def _(spark, folder):
 
 @query(
     "content_check",
-    """WITH have AS (SELECT CAST(doc_id AS STRING) AS file, strlen(text) AS size, sha256(text) AS sha FROM documents WHERE doc_id % 17 <> 0),
-want AS (SELECT CAST(doc_id AS STRING) AS file, strlen(text) + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS size,
-  CASE WHEN doc_id % 5 = 0 THEN reverse(sha256(text)) ELSE sha256(text) END AS sha FROM documents WHERE doc_id % 11 <> 0)
+    """WITH have AS (SELECT CASE WHEN doc_id % 17 = 0 THEN 'new-' ELSE '' END || doc_id AS file, strlen(text) AS size,
+  sha256(text) AS sha FROM documents),
+want AS (SELECT CASE WHEN doc_id % 11 = 0 THEN 'old-' ELSE '' END || doc_id AS file, strlen(text) + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS size,
+  CASE WHEN doc_id % 5 = 0 THEN reverse(sha256(text)) ELSE sha256(text) END AS sha FROM documents)
 SELECT file, CASE WHEN want.size IS NULL THEN 'unlisted' WHEN have.size IS NULL THEN 'missing' WHEN have.size <> want.size
   THEN 'size mismatch' WHEN have.sha <> want.sha THEN 'checksum mismatch' ELSE 'ok' END AS status
 FROM have FULL JOIN want USING (file)""",
@@ -1471,23 +1483,24 @@ FROM have FULL JOIN want USING (file)""",
 def _(spark, folder):
     whole = snapshot.content_inventory(table(spark, folder, "documents"), "doc_id", "text")
     key = F.col("file").cast("long")
-    listed = whole.where(key % 11 != 0).select(
-        "file",
+    named = lambda of, prefix: F.concat(F.when(key % of == 0, prefix).otherwise(""), "file")
+    listed = whole.select(
+        named(11, "old-").alias("file"),
         (F.col("size_bytes") + F.when(key % 7 == 0, 1).otherwise(0)).alias("size_bytes"),
         F.when(key % 5 == 0, F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"),
     )
-    return snapshot.verify_files(whole.where(key % 17 != 0), listed)
+    return snapshot.verify_files(whole.withColumn("file", named(17, "new-")), listed)
 
 
 @query(
     "missing_contents",
-    "SELECT CAST(doc_id AS STRING) AS file FROM documents WHERE doc_id % 3 = 0 AND doc_id % 17 = 0",
+    "SELECT CAST(doc_id AS STRING) AS file FROM documents WHERE doc_id % 17 = 0",
 )
 def _(spark, folder):
-    documents = table(spark, folder, "documents")
-    have = snapshot.content_inventory(documents.where("doc_id % 17 <> 0"), "doc_id", "text")
-    required = documents.where("doc_id % 3 = 0").select(F.col("doc_id").cast("string").alias("file"))
-    return snapshot.missing_contents(have, required)
+    documents = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("file"), "text")
+    moved = F.when(F.col("file").cast("long") % 17 == 0, F.concat(F.lit("moved-"), "file")).otherwise(F.col("file"))
+    have = snapshot.content_inventory(documents.withColumn("file", moved), "file", "text")
+    return snapshot.missing_contents(have, documents.select("file"))
 
 
 @query(
@@ -1607,10 +1620,10 @@ def _(spark, folder):
     return build.build_place(rows.where("year < 1995"), late, cols=COLS)
 
 
-@query("area_dimension", "SELECT n_name AS area FROM nation")
+@query("area_dimension", f"WITH {_CASES} SELECT DISTINCT area FROM cases")
 def _(spark, folder):
     path = shared_folder(spark, "areas")
-    names = table(spark, folder, "nation").select(F.col("n_name").alias("area"))
+    names = aggregate.distinct_values(cases(spark, folder), "area")
     names.write.parquet(f"{path}/prefecture_en.parquet")
     return Catalog(spark, path, cols=COLS).areas()
 
@@ -1627,16 +1640,34 @@ def _(spark, folder):
 
 @query(
     "publish_gate",
-    f"""{_OBS} SELECT area, year, week, cond, source, CASE WHEN year = 1994 THEN -cnt ELSE cnt END AS cnt FROM obs
-WHERE year <> 1994 AND year BETWEEN 1990 AND 2000 AND week BETWEEN 1 AND 50 AND source = 'F'""",
+    f"""{_OBS} SELECT area, year, week, cond, source AS category, cnt FROM obs
+WHERE year <> 1994 AND year BETWEEN 1990 AND 2000 AND week BETWEEN 1 AND 50""",
 )
 def _(spark, folder):
-    rows = observations(spark, folder).where("source = 'F'")
+    rows = observations(spark, folder).withColumnRenamed("source", "category")
     rows = rows.withColumn("cnt", F.when(F.col("year") == 1994, -F.col("cnt")).otherwise(F.col("cnt")))
     path = shared_folder(spark, "gated")
     good = quality.valid_rows(rows, (1990, 2000), (1, 50), COLS)
     snapshot.write_table(quality.validate(good, years=(1990, 2000), weeks=(1, 50), cols=COLS), path, COLS)
-    return spark.read.parquet(path)
+    return snapshot.read_table(spark, path, COLS)
+
+
+@query(
+    "version_diff",
+    f"""{_OBS} SELECT area, year, week, cond, source, CASE WHEN year = 1996 AND week % 7 = 0 THEN 'removed' ELSE 'changed' END AS status
+FROM obs WHERE (year = 1996 AND week % 7 = 0) OR (year = 1994 AND area < 'NATION_2')
+UNION ALL SELECT area, year + 100, week, cond, source, 'added' FROM obs WHERE year = 1997""",
+)
+def _(spark, folder):
+    versions = Versions(spark, shared_folder(spark, "versions"), COLS)
+    rows = observations(spark, folder)
+    before = versions.overwrite(rows)
+    more = rows.where("year = 1997").withColumn("year", F.col("year") + 100)
+    edited = rows.where("NOT (year = 1996 AND week % 7 = 0)").withColumn(
+        "cnt", F.when((F.col("year") == 1994) & (F.col("area") < "NATION_2"), F.col("cnt") + 1).otherwise(F.col("cnt"))
+    )
+    after = versions.overwrite(edited.unionByName(more))
+    return snapshot.version_diff(versions, before, after, ["area", "year", "week", "cond", "source"])
 
 
 @query(

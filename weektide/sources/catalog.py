@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weektide.model import COLS, DATASET_ALIASES, DATASET_FILES, Cols, observation_schema
+from weektide.sources.versions import Versions
 
 METADATA_SCHEMA = "key string, value string"
 
@@ -40,12 +41,20 @@ class Catalog:
         return os.path.join(self.root, self.files[resolved])
 
     def load(self, name: str, schema: T.StructType | str | None = None) -> DataFrame:
-        """Lazy table. A given schema saves the footer read that infers it."""
+        """Lazy table, the newest version of a published one. A given schema saves the footer read that infers it."""
+        versions = self.versions(name)
+        if versions.exists():
+            table = versions.read()
+            return table if schema is None else table.to(schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema))
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(name))
 
     scan = load
 
+    def versions(self, name: str) -> Versions:
+        """The versions of a table that this library published."""
+        return Versions(self.spark, self.path(name), self.cols)
+
     def areas(self) -> DataFrame:
         """Area-name dimension in file order."""
         return self.load("prefecture_en").select(self.cols.area)

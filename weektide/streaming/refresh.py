@@ -1,16 +1,17 @@
 """Weekly files arrive -> the touched years of a table are recomputed and replaced.
 
-The state is append-only: every micro-batch writes its good reports to a folder of its own, named by the
-batch, so a batch that runs twice leaves the same state, and nothing that was stored is ever written
-over. What a report says now is decided when the state is read: the latest batch wins. Reports that cannot
-be used, or hold impossible values, go to a quarantine table and do not touch the state.
+The state is a log per year: every micro-batch adds a folder of its good reports to the years that it
+touches, as a version of the state, so what was stored is never written over. What a report says now is
+decided when the state is read: the latest batch wins, and a batch that runs twice leaves the same state.
+A batch opens the folders of its own years only. When a year has gathered ``MAX_FOLDERS`` of them, the batch
+writes its rows anew as one folder, without what has been replaced. Reports that cannot be used, or hold
+impossible values, go to a quarantine table and do not touch the state.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +19,10 @@ from pyspark.sql.streaming import StreamingQuery
 from weektide.model import COLS, REPORT_SCHEMA, VALID_YEARS, Cols
 from weektide.operators import combine, grid, quality, series, snapshot
 from weektide.sources import reports
+from weektide.sources.versions import COMMIT, Versions
+
+#: Folders that a year of the state gathers before they become one.
+MAX_FOLDERS = 8
 
 PARSERS = {"sentinel": grid.sentinel_to_long, "bullet": grid.bullet_to_long}
 
@@ -38,15 +43,6 @@ def stream_reports(spark: SparkSession, folder: str, kind: str | None = None, fi
     return files.mapInPandas(reports.split_files(), REPORT_SCHEMA)
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
 def _impossible(cols: Cols, columns: list[str]) -> Column:
     """Values that no report can hold, row by row."""
     bad = F.col(cols.date).isNull() | ~F.col(cols.year).between(*VALID_YEARS)
@@ -87,13 +83,15 @@ def apply_batch(
 
 def current_rows(spark: SparkSession, raw_path: str, cols: Cols = COLS) -> DataFrame | None:
     """The state as it stands: for each key the row of the latest batch."""
-    stored = _existing(spark, raw_path)
-    return None if stored is None else _latest(stored, cols)
+    state = Versions(spark, raw_path, cols)
+    return _latest(state.read(with_commit=True), cols).drop("batch") if state.exists() else None
 
 
 def _latest(rows: DataFrame, cols: Cols) -> DataFrame:
+    """One row per key: of the latest batch, and of its last run."""
     keys = [cols.area, cols.year, cols.week, cols.condition]
-    return combine.dedup_first(rows, -F.col("batch"), keys, cols).drop("batch")
+    newest = F.struct((-F.col("batch")).alias("batch"), F.translate(COMMIT, "0123456789abcdef-", "fedcba9876543210-"))
+    return combine.dedup_first(rows, newest, keys, cols).drop(COMMIT)
 
 
 def _fold(
@@ -107,21 +105,30 @@ def _fold(
     cols: Cols,
 ) -> None:
     spark = new.sparkSession
-    rows, stored = new.withColumn("batch", F.lit(batch_id)), _existing(spark, raw_path)
+    state = Versions(spark, raw_path, cols)
+    stored = state.current()
+    # The years of one batch of reports: a few numbers.
+    years = [r[0] for r in new.select(cols.year).distinct().collect()]
+    new = new.withColumn("batch", F.lit(batch_id).cast("long"))
+    rows = new.withColumn(COMMIT, F.lit("f"))  # later than all that is stored
     if stored is not None:
-        others = stored.where(F.col("batch") != batch_id).join(new.select(cols.year).distinct(), cols.year, "left_semi")
-        rows = rows.unionByName(others.withColumn("batch", F.col("batch").cast("int")), allowMissingColumns=True)
-    now = _latest(rows, cols)
-    table = series.cumulative_to_weekly(now, cols, unique=True) if kind == "sentinel" else now
+        rows = rows.unionByName(state.read(stored, years, with_commit=True), allowMissingColumns=True)
+    now = _latest(rows, cols).persist()
+    full = [y for y in years if stored is not None and len(stored.commits.get(y, ())) >= MAX_FOLDERS]
+    table = series.cumulative_to_weekly(now.drop("batch"), cols, unique=True) if kind == "sentinel" else now.drop("batch")
     table = table.persist()
     try:
         quality.validate(table, cols=cols)
         bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
-        new.write.mode("overwrite").parquet(f"{raw_path}/batch={batch_id}")
-        if not table.isEmpty():
+        if years:
+            in_full = F.col(cols.year).isin(full)
+            state.append(new.where(~in_full).unionByName(now.where(in_full), allowMissingColumns=True) if full else new, replace=full)
+            state.vacuum()
             snapshot.refresh_years(table, table_path, cols)
+            Versions(spark, table_path, cols).vacuum()
     finally:
         table.unpersist()
+        now.unpersist()
 
 
 def start_refresh(
