@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from weektide.functions import calendar
-from weektide.operators import quality, snapshot
+from weektide.operators import aggregate, quality, snapshot
 from weektide.plans import build
+from weektide.sources import reports
+from weektide.sources.catalog import Catalog
 from weektide.sources.versions import Versions
 from weektide.streaming import refresh
 
@@ -264,3 +266,66 @@ def test_reports_to_published_tables(spark, tmp_path):
     assert values("unified")[2025, 2, "RSV"] == 15
     with pytest.raises(ValueError, match="Unknown tables"):
         build.build_tables(spark, str(landing), root, 2025, ["other"])
+
+
+def workbooks(spark, *years):
+    """Cell grids of a sex and a place workbook for each year: one sheet of its first week."""
+    rows = []
+    for y in years:
+        for name, marks in ((f"{y}_Syu_01_1.xlsx", ["Total", "Male", "Female"]), (f"{y}_Syu_02_1.xlsx", ["Total", "Japan", "Others"])):
+            cells = [["title"], ["", "Cholera", "", ""], ["", *marks], ["Total No.", "9", "9", "9"], ["Ehime", "5", "3", "2"], ["Mie", "4", "4", ""]]
+            rows += [(f"books/{name}", 2, k, c) for k, c in enumerate(cells)]
+    return spark.createDataFrame(rows, "file string, sheet int, row_idx int, cells array<string>")
+
+
+def test_all_tables_from_one_parse(spark, tmp_path, monkeypatch):
+    landing, root = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
+    (landing / "2021-05-zensu.csv").write_text(BULLET.format(n=4))
+    (landing / "2025-01-teitenrui.csv").write_text(report(1, 10))
+    (landing / "2025-02-teitenrui.csv").write_text(report(2, 25))
+    (landing / "2025-03-teitenrui.csv").write_text("x,current week\n")
+    decoded = spark.sparkContext.accumulator(0)
+    parse = reports.parse_contents
+
+    def counted(files, *args):
+        def look(batches):
+            for batch in batches:
+                decoded.add(len(batch))
+                yield batch
+
+        return parse(files.mapInPandas(look, "path string, content binary"), *args)
+
+    monkeypatch.setattr(reports, "parse_contents", counted)
+    bad = build.build_tables(spark, str(landing), root, 2025, workbooks=workbooks(spark, 2018, 2019))
+    assert decoded.value == 4
+    assert [r["reason"] for r in bad.collect()] == ["too few rows"]
+    catalog = Catalog(spark, root)
+    assert catalog.load("sex").count() == catalog.load("place").count() == 12
+    assert {r["category"] for r in catalog.load("sex").collect()} == {"total", "male", "female"}
+    assert {(r["disease"], r["source"]) for r in catalog.load("unified").collect()} == {
+        ("Cholera", "Confirmed cases"), ("Mumps", "All-case reporting"), ("RSV", "Sentinel surveillance"),
+    }
+    covered = {r["disease"]: (r["first_period"], r["last_period"], r["total_cases"], r["rows"]) for r in build.read_coverage(spark, root).collect()}
+    assert covered == {"Cholera": ("2018-W01", "2019-W01", 18.0, 4), "Mumps": ("2021-W05", "2021-W05", 4.0, 1), "RSV": ("2025-W01", "2025-W02", 25.0, 2)}
+    # Again, with one more workbook: years that are there are not parsed, and their files stay.
+    old = catalog.versions("sex").current()
+    build.build_tables(spark, str(landing), root, 2025, ["sex_prefecture", "unified"], workbooks=workbooks(spark, 2018, 2019, 2020))
+    new = catalog.versions("sex").current()
+    assert new.changed_years(old) == {2020}
+    unified = catalog.versions("unified")
+    assert unified.current().changed_years(unified.at(1)) == {2020}
+    assert {r["disease"]: r["rows"] for r in build.read_coverage(spark, root).collect()} == {"Cholera": 6, "Mumps": 1, "RSV": 2}
+
+
+def test_coverage_reads_changed_years_only(spark, tmp_path, monkeypatch):
+    table, parts = Versions(spark, str(tmp_path / "t")), Versions(spark, str(tmp_path / "c"))
+    rows = historical(spark).unionByName(historical(spark).withColumn("year", F.lit(2020)))
+    table.overwrite(rows)
+    first = build.refresh_coverage(table, parts)
+    assert build.refresh_coverage(table, parts).number == first.number  # nothing to count
+    table.refresh(rows.where("year = 2024").withColumn("count", F.col("count") + 1), drop=[2020])
+    build.refresh_coverage(table, parts)
+    assert parts.current().commits[2023] == first.commits[2023] and 2020 not in parts.current().commits
+    whole = aggregate.coverage(table.read())
+    assert sorted(map(tuple, aggregate.coverage_of(parts.read()).collect())) == sorted(map(tuple, whole.collect()))

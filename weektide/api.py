@@ -96,11 +96,10 @@ def read(
             type = reports.detect_layout(source)
         if type in ("sex", "place"):
             raise ValueError("Workbooks are read from a cell-grid table")
-        cells = reports.read_reports(spark, source, weeks)
+        files = reports.of_weeks(reports.landing_files(spark, source), weeks)
         if type is None:
-            return grid.reports_to_long(cells, cols, year=year, weeks=weeks)
-        if not single:
-            cells = cells.where(reports.layout_of("file") == type)
+            return grid.files_to_long(files, cols, year=year, weeks=weeks)
+        cells = reports.parse_contents(files if single else files.where(reports.layout_of("path") == type))
     if type == "bullet":
         return grid.bullet_to_long(cells, cols, year=year, weeks=weeks)
     if type == "sentinel":

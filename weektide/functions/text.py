@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,9 @@ UNUSUAL = r"[^\x01-\u2fff]"
 BROKEN_BRACKETS = r"^[^(]*\)\s*\((.+)$"
 TOTAL_ROW_JA = "総数|合計"
 
+#: Names that a dictionary repair sends to the tasks.
+DICTIONARY_NAMES = 10_000
+
 
 def _col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -44,11 +47,6 @@ def strip_or_null(x: Column | str) -> Column:
     return F.nullif(strip(x), F.lit(""))
 
 
-def let(x: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate ``x`` once and use it several times, also inside array functions."""
-    return F.transform(F.array(x), use)[0]
-
-
 def has_japanese(x: Column | str) -> Column:
     """Text contains hiragana, katakana or CJK characters."""
     return _col(x).rlike(JAPANESE_SCRIPT)
@@ -70,16 +68,14 @@ def clean_cell(x: Column | str, bilingual_only: bool = False) -> Column:
     English ``Name (detail)`` stays whole. Empty text becomes null.
     """
     c = _col(x)
+    has_brackets = c.rlike(r"[)）]")
     inner = F.try_element_at(F.regexp_extract_all(c, F.lit(BRACKETED), F.lit(1)), F.lit(-1))
     if bilingual_only:
-        inner = F.when(has_japanese(c), inner)
-
-    def plain(kept: Column) -> Column:
-        # The lookup per character is slow: text of usual characters only does not take that way.
-        folded = F.when(kept.rlike(UNUSUAL), F.translate(kept, _WIDE + "\x00", _PLAIN)).otherwise(kept)
-        return strip_or_null(F.regexp_replace(folded, r"[\r\n\t]", " "))
-
-    return let(F.coalesce(inner, c), plain)
+        has_brackets &= has_japanese(c)
+    # Most cells have neither brackets nor unusual characters: what is slow is done for the others only.
+    kept = F.when(has_brackets, F.coalesce(inner, c)).otherwise(c)
+    folded = F.when(c.rlike(UNUSUAL), F.translate(kept, _WIDE + "\x00", _PLAIN)).otherwise(kept)
+    return strip_or_null(F.translate(folded, "\r\n\t", "   "))
 
 
 def clean_header(x: Column | str) -> Column:
@@ -91,19 +87,15 @@ def clean_header(x: Column | str) -> Column:
     return strip_or_null(F.regexp_replace(c, r"^\(([^(]*)\)$", "$1"))
 
 
-def _occurrences(c: Column, char: str) -> Column:
-    return F.length(c) - F.length(F.replace(c, F.lit(char), F.lit("")))
-
-
 def normalize_name(x: Column | str, aliases: Mapping[str, str] | None = None) -> Column:
     """Condition name: blanks collapsed, broken brackets repaired, known spellings replaced."""
     known = CONDITION_ALIASES if aliases is None else aliases
-
-    def repaired(c: Column) -> Column:
-        missing = _occurrences(c, "(") - _occurrences(c, ")")
-        return alias_lookup(F.concat(c, F.repeat(F.lit(")"), F.greatest(missing, F.lit(0)))), known)
-
-    return let(strip(F.regexp_replace(collapse_blanks(x), BROKEN_BRACKETS, "$1")), repaired)
+    whole = strip(F.regexp_replace(collapse_blanks(x), BROKEN_BRACKETS, "$1"))
+    # As many closing brackets at the end as there are too few of them.
+    brackets = F.regexp_replace(whole, r"[^()]+", "")
+    missing = F.length(F.replace(brackets, F.lit(")"), F.lit(""))) * 2 - F.length(brackets)
+    closed = F.when(whole.contains("("), F.concat(whole, F.repeat(F.lit(")"), F.greatest(missing, F.lit(0))))).otherwise(whole)
+    return alias_lookup(closed, known)
 
 
 def alias_lookup(x: Column | str, aliases: Mapping[str, str]) -> Column:
@@ -120,9 +112,24 @@ def _quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def normalize_names(df: DataFrame, column: str, aliases: Mapping[str, str] | None = None) -> DataFrame:
-    """Normalise one name column; a table without it is returned as it is."""
-    return df.withColumn(column, normalize_name(F.col(f"`{column}`"), aliases)) if column in df.columns else df
+def normalize_names(
+    df: DataFrame, column: str, aliases: Mapping[str, str] | None = None, known: int = DICTIONARY_NAMES
+) -> DataFrame:
+    """Normalise one name column through a dictionary of its names; a table without it is returned as it is.
+
+    The ``known`` most frequent names are repaired once each and looked up by all rows; that dictionary has a
+    bound, so it is sent to the tasks. Rows of rarer names are repaired where they are. The result is that of
+    :func:`normalize_name` on every row.
+    """
+    if column not in df.columns:
+        return df
+    name = F.col(f"`{column}`")
+    often = df.where(name.isNotNull()).groupBy(name.alias("_raw")).agg(F.count("*").alias("_n"))
+    often = often.orderBy(F.col("_n").desc(), "_raw").limit(known)
+    dictionary = often.select("_raw", normalize_name("_raw", aliases).alias("_name"))
+    repaired = F.when(F.col("_raw").isNotNull(), F.col("_name")).otherwise(normalize_name(name, aliases))
+    joined = df.join(F.broadcast(dictionary), name == F.col("_raw"), "left")
+    return joined.withColumn(column, repaired).select(*[f"`{c}`" for c in df.columns])
 
 
 def name_audit(df: DataFrame, column: str, aliases: Mapping[str, str] | None = None) -> DataFrame:

@@ -45,21 +45,30 @@ def latest_period(df: DataFrame, cols: Cols = COLS) -> DataFrame:
     return last.select(_year_of(F.col("_last")).alias(cols.year), _week_of(F.col("_last")).alias(cols.week))
 
 
-def coverage(df: DataFrame, cols: Cols = COLS) -> DataFrame:
-    """Per condition: first and last period, reporting sources, total and number of rows.
+def coverage_parts(df: DataFrame, cols: Cols = COLS) -> DataFrame:
+    """Per year, condition and source: first and last period, total and number of rows.
 
-    The table is folded to one row per (condition, source) by a hash aggregation; the source lists
-    are built from those rows only.
+    The parts of several tables, or of single years, are put together by :func:`coverage_of`.
     """
     number = calendar.period_number(cols.year, cols.week)
-    per_source = df.groupBy(cols.condition, cols.source).agg(
-        F.min(cols.year).alias("first_year"),
-        F.max(cols.year).alias("last_year"),
-        F.min(number).alias("_first"),
-        F.max(number).alias("_last"),
+    return df.groupBy(cols.year, cols.condition, cols.source).agg(
+        F.min(number).alias("first_number"),
+        F.max(number).alias("last_number"),
         null_safe_sum(cols.count).alias("total_cases"),
         F.count("*").alias("rows"),
     )
+
+
+def coverage_of(parts: DataFrame, cols: Cols = COLS) -> DataFrame:
+    """Per condition: first and last period, reporting sources, total and number of rows."""
+    per_source = parts.groupBy(cols.condition, cols.source).agg(
+        F.min(cols.year).alias("first_year"),
+        F.max(cols.year).alias("last_year"),
+        F.min("first_number").alias("_first"),
+        F.max("last_number").alias("_last"),
+        F.sum("total_cases").alias("total_cases"),
+        F.sum("rows").alias("rows"),
+    )
     folded = per_source.groupBy(cols.condition).agg(
         F.min("first_year").alias("first_year"),
         F.max("last_year").alias("last_year"),
@@ -87,6 +96,14 @@ def coverage(df: DataFrame, cols: Cols = COLS) -> DataFrame:
     )
 
 
+def coverage(df: DataFrame, cols: Cols = COLS) -> DataFrame:
+    """Coverage per condition, of a table as it stands.
+
+    The table is folded by a hash aggregation; the source lists are built from its few rows only.
+    """
+    return coverage_of(coverage_parts(df, cols), cols)
+
+
 def table_totals(df: DataFrame, cols: Cols = COLS, approximate: bool = False) -> DataFrame:
     """Rows, year range and number of conditions and areas, one row.
 

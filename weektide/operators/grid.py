@@ -380,14 +380,20 @@ def sentinel_to_long(
 
 
 def quarantine(reports_df: DataFrame) -> DataFrame:
-    """(file, reason) of reports that give no observation; nothing is skipped silently."""
-    layout = reports.layout_of("file")
-    parts = [
-        sentinel_headers(reports_df.where(layout == "sentinel")).select("file", "reason"),
-        bullet_headers(reports_df.where(layout == "bullet")).select("file", "reason"),
-        reports_df.where(layout.isNull()).select("file", F.lit("unknown layout").alias("reason")),
-    ]
-    return combine.union_strict(*parts).where(F.col("reason").isNotNull())
+    """(file, reason) of reports that give no observation; nothing is skipped silently.
+
+    The reports are read once: each row goes the way of its own layout.
+    """
+    told = reports_df.select("file", "rows", "error", F.coalesce(reports.layout_of("file"), F.lit("")).alias("_layout"))
+    told = sentinel_headers(told).select("file", "rows", "error", "_layout", F.col("reason").alias("_sentinel"))
+    marked = bullet_headers(told).select(
+        "file",
+        F.when(F.col("_layout") == "sentinel", F.col("_sentinel"))
+        .when(F.col("_layout") == "bullet", F.col("reason"))
+        .otherwise(F.coalesce("error", F.lit("unknown layout")))
+        .alias("reason"),
+    )
+    return marked.where(F.col("reason").isNotNull())
 
 
 def reports_to_long(
@@ -405,6 +411,22 @@ def reports_to_long(
     )
 
 
+def files_to_long(
+    files: DataFrame,
+    cols: Cols = COLS,
+    aliases: Aliases = None,
+    year: int | None = None,
+    weeks: list[int] | None = None,
+) -> DataFrame:
+    """Like :func:`reports_to_long`, from files (path, content): a layout's files are told by their names before
+    they are decoded, so that each is decoded once."""
+    layout = reports.layout_of("path")
+    return combine.union_relaxed(
+        bullet_to_long(reports.parse_contents(files.where(layout == "bullet")), cols, aliases, year, weeks=weeks),
+        sentinel_to_long(reports.parse_contents(files.where(layout == "sentinel")), cols, aliases, year, weeks),
+    )
+
+
 def quarantine_sheets(grid: DataFrame, min_rows: int = MIN_ROWS_WORKBOOK) -> DataFrame:
     """(file, sheet, reason) of workbook sheets that give no observation."""
     cleaned = with_computed(_readable(grid), {"_clean": F.transform(_tail("cells"), lambda c: text.clean_cell(c))})

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from weektide.functions import calendar, text
 from weektide.model import ALL_CASE, COLS, SENTINEL, Cols
-from weektide.operators import combine, filters, grid, quality, reshape, series, snapshot
+from weektide.operators import aggregate, combine, filters, grid, quality, reshape, series, snapshot
 from weektide.session import remove_folder, shared_folder
 from weektide.sources import reports
 from weektide.sources.catalog import Catalog
+from weektide.sources.versions import Version, Versions
 
 
 def build_sex(*years: DataFrame, cols: Cols = COLS) -> DataFrame:
@@ -109,22 +110,50 @@ def publish(df: DataFrame, path: str, cols: Cols = COLS, refresh: bool = False)
         remove_folder(spark, staging)
 
 
-BUILDABLE = ("bullet", "sentinel", "unified")
+def refresh_coverage(table: Versions, parts: Versions, cols: Cols = COLS) -> Version:
+    """Bring the stored coverage of a table up to date: only years that have changed since are read.
+
+    ``parts`` holds :func:`aggregate.coverage_parts` per year and notes the version that it was counted from.
+    """
+    now, done = table.current(), parts.current()
+    seen = done.notes.get("of") if done else None
+    before = table.at(seen) if seen is not None and seen in table.numbers() else None
+    notes = {"of": now.number}
+    if before is None:
+        return parts.overwrite(aggregate.coverage_parts(table.read(now), cols), notes)
+    changed = now.changed_years(before)
+    fresh = aggregate.coverage_parts(table.read(now, changed), cols)
+    return parts.refresh(fresh, drop=changed, notes=notes) if changed else done
+
+
+def read_coverage(spark: SparkSession, root: str, cols: Cols = COLS) -> DataFrame:
+    """Coverage per condition of the combined table below ``root``, from the counts stored with it."""
+    return aggregate.coverage_of(Versions(spark, f"{root}/{COVERAGE_FILE}", cols).read(), cols)
+
+
+BUILDABLE = ("sex_prefecture", "place_prefecture", "bullet", "sentinel", "unified")
+COVERAGE_FILE = "coverage.parquet"
 
 
 def build_tables(
     spark: SparkSession,
-    landing: str,
+    landing: str | DataFrame,
     root: str,
     current_year: int,
     tables: Iterable[str] = BUILDABLE,
     cols: Cols = COLS,
+    workbooks: DataFrame | None = None,
 ) -> DataFrame:
-    """Weekly report files -> published tables below ``root``; returns (file, reason) of unusable reports.
+    """Raw reports -> published tables below ``root``; returns (file, reason) of unusable weekly reports.
 
-    ``tables`` selects what is built. Of a table that exists, closed years are kept and only the current
-    year and the years that it lacks are written. The combined table is built from what is published,
-    historical tables included. A table whose check fails is not touched, and ends the run.
+    ``landing``: a folder of weekly CSV files, or a table of them (path, content). Each file is decoded once,
+    into a table for all that follows. ``workbooks``: a cell-grid table of the yearly workbooks; of these only
+    the years are parsed that the historical tables lack. ``tables`` selects what is built.
+
+    Of a weekly table that exists, closed years are kept and only the current year and the years that it lacks
+    are written. The combined table is built from what is published; years whose rows stay the same keep
+    their files, and its stored coverage counts the others anew. A table whose check fails is not touched,
+    and ends the run.
     """
     wanted = list(tables)
     if unknown := set(wanted) - set(BUILDABLE):
@@ -139,19 +168,37 @@ def build_tables(
                 raise
             return None
 
-    found = reports.read_reports(spark, landing)
-    layout = reports.layout_of("file")
-    builds = {
-        "bullet": lambda: build_bullet(grid.bullet_to_long(found.where(layout == "bullet"), cols), None, current_year, cols),
-        "sentinel": lambda: build_sentinel(grid.sentinel_to_long(found.where(layout == "sentinel"), cols), None, current_year, cols),
-    }
-    for name in [n for n in ("bullet", "sentinel") if n in wanted]:
-        fresh, before = combine.default_category(combine.to_observations(builds[name](), cols), cols), stored(name)
-        if before is not None:
-            fresh = snapshot.open_years(fresh, before, current_year, cols)
-        publish(fresh, catalog.path(name), cols, refresh=before is not None)
+    def tidy(df: DataFrame) -> DataFrame:
+        return combine.default_category(combine.to_observations(df, cols), cols)
+
+    for name, kind, make in (("sex_prefecture", "sex", build_sex), ("place_prefecture", "place", build_place)):
+        if name in wanted and workbooks is not None:
+            books, before = reports.workbook_files(workbooks, kind), catalog.versions(name).current()
+            if before is not None:
+                held = [y for y in before.commits if y is not None]
+                books = books.where(~reports.year_from_name("file").isin(held))
+            fresh = tidy(make(grid.workbook_to_long(books, cols), cols=cols))
+            publish(fresh, catalog.path(name), cols, refresh=before is not None)
+    staging = shared_folder(spark, "reports")
+    files = reports.landing_files(spark, landing) if isinstance(landing, str) else landing
+    try:
+        found = reports.stage_reports(files, staging)
+        builds = {
+            "bullet": lambda df: build_bullet(grid.bullet_to_long(df, cols), None, current_year, cols),
+            "sentinel": lambda df: build_sentinel(grid.sentinel_to_long(df, cols), None, current_year, cols),
+        }
+        for name in [n for n in builds if n in wanted]:
+            fresh, before = tidy(builds[name](found.where(F.col("layout") == name).drop("layout"))), stored(name)
+            if before is not None:
+                fresh = snapshot.open_years(fresh, before, current_year, cols)
+            publish(fresh, catalog.path(name), cols, refresh=before is not None)
+        refused = shared_folder(spark, "refused")
+        grid.quarantine(found).write.parquet(refused)
+    finally:
+        remove_folder(spark, staging)
     if "unified" in wanted:
         old = [t for t in (stored("sex_prefecture"), stored("place_prefecture")) if t is not None]
         historical = combine.union_relaxed(*old) if old else None
         publish(build_unified(historical, stored("bullet"), stored("sentinel"), cols), catalog.path("unified"), cols)
-    return grid.quarantine(found)
+        refresh_coverage(catalog.versions("unified"), Versions(spark, f"{root}/{COVERAGE_FILE}", cols), cols)
+    return spark.read.schema("file string, reason string").parquet(refused)

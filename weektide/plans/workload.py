@@ -1208,7 +1208,7 @@ def _(spark, folder):
         report_grids.as_files(report_grids.english_reports(obs.where("week % 2 = 0"))),
         report_grids.as_files(report_grids.japanese_reports(obs.where("week % 2 = 1")), "cp932"),
     ]
-    return grid.reports_to_long(reports.parse_contents(combine.union_strict(*files)), COLS)
+    return grid.files_to_long(combine.union_strict(*files), COLS)
 
 
 @query(
@@ -1620,6 +1620,67 @@ def _(spark, folder):
     return build.build_place(rows.where("year < 1995"), late, cols=COLS)
 
 
+_SHIFTED = f"""WITH {_CASES}, o AS (SELECT * REPLACE (CAST(year + 28 AS INTEGER) AS year) FROM cases),
+weekly AS (SELECT area, year, week, cond, count(*) AS cnt FROM o GROUP BY ALL),
+cum AS (SELECT area, year, week, cond, CAST(sum(cnt) OVER (PARTITION BY year, area, cond ORDER BY week ROWS UNBOUNDED PRECEDING)
+  AS BIGINT) AS cnt FROM weekly),
+k AS (SELECT DISTINCT area, year, week, p.cond FROM weekly CROSS JOIN {_PRIORITY_ROWS}),
+h AS (SELECT k.*, coalesce(cnt, 0) AS cnt FROM k LEFT JOIN weekly USING (area, year, week, cond)),
+c AS (SELECT k.*, cnt * 1000 AS cnt FROM k LEFT JOIN cum USING (area, year, week, cond)),
+l AS (SELECT *, lag(cnt) OVER (PARTITION BY year, area, cond ORDER BY week) AS prev FROM c WHERE year >= 2025),
+s AS (SELECT area, year, week, 'site ' || cond AS cond, CAST({_STEP} AS DOUBLE) AS cnt FROM l),
+u AS (SELECT area, year, week, CAST({_monday("year", "week")} + 6 AS DATE) AS date, CAST(cnt AS DOUBLE) AS cnt, cond,
+    'Confirmed cases' AS source, CAST(NULL AS DOUBLE) AS rate FROM h WHERE year < 2026
+  UNION ALL SELECT area, year, week, {_monday("year", "week")}, cnt, cond, 'All-case reporting', NULL FROM h WHERE year >= 2026
+  UNION ALL SELECT area, year, week, {_monday("year", "week")}, cnt, cond, 'Sentinel surveillance', round(cnt / 500, 6) FROM s)"""
+
+
+@query("build_tables", f"{_SHIFTED} SELECT *, 'total' AS category FROM u")
+def _(spark, folder):
+    """Weekly reports as bytes and yearly workbooks as grids -> all five published tables."""
+    obs, root = _book_obs(spark, folder), shared_folder(spark, "tables")
+    totals = cumulative(spark, folder).withColumn("year", F.col("year") + 28)
+    sites = report_grids.english_reports(totals.where("year >= 2025"))
+    named = F.transform("rows", lambda row: F.transform(row, lambda c: F.regexp_replace(c, "^([0-9]-.*)$", "site $1")))
+    files = combine.union_strict(
+        report_grids.as_files(report_grids.bullet_reports(obs.where("year >= 2026"))),
+        report_grids.as_files(sites.withColumn("rows", named)),
+    )
+    books = report_grids.workbook_grid(obs)
+    books = books.withColumn("file", F.regexp_replace("file", r"Syu_01_1_(\d+)", "$1_Syu_01_1"))
+    marks = lambda c: F.when(c == "Male", "Japan").when(c == "Fe\0male", "Others").otherwise(c)
+    place = books.withColumns({"file": F.replace("file", F.lit("01_1"), F.lit("02_1")), "cells": F.transform("cells", marks)})
+    books = books.unionByName(place)
+    build.build_tables(spark, files, root, 2026, cols=COLS, workbooks=books)
+    return Catalog(spark, root, cols=COLS).load("unified").withColumn("rate", F.round("rate", 6))
+
+
+_EDITED = f"""{_OBS}, now AS (SELECT area, year, week, cond, source, CASE WHEN year = 1996 THEN cnt * 2 ELSE cnt END AS cnt FROM obs
+  WHERE year <> 1993)"""
+
+
+@query(
+    "coverage_stored",
+    f"""{_EDITED} SELECT cond, min(year) AS first_year, CAST(min(year * 100 + week) % 100 AS INTEGER) AS first_week,
+  max(year) AS last_year, CAST(max(year * 100 + week) % 100 AS INTEGER) AS last_week,
+  string_agg(DISTINCT source, ', ' ORDER BY source) AS sources, CAST(sum(cnt) AS BIGINT) AS total_cases,
+  count(*) AS rows,
+  printf('%d-W%02d', min(year), CAST(min(year * 100 + week) % 100 AS INTEGER)) AS first_period,
+  printf('%d-W%02d', max(year), CAST(max(year * 100 + week) % 100 AS INTEGER)) AS last_period
+FROM now GROUP BY cond""",
+)
+def _(spark, folder):
+    """Counted once, then again for a year that has changed and one that has gone."""
+    root = shared_folder(spark, "covered")
+    table, parts = Versions(spark, f"{root}/unified.parquet", COLS), Versions(spark, f"{root}/{build.COVERAGE_FILE}", COLS)
+    rows = observations(spark, folder)
+    table.overwrite(rows)
+    build.refresh_coverage(table, parts, COLS)
+    table.refresh(rows.where("year = 1996").withColumn("cnt", F.col("cnt") * 2), drop=[1993])
+    build.refresh_coverage(table, parts, COLS)
+    return build.read_coverage(spark, root, COLS)
+
+
 @query("area_dimension", f"WITH {_CASES} SELECT DISTINCT area FROM cases")
 def _(spark, folder):
     path = shared_folder(spark, "areas")

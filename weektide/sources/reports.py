@@ -85,13 +85,7 @@ def read_reports(
     of no bytes. ``weeks`` leaves out the files whose layout takes the week from the name and whose name
     carries another week, before they are read; for all others the parsers filter on the week they resolve.
     """
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .load(path)
-    )
-    return parse_contents(of_weeks(found.select("path", "content"), weeks), encodings)
+    return parse_contents(of_weeks(landing_files(spark, path), weeks), encodings)
 
 
 def of_weeks(files: DataFrame, weeks: Iterable[int] | None) -> DataFrame:
@@ -108,6 +102,23 @@ def parse_contents(files: DataFrame, encodings: Iterable[str] = ENCODINGS) -> Da
     return files.select("path", "content").mapInPandas(split_files(encodings), REPORT_SCHEMA)
 
 
+def stage_reports(files: DataFrame, path: str, encodings: Iterable[str] = ENCODINGS) -> DataFrame:
+    """Decode files (path, content) once, into a table below ``path`` with a folder for each layout.
+
+    What is read from it, ``(file, rows, error, layout)``, opens the folder of one layout when it is asked for
+    that; ``unknown`` is the layout of files whose name does not tell.
+    """
+    layout = F.coalesce(layout_of("file"), F.lit("unknown")).alias("layout")
+    parse_contents(files, encodings).select("*", layout).write.partitionBy("layout").parquet(path)
+    return files.sparkSession.read.schema(f"{REPORT_SCHEMA}, layout string").parquet(path)
+
+
+def landing_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The CSV files below a folder: (path, content)."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+    return found.load(path).select("path", "content")
+
+
 def as_grid(reports: DataFrame) -> DataFrame:
     """Reports -> ``grid(file, sheet, row_idx, cells)``, one row per report row."""
     return reports.where("error IS NULL").select(

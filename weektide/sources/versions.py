@@ -83,12 +83,13 @@ class Versions:
     def _files(self):
         return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _numbers(self) -> list[int]:
+    def numbers(self) -> list[int]:
+        """Versions that are there, oldest first."""
         names = [s.getPath().getName() for s in self._files.globStatus(self._path("_versions", "*.json")) or []]
         return sorted(int(n.removesuffix(".json")) for n in names)
 
     def exists(self) -> bool:
-        return bool(self._numbers())
+        return bool(self.numbers())
 
     def at(self, number: int) -> Version:
         """A version by its number; one that is not there any more is an error."""
@@ -99,7 +100,7 @@ class Versions:
             stream.close()
 
     def current(self) -> Version | None:
-        numbers = self._numbers()
+        numbers = self.numbers()
         return self.at(numbers[-1]) if numbers else None
 
     def _publish(self, version: Version) -> Version:
@@ -247,13 +248,14 @@ class Versions:
             new = Version(number, df.schema, {y: new.commits[y] if y in other else now.commits[y] for y in years}, notes or {})
         return self._publish(new)
 
-    def refresh(self, df: DataFrame, notes: dict | None = None) -> Version:
-        """Replace the years that ``df`` has; the folders of other years are neither read nor touched."""
-        now = self.current()
+    def refresh(self, df: DataFrame, drop: Iterable[int | None] = (), notes: dict | None = None) -> Version:
+        """Replace the years that ``df`` has, and those of ``drop``; the folders of other years are neither
+        read nor touched. ``notes`` stay unless they are given."""
+        now, gone = self.current(), set(drop)
         number, commit = self._next(now)
         columns = self._columns(now, df)
-        years = self._add(df, commit, True)
-        commits = {**(now.commits if now else {}), **{y: (commit,) for y in years}}
+        kept = {y: names for y, names in now.commits.items() if y not in gone} if now else {}
+        commits = kept | {y: (commit,) for y in self._add(df, commit, True)}
         return self._publish(Version(number, columns, commits, notes if notes is not None else now.notes if now else {}))
 
     def append(self, df: DataFrame, replace: Iterable[int | None] = ()) -> Version:
@@ -271,7 +273,7 @@ class Versions:
 
         What a writer at work has written belongs to a number still to come, and stays.
         """
-        numbers = self._numbers()
+        numbers = self.numbers()
         if not numbers:
             return
         kept = [self.at(n) for n in numbers[-max(1, keep):]]
