@@ -165,3 +165,18 @@ def test_dashes(spark):
 def test_format_count(spark):
     got = column(spark, [1234567.0, 1234.5, None, 0.0], numbers.format_count, "double")
     assert got == ["1,234,567", "1,234.50", "0", "0"]
+
+
+def test_a_dictionary_repairs_like_every_row(spark):
+    odd = [None, "", " ", "H5N1) (Avian flu", "HIV/AIDS", "Mumps (a", "Mumps  x", "a) b", "((", "))", "x)(y"]
+    rows = [(k, odd[k % len(odd)], 1) for k in range(300)] + [(1000 + k, f"rare {k} (", 2) for k in range(60)]
+    df = spark.createDataFrame(rows, "id long, disease string, _n int")
+    want = {(r["id"], r["n"]) for r in df.select("id", text.normalize_name("disease").alias("n")).collect()}
+    for known in (0, 3, 40, 10_000):
+        got = text.normalize_names(df, "disease", known=known)
+        assert got.columns == df.columns
+        assert {(r["id"], r["disease"]) for r in got.collect()} == want
+    assert text.normalize_names(df, "other") is df
+    # The names are repaired after they are folded, below the join.
+    plan = text.normalize_names(df, "disease")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan and "GlobalLimit 10000" in plan

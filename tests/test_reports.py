@@ -317,3 +317,28 @@ def test_workbook_kind_by_file_name(spark):
     assert [r[0] for r in reports.workbook_files(df, "sex").collect()] == files[:2]
     assert [r[0] for r in reports.workbook_files(df, "place").collect()] == [files[2]]
     assert [r[0] for r in reports.workbook_files(df).collect()] == [files[0], files[2]]
+
+
+def test_names_that_were_read(spark, tmp_path):
+    from weektide.plans import build
+
+    def file(name, *heads):
+        cells = ["", *[c for h in heads for c in (h, "")]]
+        rows = [["a"], ["b"], ["c"], cells, ["", *["Current week", "Cum"] * len(heads)], ["Total", "1"], ["Mie", *["1", "1"] * len(heads)]]
+        return (f"in/{name}", rows, None)
+
+    schema = "file string, rows array<array<string>>, error string"
+    df = spark.createDataFrame(
+        [file("2020-07-zensu.csv", "Mumps", "HIV/AIDS"), file("2020-03-zensu.csv", "HIV/AIDS"), file("2019-09-zensu.csv", "Measles (x"), file("2018-01-zensu.csv")],
+        schema,
+    )
+    got = {r["raw"]: (r["canonical"], r["year"], r["week"]) for r in grid.names_read(df).collect()}
+    assert got == {"Mumps": ("Mumps", 2020, 7), "HIV/AIDS": ("AIDS", 2020, 3), "Measles (x": ("Measles (x)", 2019, 9)}
+    # A log of several runs, one of them repeated: the first reading of a spelling stays.
+    for part in (df.where("file LIKE '%-07-%'"), df, df):
+        grid.names_read(part).write.mode("append").parquet(f"{tmp_path}/{build.NAMES_FOLDER}")
+    log = {r["raw"]: (r["canonical"], r["year"], r["week"]) for r in build.read_names(spark, str(tmp_path)).collect()}
+    assert log == got
+    # An older canonical form is not written over by a later reading.
+    later = grid.names_read(df).where("raw = 'HIV/AIDS'").selectExpr("raw", "'other' AS canonical", "2021 AS year", "1 AS week", "file")
+    assert grid.merge_audits(later, grid.names_read(df)).where("raw = 'HIV/AIDS'").first()["canonical"] == "AIDS"

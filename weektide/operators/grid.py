@@ -80,7 +80,8 @@ def fill_header(names: Column, categories: Column, aliases: Aliases = None) -> C
 
         return F.transform(filled, named)
 
-    return text.let(F.aggregate(pairs, empty, step), first_only)
+    # The filled header is an array that is used for each of its columns: evaluated once.
+    return F.transform(F.array(F.aggregate(pairs, empty, step)), first_only)[0]
 
 
 def find_blocks(
@@ -183,10 +184,13 @@ def bullet_headers(reports_df: DataFrame, aliases: Aliases = None, year: int | N
     )
     named = F.filter(positions, lambda h: h["label"].isNotNull())
     heads = F.transform(
-        named, lambda h: F.struct(h["pos"].alias("pos"), text.normalize_name(h["label"], aliases).alias("label"))
+        named,
+        lambda h: F.struct(
+            h["pos"].alias("pos"), text.normalize_name(h["label"], aliases).alias("label"), h["label"].alias("raw")
+        ),
     )
     file_year = F.lit(year).cast("int") if year is not None else reports.year_from_name("file")
-    no_heads = F.array().cast("array<struct<pos:int,label:string>>")
+    no_heads = F.array().cast("array<struct<pos:int,label:string,raw:string>>")
     return (
         with_computed(
             reports_df,
@@ -256,6 +260,7 @@ def _english_heads(names: Column | str, aliases: Aliases) -> Column:
             i.alias("count_pos"),
             F.when(i + 1 < n, i + 1).alias("rate_pos"),
             text.normalize_name(text.strip_or_null(cell(names, i)), aliases).alias("label"),
+            text.strip_or_null(cell(names, i)).alias("raw"),
         ),
     )
     return F.filter(heads, lambda h: h["label"].isNotNull())
@@ -272,6 +277,7 @@ def _japanese_heads(names: Column | str, kinds: Column | str, aliases: Aliases)
                 text.clean_cell(cell(names, i + 1)).isNull() & (text.strip(cell(kinds, i + 1)) != ""), i + 1
             ).alias("rate_pos"),
             text.normalize_name(text.clean_cell(cell(names, i)), aliases).alias("label"),
+            text.clean_cell(cell(names, i)).alias("raw"),
         ),
     )
     return F.filter(heads, lambda h: h["label"].isNotNull())
@@ -293,7 +299,7 @@ def sentinel_headers(reports_df: DataFrame, aliases: Aliases = None, year: int |
     heads = F.when(english, _english_heads("_names", aliases)).otherwise(
         _japanese_heads("_names", "_kinds", aliases)
     )
-    no_heads = F.array().cast("array<struct<count_pos:int,rate_pos:int,label:string>>")
+    no_heads = F.array().cast("array<struct<count_pos:int,rate_pos:int,label:string,raw:string>>")
     smallest = F.when(english, MIN_ROWS_EN).otherwise(MIN_ROWS_JA)
     found = with_computed(reports_df, {"metric": F.array_position(is_metric, F.lit(True))})
     parts = with_computed(
@@ -411,6 +417,31 @@ def reports_to_long(
     )
 
 
+def names_read(reports_df: DataFrame, aliases: Aliases = None, year: int | None = None) -> DataFrame:
+    """(raw, canonical, year, week, file): each spelling of a condition that usable weekly reports carry, as it was
+    first seen, by period and file.
+
+    The first reading of a spelling wins, and only the minimum of each task travels. Audits of several reads are
+    put together by :func:`merge_audits`.
+    """
+    columns = ["file", "year", "week", F.inline("heads")]
+    layout = reports.layout_of("file")
+    bullet = bullet_headers(reports_df.where(layout == "bullet"), aliases, year)
+    sentinel = sentinel_headers(reports_df.where(layout == "sentinel"), aliases, year)
+    seen = [
+        heads.where("reason IS NULL").select(*columns).select("raw", F.col("label").alias("canonical"), "year", "week", "file")
+        for heads in (bullet, sentinel)
+    ]
+    return merge_audits(*seen)
+
+
+def merge_audits(*audits: DataFrame) -> DataFrame:
+    """One row per spelling: the one that was seen first."""
+    first = F.min(F.struct("year", "week", "file", "canonical"))
+    folded = combine.union_strict(*audits).groupBy("raw").agg(first.alias("first"))
+    return folded.select("raw", *(f"first.{c}" for c in ("canonical", "year", "week", "file")))
+
+
 def files_to_long(
     files: DataFrame,
     cols: Cols = COLS,

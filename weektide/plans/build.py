@@ -132,7 +132,16 @@ def read_coverage(spark: SparkSession, root: str, cols: Cols = COLS) -> DataFram
 
 
 BUILDABLE = ("sex_prefecture", "place_prefecture", "bullet", "sentinel", "unified")
-COVERAGE_FILE = "coverage.parquet"
+COVERAGE_FILE, NAMES_FOLDER = "coverage.parquet", "names_read"
+
+
+def read_names(spark: SparkSession, root: str) -> DataFrame:
+    """Every spelling that reports carried in any run, what became of it, and where it was first seen.
+
+    Runs append to the log; a run that is repeated adds nothing new.
+    """
+    log = spark.read.schema("raw string, canonical string, year int, week int, file string")
+    return grid.merge_audits(log.parquet(f"{root}/{NAMES_FOLDER}"))
 
 
 def build_tables(
@@ -152,7 +161,8 @@ def build_tables(
 
     Of a weekly table that exists, closed years are kept and only the current year and the years that it lacks
     are written. The combined table is built from what is published; years whose rows stay the same keep
-    their files, and its stored coverage counts the others anew. A table whose check fails is not touched,
+    their files, and its stored coverage counts the others anew. The spellings of conditions that were read are
+    added to a log (:func:`read_names`). A table whose check fails is not touched,
     and ends the run.
     """
     wanted = list(tables)
@@ -194,6 +204,7 @@ def build_tables(
             publish(fresh, catalog.path(name), cols, refresh=before is not None)
         refused = shared_folder(spark, "refused")
         grid.quarantine(found).write.parquet(refused)
+        grid.names_read(found.drop("layout")).write.mode("append").parquet(f"{root}/{NAMES_FOLDER}")
     finally:
         remove_folder(spark, staging)
     if "unified" in wanted:
