@@ -236,3 +236,20 @@ def test_pairs(spark):
     df = spark.createDataFrame([("T", 1, 0.5, 9)], "prefecture string, c1 int, r1 double, c2 int")
     got = {tuple(r) for r in reshape.unpivot_pairs(df, ["prefecture"], [("A", "c1", "r1"), ("B", "c2", None)]).collect()}
     assert got == {("T", "A", 1.0, 0.5), ("T", "B", 9.0, None)}
+
+
+def test_pivot_without_reading_the_table_for_names(spark):
+    rows = [("Nara", 2024, 1, DAY, c, float(n)) for n, c in enumerate(["Mumps", "Measles", "Cholera"])]
+    rows += [("Gifu", 2024, 1, DAY, "Mumps", 9.0), ("Gifu", 2024, 1, DAY, None, 8.0)]
+    df = spark.createDataFrame(rows, "prefecture string, year int, week int, date date, disease string, cases double")
+    names = spark.createDataFrame([("Mumps",), ("Measles",), ("Rubella",), (None,)], "disease string")
+    boom = F.udf(lambda x: 1 / 0, "double")
+    reshape.pivot_map(df.withColumn("cases", boom("cases")))  # nothing runs
+    broken = df.withColumn("disease", F.concat("disease", F.raise_error(F.lit("the table was read"))))
+    assert reshape.pivot_long(broken, dimension=names).columns[4:] == ["Measles", "Mumps", "Rubella"]
+    cells = {r["prefecture"]: r["cells"] for r in reshape.pivot_map(df).collect()}
+    assert cells == {"Nara": {"Cholera": 2.0, "Measles": 1.0, "Mumps": 0.0}, "Gifu": {"Mumps": 9.0}}
+    got = reshape.map_columns(reshape.pivot_map(df), names)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, reshape.pivot_long(df, dimension=names).collect()), key=str)
+    with pytest.raises(Exception, match="More than one value of Mumps"):
+        reshape.pivot_map(df.unionByName(df.where("disease = 'Mumps'"))).collect()

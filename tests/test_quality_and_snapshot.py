@@ -292,3 +292,80 @@ def test_file_checks(spark, tmp_path):
     }
     missing = snapshot.missing_tables(inventory, ["a.parquet", "c.parquet"]).collect()
     assert [r["file"] for r in missing] == ["c.parquet"]
+
+
+def test_keys_that_are_published_already(spark):
+    keys = ["prefecture", "year", "week", "disease", "category"]
+    published = table(spark, *[one(week=w, area=a) for w in range(1, 40) for a in ("Nara", "Gifu", None)], one(week=1, area="Nara"))
+    batch = table(spark, one(week=3, area="Nara"), one(week=3, area=None), one(week=60, area="Nara"), one(week=3, area=""), one(week=3, area="Nara", count=2.0))
+    got = quality.existing_keys(batch, published, keys)
+    assert {(r["prefecture"], r["week"]) for r in got.collect()} == {("Nara", 3), (None, 3)}
+    assert got.count() == 2
+    found = {r["check"]: r["violations"] for r in quality.violations_of_batch(batch, published, keys).collect()}
+    assert found["existing records"] == 2 and found["duplicate records"] == 1 and found["week out of range"] == 1
+    assert quality.existing_keys(batch.where("false"), published, keys).collect() == []
+    assert quality.existing_keys(batch, published.where("false"), keys).collect() == []
+    longs = published.withColumn("week", F.col("week").cast("long"))  # another width of the same number
+    assert quality.existing_keys(batch, longs, keys).count() == 2
+
+
+def test_the_published_table_is_not_shuffled(spark):
+    """A batch against a table a hundred times as large: a few of its rows are left to compare."""
+    published = spark.range(200_000).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b"))
+    batch = spark.range(199_500, 201_500).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b"))
+    found = quality.existing_keys(batch, published, ["a", "b"])
+    assert found.count() == 500
+    words = quality.FILTER_WORDS
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    maybe = plan.index("BroadcastHashJoin [_word")
+    assert "Range (0, 200000" in plan[maybe:] and words * 8 == 2 << 20
+    # Between the scan of the published keys and the filter there is no exchange.
+    below = plan[maybe : plan.index("Range (0, 200000")]
+    assert "hashpartitioning" not in below
+
+
+def rows_scanned(df):
+    """Rows that the file scans of a query hand on, by their metrics."""
+    df.collect()
+    plan, out = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if "FileSourceScanExec" in node.getClass().getName():
+            out.append(node.metrics().apply("numOutputRows").value())
+        if "AdaptiveSparkPlanExec" in node.getClass().getName():
+            walk(node.executedPlan())
+        if "QueryStageExec" in node.getClass().getName():
+            walk(node.plan())
+        children = node.children().iterator()
+        while children.hasNext():
+            walk(children.next())
+
+    walk(plan)
+    return sum(out)
+
+
+def test_a_lookup_skips_row_groups(spark, tmp_path):
+    """One condition in one area, of rows that are clustered by both, or by the output order alone."""
+    draw = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n))
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("area "), draw(1, 40)).alias("prefecture"), F.lit(2024).alias("year"), (draw(2, 50) + 1).cast("int").alias("week"),
+        F.concat(F.lit("condition "), draw(3, 50)).alias("disease"), F.lit("total").alias("category"), F.rand(1).alias("count"),
+    )
+    small = {"parquet.block.size": "32768", "parquet.block.size.row.check.min": "500", "parquet.block.size.row.check.max": "1000"}
+    scanned = {}
+    for name, cluster in (("plain", ()), ("near", ("disease", "prefecture"))):
+        versions = Versions(spark, str(tmp_path / name), cluster=cluster, options=small)
+        versions.overwrite(rows)
+        found = versions.read().where("disease = 'condition 7' AND prefecture = 'area 9'")
+        scanned[name] = rows_scanned(found)
+        assert found.count() == rows.where("disease = 'condition 7' AND prefecture = 'area 9'").count() > 0
+    assert 0 < scanned["near"] < scanned["plain"] / 5
+
+
+def test_a_join_prunes_years_at_run_time(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path / "t"))
+    versions.overwrite(table(spark, *[one(year=y, week=w) for y in range(2000, 2020) for w in range(1, 20)]))
+    chosen = spark.createDataFrame([(2003, "a"), (2004, "b")], "year int, label string").where("label = 'b'")
+    joined = versions.read().join(F.broadcast(chosen), "year")
+    assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 19

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from weektide.operators import series
 from weektide.operators.series import cumulative_to_weekly
 
 SCHEMA = "prefecture string, disease string, year int, week int, date date, count double, per_sentinel double"
@@ -118,3 +119,43 @@ def test_inverts_a_running_sum(spark, partitions):
     random.shuffle(rows)
     out = cumulative_to_weekly(spark.createDataFrame(rows, SCHEMA).repartition(partitions))
     assert {(r["prefecture"], r["week"]): r["count"] for r in out.collect()} == weekly
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_arrivals_in_any_order_give_the_batch_result(spark, seed):
+    """Reports arrive shuffled, some twice with corrections, some without a value; weeks may be missing."""
+    pick = random.Random(seed)
+    schema = "prefecture string, year int, week int, date date, disease string, count double, per_sentinel double"
+    rows = {}
+    arrivals = []
+    for area in ("Nara", "Gifu"):
+        for year in (2023, 2024):
+            weeks, total = [w for w in range(1, 13) if pick.random() < 0.85], 0
+            for w in weeks:
+                total += pick.randrange(0, 9)
+                arrivals.append((area, year, w, None, "RSV", None if pick.random() < 0.1 else float(total), total / 4))
+    arrivals += [(*r[:5], (r[5] or 0.0) + pick.choice([-3, 1]), r[6]) for r in pick.sample(arrivals, 8)]
+    pick.shuffle(arrivals) if seed % 2 else None
+    empty = spark.createDataFrame([], schema)
+    state, current = series.last_values(empty), {}
+    for at in range(0, len(arrivals), 11):
+        batch = {(r[0], r[1], r[2]): r for r in arrivals[at : at + 11]}  # one row per week
+        history = spark.createDataFrame(list(rows.values()), schema)
+        changed, state = series.weekly_on_arrival(spark.createDataFrame(list(batch.values()), schema), history, state)
+        current |= {tuple(r[:3]): tuple(r) for r in changed.collect()}
+        state = spark.createDataFrame(state.collect(), state.schema)
+        rows |= batch
+    whole = series.cumulative_to_weekly(spark.createDataFrame(list(rows.values()), schema), unique=True)
+    assert current == {tuple(r[:3]): tuple(r) for r in whole.collect()}
+    assert sorted(state.collect()) == sorted(series.last_values(spark.createDataFrame(list(rows.values()), schema)).collect())
+
+
+def test_a_series_that_goes_on_is_not_read(spark):
+    schema = "prefecture string, year int, week int, disease string, count double"
+    history = spark.createDataFrame([("Nara", 2024, w, "RSV", 2.0 * w) for w in (1, 2)], schema)
+    state = series.last_values(history)
+    gone = history.withColumn("count", F.lit(None).cast("double"))  # what the history says must not matter
+    new = spark.createDataFrame([("Nara", 2024, 3, "RSV", 9.0), ("Nara", 2024, 5, "RSV", 12.0), ("Gifu", 2024, 4, "RSV", 1.0)], schema)
+    changed, after = series.weekly_on_arrival(new, gone, state)
+    assert {(r["prefecture"], r["week"], r["count"]) for r in changed.collect()} == {("Nara", 3, 5.0), ("Nara", 5, 3.0), ("Gifu", 4, None)}
+    assert {(r["prefecture"], r["last_week"], r["last_count"]) for r in after.collect()} == {("Nara", 5, 12.0), ("Gifu", 4, 1.0)}

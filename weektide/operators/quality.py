@@ -80,6 +80,48 @@ def violations(
     return sums.select(F.inline(F.array(*rows)))
 
 
+#: Words of 64 bits of the filter that finds keys which may be in a batch: two megabytes.
+FILTER_WORDS = 1 << 18
+
+
+def existing_keys(
+    batch: DataFrame, published: DataFrame, keys: Sequence[str] | None = None, cols: Cols = COLS
+) -> DataFrame:
+    """Keys of the batch that the published table has already; null keys count as equal.
+
+    The published table is not shuffled: a blocked Bloom filter of the batch's keys, of a fixed size, goes to
+    the tasks that scan its key columns. What it lets through, the keys that are there and a few others, is
+    compared exactly.
+    """
+    keys = _keys(batch, keys, cols)
+    names = [F.col(f"`{k}`") for k in keys]
+    known = batch.select(*names).distinct()
+    # The same key has the same hash only if its columns have the same types.
+    published = published.select(*[F.col(f"`{k}`").cast(batch.schema[k].dataType).alias(k) for k in keys])
+    h = F.xxhash64(*names, *[F.when(c.isNull(), 1).otherwise(0) for c in names])
+    bit = lambda at: F.expr(f"shiftleft(1L, cast(shiftright(_h, {at}) & 63 as int))")
+    spread = [(F.col("_h").bitwiseAND(FILTER_WORDS - 1)).alias("_word"), (bit(20).bitwiseOR(bit(30)).bitwiseOR(bit(40))).alias("_bits")]
+    words = known.select(h.alias("_h")).select(*spread).groupBy("_word").agg(F.bit_or("_bits").alias("_set"))
+    marked = published.select(*names, h.alias("_h")).select(*names, *spread).join(F.broadcast(words), "_word")
+    maybe = marked.where(F.col("_set").bitwiseAND(F.col("_bits")) == F.col("_bits")).select(*names)
+    same = [F.col(f"batch.`{k}`").eqNullSafe(F.col(f"there.`{k}`")) for k in keys]
+    return known.alias("batch").join(maybe.alias("there"), same, "left_semi")
+
+
+def violations_of_batch(
+    batch: DataFrame,
+    published: DataFrame,
+    keys: Sequence[str] | None = None,
+    years: tuple[int, int] = VALID_YEARS,
+    weeks: tuple[int, int] = VALID_WEEKS,
+    cols: Cols = COLS,
+) -> DataFrame:
+    """(check, violations) of new rows alone, and the number of their keys that are published already."""
+    own = violations(batch, keys, years, weeks, cols)
+    there = existing_keys(batch, published, keys, cols).agg(F.count("*").alias("violations"))
+    return own.unionByName(there.select(F.lit("existing records").alias("check"), "violations"))
+
+
 def unknown_areas(df: DataFrame, dimension: DataFrame, cols: Cols = COLS) -> DataFrame:
     """Area names of the table that the dimension does not have."""
     return df.select(cols.area).distinct().join(dimension.select(cols.area), cols.area, "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,33 +15,60 @@ from weektide.model import COLS, Cols
 SEPARATOR = "||"
 
 
-def _values(df: DataFrame, column: str) -> list:
-    """Distinct values that become columns: a job, as the columns of a table must be known to name them."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
+def _names(df: DataFrame, column: str, dimension: DataFrame | None) -> list:
+    """Values that become columns, from the dimension, or else from the table itself: a job, as the columns of a
+    table must be known to name them."""
+    source = (df if dimension is None else dimension).select(column)
+    rows = source.where(F.col(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in rows)
 
 
+def _twice(name: Column, kind: T.DataType) -> Column:
+    return F.raise_error(F.concat(F.lit("More than one value of "), name, F.lit(" for one key"))).cast(kind)
+
+
 def pivot_long(
     df: DataFrame,
     value: str = "cases",
     conditions: Sequence[str] | None = None,
     cols: Cols = COLS,
+    dimension: DataFrame | None = None,
 ) -> DataFrame:
     """One column per condition; two values for one cell are an error.
 
-    Without a list of conditions their names are read first (one job).
+    The names come from ``conditions``; else from ``dimension``, a small table of conditions that is kept
+    with the data, such as its stored coverage; else the table is read for them first (one job).
     """
-    names = list(conditions) if conditions is not None else _values(df, cols.condition)
+    names = list(conditions) if conditions is not None else _names(df, cols.condition, dimension)
     wide = df.groupBy(*cols.period).pivot(cols.condition, names).agg(F.max(value).alias("v"), F.count(F.lit(1)).alias("n"))
     kind = df.schema[value].dataType
 
     def single(name: str):
-        twice = F.raise_error(F.lit(f"More than one value of {name} for one key")).cast(kind)
-        return F.when(F.col(f"`{name}_n`") > 1, twice).otherwise(F.col(f"`{name}_v`")).alias(name)
+        return F.when(F.col(f"`{name}_n`") > 1, _twice(F.lit(name), kind)).otherwise(F.col(f"`{name}_v`")).alias(name)
 
     return wide.select(*cols.period, *map(single, names))
 
 
+def pivot_map(df: DataFrame, value: str = "cases", cols: Cols = COLS) -> DataFrame:
+    """(area, year, week, date, cells): the values of a key as a map from condition, sorted by condition.
+
+    The wide table without its columns: nothing needs to be known of the conditions. Two values for one cell
+    are an error; rows without condition have no cell.
+    """
+    named = df.where(F.col(cols.condition).isNotNull())
+    cell = named.groupBy(*cols.period, cols.condition).agg(F.max(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    kind = df.schema[value].dataType
+    single = F.when(F.col("_n") > 1, _twice(F.col(cols.condition), kind)).otherwise(F.col("_v"))
+    entries = F.sort_array(F.collect_list(F.struct(F.col(cols.condition).alias("key"), single.alias("value"))))
+    return cell.groupBy(*cols.period).agg(F.map_from_entries(entries).alias("cells"))
+
+
+def map_columns(df: DataFrame, dimension: DataFrame | Sequence[str], cols: Cols = COLS) -> DataFrame:
+    """Cells of :func:`pivot_map` -> one column per condition of the dimension."""
+    names = _names(df, cols.condition, dimension) if isinstance(dimension, DataFrame) else list(dimension)
+    return df.select(*cols.period, *[F.try_element_at("cells", F.lit(n)).alias(n) for n in names])
+
+
 def unpivot_wide(
     df: DataFrame,
     value: str = "cases",
@@ -61,11 +88,15 @@ def unpivot_wide(
 
 
 def pivot(
-    df: DataFrame, value: str = "cases", conditions: Sequence[str] | None = None, cols: Cols = COLS
+    df: DataFrame,
+    value: str = "cases",
+    conditions: Sequence[str] | None = None,
+    cols: Cols = COLS,
+    dimension: DataFrame | None = None,
 ) -> DataFrame:
     """Long -> wide when the table has a condition and a value column, else wide -> long."""
     if cols.condition in df.columns and value in df.columns:
-        return pivot_long(df, value, conditions, cols)
+        return pivot_long(df, value, conditions, cols, dimension)
     missing = [c for c in cols.period if c not in df.columns]
     if missing:
         raise ValueError(
@@ -123,9 +154,13 @@ def pivot_category(
     keys: Sequence[str],
     categories: Sequence[str] | None = None,
     cols: Cols = COLS,
+    dimension: DataFrame | None = None,
 ) -> DataFrame:
-    """Sum of counts per key, one column per category; a category without rows is null."""
-    names = list(categories) if categories is not None else _values(df, cols.category)
+    """Sum of counts per key, one column per category; a category without rows is null.
+
+    The categories come from ``categories``, else from a small table ``dimension``, else from the table.
+    """
+    names = list(categories) if categories is not None else _names(df, cols.category, dimension)
     total = F.sum(F.coalesce(F.col(cols.count), F.lit(0)))
     return df.groupBy(*keys).pivot(cols.category, names).agg(total)
 

@@ -371,6 +371,25 @@ def _(spark, folder):
     return series.cumulative_to_weekly(raw, COLS, unique=True).withColumn("rate", F.round("rate", 6))
 
 
+@query(
+    "weekly_on_arrival",
+    f"""{_CUM}, c AS (SELECT area, year, week, cond, CASE WHEN week % 9 = 4 THEN cnt + 2 ELSE cnt END AS cnt FROM cum),
+l AS (SELECT *, lag(cnt) OVER (PARTITION BY year, area, cond ORDER BY week) AS prev FROM c)
+SELECT area, year, week, cond, {_STEP} AS cnt FROM l""",
+)
+def _(spark, folder):
+    """Two thirds of the weeks first, then the others with corrections of what was there: the last word on each
+    week is the result of all rows at once."""
+    rows = cumulative(spark, folder).drop("nationkey")
+    now = rows.withColumn("cnt", F.when(F.col("week") % 9 == 4, F.col("cnt") + 2).otherwise(F.col("cnt")))
+    early, late = "week < 20", "week >= 20 OR week % 9 = 4"
+    changed, state = series.weekly_on_arrival(rows.where(early), rows.where("false"), series.last_values(rows.where("false"), COLS), COLS)
+    again, _ = series.weekly_on_arrival(now.where(late), rows.where(early), state, COLS)
+    both = changed.withColumn("run", F.lit(1)).unionByName(again.withColumn("run", F.lit(2)))
+    last = F.max_by("cnt", "run").alias("cnt")
+    return both.groupBy("area", "year", "week", "cond").agg(last)
+
+
 # -- joins and sets -----------------------------------------------------------------------------
 
 
@@ -585,6 +604,16 @@ def _(spark, folder):
     return reshape.pivot(_dated(spark, folder), "cnt", cols=COLS)
 
 
+@query(
+    "pivot_map",
+    f"{_DATED} SELECT area, year, week, date, {_PIVOTED} FROM dated GROUP BY ALL",
+)
+def _(spark, folder):
+    # The names come from the orders, which stand for a dimension that is kept with the table.
+    names = table(spark, folder, "orders").select(F.col("o_orderpriority").alias("cond"))
+    return reshape.map_columns(reshape.pivot_map(_dated(spark, folder), "cnt", COLS), names, COLS)
+
+
 @query(
     "pivot_roundtrip",
     f"""{_DATED}, k AS (SELECT DISTINCT area, year, week, date FROM dated), p AS (SELECT DISTINCT cond FROM dated)
@@ -1393,6 +1422,24 @@ def _(spark, folder):
     return quality.violations(rows, years=(1996, 2000), weeks=(1, 52), cols=COLS)
 
 
+@query(
+    "violations_of_batch",
+    """WITH b AS (SELECT o_orderkey AS l_orderkey, 1 + o_custkey % 9 AS l_linenumber, CAST(o_totalprice - 50000 AS DOUBLE) AS cnt FROM orders)
+SELECT 'negative cnt' AS "check", count(*) FILTER (cnt < 0) AS violations FROM b
+UNION ALL SELECT 'duplicate records', (SELECT count(*) FROM (SELECT 1 FROM b GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))
+UNION ALL SELECT 'existing records', (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM b) JOIN
+  (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) USING (l_orderkey, l_linenumber))""",
+)
+def _(spark, folder):
+    """A batch with a key per order, against the published lines."""
+    batch = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        (1 + F.col("o_custkey") % 9).alias("l_linenumber"),
+        (F.col("o_totalprice") - 50000).cast("double").alias("cnt"),
+    )
+    return quality.violations_of_batch(batch, table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], cols=COLS)
+
+
 @query(
     "unknown_areas",
     f"WITH {_CASES} SELECT DISTINCT area FROM cases WHERE nationkey % 5 = 0",
@@ -1552,6 +1599,13 @@ def _(spark, folder):
     )
 
 
+@query("clustered_lookup", f"{_OBS} SELECT area, year, week, cond, source, cnt FROM obs WHERE area = 'NATION_7' AND cond = '2-HIGH'")
+def _(spark, folder):
+    table = Versions(spark, shared_folder(spark, "clustered"), COLS, cluster=("area", "cond"))
+    table.overwrite(observations(spark, folder))
+    return table.read().where("area = 'NATION_7' AND cond = '2-HIGH'")
+
+
 @query("load_table", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def _(spark, folder):
     return catalog(spark, folder).load("supplier")

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -66,13 +66,37 @@ def row_hash(df: DataFrame, columns: Iterable[str]) -> Column:
     return F.xxhash64(*columns, nulls).cast("decimal(38,0)")
 
 
+def interleaved(columns: Sequence[str], bits: int = 10) -> Column:
+    """A number that is near for rows that have some of the columns in common: the hash bits of all columns in
+    turn, so that a range of it holds few values of each column."""
+    hashes = [F.xxhash64(F.col(f"`{c}`")) for c in columns]
+    taken = [
+        F.shiftleft(F.shiftright(h, at).bitwiseAND(F.lit(1).cast("long")), at * len(hashes) + k)
+        for k, h in enumerate(hashes)
+        for at in range(min(bits, 62 // len(hashes)))
+    ]
+    return reduce(lambda a, b: a.bitwiseOR(b), taken)
+
+
 class Versions:
     """The versions of one table below ``root``, on any file system that Spark writes to."""
 
-    def __init__(self, spark: SparkSession, root: str, cols: Cols = COLS) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        cols: Cols = COLS,
+        cluster: Sequence[str] = (),
+        options: Mapping[str, str] | None = None,
+    ) -> None:
+        """``cluster``: columns that queries look values up in; writes then put equal values of all of them
+        close together, and keep Bloom filters of them, so that scans skip row groups. ``options`` go to the
+        Parquet writer."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.cols = cols
+        self.cluster = list(cluster)
+        self.options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in cluster} | dict(options or {})
 
     # -- files ----------------------------------------------------------------------------------
 
@@ -210,9 +234,10 @@ class Versions:
         """Write the folders of a commit. All sort keys take part in the ranges, so that a year that holds
         most rows is spread over many files."""
         keys = [F.col(c).asc_nulls_last() for c in self.cols.output_order if c in df.columns]
-        by_year = [F.col(self.cols.year).asc_nulls_last(), *keys]
+        near = [interleaved(self.cluster).asc()] if self.cluster else []
+        by_year = [F.col(self.cols.year).asc_nulls_last(), *near, *keys]
         rows = df.repartitionByRange(*by_year).sortWithinPartitions(*by_year).withColumn(COMMIT, F.lit(commit))
-        rows.write.mode("append").partitionBy(self.cols.year, COMMIT).parquet(self.root)
+        rows.write.mode("append").options(**self.options).partitionBy(self.cols.year, COMMIT).parquet(self.root)
         years = self._written(commit)
         if with_digests:
             written = self.read(Version(0, df.schema, {y: (commit,) for y in years}))
