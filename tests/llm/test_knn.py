@@ -48,3 +48,16 @@ def test_bounds_leave_cells_out(spark):
     centres = np.eye(8) * 50
     rows = [(n, (centres[n % 8] + rng.normal(size=8) * 0.01).tolist()) for n in range(800)]
     assert sorted(map(tuple, knn.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 5 = 0").collect())) == brute(rows, 5)
+
+
+def test_large_components_take_part(spark):
+    """Finite vectors of any size are queries and candidates; scores are exact."""
+    rows = [(0, [2e6, 1.0]), (1, [3e6, 1.0]), (2, [1.0, 1.0]), (50, [1.0, 0.0]), (55, [1e7, -1e7]), (60, [-1e6, 3e6]), (65, [0.0, 0.0])]
+    rows += [(n, [1e5 + n / 7, n / 3 - 1e5]) for n in range(100, 180)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, knn.top_k(table, "vec_id % 5 = 0", 5).collect())) == brute(rows, 5)
+    huge = [(0, [1e12, 0.0]), (5, [0.0, 7.0]), (10, [1e200, 2.0]), (15, [-1e300, 0.0]), (21, [0.0, 1e12]), (22, [0.0, 0.0])]
+    table = spark.createDataFrame(huge, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, knn.top_k(table, "vec_id = 5", 3).collect())) == [x for x in brute(huge, 3) if x[0] == 5]
+    with pytest.raises(Exception, match="(?i)too large|overflow|int64|long"):
+        knn.top_k(table, "vec_id = 0", 5).collect()

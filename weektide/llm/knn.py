@@ -9,6 +9,7 @@ blocks are the answer. The bounds only save work: the answer is exact for any da
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,23 +19,39 @@ from pyspark.sql import functions as F
 
 from weektide.llm._shared import staged
 
-#: Cells for each length of vectors; queries in a group and vectors in a block, about.
-PIVOTS, GROUP, BLOCK = 32, 1024, 8192
-#: Beyond this, after scaling, products of components might not fit a long.
-LARGEST = 1 << 28
+#: Cells for each length of vectors, at least and at most; queries in a group and vectors in a block, about.
+PIVOTS, MOST_PIVOTS, GROUP, BLOCK = 32, 1024, 1024, 8192
+#: Vectors with larger components, after scaling, are multiplied as Python integers.
+LARGE = 1 << 24
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     data = column.to_pylist()
-    return np.frombuffer(b"".join(data), np.int64).reshape(len(data), -1)
+    return np.frombuffer(b"".join(data), np.float64).reshape(len(data), -1)
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; by floats where they hold every sum exactly."""
-    top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+    """Exact inner products of whole numbers, as long as they fit one, else as Python integers.
+
+    Sums of small numbers are exact as floats or longs; rows with large ones are few, and cost more.
+    """
+    far_a, far_b = (np.abs(x).max(1, initial=0) > LARGE for x in (a, b))
+    near = np.where(far_a[:, None], 0, a), np.where(far_b[:, None], 0, b)
+    top = float(np.abs(near[0]).max(initial=0)) * float(np.abs(near[1]).max(initial=0)) * a.shape[1]
     if top < 2**53:
-        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a @ b.T
+        out = (near[0] @ near[1].T).astype(np.int64)
+    elif top < 2**63:
+        out = near[0].astype(np.int64) @ near[1].astype(np.int64).T
+    else:  # vectors of very many components
+        far_a, out = np.ones(len(a), bool), np.zeros((len(a), len(b)), np.int64)
+    if far_a.any() or far_b.any():
+        whole = lambda x: np.frompyfunc(int, 1, 1)(x)
+        out = out.astype(object)
+        if far_a.any():
+            out[far_a] = whole(a[far_a]) @ whole(b).T
+        if far_b.any():
+            out[np.ix_(~far_a, far_b)] = whole(a[~far_a]) @ whole(b[far_b]).T
+    return out
 
 
 def _scaled(batches: Iterator[pa.RecordBatch], scale: float) -> Iterator[pa.RecordBatch]:
@@ -43,9 +60,9 @@ def _scaled(batches: Iterator[pa.RecordBatch], scale: float) -> Iterator[pa.Reco
         for k, vector in enumerate(batch["embedding"].to_pylist()):
             if vector and None not in vector:
                 values = np.floor(scale * np.array(vector, np.float64))
-                if np.isfinite(values).all() and np.abs(values).max() <= LARGEST:
+                if np.isfinite(values).all():
                     ids.append(k)
-                    kept.append(values.astype(np.int64).tobytes())
+                    kept.append((values + 0.0).tobytes())
         size = pa.array([len(x) // 8 for x in kept], pa.int32())
         yield pa.record_batch([batch["vec_id"].take(pa.array(ids, pa.int64())), size, pa.array(kept, pa.binary())], ["vec_id", "size", "v"])
 
@@ -57,8 +74,8 @@ def top_k(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int = 5, scal
     component x becomes floor(scale * x). Queries are the rows that meet ``queries``, an expression on
     vec_id; candidates are all rows of another vec_id with as many components. Scores are integer inner
     products, ties go to the smaller vec_id; with fewer than k candidates all are returned. Null and empty
-    vectors, and those with null, non-finite or (scaled) larger components than LARGEST take no part,
-    nor do rows without vec_id; rows of one vec_id count once, with the smallest of their vectors in the
+    vectors, and those with null or (scaled) non-finite components take no part, nor do rows without
+    vec_id; a score among the best that does not fit a long fails the query; rows of one vec_id count once, with the smallest of their vectors in the
     order of bytes. An empty table, or no query, gives an empty result.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).where("vec_id is not null")
@@ -66,11 +83,12 @@ def top_k(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int = 5, scal
     rows = rows.groupBy("vec_id").agg(F.min_by("size", "v").alias("size"), F.min("v").alias("v"))
     rows = staged(rows.withColumn("is_query", F.expr(queries)), "vectors")
 
-    # Bounded: PIVOTS vectors for each length of vectors.
+    # Cells grow with the square root of the rows, up to a bound.
+    cells_wanted = min(MOST_PIVOTS, max(PIVOTS, math.isqrt(rows.count()) // 8))
     by_length = Window.partitionBy("size").orderBy(F.xxhash64("vec_id"), "vec_id")
-    drawn = rows.withColumn("k", F.row_number().over(by_length)).where(f"k <= {PIVOTS}").orderBy("size", "k").collect()
+    drawn = rows.withColumn("k", F.row_number().over(by_length)).where(f"k <= {cells_wanted}").orderBy("size", "k").collect()
     wanted = {r["size"]: -(-r["n"] // GROUP) for r in rows.where("is_query").groupBy("size").agg(F.count("*").alias("n")).collect()}
-    pivots = [np.frombuffer(r["v"], np.int64).astype(np.float64) for r in drawn]
+    pivots = [np.frombuffer(r["v"], np.float64) for r in drawn]
     cells: dict[int, list[int]] = {}
     for number, r in enumerate(drawn):
         cells.setdefault(r["size"], []).append(number)
@@ -78,7 +96,8 @@ def top_k(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int = 5, scal
 
     def nearest(v: np.ndarray, own: list[int]) -> tuple[np.ndarray, np.ndarray]:
         p = np.stack([pivots[n] for n in own])
-        far = np.stack([np.sqrt(((v - row) ** 2).sum(1)) for row in p], 1)
+        with np.errstate(over="ignore"):  # very far is infinitely far
+            far = np.stack([np.sqrt(((v - row) ** 2).sum(1)) for row in p], 1)
         best = far.argmin(1)
         return np.array(own)[best], far[np.arange(len(v)), best]
 
@@ -89,7 +108,7 @@ def top_k(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int = 5, scal
             far, near = np.zeros(len(batch)), np.zeros(len(batch))
             for s in np.unique(size).tolist():
                 at = np.flatnonzero(size == s)
-                v = _matrix(batch["v"].take(pa.array(at))).astype(np.float64)
+                v = _matrix(batch["v"].take(pa.array(at)))
                 cell[at], far[at] = nearest(v, cells[s])
                 if groups[s]:
                     asks = query[at]
@@ -122,18 +141,22 @@ def top_k(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int = 5, scal
     asks: dict[int, list[tuple[int, int]]] = {}
     blocks = {c: -(-r["n"] // BLOCK) for c, r in data.items()}
     parts = {g["asks"]: -(-g["n"] // GROUP) for g in asking}
+    # A bound that cannot be told, of products beyond all floats, leaves nothing out.
+    told = lambda x, unknown: unknown if math.isnan(x) else x
     for g in asking:
-        centre, spread = pivots[g["asks"]], g["radius"]
-        norm, low, high = np.linalg.norm(centre) + spread, [], {}
-        for c, r in data.items():
-            if len(pivots[c]) == len(centre):
-                middle, slack = float(centre @ pivots[c]), spread * np.linalg.norm(pivots[c])
-                low += [middle - slack - norm * d for d in r["least"]]
-                high[c] = middle + slack + norm * r["radius"]
-        low.sort(reverse=True)
-        # k others besides the query itself surely reach this; a little less, as these are floats.
-        sure = low[k] if len(low) > k else -np.inf
-        needed = [c for c, top in high.items() if top + 1 + 1e-9 * abs(top) >= sure - 1e-9 * abs(sure)]
+        with np.errstate(over="ignore", invalid="ignore"):
+            centre, spread = pivots[g["asks"]], np.float64(g["radius"])
+            norm, low, high = np.linalg.norm(centre) + spread, [], {}
+            for c, r in data.items():
+                if len(pivots[c]) == len(centre):
+                    middle, slack = centre @ pivots[c], spread * np.linalg.norm(pivots[c])
+                    low += [told(middle - slack - norm * d, -np.inf) for d in r["least"]]
+                    high[c] = told(middle + slack + norm * r["radius"], np.inf)
+            low.sort(reverse=True)
+            # k others besides the query itself surely reach this; a little less, as these are floats.
+            sure = low[k] if len(low) > k else -np.inf
+            sure = told(sure - 1e-9 * abs(sure), -np.inf)
+            needed = [c for c, top in high.items() if told(top + 1 + 1e-9 * abs(top), np.inf) >= sure]
         asks[g["asks"]] = [(c, b) for c in needed for b in range(blocks[c])]
         for c in needed:
             sends[c] += [(g["asks"], part) for part in range(parts[g["asks"]])]
@@ -162,7 +185,7 @@ def top_k(vectors: DataFrame, queries: str = "vec_id % 50 = 0", k: int = 5, scal
                     best = np.argsort(-row, kind="stable")[: k + 1] if len(row) <= 64 else _best(row, k + 1)
                     best = best[ids[best] != name][:k]
                     out.append((np.full(len(best), name), ids[best], row[best]))
-        columns = [np.concatenate([o[c] for o in out]) if out else np.zeros(0, np.int64) for c in range(3)]
+        columns = [np.concatenate([o[c] for o in out]).tolist() if out else [] for c in range(3)]
         return pa.table([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
     found = sent.groupBy(key).cogroup(asked.groupBy([f"q_{c}" for c in key])).applyInArrow(solve, "query_id long, vec_id long, score long")
