@@ -94,7 +94,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return license_scan(spark.read.parquet(f"{folder}/documents.parquet"), reach=2)
+    return license_scan(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
 def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,6 +139,22 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _LETTERS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_LOWER)
 
 SQL: dict[str, str] = {
+    "op3_substring_dedup": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ),
+        windows AS (
+            SELECT r, p, array_to_string(w[p:p + 34], ' ') AS s
+            FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)
+        ),
+        often AS (SELECT s FROM windows GROUP BY 1 HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT r, unnest(range(p, p + 35)) AS k FROM windows SEMI JOIN often USING (s)),
+        kept AS (
+            SELECT r, string_agg(word, ' ' ORDER BY k) AS words, count(*) AS n
+            FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d) ANTI JOIN gone USING (r, k) GROUP BY 1
+        )
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)""",
     "op5_benchmark_decontamination": f"""
         WITH i AS (SELECT item_id, {_LETTERS} AS w FROM benchmark),
         ni AS (SELECT item_id, w, least(5, len(w)) AS k FROM i WHERE len(w) > 0),
