@@ -50,3 +50,17 @@ def test_equals_plain_sets(spark, monkeypatch):
         assert sorted(map(tuple, got), key=str) == want
     assert contamination.contained_items(table, bench.where("false")).collect() == []
     assert contamination.contained_items(table.where("false"), bench).collect() == []
+
+
+def test_a_very_long_document(spark):
+    pick = random.Random(4)
+    word = lambda: f"w{pick.randrange(10**6)}"
+    items = [(k, " ".join(word() for _ in range(size))) for k, size in enumerate((1, 4, 9, 40, 300))]
+    long = [word() for _ in range(60_000)]
+    for at, (_, text) in zip((0, 9_000, 20_000, 59_000, 60_100), items):
+        long[at:at] = text.split()
+    docs = [(1, " ".join(long)), (2, " ".join(long[:8_000])), (2, " ".join(long[:8_000]))]
+    got = contamination.contained_items(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    assert sorted(map(tuple, got.drop("containment").collect())) == brute(docs, items, 5, 80)

@@ -71,3 +71,15 @@ def test_odd_rows(spark):
     got = sorted(map(tuple, jaccard.jaccard_groups(docs, 3, 90).collect()), key=str)
     assert got == sorted([(9, 2, 3), (9, 2, 3), (3, 2, 3), (3, 2, 3), (3, 9, 3), (3, 9, 3), (4, 10, 3), (None, 2, None), (5, 0, 5)], key=str)
     assert jaccard.jaccard_groups(docs.where("doc_id = 0"), 3, 90).collect() == []
+
+
+def test_very_long_texts(spark):
+    pick = random.Random(5)
+    long = [f"w{pick.randrange(10**6)}" for _ in range(40_000)]
+    near, far = list(long), list(long)
+    near[::2000] = ["other"] * len(near[::2000])
+    far[::20] = ["other"] * len(far[::20])
+    docs = [(3, " ".join(long)), (2, " ".join(near)), (1, " ".join(far)), (4, "short text")]
+    got = jaccard.jaccard_groups(spark.createDataFrame(docs, "doc_id long, text string"), words=3, percent=90).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(docs, 3, 90)
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 2, 4: 4}

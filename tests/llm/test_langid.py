@@ -1,12 +1,16 @@
 """Languages of texts, spans of mixed texts, and the best path against all paths."""
 
 import itertools
+import os
 import random
 
 import numpy as np
+import pytest
 
 from weektide.llm import langid
 
+GIVEN = "/root/testdata/sf0.01"
+
 WORDS = {
     "en": "the and of that with from this have they which would there their what about".split(),
     "de": "der die und nicht mit sich auch nach über wird einer schon wenn können".split(),
@@ -45,3 +49,29 @@ def test_languages(spark):
     nothing = langid.learn(docs.where("false"))
     assert {r.lang_pred for r in langid.languages(docs, nothing).collect()} == {"und"}
     assert langid.languages(docs.where("false"), tables).collect() == []
+
+
+def test_long_texts_repeats_and_ties(spark):
+    """A very long text of two languages, repeated rows, and words of two languages in equal measure."""
+    pick = random.Random(7)
+    docs = spark.createDataFrame([(k, text(lang, 40, pick), lang) for k, lang in enumerate(["en", "de", "ru"] * 40)], "doc_id long, text string, lang string")
+    tables = langid.learn(docs)
+    long = f"{text('ru', 40_000, pick)}\n{text('en', 20_000, pick)}"
+    rows = [(1, long), (2, text("de", 9, pick)), (2, text("en", 9, pick)), (3, "the der " * 50), (3, "the der " * 50)]
+    got = langid.languages(spark.createDataFrame(rows, "doc_id long, text string"), tables).collect()
+    assert len(got) == len(rows)
+    (whole,) = [r for r in got if r.doc_id == 1]
+    assert whole.lang_pred == "ru" and [(s.lang, s.words) for s in whole.spans] == [("ru", 40_000), ("en", 20_000)]
+    assert {r.lang_pred for r in got if r.doc_id == 2} == {"de", "en"}
+    tie = [(r.lang_pred, r.score) for r in got if r.doc_id == 3]
+    assert tie[0] == tie[1] and tie[0][0] in ("de", "en")
+
+
+@pytest.mark.skipif(not os.path.isdir(GIVEN), reason="given tables are not there")
+def test_held_out_accuracy(spark):
+    """On the given documents, of those that nothing was learned from."""
+    from weektide.llm.queries import op8_language_id
+
+    docs = spark.read.parquet(f"{GIVEN}/documents.parquet").where("lang is not null and text is not null")
+    got = op8_language_id(spark, GIVEN).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(got) > 200 and sum(r.lang_pred == r.lang for r in got) >= 0.97 * len(got)

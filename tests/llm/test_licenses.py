@@ -119,3 +119,12 @@ def test_each_filter_leaves_records_out():
     record, rank = (np.array([x[k] for x in flat]) for k in range(2))
     assert index.candidates(record, rank).tolist() == [0, 4]
     assert index.candidates(record, rank, positional=False).tolist() == [0, 3, 4]
+
+
+def test_a_very_long_text(spark):
+    notice = dict(TEMPLATES)["isc"]
+    text = "word filler\n" * 60_000 + notice.upper() + " tail" * 50_000 + " licensed under cc by sa 4 0"
+    docs = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan(docs).collect()}
+    assert (got[1].labels, got[1].base_labels, got[1].n_base, got[1].score) == ("cc-by,cc-by-sa,isc", "cc-by", 1, 1.0)
+    assert got[1].first_word == 120_000 + len(notice.split()) + 50_000 + 2

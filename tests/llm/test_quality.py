@@ -1,10 +1,15 @@
 """The additive model on features with a known answer, the features against plain counts, odd rows."""
 
+import os
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from weektide.llm.quality import FEATURES, Model, features, fit, quality_scores, train
 
+GIVEN = "/root/testdata/sf0.01"
+
 
 def test_learns_single_features_and_pairs():
     rng = np.random.default_rng(0)
@@ -44,3 +49,30 @@ def test_tables(spark):
     none = train(docs, labels.where("false"))
     assert none == Model(0.0) and {r.score for r in quality_scores(docs, none).collect()} == {0.5}
     assert quality_scores(docs.where("false"), model).collect() == []
+
+
+def test_labels_that_disagree_and_long_texts(spark):
+    """Of several labels of one document the largest counts; repeated rows and very long texts are scored alone."""
+    rows = [(k, f"this is text {k} with some words" if k % 2 else "$$ ## " * (k % 7 + 1)) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, label int")
+    model = train(docs, labels.unionByName(labels.where("label = 1").selectExpr("doc_id", "0 AS label")))
+    other = train(docs, labels)
+    assert quality_scores(docs, model).orderBy("doc_id").collect() == quality_scores(docs, other).orderBy("doc_id").collect()
+    long = "this is a text with some words " * 40_000
+    new = spark.createDataFrame([(1, long), (2, "$$ ## "), (2, "$$ ## ")], "doc_id long, text string")
+    got = [(r.doc_id, r.score) for r in quality_scores(new, model).collect()]
+    assert len(got) == 3 and all(0 <= s <= 1 for _, s in got) and len({s for d, s in got if d == 2}) == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(GIVEN), reason="given tables are not there")
+def test_held_out_labels(spark):
+    """On the given documents: how often a good held-out document is scored above a bad one."""
+    from weektide.llm.queries import op9_quality_classifier
+
+    labels = spark.read.parquet(f"{GIVEN}/labels.parquet").select("doc_id", "quality")
+    got = op9_quality_classifier(spark, GIVEN).where("held_out").join(labels, "doc_id").collect()
+    good, bad = ([r.score for r in got if r.quality == q] for q in (1, 0))
+    assert len(good) > 5 and len(bad) > 5
+    assert np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad]) >= 0.95
+    assert np.mean([r.predicted == r.quality for r in got]) >= 0.9

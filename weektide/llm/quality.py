@@ -180,6 +180,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fits on about ``sample`` rows of ``labels`` (doc_id, label 0 or 1) at most, chosen by a hash of doc_id.
 
     Rows without a doc_id, a label or a document are left out; a document counts once for each doc_id.
+    Of several labels of one doc_id the largest counts.
     """
     small_batches(docs.sparkSession)
     labels = labels.select("doc_id", F.col("label").cast("double")).where("doc_id is not null and label in (0, 1)")
