@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from weektide.llm import jaccard
@@ -55,14 +56,40 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize(("n", "percent", "sets"), [(3, 90, 2000), (5, 80, 2000), (5, 80, 10), (3, 100, 2000)])
-def test_equals_all_pairs(spark, rows, monkeypatch, n, percent, sets):
+@pytest.mark.parametrize(
+    ("n", "percent", "sets", "keys"),
+    [(3, 90, 2000, 10**6), (5, 80, 2000, 10**6), (5, 80, 10, 10**6), (5, 80, 10, 300), (3, 100, 2000, 10**6)],
+)
+def test_equals_all_pairs(spark, rows, monkeypatch, n, percent, sets, keys):
     monkeypatch.setattr(jaccard, "BLOCK_SETS", sets)
+    monkeypatch.setattr(jaccard, "TASK_KEYS", keys)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(docs, n, percent).collect()}
     assert got == brute(rows, n, percent)
 
 
+def test_linked_nodes_travel_as_one():
+    """Keys of nodes that a task has connected name one node; the links keep every node of the group."""
+    group, alone = np.arange(10, 60, dtype=np.uint64), np.array([3, 99], np.uint64)
+    pairs = [(k, n) for n in group for k in range(20) if (int(n) + k) % 7] + [(1_000 + int(n), n) for n in alone]
+    keys, nodes = (np.array(x, np.uint64) for x in zip(*pairs, strict=True))
+    table = jaccard._packed(keys, nodes, 5)
+    keys, nodes, a, b = (np.frombuffer(b"".join(table[c].to_pylist()), np.uint64) for c in ("keys", "nodes", "a", "b"))
+    assert dict(zip(keys.tolist(), nodes.tolist(), strict=True)) == {k: 10 for k in range(20)} | {1_003: 3, 1_099: 99}
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(n, 10) for n in range(11, 60)]
+
+
+def test_groups_over_many_tasks(spark):
+    """Near copies dealt over many partitions: what the tasks send grows with tasks and keys, not with the copies."""
+    pick = random.Random(11)
+    base = [f"b{k}" for k in range(120)]
+    rows = [(k, " ".join(changed(base, pick.choice([1, 2, 3]), pick))) for k in range(240)]
+    rows += [(1_000 + k, " ".join(f"x{pick.randrange(10**6)}" for _ in range(30))) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(24)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(docs, 5, 80).collect()}
+    assert got == brute(rows, 5, 80)
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame(
         [(9, "A b c d", 1), (9, "a b c d", 1), (3, "a B c d", 1), (3, "a B c d", 1), (3, "x y z a b c d e f g h", 1), (3, "x y z a b c d e f g h", 1), (4, "x y z a b c d e f g h i", 1), (None, "a b c d", 1), (5, None, 1)],

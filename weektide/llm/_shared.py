@@ -45,12 +45,9 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _forest(batches):
-    """(a, b) edges of one partition -> (node, smallest node that the partition's edges reach)."""
-    pairs = [np.stack([x["a"].to_numpy(), x["b"].to_numpy()]) for x in batches if len(x)]
-    if not pairs:
-        return
-    nodes, at = np.unique(np.concatenate(pairs, axis=1), return_inverse=True)
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node that its edges reach), by node, for the nodes of the edges (a, b) that reach a smaller one."""
+    nodes, at = np.unique(np.stack([a, b]), return_inverse=True)
     a, b = at.reshape(2, -1)
     root, before = np.arange(len(nodes)), None
     while before is None or (root != before).any():
@@ -61,7 +58,15 @@ def _forest(batches):
             np.minimum.at(root, end, low)
         root = root[root]
     away = np.flatnonzero(root != np.arange(len(root)))
-    yield pa.record_batch([pa.array(nodes[away]), pa.array(nodes[root[away]])], ["a", "b"])
+    return nodes[away], nodes[root[away]]
+
+
+def _forest(batches):
+    """The forest of the edges (a, b) of one partition."""
+    pairs = [np.stack([x["a"].to_numpy(), x["b"].to_numpy()]) for x in batches if len(x)]
+    if not pairs:
+        return
+    yield pa.record_batch([pa.array(x) for x in forest(*np.concatenate(pairs, axis=1))], ["a", "b"])
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

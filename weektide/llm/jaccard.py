@@ -7,8 +7,9 @@ before the exact intersection of sorted arrays.
 2. *Families.* Two sets that link differ in at most D = (100 - p) * size / p shingles. Each size band
    deals the shingles into somewhat more than D parts by hash; the D + 1 largest parts of a set cannot
    all be touched by D differences, so two sets that link share a whole part. Parts travel as packed
-   (key, node) arrays; each key links its nodes to the smallest of them. The connected components of
-   these links are the families: every link lies within one.
+   (key, node) arrays; each key links its nodes to the smallest of them. What a task has linked already
+   goes on as one node, once for each key. The connected components of these links are the families:
+   every link lies within one.
 3. *Tiles.* A family is cut into size-banded blocks and joined block by block. In a tile, bitmap
    signatures bound the overlap (each bit that only one side has is a shingle that the other lacks);
    what passes is intersected exactly. Pairs that are already connected are skipped, so a tile returns
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weektide.llm._shared import components, shuffle_parts, small_batches, staged
+from weektide.llm._shared import components, forest, shuffle_parts, small_batches, staged
 from weektide.llm._words import LOWER, NOT_SPACE, mix, shingle_sets, slices, split, utf8
 
 #: Sets in a block, and shingles in a block: what bounds a tile's memory and time.
@@ -34,6 +35,8 @@ BLOCK_SETS, BLOCK_SHINGLES = 4_000, 1_000_000
 #: More rounds of dealing for families larger than one block.
 ROUNDS = 3
 FLUSH_KEYS = 500_000
+#: Keys that one task links, at most about: what bounds its memory, however many there are of them.
+TASK_KEYS = 2_000_000
 _SPREAD = 1.25  # parts per guaranteed part
 
 
@@ -108,7 +111,16 @@ _BLOBS = "part int, keys binary, nodes binary, a binary, b binary"
 
 
 def _packed(keys: np.ndarray, nodes: np.ndarray, parts: int) -> pa.RecordBatch:
+    """The keys, each with one node, and the links (a, b) found here, dealt into ``parts``.
+
+    Nodes that are connected here stand for each other: all their keys name the smallest of them. So a group
+    of near copies meets the other tasks as one node, whichever of its keys a copy lacks.
+    """
     keys, nodes, a, b = _stars(keys, nodes)
+    if len(a):
+        a, b = forest(a, b)
+        at = np.minimum(np.searchsorted(a, nodes), len(a) - 1)
+        nodes = np.where(a[at] == nodes, b[at], nodes)
     to = (keys % np.uint64(parts)).astype(np.int64)
     order = np.argsort(to, kind="stable")
     keys, nodes, ends = keys[order], nodes[order], np.searchsorted(to[order], np.arange(parts + 1))
@@ -134,10 +146,21 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def _families(blobs: DataFrame) -> DataFrame:
-    """node -> family, for the nodes that share a key with another."""
-    parts = shuffle_parts(blobs.sparkSession)
-    return components(blobs.repartition(parts, "part").mapInArrow(_edges, "a long, b long"), "families")
+def _tasks(sets: int, shingles: int, percent: int) -> int:
+    """How many tasks the keys ask for: a set of n shingles shows fewer than the parts of bands up to 2.25 * n."""
+    keys = _SPREAD * (3.75 * (100 - percent) / percent * shingles + 2 * sets)
+    return int(keys // TASK_KEYS) + 1
+
+
+def _families(blobs: DataFrame, tasks: int) -> DataFrame:
+    """node -> family, for the nodes that share a key with another.
+
+    The tasks go by the number of keys: a node is linked once in each task, so few keys in many tasks would
+    repeat every node, and many keys in few tasks would not fit them.
+    """
+    parts = max(tasks, shuffle_parts(blobs.sparkSession))
+    dealt = blobs.repartition(parts, "part").coalesce(tasks)
+    return components(dealt.mapInArrow(_edges, "a long, b long"), "families")
 
 
 def _sets_of(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +226,6 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
         raise ValueError("percent must be from 75 to 100")
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    spark, parts = docs.sparkSession, 4 * shuffle_parts(docs.sparkSession)
 
     def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,7 +242,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
                     ["doc_id", "n", "node", "check"],
                 )
 
-    def show(sets: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]], seed: int) -> Iterator[pa.RecordBatch]:
+    def show(sets: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]], seed: int, parts: int) -> Iterator[pa.RecordBatch]:
         keys, nodes, held = [], [], 0
         for owner, rows, values, n in sets:
             at, key = part_keys(rows, values, n, percent, seed)
@@ -233,6 +255,14 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
         if held:
             yield _packed(np.concatenate(keys), np.concatenate(nodes), parts)
 
+    def parts_of(tasks: int) -> int:
+        return 4 * max(tasks, shuffle_parts(docs.sparkSession))
+
+    table = staged(docs.mapInArrow(fingerprints, "doc_id long, n long, node long, check long"), "sets")
+    sets = table.where("n > 0 and doc_id is not null")
+    tasks = _tasks(*sets.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first(), percent)
+    parts = parts_of(tasks)
+
     def from_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sets():
             for batch in batches:
@@ -240,12 +270,10 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
                     rows, values = _sets_of(piece, words)
                     yield _fingerprints(rows, values, len(piece))[0], rows, values, len(piece)
 
-        return show(sets(), 0)
+        return show(sets(), 0, parts)
 
-    table = staged(docs.mapInArrow(fingerprints, "doc_id long, n long, node long, check long"), "sets")
-    sets = table.where("n > 0 and doc_id is not null")
     members = staged(sets.groupBy("node", "check", "n").agg(F.min("doc_id").alias("rep")), "nodes")
-    family = _families(docs.where("doc_id is not null").mapInArrow(from_texts, _BLOBS))
+    family = _families(docs.where("doc_id is not null").mapInArrow(from_texts, _BLOBS), tasks)
     chosen = staged(
         members.join(family.withColumnRenamed("component", "family"), "node").select("node", "rep", "family"), "chosen"
     )
@@ -279,7 +307,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     def of(rows: DataFrame, sizes: DataFrame, kind: str) -> DataFrame:
         return rows.join(sizes.where(kind).select("family"), "family")
 
-    def again(seed: int):
+    def again(seed: int, parts: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def sets():
                 for batch in batches:
@@ -287,7 +315,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
                     values = np.frombuffer(b"".join(batch["shingles"].to_pylist()), np.uint64)
                     yield owner, np.repeat(np.arange(len(n)), n), values, len(n)
 
-            return show(sets(), seed)
+            return show(sets(), seed, parts)
 
         return run
 
@@ -295,7 +323,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     for seed in range(1, ROUNDS + 2):
         whole = of(held, sizes, f"not ({big})").groupBy("family").applyInArrow(_one_tile(percent), "rep long, component_id long")
         found = whole if found is None else found.unionByName(whole)
-        large = sizes.where(big).agg(F.sum("sets")).first()[0]
+        large, shingles = sizes.where(big).agg(F.sum("sets"), F.sum("sum_n")).first()
         if not large:
             break
         rest = of(held, sizes, big)
@@ -304,7 +332,9 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
             found = found.unionByName(links.toDF("rep", "component_id"))
             break
         before = large
-        dealt = _families(rest.select("rep", "n", "shingles").mapInArrow(again(seed), _BLOBS)).toDF("rep", "new")
+        tasks = _tasks(large, shingles, percent)
+        blobs = rest.select("rep", "n", "shingles").mapInArrow(again(seed, parts_of(tasks)), _BLOBS)
+        dealt = _families(blobs, tasks).toDF("rep", "new")
         rest = rest.join(dealt, "rep").withColumn("family", F.xxhash64("new", F.lit(seed))).drop("new")
         held = staged(rest, "arrays")
         sizes = sized(held)
