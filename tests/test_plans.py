@@ -118,3 +118,54 @@ def test_results_do_not_need_broadcasts(spark):
             assert sorted(map(str, contract.queries()[n](spark, FOLDER).collect())) == want[n]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_filters_on_workbook_names_stay_above_the_counts(spark, tmp_path):
+    """What a reader looks for in file names is worked out for sheets and grid rows, not for every case."""
+    from pyspark.sql import functions as F
+
+    from weektide.operators import grid
+    from weektide.plans import report_grids
+    from weektide.sources import reports
+
+    kinds = [("1-URGENT", "F"), ("1-URGENT", "O"), ("5-LOW", "P"), (None, None)]
+    rows = [("Gifu", 7, season, week, *kind) for season in (1995, 1996, None) for week in (1, 52, None) for kind in kinds] * 3
+    path = str(tmp_path / "cases")
+    spark.createDataFrame(rows, "area string, nationkey int, season int, week int, cond string, source string").write.parquet(path)
+    cases = spark.read.parquet(path).selectExpr("area", "nationkey", "season + 28 AS year", "week", "cond", "source")
+    obs = cases.groupBy(*cases.columns).count().withColumnRenamed("count", "cnt")
+    book = report_grids.workbook_grid(obs).withColumn("file", F.regexp_replace("file", r"Syu_01_1_(\d+)", "$1_Syu_01_1"))
+    long = grid.workbook_to_long(reports.workbook_files(book, "sex"))
+    plan = long._jdf.queryExecution().optimizedPlan().toString()
+    looked = [line for line in plan.splitlines() if "Filter" in line and re.search("regexp|rlike", line, re.IGNORECASE)]
+    assert looked and not [line for line in looked if "season#" in line]
+    totals = {tuple(r) for r in long.where("category = 'total' AND count > 0").select("year", "week", "disease", "count").collect()}
+    assert totals == {(y, w, d, n) for y in (2023, 2024) for w in (1, 52) for d, n in (("1-URGENT", 6), ("5-LOW", 3))}
+
+
+def test_build_counts_the_cases_once(spark, tmp_path, monkeypatch):
+    """All reports and workbooks come from one table of counts, which goes when the build ends."""
+    import datetime as dt
+
+    tables = {
+        "orders": ([(k, k % 3, "FOP"[k % 3], dt.datetime(1998, 1, 1 + k)) for k in range(20)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp"),
+        "customer": ([(0, 1), (1, 2), (2, None)], "c_custkey long, c_nationkey int"),
+        "nation": ([(1, "NATION_1"), (2, "NATION_2")], "n_nationkey int, n_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        df = df.selectExpr("*", "'2-HIGH' AS o_orderpriority") if name == "orders" else df
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    read = []
+
+    def build_tables(spark, files, root, current_year, cols, workbooks):
+        read.extend([*files.inputFiles(), *workbooks.inputFiles()])
+        assert files.count() and workbooks.count()
+        raise InterruptedError
+
+    monkeypatch.setattr(workload.build, "build_tables", build_tables)
+    with pytest.raises(InterruptedError):
+        QUERIES["build_tables"](spark, str(tmp_path))
+    folders = {os.path.dirname(f.removeprefix("file://")) for f in read}
+    assert len(folders) == 1 and not any(name in f for f in folders for name in tables)
+    assert not os.path.exists(folders.pop())

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weektide.operators.ordered import with_computed
+
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 SECOND_BLOCK_ROW = 60
 
@@ -125,10 +127,13 @@ def japanese_reports(obs: DataFrame) -> DataFrame:
 def workbook_grid(obs: DataFrame) -> DataFrame:
     """One file per year, one sheet per week, two header blocks per sheet (3 and 2 priorities).
 
-    Categories: total = all statuses, male = F, female = O.
+    Categories: total = all statuses, male = F, female = O. File and sheet are computed on what was counted: as
+    plain columns they would let a reader's filters on them be worked out for every row before the counting.
     """
-    file = F.concat(F.lit("books/Syu_01_1_"), F.col("year"), F.lit(".xlsx")).alias("file")
-    sheet = F.when(F.col("year") == 1999, F.col("week") - 12).otherwise(F.col("week") + 1).alias("sheet")
+    place = {
+        "file": F.concat(F.lit("books/Syu_01_1_"), F.col("year"), F.lit(".xlsx")),
+        "sheet": F.when(F.col("year") == 1999, F.col("week") - 12).otherwise(F.col("week") + 1),
+    }
     blocks = ((0, PRIORITIES[:3]), (SECOND_BLOCK_ROW, PRIORITIES[3:]))
 
     def header(base: int, names: Sequence[str]) -> list[Column]:
@@ -155,6 +160,6 @@ def workbook_grid(obs: DataFrame) -> DataFrame:
         )
 
     return _grid(
-        obs.select("year", "week").distinct().select(file, sheet, head),
-        wide.select(file, sheet, F.inline(F.array(*[body(base, names) for base, names in blocks]))),
+        with_computed(obs.select("year", "week").distinct(), place).select(*place, head),
+        with_computed(wide, place).select(*place, F.inline(F.array(*[body(base, names) for base, names in blocks]))),
     )

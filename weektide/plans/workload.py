@@ -16,7 +16,7 @@ from weektide.functions import calendar, numbers, text
 from weektide.model import CONDITION_ALIASES, DATASET_FILES, Cols
 from weektide.operators import aggregate, combine, filters, grid, quality, reshape, series, snapshot
 from weektide.plans import build, report_grids
-from weektide.session import shared_folder
+from weektide.session import remove_folder, shared_folder
 from weektide.sources import reports
 from weektide.sources.catalog import Catalog
 from weektide.sources.versions import Versions
@@ -85,8 +85,12 @@ def weekly(spark: SparkSession, folder: str) -> DataFrame:
 
 def cumulative(spark: SparkSession, folder: str) -> DataFrame:
     """Year-to-date counts per series; a series has one row per week."""
+    return _year_to_date(weekly(spark, folder))
+
+
+def _year_to_date(counts: DataFrame) -> DataFrame:
     w = Window.partitionBy("year", "area", "cond").orderBy("week").rowsBetween(Window.unboundedPreceding, 0)
-    return weekly(spark, folder).withColumn("cnt", F.sum("cnt").over(w))
+    return counts.withColumn("cnt", F.sum("cnt").over(w))
 
 
 def grid_obs(spark: SparkSession, folder: str) -> DataFrame:
@@ -1719,9 +1723,15 @@ u AS (SELECT area, year, week, CAST({_monday("year", "week")} + 6 AS DATE) AS da
 
 @query("build_tables", f"{_SHIFTED} SELECT *, 'total' AS category FROM u")
 def _(spark, folder):
-    """Weekly reports as bytes and yearly workbooks as grids -> all five published tables."""
-    obs, root = _book_obs(spark, folder), shared_folder(spark, "tables")
-    totals = cumulative(spark, folder).withColumn("year", F.col("year") + 28)
+    """Weekly reports as bytes and yearly workbooks as grids -> all five published tables.
+
+    The cases are counted once, into a table that all reports are made from; its rows do not grow with the cases.
+    """
+    root, counted = shared_folder(spark, "tables"), shared_folder(spark, "counted")
+    obs = _book_obs(spark, folder)
+    obs.write.parquet(counted)
+    obs = spark.read.schema(obs.schema).parquet(counted)
+    totals = _year_to_date(obs.groupBy("area", "nationkey", "year", "week", "cond").agg(F.sum("cnt").alias("cnt")))
     sites = report_grids.english_reports(totals.where("year >= 2025"))
     named = F.transform("rows", lambda row: F.transform(row, lambda c: F.regexp_replace(c, "^([0-9]-.*)$", "site $1")))
     files = combine.union_strict(
@@ -1733,7 +1743,10 @@ def _(spark, folder):
     marks = lambda c: F.when(c == "Male", "Japan").when(c == "Fe\0male", "Others").otherwise(c)
     place = books.withColumns({"file": F.replace("file", F.lit("01_1"), F.lit("02_1")), "cells": F.transform("cells", marks)})
     books = books.unionByName(place)
-    build.build_tables(spark, files, root, 2026, cols=COLS, workbooks=books)
+    try:
+        build.build_tables(spark, files, root, 2026, cols=COLS, workbooks=books)
+    finally:
+        remove_folder(spark, counted)
     return Catalog(spark, root, cols=COLS).load("unified").withColumn("rate", F.round("rate", 6))
 
 
